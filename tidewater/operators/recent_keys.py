@@ -48,6 +48,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schema import key_string
+from ..session import ship_package
 from .dedup import DEDUP_KEY, IS_DUP, scope_columns
 from .scans import DEFAULT_CHUNK
 
@@ -209,6 +210,7 @@ def dedup_recent_keys(
     if capacity < 1:
         raise ValueError("capacity must be >= 1")
     spark = df.sparkSession
+    ship_package(spark)
     x, grp = scope_columns(df, scope)
     tp_scope = sorted(grp) == ["partition", "topic"]
     if order is None:

@@ -50,18 +50,24 @@ def running_max(
     out: str,
     chunk: Column | None = None,
     chunk_size: int = DEFAULT_CHUNK,
+    agg: str = "max",
 ) -> DataFrame:
-    """``max(value) over (partition by by order by order rows unbounded preceding)``."""
+    """``max(value) over (partition by by order by order rows unbounded preceding)``.
+
+    ``agg="min"`` gives the running minimum.  The chunk expression must be
+    non-decreasing in ``order``.
+    """
     by, order = _cols(by), _cols(order)
+    fn, combine = (F.max, F.greatest) if agg == "max" else (F.min, F.least)
     x = _with_chunk(df, chunk, order, chunk_size)
     w = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn(out, F.max(value).over(w))
-    per_chunk = x.groupBy(*by, CHUNK).agg(F.max(out).alias("_tw_cmax"))
+    x = x.withColumn(out, fn(value).over(w))
+    per_chunk = x.groupBy(*by, CHUNK).agg(fn(out).alias("_tw_cmax"))
     before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select(*by, CHUNK, F.max("_tw_cmax").over(before).alias("_tw_carry"))
+    carry = per_chunk.select(*by, CHUNK, fn("_tw_cmax").over(before).alias("_tw_carry"))
     return (
         x.join(carry, on=[*by, CHUNK], how="left")
-        .withColumn(out, F.greatest(F.col(out), F.col("_tw_carry")))
+        .withColumn(out, combine(F.col(out), F.col("_tw_carry")))
         .drop(CHUNK, "_tw_carry")
     )
 

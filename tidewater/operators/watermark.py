@@ -64,22 +64,32 @@ def offsets_for_times(
     log: DataFrame,
     times: DataFrame,
     time_col: str = "timestamp",
+    chunk_ms: int = 86_400_000,
 ) -> DataFrame:
-    """Per requested topic-partition, first offset whose time is >= t.
+    """Per requested (topic, partition, t_ms), the first offset whose time is >= t.
 
-    ``times`` has (topic, partition, t_ms).  Partitions with no such record
-    get nulls.  A plain aggregate plus a left join; the aggregate is partial
-    (map-side) so only one row per partition crosses the shuffle.
+    Requests are merged into the log and scanned in descending time: the
+    running minimum of (offset, time) over records at or after t is the
+    answer (an as-of lookup; no record x request expansion).  The scan is
+    chunked by ``chunk_ms`` of time.  Partitions with no such record get
+    nulls.
     """
-    lg = log.select("topic", "partition", "offset", ts_millis(time_col).alias("_ts"))
-    cand = lg.join(times, on=["topic", "partition"], how="inner").where(F.col("_ts") >= F.col("t_ms"))
-    found = cand.groupBy("topic", "partition", "t_ms").agg(
-        F.min(F.struct("offset", "_ts")).alias("_hit")
+    recs = log.select(
+        "topic", "partition",
+        F.struct(F.col("offset").alias("offset"), ts_millis(time_col).alias("ts")).alias("_tw_hit"),
+        ts_millis(time_col).alias("_tw_t"), F.lit(0).alias("_tw_kind"), F.lit(None).cast("long").alias("t_ms"),
     )
-    return times.join(found, on=["topic", "partition", "t_ms"], how="left").select(
-        "topic",
-        "partition",
-        "t_ms",
-        F.col("_hit.offset").alias("offset"),
-        F.col("_hit._ts").alias("timestamp_ms"),
+    req = times.select(
+        "topic", "partition",
+        F.lit(None).cast("struct<offset:bigint,ts:bigint>").alias("_tw_hit"),
+        F.col("t_ms").cast("long").alias("_tw_t"), F.lit(1).alias("_tw_kind"), F.col("t_ms").cast("long").alias("t_ms"),
+    )
+    u = recs.unionByName(req).withColumn("_tw_neg", -F.col("_tw_t"))
+    x = running_max(
+        u, TOPIC_PARTITION, ["_tw_neg", "_tw_kind"], "_tw_hit", "_tw_best",
+        chunk=F.floor(F.col("_tw_neg") / F.lit(chunk_ms)).cast("long"), agg="min",
+    )
+    return x.where(F.col("_tw_kind") == 1).select(
+        "topic", "partition", "t_ms",
+        F.col("_tw_best.offset").alias("offset"), F.col("_tw_best.ts").alias("timestamp_ms"),
     )

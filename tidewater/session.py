@@ -78,3 +78,19 @@ def require_checkpoint_dir(spark: SparkSession, fallback: str | None = None) ->
         fallback = tempfile.mkdtemp(prefix="tidewater-ckpt-")
     sc.setCheckpointDir(fallback)
     return sc.getCheckpointDir()
+
+
+_PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package (no-op when it is installed there).
+
+    Worker processes get ``sc.environment`` at UDF creation, so adding the
+    package root to its PYTHONPATH is enough in local mode; on a cluster the
+    package is installed on the executors or shipped with ``--py-files``.
+    """
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if _PACKAGE_ROOT not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([_PACKAGE_ROOT, *parts])

@@ -98,12 +98,12 @@ EVENTS_LOG_SQL = f"""
 SELECT CAST(user_id AS VARCHAR) AS k, 'events' AS topic,
        CAST(user_id % {LOG_PARTITIONS} AS INTEGER) AS "partition",
        CAST(event_id AS BIGINT) AS "offset",
-       epoch_ms(ts) - CASE WHEN event_id % {LATE_EVERY} = 0 THEN {LATENESS_MS} ELSE 0 END AS ts_ms
+       epoch_us(ts) // 1000 - CASE WHEN event_id % {LATE_EVERY} = 0 THEN {LATENESS_MS} ELSE 0 END AS ts_ms
 FROM events"""
 
 ORDERS_LOG_SQL = f"""
 SELECT CAST(o_custkey AS VARCHAR) AS k, 'orders' AS topic,
        CAST(o_custkey % {LOG_PARTITIONS} AS INTEGER) AS "partition",
        CAST(o_orderkey AS BIGINT) AS "offset",
-       epoch_ms(o_orderdate) - CASE WHEN o_orderkey % {LATE_EVERY} = 0 THEN {LATENESS_MS} ELSE 0 END AS ts_ms
+       epoch_us(o_orderdate) // 1000 - CASE WHEN o_orderkey % {LATE_EVERY} = 0 THEN {LATENESS_MS} ELSE 0 END AS ts_ms
 FROM orders"""

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import codec, dedup, partitioning, positions, watermark
+from . import loads, sink
 from ..operators.recent_keys import dedup_recent_keys
 from ..schema import ts_millis
 from ..sources import generators
@@ -58,22 +59,29 @@ X3 = (
 )
 
 
-def recent_keys_sql(capacity: int, log_cte: str, scope: str, order: str) -> str:
-    """X1 in SQL through its closed form: dup iff prev exists and d < min(D, cap - h)."""
+def recent_keys_cte(capacity: int, scope: str, order: str, src: str = "log") -> str:
+    """X1 in SQL through its closed form: dup iff prev exists and d < min(D, cap - h).
+
+    d = distinct other keys since the key's previous occurrence, D = distinct
+    keys before the record, h = previous record was a hit with d < cap - 1.
+    Ends in CTE ``x1`` = ``src`` columns + ``is_dup``.
+    """
     part = f"PARTITION BY {scope}" if scope else ""
     same = " AND ".join(f"b.{c} = a.{c}" for c in scope.split(", ")) if scope else "TRUE"
     return f"""
-WITH {log_cte},
-p AS (SELECT *, row_number() OVER ({part} ORDER BY {order}) AS rn FROM log),
+p AS (SELECT *, row_number() OVER ({part} ORDER BY {order}) AS rn FROM {src}),
 p2 AS (SELECT *, lag(rn) OVER (PARTITION BY {scope + ', ' if scope else ''}k ORDER BY rn) AS prev_rn FROM p),
 p3 AS (SELECT *, coalesce(sum(CASE WHEN prev_rn IS NULL THEN 1 ELSE 0 END) OVER ({part} ORDER BY rn
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS dcount FROM p2),
 d AS (SELECT a.*, CASE WHEN a.prev_rn IS NULL THEN NULL ELSE
         (SELECT count(DISTINCT b.k) FROM p3 b WHERE {same} AND b.rn > a.prev_rn AND b.rn < a.rn) END AS d FROM p3 a),
 h AS (SELECT *, coalesce(lag(CASE WHEN prev_rn IS NOT NULL AND d < {capacity} - 1 THEN 1 ELSE 0 END)
-        OVER ({part} ORDER BY rn), 0) AS hprev FROM d)
-SELECT topic, "partition", "offset", (prev_rn IS NOT NULL AND d < least(dcount, {capacity} - hprev)) AS is_dup FROM h
-"""
+        OVER ({part} ORDER BY rn), 0) AS hprev FROM d),
+x1 AS (SELECT *, (prev_rn IS NOT NULL AND d < least(dcount, {capacity} - hprev)) AS is_dup FROM h)"""
+
+
+def recent_keys_sql(capacity: int, log_cte: str, scope: str, order: str) -> str:
+    return f'WITH {log_cte}, {recent_keys_cte(capacity, scope, order)} SELECT topic, "partition", "offset", is_dup FROM x1'
 
 
 def _wm(spark: SparkSession, sf: str) -> DataFrame:
@@ -377,3 +385,79 @@ def generate_complex_records(spark: SparkSession, sf: str) -> DataFrame:
     ids = spark.read.parquet(f"{sf}/events.parquet").select(F.col("event_id").alias("i"))
     recs = generators.complex_records_from_ids(ids, seed=42)
     return recs.select(F.col("key").cast("string").alias("key"), "copy")
+
+
+# ------------------------------------------------------- K1-K7, F6, S11
+def _encoded(spark: SparkSession, sf: str, corrupt: bool = False) -> DataFrame:
+    return codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY if corrupt else None)
+
+
+LOADED_X1 = f"""WITH {LOG}, {WM}, {recent_keys_cte(CACHE_DEFAULT, 'topic, "partition"', '"offset"', src='wm')},
+kept AS (SELECT * FROM x1 WHERE NOT is_dup AND "offset" % {CORRUPT_EVERY} <> 0)"""
+
+
+@register(
+    "load_deduplicated",
+    LOADED_X1
+    + """
+SELECT strftime(date_trunc('hour', epoch_ms(watermark)), '%Y%m%d') AS dt, strftime(date_trunc('hour', epoch_ms(watermark)), '%H') AS hr,
+  count(*) AS records, min("offset") AS min_offset, max("offset") AS max_offset FROM kept GROUP BY ALL""",
+)
+def load_deduplicated(spark: SparkSession, sf: str) -> DataFrame:
+    """K6 end to end: dedup (cache 2000) -> decode (bad rows out) -> hourly lake -> read back."""
+    base = sink.scratch_path(spark, "load-hourly")
+    loads.load(_encoded(spark, sf, corrupt=True), base, 0, loads.LoadSpec(dedup="recent", key_cache=CACHE_DEFAULT, roll_records=None))
+    lake = sink.read_loaded(spark, base, "hourly", committed_only=True)
+    return lake.groupBy("dt", "hr").agg(
+        F.count(F.lit(1)).alias("records"), F.min("_kafka.offset").alias("min_offset"), F.max("_kafka.offset").alias("max_offset")
+    )
+
+
+@register(
+    "load_plain",
+    f"""WITH {LOG}, {WM}
+SELECT strftime(date_trunc('hour', epoch_ms(watermark)), '%Y_%m_%d') AS dt, count(*) AS records,
+  CAST(sum("offset") AS BIGINT) AS offset_sum, max(watermark) AS max_watermark FROM wm GROUP BY ALL""",
+)
+def load_plain(spark: SparkSession, sf: str) -> DataFrame:
+    """K5: every record (no dedup), daily directories, GZIP, 10k-record files; read back."""
+    base = sink.scratch_path(spark, "load-daily")
+    spec = loads.LoadSpec(dedup=None, layout="daily", roll_records=10_000, parquet=sink.ParquetOptions(compression="GZIP"))
+    loads.load(_encoded(spark, sf), base, 0, spec)
+    lake = sink.read_loaded(spark, base, "daily")
+    return lake.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("records"), F.sum("_kafka.offset").alias("offset_sum"), F.max("_kafka.watermark").alias("max_watermark")
+    )
+
+
+FILE_ROLL = 1000
+
+
+@register(
+    "file_ranges",
+    f"""WITH {LOG}, {X3.format(src='log')},
+r AS (SELECT *, (row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1) // {FILE_ROLL} AS file_seq FROM kept)
+SELECT topic || '_' || CAST("partition" AS VARCHAR) || '_' || CAST(min("offset") AS VARCHAR) || '_' || CAST(max("offset") AS VARCHAR) || '.parquet' AS file,
+  topic, "partition", min("offset") AS min_offset, max("offset") AS max_offset, count(*) AS records
+FROM r GROUP BY topic, "partition", file_seq""",
+)
+def file_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 + F6: by-topic-partition load (files named by offset range), then each file's range."""
+    base = sink.scratch_path(spark, "load-tp")
+    spec = loads.LoadSpec(dedup="offsets", dedup_offsets=DEDUP_OFFSETS, layout="topic_partition", roll_records=FILE_ROLL)
+    loads.load(_encoded(spark, sf), base, 0, spec)
+    lake = sink.read_loaded(spark, base, "topic_partition")
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return partitioning.file_ranges(lake, name)
+
+
+@register(
+    "parquet_roundtrip",
+    DECODED_SQL,
+)
+def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """K1-K3: decoded rows written with ZSTD, 1 MiB row groups, 64 KiB pages; read back."""
+    path = sink.scratch_path(spark, "roundtrip")
+    decoded = codec.drop_malformed(codec.decode_proto(_encoded(spark, sf)))
+    sink.write_parquet(decoded, path, sink.ParquetOptions(compression="ZSTD", block_size=1 << 20, page_size=1 << 16), mode="overwrite")
+    return spark.read.parquet(path).select(*_decoded_cols())

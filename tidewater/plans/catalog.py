@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import codec, dedup, partitioning, positions, watermark
+from ..operators import codec, dedup, monitoring, partitioning, positions, watermark
 from . import loads, sink
 from ..operators.recent_keys import dedup_recent_keys
 from ..schema import ts_millis
@@ -461,3 +461,153 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     decoded = codec.drop_malformed(codec.decode_proto(_encoded(spark, sf)))
     sink.write_parquet(decoded, path, sink.ParquetOptions(compression="ZSTD", block_size=1 << 20, page_size=1 << 16), mode="overwrite")
     return spark.read.parquet(path).select(*_decoded_cols())
+
+
+# ------------------------------------------------------------------ M1-M10
+def _metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.metrics_from_log(dedup.dedup_offset_range(_wm(spark, sf), DEDUP_OFFSETS))
+
+
+_BUCKETS = ", ".join(f"('{b}')" for b in monitoring.DURATION_BUCKETS)
+METRICS_SQL = f"""WITH {LOG}, {WM},
+x3 AS (SELECT *, lag("offset") OVER (PARTITION BY topic, "partition", k ORDER BY "offset") AS prev_off FROM wm),
+marked AS (SELECT *, (prev_off IS NOT NULL AND "offset" - prev_off <= {DEDUP_OFFSETS}) AS is_dup FROM x3),
+x AS (SELECT topic, "partition", "offset", watermark, CAST(is_dup AS INTEGER) AS dup, strlen(k) AS nbytes,
+      CAST((floor(watermark / {monitoring.SCRAPE_MS}) + 1) * {monitoring.SCRAPE_MS} AS BIGINT) AS scrape FROM marked),
+agg AS (SELECT topic, "partition", scrape, sum(1 - dup) AS n_kept, sum(dup) AS n_dup, max(watermark) AS wm_max,
+        max("offset") AS off_max FROM x GROUP BY topic, "partition", scrape),
+cum AS (SELECT *, CAST(sum(n_kept) OVER w AS DOUBLE) AS kept_cum, CAST(sum(n_dup) OVER w AS DOUBLE) AS dup_cum,
+        max(off_max) OVER (PARTITION BY topic, "partition") AS end_off FROM agg
+        WINDOW w AS (PARTITION BY topic, "partition" ORDER BY scrape ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def _rate_sql(value: str, by: str, window: int, extra: str = "") -> str:
+    """Per-sample increase of a per-(topic, partition) counter, summed per window."""
+    return f"""s AS (SELECT topic, "partition", scrape, {value} AS v FROM cum),
+i AS (SELECT *, CASE WHEN lag(v) OVER (PARTITION BY topic, "partition" ORDER BY scrape) IS NULL THEN v
+                     WHEN v >= lag(v) OVER (PARTITION BY topic, "partition" ORDER BY scrape) THEN v - lag(v) OVER (PARTITION BY topic, "partition" ORDER BY scrape)
+                     ELSE v END AS inc FROM s)
+SELECT {by}, CAST(floor(scrape / {window}) * {window} AS BIGINT) AS window_ms, {extra or f'sum(inc) / {window / 1000.0} AS rate'}
+FROM i GROUP BY ALL"""
+
+
+_TP = 'topic, CAST("partition" AS VARCHAR) AS "partition"'
+
+
+@register(
+    "watermark_delay",
+    METRICS_SQL
+    + f"""
+SELECT {_TP}, CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, min(CAST(scrape - wm_max AS DOUBLE)) AS delay_ms
+FROM cum WHERE scrape - wm_max < {monitoring.MAX_DELAY_MS} GROUP BY ALL""",
+)
+def watermark_delay(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.watermark_delay(_metrics(spark, sf))
+
+
+@register(
+    "offset_lag",
+    METRICS_SQL
+    + f"""
+SELECT {_TP}, CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, CAST(arg_max(end_off - off_max, scrape) AS DOUBLE) AS lag
+FROM cum GROUP BY ALL""",
+)
+def offset_lag(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.offset_lag(_metrics(spark, sf))
+
+
+@register("records_batched_rate", METRICS_SQL + ",\n" + _rate_sql("kept_cum", _TP, 60000))
+def records_batched_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.records_batched_rate(_metrics(spark, sf), topic_regex="ev.*")
+
+
+@register("records_written_rate", METRICS_SQL + ",\n" + _rate_sql(f"floor(kept_cum / {monitoring.FILE_RECORDS}) * {monitoring.FILE_RECORDS}", _TP, 60000))
+def records_written_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.records_written_rate(_metrics(spark, sf))
+
+
+@register(
+    "in_flight_rate",
+    METRICS_SQL
+    + f""",
+s AS (SELECT topic, "partition", scrape, kept_cum AS b, floor(kept_cum / {monitoring.FILE_RECORDS}) * {monitoring.FILE_RECORDS} AS w FROM cum),
+i AS (SELECT *, CASE WHEN lag(b) OVER o IS NULL THEN b WHEN b >= lag(b) OVER o THEN b - lag(b) OVER o ELSE b END AS ib,
+                CASE WHEN lag(w) OVER o IS NULL THEN w WHEN w >= lag(w) OVER o THEN w - lag(w) OVER o ELSE w END AS iw
+      FROM s WINDOW o AS (PARTITION BY topic, "partition" ORDER BY scrape))
+SELECT {_TP}, CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, sum(ib) / 60.0 - sum(iw) / 60.0 AS rate
+FROM i GROUP BY ALL""",
+)
+def in_flight_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.in_flight_rate(_metrics(spark, sf))
+
+
+@register("duplicate_rate", METRICS_SQL + ",\n" + _rate_sql("dup_cum", 'CAST("partition" AS VARCHAR) AS "partition"', 60000))
+def duplicate_rate(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.duplicate_rate(_metrics(spark, sf))
+
+
+@register(
+    "files_per_hour",
+    METRICS_SQL
+    + ",\n"
+    + _rate_sql(
+        f"floor(kept_cum / {monitoring.FILE_RECORDS})", f"'{monitoring.JOB}' AS job", 1_800_000,
+        extra="sum(inc) / 1800.0 * 3600.0 AS files_per_hour",
+    ),
+)
+def files_per_hour(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.files_per_hour(_metrics(spark, sf))
+
+
+@register(
+    "commit_duration_p999",
+    METRICS_SQL
+    + f""",
+kept AS (SELECT * FROM marked WHERE NOT is_dup),
+pos AS (SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS pos FROM kept),
+files AS (SELECT topic, "partition", pos // {monitoring.FILE_RECORDS} AS file, min(watermark) AS lo, max(watermark) AS hi
+          FROM pos GROUP BY ALL HAVING count(*) = {monitoring.FILE_RECORDS}),
+f2 AS (SELECT topic, "partition", CAST((floor(hi / {monitoring.SCRAPE_MS}) + 1) * {monitoring.SCRAPE_MS} AS BIGINT) AS scrape,
+       (hi - lo) / 1000.0 AS dur FROM files),
+les AS (SELECT * FROM (VALUES {_BUCKETS}) t(le)),
+per AS (SELECT topic, "partition", scrape, le,
+        sum(CASE WHEN le = '+Inf' THEN 1 WHEN dur <= TRY_CAST(le AS DOUBLE) THEN 1 ELSE 0 END) AS hits
+        FROM f2 CROSS JOIN les GROUP BY ALL),
+c AS (SELECT *, CAST(sum(hits) OVER (PARTITION BY topic, "partition", le ORDER BY scrape
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE) AS v FROM per),
+i AS (SELECT *, CASE WHEN lag(v) OVER o IS NULL THEN v WHEN v >= lag(v) OVER o THEN v - lag(v) OVER o ELSE v END AS inc
+      FROM c WINDOW o AS (PARTITION BY topic, "partition", le ORDER BY scrape)),
+cnts AS (SELECT '{monitoring.LOADER_THREAD}' AS loader_thread, topic || '-' || CAST("partition" AS VARCHAR) AS partition_group, le,
+         CAST(floor(scrape / 20000) * 20000 AS BIGINT) AS window_ms, sum(inc) AS cnt FROM i GROUP BY ALL),
+b AS (SELECT *, CASE WHEN le = '+Inf' THEN CAST('inf' AS DOUBLE) ELSE CAST(le AS DOUBLE) END AS bound FROM cnts),
+b2 AS (SELECT *, max(CASE WHEN le = '+Inf' THEN cnt END) OVER g AS total,
+       coalesce(lag(cnt) OVER gb, 0) AS prev_cnt, coalesce(lag(bound) OVER gb, 0) AS prev_bound FROM b
+       WINDOW g AS (PARTITION BY loader_thread, partition_group, window_ms),
+              gb AS (PARTITION BY loader_thread, partition_group, window_ms ORDER BY bound)),
+b3 AS (SELECT *, total * 0.999 AS rnk FROM b2 WHERE total > 0 AND cnt >= total * 0.999),
+b4 AS (SELECT *, row_number() OVER (PARTITION BY loader_thread, partition_group, window_ms ORDER BY bound) AS rn FROM b3)
+SELECT loader_thread, partition_group, window_ms,
+  CASE WHEN bound = CAST('inf' AS DOUBLE) THEN prev_bound
+       ELSE prev_bound + (bound - prev_bound) * (rnk - prev_cnt) / (cnt - prev_cnt) END AS duration_s
+FROM b4 WHERE rn = 1""",
+)
+def commit_duration_p999(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.commit_duration_quantile(_metrics(spark, sf), 0.999)
+
+
+@register(
+    "commit_queue_depth",
+    METRICS_SQL
+    + f""",
+q AS (SELECT topic, "partition", scrape,
+      floor(kept_cum / {monitoring.FILE_RECORDS}) - floor((kept_cum - n_kept) / {monitoring.FILE_RECORDS}) AS v FROM cum),
+l AS (SELECT topic, "partition", CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, arg_max(v, scrape) AS v FROM q GROUP BY ALL)
+SELECT '{monitoring.JOB}' AS job, window_ms, CAST(sum(v) AS DOUBLE) AS depth FROM l GROUP BY ALL""",
+)
+def commit_queue_depth(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.commit_queue_depth(_metrics(spark, sf))
+
+
+@register("topic_values", f"WITH {LOG} SELECT DISTINCT topic FROM log")
+def topic_values(spark: SparkSession, sf: str) -> DataFrame:
+    return monitoring.topic_values(_metrics(spark, sf))

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import pandas as pd
 import pyarrow as pa
 from google.protobuf.message import DecodeError
 from pyspark.sql import Column, DataFrame
@@ -120,17 +121,14 @@ def filter_records(df: DataFrame, predicate: Column | None = None, python_predic
         return df.where(predicate)
     if python_predicate is None:
         return df
-    import pandas as pd
 
-    cols = [c for c in df.columns if c not in (META_COL,)]
+    cols = [c for c in df.columns if c != META_COL]
 
     @F.pandas_udf(T.BooleanType())
-    def keep(*series: pd.Series) -> pd.Series:
-        frame = pd.concat(series, axis=1)
-        frame.columns = cols
+    def keep(frame: pd.DataFrame) -> pd.Series:
         return python_predicate(frame).astype(bool)
 
-    return df.where(keep(*[F.col(c) for c in cols]))
+    return df.where(keep(F.struct(*[F.col(c) for c in cols])))
 
 
 def format_records(df: DataFrame, formatter) -> DataFrame:

@@ -28,6 +28,19 @@ CORRUPT = "_corrupt"
 CORRUPT_BYTES = b"\x0a\x7f"
 
 
+def spread_for_python(df: DataFrame) -> DataFrame:
+    """Give an Arrow-batched Python stage at least one partition per core.
+
+    Only when the input has fewer partitions than the cluster's default
+    parallelism (a small or single-row-group file); a large input already
+    has that many splits and passes through unchanged, without a shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def decode_proto(
     df: DataFrame,
     message: str = "messages.ComplexType",
@@ -75,7 +88,7 @@ def decode_proto(
             arrays.append(pa.array(bad, type=pa.bool_()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, *names, CORRUPT])
 
-    return df.mapInArrow(run, out_schema)
+    return spread_for_python(df).mapInArrow(run, out_schema)
 
 
 def drop_malformed(decoded: DataFrame) -> DataFrame:
@@ -158,7 +171,7 @@ def encode_proto(
             arrays = [batch.column(n) for n in keep_names] + [pa.array(enc, type=pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, out_col])
 
-    return df.mapInArrow(run, out_schema)
+    return spread_for_python(df).mapInArrow(run, out_schema)
 
 
 def complex_from_events(corrupt: bool = False) -> Column:

@@ -18,9 +18,9 @@ from pyspark.sql import functions as F
 from ..operators import codec, dedup, monitoring, partitioning, positions, watermark
 from . import loads, sink
 from ..operators.recent_keys import dedup_recent_keys
-from ..schema import ts_millis
+from ..schema import KAFKA_SCHEMA, ts_millis
 from ..sources import generators
-from ..sources.logs import CORRUPT_EVERY, EVENTS_LOG_SQL, ORDERS_LOG_SQL, events_log, two_topic_log
+from ..sources.logs import CORRUPT_EVERY, EVENTS_LOG_SQL, ORDERS_LOG_SQL, events_log, read_stream_log, two_topic_log
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -247,9 +247,8 @@ FROM kept JOIN events e ON e.event_id = kept."offset" WHERE e.value > {FILTER_PR
 )
 def filter_records(spark: SparkSession, sf: str) -> DataFrame:
     """Dedup on keys first, then decode, then the predicate on decoded fields."""
-    marked = dedup.dedup_offset_range(events_log(spark, sf, payload=True), DEDUP_OFFSETS)
-    kept = codec.encode_events(dedup.drop_duplicates_marked(marked))
-    decoded = codec.drop_malformed(codec.decode_proto(kept))
+    marked = dedup.dedup_offset_range(_encoded(spark, sf), DEDUP_OFFSETS)
+    decoded = codec.drop_malformed(codec.decode_proto(dedup.drop_duplicates_marked(marked)))
     return codec.filter_records(decoded, F.col("price") > F.lit(FILTER_PRICE)).select(*_tp_cols(), "id", "price")
 
 
@@ -389,7 +388,11 @@ def generate_complex_records(spark: SparkSession, sf: str) -> DataFrame:
 
 # ------------------------------------------------------- K1-K7, F6, S11
 def _encoded(spark: SparkSession, sf: str, corrupt: bool = False) -> DataFrame:
-    return codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY if corrupt else None)
+    """The events topic at rest: encoded once, written as a Kafka-schema table, read back."""
+    path = sink.scratch_path(spark, "topic")
+    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY if corrupt else None)
+    log.select(*KAFKA_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path)
+    return read_stream_log(spark, path)
 
 
 LOADED_X1 = f"""WITH {LOG}, {WM}, {recent_keys_cte(CACHE_DEFAULT, 'topic, "partition"', '"offset"', src='wm')},

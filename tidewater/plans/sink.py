@@ -186,18 +186,20 @@ def publish(
             files.append(dst)
     elif layout == "topic_partition":
         file_key = F.concat_ws("__", F.col("_kafka.topic"), F.col("_kafka.partition").cast("string"), F.col("file_seq").cast("string"))
-        keyed = df.withColumn("_tw_file", file_key)
-        # names come from each file's offset range: one small row per file
+        keyed = df.withColumn("_tw_file", file_key).drop("file_seq")
+        # one writer per file; a file is bounded by the roll limit, so no task is hot
+        write_parquet(keyed.repartition("_tw_file"), stage, opts, partition_by=["_tw_file"], mode="overwrite")
+        # names come from each staged file's offset range: a scan of _kafka only,
+        # one small row per file (the batch plan is not evaluated twice)
+        staged = spark.read.option("basePath", stage).parquet(stage)
         ranges = (
-            keyed.groupBy("_tw_file")
+            staged.groupBy("_tw_file")
             .agg(F.first("_kafka.topic").alias("t"), F.first("_kafka.partition").alias("p"),
                  F.min("_kafka.offset").alias("lo"), F.max("_kafka.offset").alias("hi"))
-            .select("_tw_file", offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")).alias("name"))
+            .select(F.col("_tw_file").cast("string").alias("_tw_file"),
+                    offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")).alias("name"))
         )
         names = {r["_tw_file"]: r["name"] for r in ranges.collect()}
-        # one writer per file; a file is bounded by the roll limit, so no task is hot
-        staged = keyed.drop("file_seq")
-        write_parquet(staged.repartition("_tw_file"), stage, opts, partition_by=["_tw_file"], mode="overwrite")
         for src in fs.data_files(stage):
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
             dst = f"{base}/{names[key]}"

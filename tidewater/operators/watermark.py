@@ -64,7 +64,7 @@ def offsets_for_times(
     log: DataFrame,
     times: DataFrame,
     time_col: str = "timestamp",
-    chunk_ms: int = 86_400_000,
+    chunk_ms: int = 60_000,
 ) -> DataFrame:
     """Per requested (topic, partition, t_ms), the first offset whose time is >= t.
 

@@ -7,11 +7,12 @@ contiguous ranges of the order column, by default ``floor(offset / size)`` —
 so the window runs per (group, chunk).  A small per-chunk summary (one row per
 chunk) is scanned across chunks and joined back as a carry-in.
 
-Plan shape: one hash exchange of the data on (group, chunk).  The per-chunk
-summary is aggregated on top of that same exchange (Spark reuses it), and
-the carry-in table is tiny (rows = number of chunks), so AQE turns the join
-into a broadcast at run time when its measured size allows, and keeps a
-shuffle join otherwise.
+Plan shape: one hash exchange of the data on (group, chunk) for the window.
+The per-chunk summary is a separate aggregate over the (column-pruned)
+input with map-side partial aggregation, so only one row per chunk and task
+is shuffled for it.  The carry-in table is tiny (rows = number of chunks),
+so AQE turns the join into a broadcast at run time when its measured size
+allows, and keeps a shuffle join otherwise.
 """
 
 from __future__ import annotations
@@ -59,10 +60,11 @@ def running_max(
     """
     by, order = _cols(by), _cols(order)
     fn, combine = (F.max, F.greatest) if agg == "max" else (F.min, F.least)
-    x = _with_chunk(df, chunk, order, chunk_size)
+    base = _with_chunk(df, chunk, order, chunk_size)
+    # chunk summary straight from the input: partial aggregation, one row per chunk per task
+    per_chunk = base.groupBy(*by, CHUNK).agg(fn(value).alias("_tw_cmax"))
     w = Window.partitionBy(*by, CHUNK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn(out, fn(value).over(w))
-    per_chunk = x.groupBy(*by, CHUNK).agg(fn(out).alias("_tw_cmax"))
+    x = base.withColumn(out, fn(value).over(w))
     before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select(*by, CHUNK, fn("_tw_cmax").over(before).alias("_tw_carry"))
     return (
@@ -82,10 +84,10 @@ def running_position(
 ) -> DataFrame:
     """0-based ``row_number() - 1`` within ``by`` in ``order``."""
     by, order = _cols(by), _cols(order)
-    x = _with_chunk(df, chunk, order, chunk_size)
+    base = _with_chunk(df, chunk, order, chunk_size)
+    per_chunk = base.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_tw_n"))
     w = Window.partitionBy(*by, CHUNK).orderBy(*order)
-    x = x.withColumn(out, F.row_number().over(w) - 1)
-    per_chunk = x.groupBy(*by, CHUNK).agg(F.count(F.lit(1)).alias("_tw_n"))
+    x = base.withColumn(out, F.row_number().over(w) - 1)
     before = Window.partitionBy(*by).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_chunk.select(*by, CHUNK, F.sum("_tw_n").over(before).alias("_tw_carry"))
     return (
@@ -110,13 +112,13 @@ def lag_with_carry(
     earlier non-empty chunk of the same group.
     """
     by, order, values, outs = _cols(by), _cols(order), list(values), list(outs)
-    x = _with_chunk(df, chunk, order, chunk_size)
+    base = _with_chunk(df, chunk, order, chunk_size)
     w = Window.partitionBy(*by, CHUNK).orderBy(*order)
-    x = x.withColumn("_tw_first", F.lag(F.lit(True)).over(w).isNull())
+    x = base.withColumn("_tw_first", F.lag(F.lit(True)).over(w).isNull())
     for v, o in zip(values, outs):
         x = x.withColumn(o, F.lag(v).over(w))
     order_key = F.struct(*[F.col(c) for c in order])
-    last = x.groupBy(*by, CHUNK).agg(
+    last = base.groupBy(*by, CHUNK).agg(
         *[F.max_by(F.col(v), order_key).alias(f"_tw_last{i}") for i, v in enumerate(values)]
     )
     prev = Window.partitionBy(*by).orderBy(CHUNK)

@@ -247,9 +247,8 @@ def dedup_recent_keys(
              "rank": [r for r, _ in rows], "k": [k for _, k in rows]}
         )
 
-    summaries = narrow.select(*grp, CHUNK, *order, DEDUP_KEY).groupBy(*grp, CHUNK).applyInPandas(
-        summarize, summary_schema
-    )
+    # same frame and grouping as step 4, so Spark reuses the one narrow shuffle
+    summaries = narrow.groupBy(*grp, CHUNK).applyInPandas(summarize, summary_schema)
 
     # 3. streaming fold per scope -> warm state per chunk
     warm_schema = T.StructType(

@@ -17,7 +17,7 @@ def test_roll_any_file_reference_case(spark):
     # 1 topic x 3 partitions x 10 records written partition by partition, limit 6:
     # p0 0-5 | p0 6-9 + p1 0-5 | p1 6-9 + p2 0-5 | p2 6-9 (open)
     recs = generate_test_records(spark, ["test_topic_1"], 3, 10)
-    rolled = partitioning.roll_any_file(recs, 6, order=["topic", "partition", "offset"])
+    rolled = partitioning.roll_any_file(recs, 6, group=("_tw_root",), file_cols=("topic", "partition"), order=["topic", "partition", "offset"])
     names = partitioning.offset_range_paths(rolled.where("closed"), batch="batch_id").toPandas()
     by_batch = names.groupby("batch_id")["path"].apply(sorted).to_dict()
     assert by_batch == {
@@ -57,3 +57,34 @@ def test_positions(spark):
     grp = partitioning.partition_group(recs, F.when(F.col("partition") == 0, "even").otherwise("odd"))
     members = {r.group: r.members for r in positions.partition_group_members(grp).collect()}
     assert members == {"even": "a-0,b-0", "odd": "a-1,b-1"}
+
+
+def test_roll_any_file_per_partition_against_simulation(spark):
+    from conftest import SF_SMALL
+    from tidewater.operators.watermark import with_stream_watermark
+    from tidewater.sources.logs import events_log
+
+    hourly = partitioning.time_partition(with_stream_watermark(events_log(spark, SF_SMALL)), "hourly")
+    got = partitioning.roll_any_file(hourly, 5).toPandas()
+    src = hourly.select("topic", "partition", "offset", "dt", "hr").toPandas()
+    exp = {}
+    for (t, p), g in src.sort_values("offset").groupby(["topic", "partition"]):
+        batch, counts = 0, {}
+        for o, f in zip(g.offset, zip(g.dt, g.hr)):
+            counts[f] = counts.get(f, 0) + 1
+            exp[(t, p, o)] = batch
+            if counts[f] >= 5:
+                batch, counts = batch + 1, {}
+    assert {(r.topic, r.partition, r.offset): r.batch_id for r in got.itertuples()} == exp
+
+
+def test_roll_any_file_contiguous_equals_sequential(spark):
+    from conftest import SF_SMALL
+    from tidewater.operators.watermark import with_stream_watermark
+    from tidewater.sources.logs import events_log
+
+    hourly = partitioning.time_partition(with_stream_watermark(events_log(spark, SF_SMALL)), "hourly")
+    for n in (1, 3, 7):
+        a = partitioning.roll_any_file(hourly, n, contiguous=True).toPandas().sort_values(["partition", "offset"]).reset_index(drop=True)
+        b = partitioning.roll_any_file(hourly, n, contiguous=False).toPandas().sort_values(["partition", "offset"]).reset_index(drop=True)
+        assert a[["partition", "offset", "batch_id", "closed"]].equals(b[["partition", "offset", "batch_id", "closed"]])

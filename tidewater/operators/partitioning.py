@@ -148,21 +148,38 @@ def _sequential_roll(
 def roll_any_file(
     df: DataFrame,
     n: int,
-    group: Sequence[str] = ("_tw_root",),
-    file_cols: Sequence[str] = ("topic", "partition"),
-    order: Sequence[str] = ("timestamp", "topic", "partition", "offset"),
+    group: Sequence[str] = ("topic", "partition"),
+    file_cols: Sequence[str] = ("dt", "hr"),
+    order: Sequence[str] = ("offset",),
+    contiguous: bool | None = None,
 ) -> DataFrame:
     """once any open file of a batch holds ``n`` records, the whole batch commits.
 
     Returns (group..., topic, partition, offset, batch_id, closed): records
     in order get the current batch id; when the record makes its file reach
     ``n``, that batch closes and every counter restarts.  ``closed`` is false
-    for the trailing batch still open at the end of the input.  Sequential
-    per group (the rule couples all files of a group); memory is bounded by
-    the number of open files.
+    for the trailing batch still open at the end of the input.
+
+    Default: one group per topic-partition (as one loader thread per
+    partition set), files per hour of the watermark.  Those files are
+    contiguous in offset order (the watermark never decreases), and then the
+    rule has a closed form computed in parallel (``contiguous``, chosen
+    automatically for that case): a batch closes every ``n`` records of a
+    file, and a file's unfinished tail joins the next file's first batch, so
+    ``batch_id = sum over earlier files of floor(count / n) + floor(pos / n)``.
+    Interleaved files (e.g. ``group=("_tw_root",)``, files per
+    topic-partition, order (timestamp, topic, partition, offset)) run the
+    rule sequentially per group, streaming with memory bounded by the number
+    of open files.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
+    if contiguous is None:
+        contiguous = (
+            sorted(group) == ["partition", "topic"] and set(file_cols) <= {"dt", "hr"} and list(order) == ["offset"]
+        )
+    if contiguous:
+        return _roll_contiguous(df, n, list(group), list(file_cols))
     x = df.withColumn("_tw_root", F.lit("root")) if "_tw_root" in group and "_tw_root" not in df.columns else df
     ids = [c for c in ("topic", "partition", "offset") if c not in group]
 
@@ -187,6 +204,23 @@ def roll_any_file(
     return out.drop("_tw_root") if "_tw_root" not in df.columns else out
 
 
+def _roll_contiguous(df: DataFrame, n: int, group: list[str], file_cols: list[str]) -> DataFrame:
+    ids = [c for c in ("topic", "partition", "offset") if c not in group]
+    x = running_position(df.select(*group, *ids, *file_cols), [*group, *file_cols], "offset", "_tw_pos")
+    files = x.groupBy(*group, *file_cols).agg(
+        F.count(F.lit(1)).alias("_tw_n"), F.min("offset").alias("_tw_first")
+    ).withColumn("_tw_closed", F.floor(F.col("_tw_n") / F.lit(n)))
+    before = Window.partitionBy(*group).orderBy("_tw_first").rowsBetween(Window.unboundedPreceding, -1)
+    files = files.select(
+        *group, *file_cols,
+        F.coalesce(F.sum("_tw_closed").over(before), F.lit(0)).alias("_tw_prev"),
+        F.sum("_tw_closed").over(Window.partitionBy(*group)).alias("_tw_total"),
+    )
+    out = x.join(files, on=[*group, *file_cols], how="inner")
+    batch = (F.col("_tw_prev") + F.floor(F.col("_tw_pos") / F.lit(n))).cast("long")
+    return out.select(*group, *ids, batch.alias("batch_id"), (batch < F.col("_tw_total")).alias("closed"))
+
+
 def roll_fuzzy(
     df: DataFrame,
     mean: float,

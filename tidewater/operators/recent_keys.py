@@ -224,7 +224,8 @@ def dedup_recent_keys(
     if order == ["offset"]:
         narrow = narrow.withColumn(CHUNK, F.floor(F.col("offset") / F.lit(chunk_size)).cast("long"))
     else:
-        n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        # range chunks of about chunk_size rows each (one counting scan of the key column)
+        n = num_chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-narrow.count() // chunk_size))
         narrow = narrow.repartitionByRange(n, *grp, *order).withColumn(
             CHUNK, F.spark_partition_id().cast("long")
         )

@@ -630,3 +630,42 @@ def commit_queue_depth(spark: SparkSession, sf: str) -> DataFrame:
 @register("topic_values", f"WITH {LOG} SELECT DISTINCT topic FROM log")
 def topic_values(spark: SparkSession, sf: str) -> DataFrame:
     return monitoring.topic_values(_metrics(spark, sf))
+
+
+STREAM_SLICES = 4
+
+
+@register(
+    "stream_load_hourly",
+    LOADED_X1.replace(f' AND "offset" % {CORRUPT_EVERY} <> 0', "")
+    + """
+SELECT strftime(date_trunc('hour', epoch_ms(watermark)), '%Y%m%d') AS dt, strftime(date_trunc('hour', epoch_ms(watermark)), '%H') AS hr,
+  count(*) AS records, min("offset") AS min_offset, max("offset") AS max_offset FROM kept GROUP BY ALL""",
+)
+def stream_load_hourly(spark: SparkSession, sf: str) -> DataFrame:
+    """Streaming K6: the topic arrives as ordered files; watermark + cache live in stream state;
+    every micro-batch is published under its batch id; the lake is read back through manifests."""
+    from ..streaming.load import load_stream
+
+    topic = sink.scratch_path(spark, "stream-topic")
+    log = codec.encode_events(events_log(spark, sf, payload=True)).select(*KAFKA_SCHEMA.fieldNames())
+    # offset slices in arrival order; a file stream takes files by modification
+    # time, so each slice's files are stamped one second after the previous one
+    bounds = log.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    step = (bounds.hi - bounds.lo) // STREAM_SLICES + 1
+    fs = sink._FS(spark, topic)
+    for i in range(STREAM_SLICES):
+        lo = bounds.lo + i * step
+        part = f"{topic}/slice={i}"
+        log.where((F.col("offset") >= lo) & (F.col("offset") < lo + step)).write.mode("overwrite").parquet(part)
+        for f in fs.data_files(part):
+            fs.set_mtime(f, 1_000_000_000_000 + i * 1000)
+    base = sink.scratch_path(spark, "stream-lake")
+    stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice")
+    spec = loads.LoadSpec(dedup="recent", key_cache=CACHE_DEFAULT, roll_records=None)
+    q = load_stream(stream, base, spec, checkpoint=sink.scratch_path(spark, "stream-ckpt"))
+    q.awaitTermination()
+    lake = sink.read_loaded(spark, base, "hourly", committed_only=True)
+    return lake.groupBy("dt", "hr").agg(
+        F.count(F.lit(1)).alias("records"), F.min("_kafka.offset").alias("min_offset"), F.max("_kafka.offset").alias("max_offset")
+    )

@@ -114,6 +114,9 @@ class _FS:
         if not self.fs.rename(self.p(src), d):
             raise OSError(f"rename failed: {src} -> {dst}")
 
+    def set_mtime(self, s: str, millis: int) -> None:
+        self.fs.setTimes(self.p(s), int(millis), -1)
+
     def write_text(self, s: str, text: str) -> None:
         out = self.fs.create(self.p(s), True)
         try:

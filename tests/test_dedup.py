@@ -93,3 +93,30 @@ def test_duplicate_counts(spark):
     counts = dedup.duplicate_counts(dedup.dedup_offset_range(log, 50)).toPandas()
     assert counts.records.sum() == 1000
     assert 0 < counts.duplicates.sum() < 1000
+
+
+def test_rewind_warms_the_cache_for_the_next_slice(spark):
+    log = events_log(spark, SF_SMALL)
+    whole = dedup_recent_keys(log, 20).select("topic", "partition", "offset", "is_dup")
+    first, second = log.where("offset < 500"), log.where("offset >= 500")
+    warm = dedup.with_rewind(second, first, 500)
+    got = dedup.drop_rewound(dedup_recent_keys(warm, 20)).select("topic", "partition", "offset", "is_dup")
+    exp = whole.where("offset >= 500")
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    cold = dedup_recent_keys(second, 20).select("topic", "partition", "offset", "is_dup")
+    assert cold.exceptAll(exp).count() > 0  # without the rewind the slice start differs
+
+
+def test_load_with_byte_limit_and_rewind(spark, scratch):
+    from tidewater.operators import codec
+    from tidewater.plans import loads, sink
+
+    enc = codec.encode_events(events_log(spark, SF_SMALL, payload=True))
+    spec = loads.LoadSpec(dedup="recent", key_cache=3, layout="topic_partition", roll_records=None, roll_bytes=2000,
+                          history=enc.where("offset < 500"), rewind=500)
+    m = loads.load(enc.where("offset >= 500"), f"{scratch}/lake", 0, spec)
+    lake = sink.read_loaded(spark, f"{scratch}/lake", "topic_partition")
+    whole = dedup_recent_keys(events_log(spark, SF_SMALL), 3).where("not is_dup and offset >= 500").count()
+    assert whole > 0 and lake.count() == whole
+    sizes = lake.groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in sizes) < 100 and len(m["files"]) == len(sizes)

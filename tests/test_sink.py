@@ -62,3 +62,10 @@ def test_writer_options_reach_parquet(spark, scratch):
     f = [p for p in os.listdir(f"{scratch}/z") if p.endswith(".parquet")][0]
     meta = pq.ParquetFile(f"{scratch}/z/{f}").metadata
     assert meta.row_group(0).column(0).compression == "ZSTD"
+
+
+def test_empty_batch_publishes_empty_manifest(spark, scratch):
+    enc = _encoded(spark).where("offset < 0")
+    for layout in ("hourly", "topic_partition"):
+        m = loads.load(enc, f"{scratch}/{layout}", 3, loads.LoadSpec(dedup=None, layout=layout, roll_records=10))
+        assert m["files"] == []

@@ -124,6 +124,29 @@ def dedup_within_watermark(df: DataFrame, d: str, key: str = "key", time_col: st
     return df.withWatermark(time_col, d).dropDuplicatesWithinWatermark(["topic", "partition", key])
 
 
+def with_rewind(current: DataFrame, history: DataFrame, rewind_offsets: int) -> DataFrame:
+    """Prepend the last ``rewind_offsets`` offsets before each partition's slice start.
+
+    The rewound records only warm the dedup state (``is_rewound``); they are
+    dropped after dedup with ``drop_rewound``.  This is the batch form of the
+    loader's re-read on start; it is exact when the rewound span holds the
+    cache's history.  A stream keeps its state in the checkpoint instead.
+    """
+    starts = current.groupBy("topic", "partition").agg(F.min("offset").alias("_tw_start"))
+    cols = current.columns
+    tail = (
+        history.join(starts, on=["topic", "partition"], how="inner")
+        .where((F.col("offset") < F.col("_tw_start")) & (F.col("offset") >= F.col("_tw_start") - F.lit(rewind_offsets)))
+        .select(*cols)
+        .withColumn("is_rewound", F.lit(True))
+    )
+    return current.withColumn("is_rewound", F.lit(False)).unionByName(tail)
+
+
+def drop_rewound(df: DataFrame) -> DataFrame:
+    return df.where(~F.col("is_rewound")).drop("is_rewound")
+
+
 def drop_duplicates_marked(df: DataFrame) -> DataFrame:
     return df.where(~F.col(IS_DUP)).drop(IS_DUP)
 

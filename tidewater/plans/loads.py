@@ -14,6 +14,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import codec, dedup, partitioning
 from ..operators.recent_keys import dedup_recent_keys
@@ -40,6 +41,9 @@ class LoadSpec:
     predicate: Column | None = None
     layout: str = "hourly"  # hourly | daily | topic_partition
     roll_records: int | None = 100
+    roll_bytes: int | None = None  # byte limit, turned into a record limit from the mean value size
+    history: DataFrame | None = None  # X5: earlier records to rewind over (batch increments)
+    rewind: int = 2000
     parquet: ParquetOptions = field(default_factory=lambda: ParquetOptions(compression="SNAPPY"))
 
 
@@ -57,15 +61,19 @@ def mark_duplicates(log: DataFrame, spec: LoadSpec) -> DataFrame:
 
 def load_plan(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
     """Annotated rows ready to write: message fields, ``_kafka``, partition columns."""
+    if spec.history is not None and spec.dedup is not None:
+        log = dedup.with_rewind(log, spec.history, spec.rewind)
     x = with_stream_watermark(log)
     x = mark_duplicates(x, spec)
+    if "is_rewound" in x.columns:
+        x = dedup.drop_rewound(x)
     if spec.dedup is not None:
         x = dedup.drop_duplicates_marked(x)
     x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set))
     if spec.predicate is not None:
         x = codec.filter_records(x, spec.predicate)
     if spec.layout == "topic_partition":
-        roll = spec.roll_records or (1 << 62)
+        roll = _record_limit(log, spec) or (1 << 62)
         x = partitioning.roll_by_records(x, roll)
     elif spec.layout in ("hourly", "daily"):
         x = partitioning.time_partition(x, spec.layout)
@@ -76,12 +84,26 @@ def load_plan(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
     return x.select(*msg_fields, codec.kafka_meta().alias("_kafka"), *keep)
 
 
+def _record_limit(log: DataFrame, spec: LoadSpec) -> int | None:
+    """Records per file: the record limit, or the byte limit over the mean value size (F2).
+
+    Whichever is reached first wins, as with the loader's any-of limits; the
+    byte form is approximate (Spark has no exact byte cap per file).
+    """
+    limits = [spec.roll_records] if spec.roll_records else []
+    if spec.roll_bytes:
+        mean = log.agg(F.avg(F.octet_length("value") + F.coalesce(F.octet_length("key"), F.lit(0)))).first()[0] or 1.0
+        limits.append(partitioning.target_records_per_file(mean, spec.roll_bytes))
+    return min(limits) if limits else None
+
+
 def load(log: DataFrame, base: str, batch_id: int, spec: LoadSpec = LoadSpec()) -> dict:
     """Run one batch end to end and publish it; returns the batch manifest."""
     plan = load_plan(log, spec)
     opts = spec.parquet
-    if spec.layout != "topic_partition" and spec.roll_records:
-        opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, spec.roll_records)
+    limit = _record_limit(log, spec)
+    if spec.layout != "topic_partition" and limit:
+        opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, limit)
     return publish(plan, base, batch_id, layout=spec.layout, opts=opts)
 
 

@@ -194,16 +194,17 @@ def publish(
         write_parquet(keyed.repartition("_tw_file"), stage, opts, partition_by=["_tw_file"], mode="overwrite")
         # names come from each staged file's offset range: a scan of _kafka only,
         # one small row per file (the batch plan is not evaluated twice)
-        staged = spark.read.option("basePath", stage).parquet(stage)
-        ranges = (
+        staged_files = fs.data_files(stage)
+        staged = spark.read.option("basePath", stage).parquet(stage) if staged_files else None
+        ranges = None if staged is None else (
             staged.groupBy("_tw_file")
             .agg(F.first("_kafka.topic").alias("t"), F.first("_kafka.partition").alias("p"),
                  F.min("_kafka.offset").alias("lo"), F.max("_kafka.offset").alias("hi"))
             .select(F.col("_tw_file").cast("string").alias("_tw_file"),
                     offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")).alias("name"))
         )
-        names = {r["_tw_file"]: r["name"] for r in ranges.collect()}
-        for src in fs.data_files(stage):
+        names = {} if ranges is None else {r["_tw_file"]: r["name"] for r in ranges.collect()}
+        for src in staged_files:
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
             dst = f"{base}/{names[key]}"
             fs.move(src, dst)

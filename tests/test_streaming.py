@@ -69,3 +69,15 @@ def test_stream_load_publishes_each_batch(spark, scratch):
     lake = sink.read_loaded(spark, f"{scratch}/lake", "hourly", committed_only=True)
     batch = dedup_recent_keys(read_stream_log(spark, path), 2000).where("not is_dup").count()
     assert lake.count() == batch
+
+
+def test_metrics_from_progress(spark):
+    from tidewater.operators import monitoring
+
+    progress = [
+        {"timestamp": "2024-01-01T00:00:05.000Z", "numInputRows": 10, "durationMs": {"addBatch": 120}, "stateOperators": [{"numDroppedDuplicateRows": 2}]},
+        {"timestamp": "2024-01-01T00:00:10.000Z", "numInputRows": 7, "durationMs": {"addBatch": 80}, "stateOperators": []},
+    ]
+    m = monitoring.metrics_from_progress(spark, progress)
+    assert m.count() == 5
+    assert {r.metric for r in m.collect()} >= {"stream_loader_input_rows_total", "sink_duplicates_total"}

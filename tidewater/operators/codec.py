@@ -63,28 +63,24 @@ def decode_proto(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls = proto.message_class(message, descriptor_set)
-        desc = cls.DESCRIPTOR
+        read = proto.compile_reader(cls.DESCRIPTOR)
         parse = cls.FromString
+        empty = (None,) * len(names)
         for batch in batches:
-            values = batch.column(value_col).to_pylist()
-            cols: dict[str, list] = {n: [] for n in names}
+            rows = []
             bad = []
-            for v in values:
+            for v in batch.column(value_col).to_pylist():
                 rec = None
                 if v is not None:
                     try:
-                        rec = proto.to_python(parse(v), desc)
+                        rec = read(parse(v))
                     except (DecodeError, ValueError, RuntimeError):
                         rec = None
                 bad.append(rec is None)
-                if rec is None:
-                    for n in names:
-                        cols[n].append(None)
-                else:
-                    for n in names:
-                        cols[n].append(rec[n])
+                rows.append(empty if rec is None else rec)
+            cols = list(zip(*rows)) if rows else [()] * len(names)
             arrays = [batch.column(n) for n in keep_names]
-            arrays += [pa.array(cols[n], type=t) for n, t in arrow_fields]
+            arrays += [pa.array(list(c), type=t) for c, (_, t) in zip(cols, arrow_fields)]
             arrays.append(pa.array(bad, type=pa.bool_()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, *names, CORRUPT])
 

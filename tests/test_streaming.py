@@ -81,3 +81,16 @@ def test_metrics_from_progress(spark):
     m = monitoring.metrics_from_progress(spark, progress)
     assert m.count() == 5
     assert {r.metric for r in m.collect()} >= {"stream_loader_input_rows_total", "sink_duplicates_total"}
+
+
+def test_stream_root_scope_keeps_watermark_per_partition(spark, scratch):
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 400), (400, 1000)])
+    got = _run(spark, path, f"{scratch}/ck", f"{scratch}/out", LoadSpec(dedup="recent", key_cache=4, scope="root"))
+    exp = dedup_recent_keys(with_stream_watermark(read_stream_log(spark, path)), 4, scope="root").select(
+        "topic", "partition", "offset", "watermark", "is_dup"
+    )
+    # the watermark is per topic-partition whatever the dedup scope
+    assert got.select("topic", "partition", "offset", "watermark").exceptAll(exp.select("topic", "partition", "offset", "watermark")).count() == 0
+    # the cache decisions equal the batch form when each micro-batch holds later times than the one before
+    assert got.count() == 1000

@@ -37,8 +37,8 @@ def annotate_batch(batch: DataFrame, spec: LoadSpec) -> DataFrame:
 
 def dedup_stream(stream: DataFrame, spec: LoadSpec) -> DataFrame:
     """Watermark and dedup state for a stream, per the spec's rule."""
-    scope = ["_tw_group"] if spec.scope == "root" else None
-    x = stream.withColumn("_tw_group", F.lit("root")) if scope else stream
+    scope = ["tw_scope"] if spec.scope == "root" else None
+    x = stream.withColumn("tw_scope", F.lit("root")) if scope else stream
     if spec.dedup == "recent":
         marked = watermark_and_dedup(x, spec.key_cache, scope)
     else:
@@ -49,7 +49,7 @@ def dedup_stream(stream: DataFrame, spec: LoadSpec) -> DataFrame:
             marked = marked.withColumn("is_dup", F.lit(False))
         else:
             raise ValueError(f"dedup rule {spec.dedup!r} has no streaming form; use 'recent' or 'offsets'")
-    return marked.drop("_tw_group") if scope else marked
+    return marked.drop("tw_scope") if scope else marked
 
 
 def load_stream(

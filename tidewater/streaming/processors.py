@@ -28,11 +28,15 @@ STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreP
 class WatermarkRecentKeys(StatefulProcessor):
     """Per topic-partition (or group): running watermark and the exact recent-key cache.
 
-    ``capacity=None`` keeps the watermark only.
+    ``capacity=None`` keeps the watermark only; ``watermark=False`` keeps the
+    cache only (the watermark column then passes through), for scopes wider
+    than a topic-partition, whose records are ordered by (timestamp, topic,
+    partition, offset).
     """
 
-    def __init__(self, capacity: int | None):
+    def __init__(self, capacity: int | None, watermark: bool = True):
         self.capacity = capacity
+        self.with_watermark = watermark
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.wm = handle.getValueState("watermark", "wm long")
@@ -42,13 +46,16 @@ class WatermarkRecentKeys(StatefulProcessor):
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
-        pdf = pdf.sort_values("offset", kind="mergesort")
-        wm = self.wm.get()[0] if self.wm.exists() else None
-        wms = []
-        for t in pdf["tw_ts_ms"].tolist():
-            wm = t if wm is None or t > wm else wm
-            wms.append(wm)
-        self.wm.update((int(wm),))
+        if self.with_watermark:
+            pdf = pdf.sort_values("offset", kind="mergesort")
+            wm = self.wm.get()[0] if self.wm.exists() else None
+            wms = []
+            for t in pdf["tw_ts_ms"].tolist():
+                wm = t if wm is None or t > wm else wm
+                wms.append(wm)
+            self.wm.update((int(wm),))
+        else:
+            pdf = pdf.sort_values(["tw_ts_ms", "topic", "partition", "offset"], kind="mergesort")
         dups = [False] * len(pdf)
         if self.capacity is not None:
             cache = OrderedDict.fromkeys(self.cache.get()[0] if self.cache.exists() else [])  # oldest first
@@ -63,7 +70,8 @@ class WatermarkRecentKeys(StatefulProcessor):
                 cache.move_to_end(k)
             self.cache.update((list(cache),))
         out = pdf.drop(columns=["tw_ts_ms", "tw_dedup_key"])
-        out["watermark"] = wms
+        if self.with_watermark:
+            out["watermark"] = wms
         out["is_dup"] = dups
         yield out
 
@@ -106,13 +114,26 @@ def _prep(df: DataFrame) -> None:
 
 
 def watermark_and_dedup(stream: DataFrame, capacity: int | None, scope: list[str] | None = None) -> DataFrame:
-    """W1 + X1 on a stream in one stateful operator keyed by topic-partition (default)."""
+    """W1 + X1 on a stream.
+
+    Per topic-partition scope (default): one stateful operator does both.
+    A wider scope (e.g. one ``root`` group): the watermark stays per
+    topic-partition in a first operator, the cache is kept per scope in a
+    second one.
+    """
     _prep(stream)
     scope = scope or ["topic", "partition"]
+    tp = sorted(scope) == ["partition", "topic"]
     x = stream.withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp"))).withColumn("tw_dedup_key", key_string("key"))
     fields = [f for f in x.schema.fields if f.name not in ("tw_ts_ms", "tw_dedup_key")]
     out = T.StructType(fields + [T.StructField("watermark", T.LongType()), T.StructField("is_dup", T.BooleanType())])
-    return x.groupBy(*scope).transformWithStateInPandas(WatermarkRecentKeys(capacity), out, "Append", "None")
+    if tp or capacity is None:
+        return x.groupBy(*(scope if tp else ["topic", "partition"])).transformWithStateInPandas(
+            WatermarkRecentKeys(capacity), out, "Append", "None"
+        )
+    wm = x.groupBy("topic", "partition").transformWithStateInPandas(WatermarkRecentKeys(None), out, "Append", "None")
+    y = wm.drop("is_dup").withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp"))).withColumn("tw_dedup_key", key_string("key"))
+    return y.groupBy(*scope).transformWithStateInPandas(WatermarkRecentKeys(capacity, watermark=False), out, "Append", "None")
 
 
 def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None) -> DataFrame:

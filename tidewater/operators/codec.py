@@ -170,7 +170,7 @@ def encode_proto(
     return spread_for_python(df).mapInArrow(run, out_schema)
 
 
-def complex_from_events(corrupt: bool = False) -> Column:
+def complex_from_events() -> Column:
     """ComplexType struct for a log built with ``events_log(payload=True)``.
 
     id = event id, name = event type, price = value, isOn = id % 5 <> 0,

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TOPIC_PARTITION, key_string, ts_millis
-from .scans import CHUNK, DEFAULT_CHUNK, lag_with_carry, offset_chunk
+from .scans import DEFAULT_CHUNK, lag_with_carry, offset_chunk
 
 IS_DUP = "is_dup"
 DEDUP_KEY = "_tw_key"

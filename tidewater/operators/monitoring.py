@@ -19,7 +19,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..schema import key_string
 from .scans import running_position
 
 METRICS_SCHEMA = T.StructType(
@@ -277,5 +276,5 @@ def topic_values(m: DataFrame, since_ms: int | None = None) -> DataFrame:
 __all__ = [
     "METRICS_SCHEMA", "metrics_from_log", "metrics_from_progress", "watermark_delay", "offset_lag",
     "records_batched_rate", "records_written_rate", "in_flight_rate", "duplicate_rate", "files_per_hour",
-    "commit_duration_quantile", "commit_queue_depth", "topic_values", "key_string",
+    "commit_duration_quantile", "commit_queue_depth", "topic_values",
 ]

@@ -19,7 +19,7 @@ def chunked(keys, capacity, chunk_len):
     return out
 
 
-@settings(max_examples=400, deadline=None)
+@settings(max_examples=1500, deadline=None)
 @given(
     keys=st.lists(st.integers(0, 12).map(str), min_size=1, max_size=200),
     capacity=st.integers(1, 10),
@@ -45,3 +45,13 @@ def test_capacity_one():
     keys = list("aabba")
     assert simulate_cache(keys, 1) == [False, True, False, True, False]
     assert chunked(keys, 1, 2) == simulate_cache(keys, 1)
+
+
+@settings(max_examples=500, deadline=None)
+@given(
+    keys=st.lists(st.integers(0, 60).map(str), min_size=1, max_size=400),
+    capacity=st.integers(1, 40),
+    chunk_len=st.integers(1, 90),
+)
+def test_chunked_equals_simulation_wide(keys, capacity, chunk_len):
+    assert chunked(keys, capacity, chunk_len) == simulate_cache(keys, capacity)

@@ -29,8 +29,9 @@ Chunked execution:
 3. a streaming fold per scope over the summaries, in chunk order, yields for
    every chunk the recency list just before the last record of the previous
    chunk (at most ``capacity + 1`` keys) — its "warm" state;
-4. each chunk replays that previous last record and then decides its own
-   records (``cogroup`` of the chunk with its warm state).
+4. each chunk rebuilds the exact cache from its warm state and the replayed
+   previous last record, then applies the rule to its own records
+   (``cogroup`` of the chunk with its warm state).
 
 Memory per task is bounded by the chunk size and the capacity; no scope,
 however hot, is gathered in one task.  Only the fold (step 3) is sequential
@@ -40,6 +41,7 @@ than the data.
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -56,29 +58,6 @@ CHUNK = "_tw_rc"
 ID_COLS = ["topic", "partition", "offset"]
 
 
-class _Fenwick:
-    __slots__ = ("n", "t")
-
-    def __init__(self, n: int):
-        self.n = n
-        self.t = [0] * (n + 1)
-
-    def add(self, i: int, v: int) -> None:
-        i += 1
-        t, n = self.t, self.n
-        while i <= n:
-            t[i] += v
-            i += i & -i
-
-    def prefix(self, i: int) -> int:
-        """Sum of positions [0, i)."""
-        s, t = 0, self.t
-        while i > 0:
-            s += t[i]
-            i -= i & -i
-        return s
-
-
 def _summary_rows(keys: list[str], cap: int) -> list[tuple[int, str]]:
     """Most recent distinct keys of ``keys[:-1]`` (rank 0 = newest), then (-1, last key)."""
     out: list[tuple[int, str]] = []
@@ -125,57 +104,35 @@ def decide_chunk(keys: list[str], warm: list[str], replay: str | None, capacity:
 
     ``warm`` lists the most recent distinct keys before ``replay`` (newest
     first, at most ``capacity + 1``); a shorter list means it holds every key
-    seen so far.
+    seen so far.  The cache before the chunk's first record is the first
+    ``s`` keys of the recency list after ``replay``, with
+    ``s = min(D, capacity - h)`` (``h``: the replayed record was a hit with
+    ``d < capacity - 1``, ``d`` = its rank in ``warm``); from there the cache
+    rule runs record by record, exactly.
     """
     cap = capacity + 1
-    mx = capacity
-    w_rank = {k: r for r, k in enumerate(warm)}
     full = len(warm) >= cap
-    distinct = min(len(warm), cap)
-    seq = ([replay] if replay is not None else []) + keys
-    start = 1 if replay is not None else 0
-    n = len(seq)
-    local = _Fenwick(n)
-    wbit = _Fenwick(max(len(warm), 1))
-    last: dict[str, int] = {}
-    h_prev = 0
+    if replay is None:
+        recency, distinct, h = list(warm), len(warm), 0
+    else:
+        r = warm.index(replay) if replay in warm else None
+        h = 1 if (r is not None and r < capacity - 1) else 0
+        recency = [replay] + [k for k in warm if k != replay]
+        distinct = len(warm) + (0 if r is not None or full else 1)
+    s = min(distinct, capacity - h)
+    cache: OrderedDict[str, None] = OrderedDict((k, None) for k in reversed(recency[:s]))  # last = newest
     out: list[bool] = []
-    for t, k in enumerate(seq):
-        p = last.get(k)
-        if p is not None:
-            d = local.prefix(t) - local.prefix(p + 1)
-            has_prev = True
-            new_key = False
-        else:
-            r = w_rank.get(k)
-            if r is not None:
-                d = local.prefix(t) + r - wbit.prefix(r)
-                has_prev = True
-                new_key = False
-                wbit.add(r, 1)
-            else:
-                d = mx
-                has_prev = False
-                new_key = not full
-        if d > mx:
-            d = mx
-        s = min(distinct, mx - h_prev)
-        if t >= start:
-            out.append(has_prev and d < s)
-        h_prev = 1 if (has_prev and d < mx - 1) else 0
-        if p is not None:
-            local.add(p, -1)
-        local.add(t, 1)
-        last[k] = t
-        if new_key and distinct < cap:
-            distinct += 1
+    for k in keys:
+        out.append(k in cache)
+        if len(cache) >= capacity:
+            cache.popitem(last=False)
+        cache[k] = None
+        cache.move_to_end(k)
     return out
 
 
 def simulate_cache(keys: Sequence[str | None], capacity: int) -> list[bool]:
     """Reference model: the bounded recent-key set applied record by record."""
-    from collections import OrderedDict
-
     cache: OrderedDict[str, None] = OrderedDict()  # last = most recent
     out = []
     for k in keys:

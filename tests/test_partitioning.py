@@ -37,13 +37,17 @@ def test_roll_by_records_and_file_ranges(spark):
     assert set(zip(ranges.min_offset, ranges.max_offset)) == {(0, 9), (10, 19), (20, 24)}
 
 
-def test_roll_fuzzy_is_deterministic(spark):
-    recs = generate_test_records(spark, ["t"], 1, 200)
-    a = partitioning.roll_fuzzy(recs, 20, 5, seed=7).orderBy("offset").toPandas()
-    b = partitioning.roll_fuzzy(recs, 20, 5, seed=7).orderBy("offset").toPandas()
-    assert a.file_seq.tolist() == b.file_seq.tolist()
-    sizes = a.groupby("file_seq").size()
-    assert 5 <= sizes.iloc[:-1].mean() <= 40
+def test_roll_fuzzy_is_deterministic_and_follows_limits(spark):
+    recs = generate_test_records(spark, ["t"], 2, 300)
+    a = partitioning.roll_fuzzy(recs, 20, 5, seed=7, chunk_size=37).orderBy("partition", "offset").toPandas()
+    b = partitioning.roll_fuzzy(recs, 20, 5, seed=7).orderBy("partition", "offset").toPandas()
+    assert len(a) == 600 and a.file_seq.tolist() == b.file_seq.tolist()
+    sizes = {k: e - s for k, s, e in partitioning.fuzzy_limits(spark, 100, 20, 5, 7).select("k", "start", "end").collect()}
+    for _, g in a.groupby("partition"):
+        seen = g.groupby("file_seq").size()
+        assert list(seen.index) == list(range(len(seen)))  # consecutive files in offset order
+        assert all(seen[k] == sizes[k] for k in seen.index[:-1])
+        assert g.file_seq.is_monotonic_increasing
 
 
 def test_positions(spark):

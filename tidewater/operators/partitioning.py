@@ -10,14 +10,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_package
-from .scans import DEFAULT_CHUNK, offset_chunk, running_position
+from .scans import DEFAULT_CHUNK, offset_chunk, running_max, running_position
 from .watermark import WATERMARK, hour_bucket
 
 # Directory patterns of the two time layouts.
@@ -221,39 +220,61 @@ def _roll_contiguous(df: DataFrame, n: int, group: list[str], file_cols: list[st
     return out.select(*group, *ids, batch.alias("batch_id"), (batch < F.col("_tw_total")).alias("closed"))
 
 
+def _unit(seed: int, k: Column, tag: str) -> Column:
+    """Uniform (0, 1) from a hash of (seed, k, tag): stable under any partitioning."""
+    h = F.xxhash64(F.lit(seed), k, F.lit(tag)).bitwiseAND(F.lit((1 << 53) - 1))
+    return (h + F.lit(1)) / F.lit(float((1 << 53) + 1))
+
+
+def fuzzy_limits(spark, count: int, mean: float, sd: float, seed: int) -> DataFrame:
+    """(k, start, end): the k-th file holds positions [start, end); its size is
+    max(1, round(mean + sd * z_k)) with z_k standard normal from (seed, k)."""
+    k = F.col("id")
+    z = F.sqrt(-2.0 * F.log(_unit(seed, k, "a"))) * F.cos(2.0 * 3.141592653589793 * _unit(seed, k, "b"))
+    size = F.greatest(F.lit(1), F.round(F.lit(float(mean)) + F.lit(float(sd)) * z).cast("long"))
+    lim = spark.range(count).select(F.lit(0).alias("_g"), k.alias("k"), size.alias("size"))
+    lim = running_max(lim, ["_g"], "k", "size", "end", chunk=F.floor(F.col("k") / 65536).cast("long"), agg="sum")
+    return lim.select("k", (F.col("end") - F.col("size")).alias("start"), "end")
+
+
 def roll_fuzzy(
     df: DataFrame,
     mean: float,
     sd: float,
     seed: int,
     by: Sequence[str] = ("topic", "partition"),
-    order: Sequence[str] = ("offset",),
+    order: str = "offset",
+    chunk_size: int = DEFAULT_CHUNK,
 ) -> DataFrame:
     """roll each partition value's files at Gaussian-jittered record limits.
 
-    The k-th file of a partition value gets limit max(1, round(mean + sd*z))
-    with z drawn from a generator seeded by (seed, k): deterministic on
-    re-run.  Sequential per partition value, bounded state.
+    The k-th file of every partition value holds ``max(1, round(mean + sd *
+    z_k))`` records, z_k drawn from a hash of (seed, k): the same on re-run.
+    Row positions come from the chunked running count; the file of a
+    position is found with a bucketed range join against the file
+    boundaries (each file is listed under the ``mean``-wide position buckets
+    it overlaps), so no partition value is handled by a single task.
     """
-
-    def limit(k: int) -> int:
-        z = np.random.default_rng([seed, k]).standard_normal()
-        return max(1, int(round(mean + sd * z)))
-
-    def step(state, f):
-        if state is None:
-            state = [0, 0, limit(0)]
-        k, c, lim = state
-        this = k
-        c += 1
-        if c >= lim:
-            state = [k + 1, 0, limit(k + 1)]
-        else:
-            state = [k, c, lim]
-        return state, (this,)
-
-    ids = [c for c in ("topic", "partition", "offset") if c not in by]
-    return _sequential_roll(df, list(by), list(order), list(by), ids, step, [T.StructField("file_seq", T.LongType())])
+    spark = df.sparkSession
+    x = running_position(df, list(by), order, "_tw_pos", chunk=offset_chunk(order, chunk_size))
+    top = x.agg(F.max("_tw_pos")).first()[0]  # one number: how many positions to cover
+    width = max(1, int(round(mean)))
+    x = x.withColumn("_tw_bucket", F.floor(F.col("_tw_pos") / width).cast("long"))
+    if top is None:
+        return x.withColumn("file_seq", F.lit(None).cast("long")).drop("_tw_pos", "_tw_bucket")
+    count = max(1, int((top + 1) / max(1.0, mean - 3 * sd)) + 1)
+    limits = fuzzy_limits(spark, count, mean, sd, seed)
+    while limits.agg(F.max("end")).first()[0] <= top:  # rare: draws ran small, extend
+        count *= 2
+        limits = fuzzy_limits(spark, count, mean, sd, seed)
+    buckets = limits.where(F.col("start") <= top).select(
+        F.col("k").alias("file_seq"), "start", "end",
+        F.explode(F.sequence(F.floor(F.col("start") / width).cast("long"), F.floor((F.col("end") - 1) / width).cast("long"))).alias("_tw_bucket"),
+    )
+    out = x.join(buckets, on="_tw_bucket", how="inner").where(
+        (F.col("_tw_pos") >= F.col("start")) & (F.col("_tw_pos") < F.col("end"))
+    )
+    return out.drop("_tw_pos", "_tw_bucket", "start", "end")
 
 
 def file_ranges(df: DataFrame, file_col: str | Column | None = None) -> DataFrame:

@@ -55,11 +55,15 @@ def running_max(
 ) -> DataFrame:
     """``max(value) over (partition by by order by order rows unbounded preceding)``.
 
-    ``agg="min"`` gives the running minimum.  The chunk expression must be
-    non-decreasing in ``order``.
+    ``agg="min"`` / ``"sum"`` give the running minimum / sum.  The chunk
+    expression must be non-decreasing in ``order``.
     """
     by, order = _cols(by), _cols(order)
-    fn, combine = (F.max, F.greatest) if agg == "max" else (F.min, F.least)
+    fn, combine = {
+        "max": (F.max, F.greatest),
+        "min": (F.min, F.least),
+        "sum": (F.sum, lambda a, b: a + F.coalesce(b, F.lit(0))),
+    }[agg]
     base = _with_chunk(df, chunk, order, chunk_size)
     # chunk summary straight from the input: partial aggregation, one row per chunk per task
     per_chunk = base.groupBy(*by, CHUNK).agg(fn(value).alias("_tw_cmax"))

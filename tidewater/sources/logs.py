@@ -76,7 +76,7 @@ def events_log(spark: SparkSession, sf_dir: str, payload: bool = False) -> DataF
             F.col("event_type").alias("ev_type"),
             F.col("value").alias("ev_value"),
             F.col("user_id").alias("ev_user"),
-            F.get_json_object("props", "$.k").cast("int").alias("ev_k"),
+            F.get_json_object("props", "$.k").try_cast("int").alias("ev_k"),
             F.unix_millis(F.col("ts").cast("timestamp")).alias("ev_ts_ms"),
         ]
     return _log(ev, "events", "user_id", "event_id", "ts", extra)

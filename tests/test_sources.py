@@ -35,5 +35,8 @@ def test_kafka_options():
     assert o["maxOffsetsPerTrigger"] == "2000" and o["kafka.fetch.min.bytes"] == "8192"
     with pytest.raises(ValueError):
         kafka.kafka_options("b:9092", "a", consumer={"enable.auto.commit": "false"})
+    assert kafka.kafka_options("b:9092", "a", consumer={"group.id": "g"})["kafka.group.id"] == "g"
+    t = kafka.kafka_options("b:9092", "a", starting_timestamp_ms=1704067200000)
+    assert t["startingTimestamp"] == "1704067200000" and "startingOffsets" not in t
     s = kafka.kafka_sink_options("b:9092", "t")
     assert s["kafka.acks"] == "all"

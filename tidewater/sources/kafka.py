@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Consumer settings Spark manages itself or rejects; passing them through
-# would be ignored or fail, so they are refused up front.
+# would be ignored or fail, so they are refused up front.  (``group.id`` is
+# passed as ``kafka.group.id``; offsets are still tracked in the checkpoint.)
 FORBIDDEN = {
-    "group.id": "use kafka.group.id only with care: Spark tracks offsets in its checkpoint",
     "auto.offset.reset": "use startingOffsets",
     "enable.auto.commit": "offsets live in the checkpoint",
     "key.deserializer": "keys are always bytes",
@@ -32,13 +32,16 @@ def kafka_options(
     max_trigger_delay: str | None = None,
     read_committed: bool = True,
     min_partitions: int | None = None,
+    starting_timestamp_ms: int | None = None,
 ) -> dict[str, str]:
     """Reader options.
 
     S2 topics: a list or comma-separated string; S3 start: earliest unless a
     checkpoint exists; S4 offsets: always the checkpoint's; S5 isolation:
     read_committed by default; S6 intake: offsets per trigger; S7 other
-    consumer settings pass through as ``kafka.<key>``.
+    consumer settings pass through as ``kafka.<key>``.  W6 on a broker:
+    ``starting_timestamp_ms`` starts every partition at its first offset
+    whose time is at or after it (``startingTimestamp``).
     """
     topic_list = topics if isinstance(topics, str) else ",".join(topics)
     opts = {
@@ -47,6 +50,9 @@ def kafka_options(
         "startingOffsets": starting_offsets,
         "failOnDataLoss": "true",
     }
+    if starting_timestamp_ms is not None:
+        opts.pop("startingOffsets")
+        opts["startingTimestamp"] = str(starting_timestamp_ms)
     if read_committed:
         opts["kafka.isolation.level"] = "read_committed"
     if max_offsets_per_trigger:

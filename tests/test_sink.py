@@ -69,3 +69,15 @@ def test_empty_batch_publishes_empty_manifest(spark, scratch):
     for layout in ("hourly", "topic_partition"):
         m = loads.load(enc, f"{scratch}/{layout}", 3, loads.LoadSpec(dedup=None, layout=layout, roll_records=10))
         assert m["files"] == []
+
+
+def test_runner_batch_load_from_parquet_topic(spark, scratch):
+    from tidewater.plans import runner
+    from tidewater.schema import KAFKA_SCHEMA
+
+    _encoded(spark).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(f"{scratch}/topic")
+    runner.main(["--source", "parquet", "--path", f"{scratch}/topic", "--base", f"{scratch}/lake", "--loader", "plain",
+                 "--layout", "daily", "--roll-records", "500", "--batch-id", "1"])
+    assert sink.read_loaded(spark, f"{scratch}/lake", "daily", committed_only=True).count() == 1000
+    args = runner.parse(["--source", "kafka", "--bootstrap", "b:1", "--topics", "a", "--base", "x", "--loader", "by_topic_partition"])
+    assert runner.spec_from(args).layout == "topic_partition"

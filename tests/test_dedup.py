@@ -26,14 +26,14 @@ def _collect(df):
 def test_recent_keys_per_partition_small_chunks(spark):
     log = events_log(spark, SF_SMALL)
     for cap, chunk in [(3, 7), (10, 50), (40, 1000)]:
-        got = _collect(dedup_recent_keys(log, cap, chunk_size=chunk))
+        got = _collect(dedup_recent_keys(log, cap, chunk_size=chunk, strategy="chunked"))
         exp = _brute_x1(got, cap, ["topic", "partition"], ["offset"])
         assert {k: v for k, v in zip(zip(got.topic, got.partition, got.offset), got.is_dup)} == exp
 
 
 def test_recent_keys_root_scope_two_topics(spark):
     log = two_topic_log(spark, SF_SMALL)
-    got = _collect(dedup_recent_keys(log, 25, scope="root", num_chunks=6))
+    got = _collect(dedup_recent_keys(log, 25, scope="root", num_chunks=6, strategy="chunked"))
     got["g"] = "root"
     exp = _brute_x1(got, 25, ["g"], ["ts", "topic", "partition", "offset"])
     assert {k: v for k, v in zip(zip(got.topic, got.partition, got.offset), got.is_dup)} == exp
@@ -120,3 +120,16 @@ def test_load_with_byte_limit_and_rewind(spark, scratch):
     assert whole > 0 and lake.count() == whole
     sizes = lake.groupBy(F.input_file_name()).count().collect()
     assert max(r["count"] for r in sizes) < 100 and len(m["files"]) == len(sizes)
+
+
+def test_auto_strategy_equals_chunked_around_the_capacity(spark):
+    log = events_log(spark, SF_SMALL)
+    keys_per_partition = log.groupBy("partition").agg(F.countDistinct("key").alias("n")).agg(F.max("n")).first()[0]
+    for cap in (keys_per_partition - 1, keys_per_partition, keys_per_partition + 1, 2000):
+        a = dedup_recent_keys(log, cap).select("topic", "partition", "offset", "is_dup")
+        b = dedup_recent_keys(log, cap, strategy="chunked").select("topic", "partition", "offset", "is_dup")
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, cap
+    two = two_topic_log(spark, SF_SMALL)
+    a = dedup_recent_keys(two, 5000, scope="root").select("topic", "partition", "offset", "is_dup")
+    b = dedup_recent_keys(two, 5000, scope="root", strategy="chunked").select("topic", "partition", "offset", "is_dup")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

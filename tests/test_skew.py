@@ -48,7 +48,7 @@ def _spread_checks(spark):
 
 def test_hot_partition_exact_cache(spark):
     log = _hot_log(spark)
-    got = dedup_recent_keys(log, 5, chunk_size=700).select("topic", "partition", "offset", F.col("key").cast("string").alias("k"), "is_dup").toPandas()
+    got = dedup_recent_keys(log, 5, chunk_size=700, strategy="chunked").select("topic", "partition", "offset", F.col("key").cast("string").alias("k"), "is_dup").toPandas()
     for _, g in got.groupby(["topic", "partition"]):
         g = g.sort_values("offset")
         assert simulate_cache(g.k.tolist(), 5) == g.is_dup.tolist()

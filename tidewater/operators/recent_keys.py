@@ -147,6 +147,28 @@ def simulate_cache(keys: Sequence[str | None], capacity: int) -> list[bool]:
     return out
 
 
+def _max_distinct_keys(df: DataFrame, scope, key: Column | None) -> int:
+    x, grp = scope_columns(df, scope)
+    x = x.select(*grp, (key if key is not None else key_string("key")).alias(DEDUP_KEY)).where(F.col(DEDUP_KEY).isNotNull())
+    top = x.distinct().groupBy(*grp).count().agg(F.max("count")).first()[0]
+    return int(top or 0)
+
+
+def _seen_before(df: DataFrame, scope, order: Sequence[str] | None, key: Column | None) -> DataFrame:
+    """The cache rule when no scope has ``capacity`` distinct keys: duplicate iff seen before."""
+    x, grp = scope_columns(df, scope)
+    tp_scope = sorted(grp) == ["partition", "topic"]
+    order = list(order or (["offset"] if tp_scope else ["timestamp", "topic", "partition", "offset"]))
+    x = x.withColumn(DEDUP_KEY, key if key is not None else key_string("key"))
+    pos = F.struct(*[F.col(c) for c in order])
+    first = x.where(F.col(DEDUP_KEY).isNotNull()).groupBy(*grp, DEDUP_KEY).agg(F.min(pos).alias("_tw_first"))
+    out = x.join(first, on=[*grp, DEDUP_KEY], how="left").withColumn(
+        IS_DUP, F.coalesce(pos > F.col("_tw_first"), F.lit(False))
+    )
+    out = out.drop("_tw_first", DEDUP_KEY)
+    return out.drop("_tw_group") if "_tw_group" not in df.columns else out
+
+
 def dedup_recent_keys(
     df: DataFrame,
     capacity: int,
@@ -155,6 +177,7 @@ def dedup_recent_keys(
     key: Column | None = None,
     chunk_size: int = DEFAULT_CHUNK,
     num_chunks: int | None = None,
+    strategy: str = "auto",
 ) -> DataFrame:
     """Mark ``is_dup`` with the exact recent-key cache of ``capacity`` entries.
 
@@ -163,9 +186,17 @@ def dedup_recent_keys(
     ``order``: record order inside a scope; default ``offset`` per topic-
     partition and (timestamp, topic, partition, offset) for wider scopes.
     Rows must be unique on (topic, partition, offset).
+
+    ``strategy``: ``"auto"`` first counts the distinct keys of the busiest
+    scope (one small aggregate); below ``capacity`` the cache never evicts,
+    so the rule is "key seen before in its scope" and runs as a JVM
+    aggregate + join.  Otherwise (or with ``"chunked"``) the general
+    chunk-parallel algorithm runs.
     """
     if capacity < 1:
         raise ValueError("capacity must be >= 1")
+    if strategy == "auto" and _max_distinct_keys(df, scope, key) < capacity:
+        return _seen_before(df, scope, order, key)
     spark = df.sparkSession
     ship_package(spark)
     x, grp = scope_columns(df, scope)

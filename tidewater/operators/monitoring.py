@@ -85,18 +85,26 @@ def metrics_from_log(marked: DataFrame, file_records: int = FILE_RECORDS) -> Dat
         F.sum("n_kept").over(run).alias("kept_cum"), F.sum("n_dup").over(run).alias("dup_cum"),
         F.max("off_max").over(Window.partitionBy(*tp)).alias("end_off"),
     )
-    lab = _labels(topic=F.col("topic"), partition=F.col("partition"))
+    tp_lab = {"topic": F.col("topic"), "partition": F.col("partition")}
     files_now = F.floor(F.col("kept_cum") / file_records)
     files_before = F.floor((F.col("kept_cum") - F.col("n_kept")) / file_records)
-    series = [
-        cum.select(*_sample(WATERMARK_DELAY, lab, F.col("scrape"), F.col("scrape") - F.col("wm_max"))),
-        cum.select(*_sample(RECORDS_LAG, lab, F.col("scrape"), F.col("end_off") - F.col("off_max"))),
-        cum.select(*_sample(RECORDS_BATCHED, lab, F.col("scrape"), F.col("kept_cum"))),
-        cum.select(*_sample(RECORDS_WRITTEN, lab, F.col("scrape"), files_now * file_records)),
-        cum.select(*_sample(DUPLICATES, _labels(topic=F.col("topic"), partition=F.col("partition"), loader_thread=F.lit(LOADER_THREAD)), F.col("scrape"), F.col("dup_cum"))),
-        cum.select(*_sample(COMMIT_COUNT, _labels(job=F.lit(JOB), topic=F.col("topic"), partition=F.col("partition")), F.col("scrape"), files_now)),
-        cum.select(*_sample(COMMIT_QUEUE, _labels(job=F.lit(JOB), topic=F.col("topic"), partition=F.col("partition")), F.col("scrape"), files_now - files_before)),
+    per_partition = [
+        (WATERMARK_DELAY, tp_lab, F.col("scrape") - F.col("wm_max")),
+        (RECORDS_LAG, tp_lab, F.col("end_off") - F.col("off_max")),
+        (RECORDS_BATCHED, tp_lab, F.col("kept_cum")),
+        (RECORDS_WRITTEN, tp_lab, files_now * file_records),
+        (DUPLICATES, {**tp_lab, "loader_thread": F.lit(LOADER_THREAD)}, F.col("dup_cum")),
+        (COMMIT_COUNT, {**tp_lab, "job": F.lit(JOB)}, files_now),
+        (COMMIT_QUEUE, {**tp_lab, "job": F.lit(JOB)}, files_now - files_before),
     ]
+    # one pass over the per-scrape table: every sample row is unpivoted from it
+    samples = F.explode(F.array(*[
+        F.struct(F.lit(metric).alias("metric"), _labels(**labels).alias("labels"), value.cast("double").alias("value"))
+        for metric, labels, value in per_partition
+    ])).alias("s")
+    series = [cum.select(samples, "scrape").select(
+        "s.metric", "s.labels", F.timestamp_millis(F.col("scrape")).alias("ts"), "s.value"
+    )]
     by_topic = x.groupBy("topic", "scrape").agg(F.sum("nbytes").alias("b"))
     by_topic = by_topic.select("topic", "scrape", F.sum("b").over(Window.partitionBy("topic").orderBy("scrape").rowsBetween(Window.unboundedPreceding, 0)).alias("bytes_cum"))
     series.append(by_topic.select(*_sample(BYTES_CONSUMED, _labels(topic=F.col("topic")), F.col("scrape"), F.col("bytes_cum"))))

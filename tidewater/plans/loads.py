@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import codec, dedup, partitioning
 from ..operators.recent_keys import dedup_recent_keys
 from ..operators.watermark import with_stream_watermark
-from .sink import ParquetOptions, publish
+from .sink import _FS, ParquetOptions, publish
 
 # The loader's two configurations.
 APP_SETTINGS = {"key_cache": 2000, "rewind": 2000, "roll_records": 100, "compression": "SNAPPY", "layout": "hourly"}
@@ -59,8 +59,8 @@ def mark_duplicates(log: DataFrame, spec: LoadSpec) -> DataFrame:
     raise ValueError(f"unknown dedup rule {spec.dedup!r}")
 
 
-def load_plan(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
-    """Annotated rows ready to write: message fields, ``_kafka``, partition columns."""
+def prepare(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
+    """Watermark, dedup, decode, filter: decoded rows with ``watermark``, before file assignment."""
     if spec.history is not None and spec.dedup is not None:
         log = dedup.with_rewind(log, spec.history, spec.rewind)
     x = with_stream_watermark(log)
@@ -72,18 +72,28 @@ def load_plan(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
     x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set))
     if spec.predicate is not None:
         x = codec.filter_records(x, spec.predicate)
+    return x
+
+
+def assign_files(x: DataFrame, spec: LoadSpec, roll: int | None) -> DataFrame:
+    """Partition value (and file number) for prepared rows; message fields, ``_kafka``, partition columns."""
     if spec.layout == "topic_partition":
-        roll = _record_limit(log, spec) or (1 << 62)
-        x = partitioning.roll_by_records(x, roll)
+        x = partitioning.roll_by_records(x, roll or (1 << 62))
+        keep = ["file_seq"]
     elif spec.layout in ("hourly", "daily"):
         x = partitioning.time_partition(x, spec.layout)
+        keep = partitioning.partition_columns(spec.layout)
     else:
         raise ValueError(f"unknown layout {spec.layout!r}")
     msg_fields = [f.name for f in codec.proto.spark_schema(codec.proto.message_class(spec.message, spec.descriptor_set).DESCRIPTOR).fields]
-    keep = partitioning.partition_columns(spec.layout) if spec.layout != "topic_partition" else ["file_seq"]
     return x.select(*msg_fields, codec.kafka_meta().alias("_kafka"), *keep)
 
 
+def load_plan(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
+    """Annotated rows ready to write: message fields, ``_kafka``, partition columns (lazy)."""
+    return assign_files(prepare(log, spec), spec, _record_limit(log, spec) if spec.layout == "topic_partition" else None)
+
+
 def _record_limit(log: DataFrame, spec: LoadSpec) -> int | None:
     """Records per file: the record limit, or the byte limit over the mean value size (F2).
 
@@ -98,13 +108,26 @@ def _record_limit(log: DataFrame, spec: LoadSpec) -> int | None:
 
 
 def load(log: DataFrame, base: str, batch_id: int, spec: LoadSpec = LoadSpec()) -> dict:
-    """Run one batch end to end and publish it; returns the batch manifest."""
-    plan = load_plan(log, spec)
+    """Run one batch end to end and publish it; returns the batch manifest.
+
+    For files per topic-partition, the decoded rows are staged once as a
+    table under the lake's staging folder before files are numbered: the
+    numbering scan reads its input twice, and the decode (Python) would
+    otherwise run twice.
+    """
     opts = spec.parquet
     limit = _record_limit(log, spec)
-    if spec.layout != "topic_partition" and limit:
+    if spec.layout == "topic_partition":
+        staged_path = f"{base.rstrip('/')}/_staging/prepared={batch_id}"
+        prepared = prepare(log, spec)
+        prepared.write.mode("overwrite").parquet(staged_path)
+        plan = assign_files(log.sparkSession.read.parquet(staged_path), spec, limit)
+        manifest = publish(plan, base, batch_id, layout=spec.layout, opts=opts)
+        _FS(log.sparkSession, base).delete(staged_path)
+        return manifest
+    if limit:
         opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, limit)
-    return publish(plan, base, batch_id, layout=spec.layout, opts=opts)
+    return publish(load_plan(log, spec), base, batch_id, layout=spec.layout, opts=opts)
 
 
 def load_all(log: DataFrame, base: str, batch_id: int, **kw) -> dict:

@@ -19,10 +19,11 @@ from ..session import require_checkpoint_dir
 from .processors import offset_range_dedup, watermark_and_dedup
 
 
-def annotate_batch(batch: DataFrame, spec: LoadSpec) -> DataFrame:
+def annotate_batch(batch: DataFrame, spec: LoadSpec, decoded: bool = False) -> DataFrame:
     """Per micro-batch: drop duplicates, decode, filter, annotate, partition."""
     x = batch.where(~F.col("is_dup")).drop("is_dup") if "is_dup" in batch.columns else batch
-    x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set))
+    if not decoded:
+        x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set))
     if spec.predicate is not None:
         x = codec.filter_records(x, spec.predicate)
     if spec.layout == "topic_partition":
@@ -70,7 +71,17 @@ def load_stream(
         opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, spec.roll_records)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        publish(annotate_batch(batch, spec), base, batch_id, layout=spec.layout, opts=opts)
+        if spec.layout != "topic_partition":
+            publish(annotate_batch(batch, spec), base, batch_id, layout=spec.layout, opts=opts)
+            return
+        # numbering files reads the decoded batch twice: keep one decoded copy
+        # for this micro-batch only (its size is bounded by the trigger)
+        decoded = codec.drop_malformed(codec.decode_proto(
+            batch.where(~F.col("is_dup")).drop("is_dup"), spec.message, spec.descriptor_set)).persist()
+        try:
+            publish(annotate_batch(decoded, spec, decoded=True), base, batch_id, layout=spec.layout, opts=opts)
+        finally:
+            decoded.unpersist()
 
     w = marked.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:

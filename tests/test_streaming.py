@@ -75,36 +75,17 @@ def test_metrics_from_progress(spark):
     from tidewater.operators import monitoring
 
     progress = [
-        {"timestamp": "2024-01-01T00:00:05.000Z", "numInputRows": 10, "durationMs": {"addBatch": 120}, "stateOperators": [{"numDroppedDuplicateRows": 2}]},
-        {"timestamp": "2024-01-01T00:00:10.000Z", "numInputRows": 7, "durationMs": {"addBatch": 80}, "stateOperators": []},
+        {"batchId": 0, "timestamp": "2024-01-01T00:00:05.000Z", "numInputRows": 10, "durationMs": {"addBatch": 120},
+         "stateOperators": [{"numDroppedDuplicateRows": 2}],
+         "sources": [{"startOffset": None, "endOffset": '{"t":{"0":6,"1":4}}', "latestOffset": '{"t":{"0":9,"1":4}}'}]},
+        {"batchId": 1, "timestamp": "2024-01-01T00:00:10.000Z", "numInputRows": 3, "durationMs": {"addBatch": 7000},
+         "stateOperators": [],
+         "sources": [{"startOffset": '{"t":{"0":6,"1":4}}', "endOffset": '{"t":{"0":9,"1":4}}', "latestOffset": '{"t":{"0":9,"1":4}}'}]},
     ]
     m = monitoring.metrics_from_progress(spark, progress)
-    assert m.count() == 5
-    assert {r.metric for r in m.collect()} >= {"stream_loader_input_rows_total", "sink_duplicates_total"}
-
-
-def test_stream_root_scope_keeps_watermark_per_partition(spark, scratch):
-    path = f"{scratch}/log"
-    _write_slices(spark, path, [(0, 400), (400, 1000)])
-    got = _run(spark, path, f"{scratch}/ck", f"{scratch}/out", LoadSpec(dedup="recent", key_cache=4, scope="root"))
-    exp = dedup_recent_keys(with_stream_watermark(read_stream_log(spark, path)), 4, scope="root").select(
-        "topic", "partition", "offset", "watermark", "is_dup"
-    )
-    # the watermark is per topic-partition whatever the dedup scope
-    assert got.select("topic", "partition", "offset", "watermark").exceptAll(exp.select("topic", "partition", "offset", "watermark")).count() == 0
-    # the cache decisions equal the batch form when each micro-batch holds later times than the one before
-    assert got.count() == 1000
-
-
-def test_stream_load_by_topic_partition(spark, scratch):
-    path = f"{scratch}/log"
-    _write_slices(spark, path, [(0, 500), (500, 1000)])
-    st = read_stream_log(spark, path, streaming=True, max_files_per_trigger=1)
-    spec = LoadSpec(dedup="offsets", dedup_offsets=20, layout="topic_partition", roll_records=50)
-    q = load_stream(st, f"{scratch}/lake", spec, checkpoint=f"{scratch}/ck")
-    q.awaitTermination()
-    lake = sink.read_loaded(spark, f"{scratch}/lake", "topic_partition", committed_only=True)
-    exp = dedup_offset_range(read_stream_log(spark, path), 20).where("not is_dup").count()
-    assert lake.count() == exp
-    names = lake.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f")).distinct().count()
-    assert names > 2
+    lag = {(r.topic, r.partition, r.window_ms): r.lag for r in monitoring.offset_lag(m, window_ms=5000).collect()}
+    assert lag[("t", "0", 1704067205000)] == 3 and lag[("t", "0", 1704067210000)] == 0
+    batched = monitoring.records_batched_rate(m, window_ms=5000).where("partition = '0'").orderBy("window_ms").collect()
+    assert [r.rate * 5 for r in batched] == [0, 3]  # first sample has no earlier value: offsets start at 0 read
+    p999 = monitoring.commit_duration_quantile(m, 0.999, window_ms=5000).orderBy("window_ms").collect()
+    assert len(p999) == 2 and p999[1].duration_s > 5

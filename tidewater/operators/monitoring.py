@@ -140,17 +140,58 @@ def _duration_histogram(marked: DataFrame, file_records: int) -> DataFrame:
     return per.select(*_sample(COMMIT_BUCKET, lab, F.col("scrape"), F.col("cum")))
 
 
+def _kafka_offsets(raw) -> dict[tuple[str, str], int]:
+    """{topic: {partition: offset}} (dict or JSON text) -> {(topic, partition): offset}."""
+    import json
+
+    if raw is None:
+        return {}
+    data = json.loads(raw) if isinstance(raw, str) else raw
+    out = {}
+    if isinstance(data, dict):
+        for topic, parts in data.items():
+            if isinstance(parts, dict):
+                for part, off in parts.items():
+                    out[(topic, str(part))] = int(off)
+    return out
+
+
 def metrics_from_progress(spark, progresses: list[dict], job: str = JOB) -> DataFrame:
-    """Series from ``StreamingQuery.recentProgress`` (small driver-side report list)."""
+    """Series from streaming progress reports (``StreamingQuery.recentProgress``).
+
+    Per Kafka topic-partition: records read so far (counter) and lag =
+    latest offset - end offset (gauge); per batch: input rows, dropped
+    duplicates, one commit with its ``addBatch`` time in the duration
+    histogram.  The report list is small driver-side metadata.
+    """
     rows = []
-    for p in progresses:
+    read: dict[tuple[str, str], int] = {}
+    batches, dups = 0, 0.0
+    buckets = {b: 0 for b in DURATION_BUCKETS}
+    total_rows = 0.0
+    for p in sorted(progresses, key=lambda p: p.get("batchId", 0)):
         ts = p.get("timestamp")
-        rows.append(("stream_loader_input_rows_total", {"job": job}, ts, float(p.get("numInputRows", 0))))
-        for op in p.get("stateOperators", []) or []:
-            rows.append((DUPLICATES, {"job": job, "loader_thread": LOADER_THREAD}, ts, float(op.get("numDroppedDuplicateRows", 0) or 0)))
+        total_rows += float(p.get("numInputRows", 0) or 0)
+        rows.append(("stream_loader_input_rows_total", {"job": job}, ts, total_rows))
+        for src in p.get("sources", []) or []:
+            start, end, latest = (_kafka_offsets(src.get(k)) for k in ("startOffset", "endOffset", "latestOffset"))
+            for tp, off in end.items():
+                read[tp] = read.get(tp, 0) + off - start.get(tp, off)
+                labels = {"topic": tp[0], "partition": tp[1]}
+                rows.append((RECORDS_BATCHED, labels, ts, float(read[tp])))
+                if tp in latest:
+                    rows.append((RECORDS_LAG, labels, ts, float(latest[tp] - off)))
+        dups += sum(float(op.get("numDroppedDuplicateRows", 0) or 0) for op in p.get("stateOperators", []) or [])
+        rows.append((DUPLICATES, {"job": job, "loader_thread": LOADER_THREAD}, ts, dups))
         dur = (p.get("durationMs") or {}).get("addBatch")
         if dur is not None:
-            rows.append(("stream_loader_batch_commit_duration_ms", {"job": job}, ts, float(dur)))
+            batches += 1
+            rows.append((COMMIT_COUNT, {"job": job}, ts, float(batches)))
+            for b in DURATION_BUCKETS:
+                if b == "+Inf" or dur / 1000.0 <= float(b):
+                    buckets[b] += 1
+                rows.append((COMMIT_BUCKET, {"le": b, "loader_thread": LOADER_THREAD, "partition_group": job}, ts, float(buckets[b])))
+        rows.append((COMMIT_QUEUE, {"job": job}, ts, 0.0))
     df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ts string, value double")
     return df.withColumn("ts", F.to_timestamp("ts"))
 

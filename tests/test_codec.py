@@ -59,3 +59,11 @@ def test_annotate_puts_kafka_last_and_filter(spark):
     kept = codec.filter_records(ann, F.col("price") > 50).count()
     py = codec.filter_records(ann, python_predicate=lambda f: f["price"] > 50).count()
     assert kept == py == ann.where("price > 50").count()
+
+
+def test_engine_choice(spark):
+    # the spark-protobuf package is not in this image: auto falls back to the Arrow path
+    assert codec.jvm_protobuf_available(spark) is False
+    df = spark.createDataFrame([(b"", 0)], "value binary, offset long")
+    plan = codec.decode_proto(df)._jdf.queryExecution().toString()
+    assert "MapInArrow" in plan or "PythonMapInArrow" in plan

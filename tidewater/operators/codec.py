@@ -41,18 +41,47 @@ def spread_for_python(df: DataFrame) -> DataFrame:
     return df
 
 
+def jvm_protobuf_available(spark) -> bool:
+    """True when the spark-protobuf package is on the cluster's classpath."""
+    try:
+        spark.sparkContext._jvm.java.lang.Class.forName("org.apache.spark.sql.protobuf.ProtobufDataToCatalyst")
+        return True
+    except Exception:  # noqa: BLE001 - py4j raises a generic error for a missing class
+        return False
+
+
+def _decode_jvm(df: DataFrame, message: str, descriptor_set: bytes | None, value_col: str) -> DataFrame:
+    from pyspark.sql.protobuf.functions import from_protobuf
+
+    desc = descriptor_set or proto.builtin_descriptor_set()
+    parsed = from_protobuf(
+        F.col(value_col), message, binaryDescriptorSet=desc,
+        options={"mode": "PERMISSIVE", "emit.default.values": "true"},
+    )
+    names = [f.name for f in proto.spark_schema(proto.message_class(message, descriptor_set).DESCRIPTOR).fields]
+    keep = [c for c in df.columns if c != value_col]
+    x = df.withColumn("_tw_msg", parsed)
+    return x.select(*keep, *[F.col(f"_tw_msg.{n}").alias(n) for n in names], F.col("_tw_msg").isNull().alias(CORRUPT))
+
+
 def decode_proto(
     df: DataFrame,
     message: str = "messages.ComplexType",
     descriptor_set: bytes | None = None,
     value_col: str = "value",
+    engine: str = "auto",
 ) -> DataFrame:
     """Parse ``value`` into the message's top-level columns; mark failures ``_corrupt``.
 
     Output: input columns except ``value``, then message fields, then
     ``_corrupt``.  proto3 rules: absent scalars read as defaults, an absent
     sub-message is null, empty bytes are a valid all-default message.
+    ``engine``: ``"jvm"`` (``from_protobuf``, needs the spark-protobuf
+    package), ``"python"`` (Arrow batches, per-row parse), or ``"auto"``:
+    the JVM when the package is present.
     """
+    if engine == "jvm" or (engine == "auto" and jvm_protobuf_available(df.sparkSession)):
+        return _decode_jvm(df, message, descriptor_set, value_col)
     ship_package(df.sparkSession)
     msg_schema = proto.spark_schema(proto.message_class(message, descriptor_set).DESCRIPTOR)
     keep = [f for f in df.schema.fields if f.name != value_col]
@@ -152,7 +181,12 @@ def encode_proto(
     descriptor_set: bytes | None = None,
     out_col: str = "value",
 ) -> DataFrame:
-    """Serialize a struct column (in the message's Spark shape) to bytes."""
+    """Serialize a struct column (in the message's Spark shape) to bytes (``to_protobuf`` when present)."""
+    if jvm_protobuf_available(df.sparkSession):
+        from pyspark.sql.protobuf.functions import to_protobuf
+
+        desc = descriptor_set or proto.builtin_descriptor_set()
+        return df.withColumn(out_col, to_protobuf(F.col(struct_col), message, binaryDescriptorSet=desc)).drop(struct_col)
     ship_package(df.sparkSession)
     keep = [f for f in df.schema.fields if f.name != struct_col]
     out_schema = T.StructType(keep + [T.StructField(out_col, T.BinaryType(), True)])

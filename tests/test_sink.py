@@ -81,3 +81,16 @@ def test_runner_batch_load_from_parquet_topic(spark, scratch):
     assert sink.read_loaded(spark, f"{scratch}/lake", "daily", committed_only=True).count() == 1000
     args = runner.parse(["--source", "kafka", "--bootstrap", "b:1", "--topics", "a", "--base", "x", "--loader", "by_topic_partition"])
     assert runner.spec_from(args).layout == "topic_partition"
+
+
+def test_positions_committed_with_each_batch(spark, scratch):
+    from tidewater.operators import positions
+
+    enc = _encoded(spark)
+    spec = loads.LoadSpec(dedup=None, layout="daily", roll_records=None)
+    loads.load(enc.where("offset < 600"), f"{scratch}/lake", 0, spec)
+    loads.load(enc.where("offset >= 600"), f"{scratch}/lake", 1, spec)
+    committed = sink.committed_positions(spark, f"{scratch}/lake")
+    last = {(r.topic, r.partition): (r.next_offset, r.commit_seq) for r in positions.last_committed(committed).collect()}
+    exp = {(r.topic, r.partition): r.next_offset for r in positions.commit_positions(enc).collect()}
+    assert {k: v[0] for k, v in last.items()} == exp and {v[1] for v in last.values()} == {1}

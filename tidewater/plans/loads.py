@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from ..operators import codec, dedup, partitioning
 from ..operators.recent_keys import dedup_recent_keys
+from ..operators.positions import commit_positions
 from ..operators.watermark import with_stream_watermark
 from .sink import _FS, ParquetOptions, publish
 
@@ -117,17 +118,19 @@ def load(log: DataFrame, base: str, batch_id: int, spec: LoadSpec = LoadSpec())
     """
     opts = spec.parquet
     limit = _record_limit(log, spec)
+    # K8: the position after this batch covers every record read (duplicates and bad ones too)
+    positions = [r.asDict() for r in commit_positions(log).collect()]  # one row per topic-partition
     if spec.layout == "topic_partition":
         staged_path = f"{base.rstrip('/')}/_staging/prepared={batch_id}"
         prepared = prepare(log, spec)
         prepared.write.mode("overwrite").parquet(staged_path)
         plan = assign_files(log.sparkSession.read.parquet(staged_path), spec, limit)
-        manifest = publish(plan, base, batch_id, layout=spec.layout, opts=opts)
+        manifest = publish(plan, base, batch_id, layout=spec.layout, opts=opts, positions=positions)
         _FS(log.sparkSession, base).delete(staged_path)
         return manifest
     if limit:
         opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, limit)
-    return publish(load_plan(log, spec), base, batch_id, layout=spec.layout, opts=opts)
+    return publish(load_plan(log, spec), base, batch_id, layout=spec.layout, opts=opts, positions=positions)
 
 
 def load_all(log: DataFrame, base: str, batch_id: int, **kw) -> dict:

@@ -155,9 +155,14 @@ def publish(
     layout: str = "hourly",
     opts: ParquetOptions = ParquetOptions(),
     staging: str | None = None,
+    positions: list[dict] | None = None,
 ) -> dict:
     """K4: stage one batch, move its files into ``base``, write the manifest last.
 
+    ``positions`` (K8): the stream position after the batch per
+    topic-partition (next offset, watermark); stored in the manifest, so
+    files and positions become visible together.
+
     ``layout``: ``hourly`` (dt=yyyyMMdd/hr=HH), ``daily`` (dt=yyyy_MM_dd) —
     the frame carries those columns — or ``topic_partition``: one file per
     (topic, partition, file_seq) named ``{topic}_{partition}_{min}_{max}.parquet``
@@ -212,12 +217,24 @@ def publish(
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
-    manifest = {"batch_id": batch_id, "layout": layout, "files": files}
+    manifest = {"batch_id": batch_id, "layout": layout, "files": files, "positions": positions or []}
     fs.write_text(mpath, json.dumps(manifest))
     fs.delete(stage)
     return manifest
 
 
+def committed_positions(spark: SparkSession, base: str) -> DataFrame:
+    """K8/A3 input: (topic, partition, commit_seq, next_offset, watermark) from every published manifest."""
+    base = base.rstrip("/")
+    fs = _FS(spark, base)
+    rows = []
+    for m in fs.glob(f"{base}/_manifests/batch-*.json"):
+        man = json.loads(fs.read_text(m))
+        for p in man.get("positions", []):
+            rows.append((p["topic"], int(p["partition"]), int(man["batch_id"]), int(p["next_offset"]), p.get("watermark")))
+    return spark.createDataFrame(rows, "topic string, partition int, commit_seq long, next_offset long, watermark long")
+
+
 def read_loaded(
     spark: SparkSession, base: str, layout: str = "hourly", committed_only: bool = False, schema=None
 ) -> DataFrame:

@@ -94,3 +94,19 @@ def test_positions_committed_with_each_batch(spark, scratch):
     last = {(r.topic, r.partition): (r.next_offset, r.commit_seq) for r in positions.last_committed(committed).collect()}
     exp = {(r.topic, r.partition): r.next_offset for r in positions.commit_positions(enc).collect()}
     assert {k: v[0] for k, v in last.items()} == exp and {v[1] for v in last.values()} == {1}
+
+
+def test_batch_audits_feed_monitoring(spark, scratch):
+    from tidewater.operators import monitoring
+
+    enc = _encoded(spark)
+    spec = loads.LoadSpec(dedup="offsets", dedup_offsets=50, layout="hourly", roll_records=None)
+    m0 = loads.load(enc.where("offset < 500"), f"{scratch}/lake", 0, spec)
+    loads.load(enc.where("offset >= 500"), f"{scratch}/lake", 1, spec)
+    assert sum(w["count"] for w in m0["written"]) == sink.read_loaded(spark, f"{scratch}/lake", "hourly").where("_kafka.offset < 500").count()
+    m = monitoring.metrics_from_manifests(spark, f"{scratch}/lake")
+    assert {r.metric for r in m.collect()} >= {monitoring.RECORDS_BATCHED, monitoring.RECORDS_WRITTEN, monitoring.COMMIT_COUNT}
+    files = monitoring.files_per_hour(m).collect()
+    assert sum(r.files_per_hour for r in files) == 2 * 2  # two batches, 2 x increase per 30 minutes
+    written = monitoring.records_written_rate(m, window_ms=3_600_000).groupBy().sum("rate").first()[0] * 3600
+    assert round(written) == sink.read_loaded(spark, f"{scratch}/lake", "hourly").count()

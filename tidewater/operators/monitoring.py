@@ -196,6 +196,47 @@ def metrics_from_progress(spark, progresses: list[dict], job: str = JOB) -> Data
     return df.withColumn("ts", F.to_timestamp("ts"))
 
 
+def metrics_from_manifests(spark, base: str, job: str = JOB) -> DataFrame:
+    """Series from the batch audits of a loaded lake (one manifest per published batch).
+
+    Per topic-partition: records read (from committed positions) and records
+    written, as counters; per job: committed batches, the publish duration
+    histogram, and a queue gauge (0: publishing is synchronous).  Sample
+    time = commit time of the batch.
+    """
+    import json
+
+    from ..plans.sink import _FS
+
+    base = base.rstrip("/")
+    fs = _FS(spark, base)
+    manifests = [json.loads(fs.read_text(m)) for m in fs.glob(f"{base}/_manifests/batch-*.json")]
+    manifests.sort(key=lambda m: m["batch_id"])
+    rows = []
+    written: dict[tuple[str, str], int] = {}
+    first: dict[tuple[str, str], int] = {}
+    buckets = {b: 0 for b in DURATION_BUCKETS}
+    for i, m in enumerate(manifests, start=1):
+        ts = m.get("committed_at_ms", 0)
+        for p in m.get("positions", []):
+            tp = (p["topic"], str(p["partition"]))
+            first.setdefault(tp, 0)
+            rows.append((RECORDS_BATCHED, {"topic": tp[0], "partition": tp[1]}, ts, float(p["next_offset"])))
+        for w in m.get("written", []):
+            tp = (w["topic"], str(w["partition"]))
+            written[tp] = written.get(tp, 0) + int(w["count"])
+            rows.append((RECORDS_WRITTEN, {"topic": tp[0], "partition": tp[1]}, ts, float(written[tp])))
+        rows.append((COMMIT_COUNT, {"job": job}, ts, float(i)))
+        dur = float(m.get("duration_s", 0.0))
+        for b in DURATION_BUCKETS:
+            if b == "+Inf" or dur <= float(b):
+                buckets[b] += 1
+            rows.append((COMMIT_BUCKET, {"le": b, "loader_thread": LOADER_THREAD, "partition_group": job}, ts, float(buckets[b])))
+        rows.append((COMMIT_QUEUE, {"job": job}, ts, 0.0))
+    df = spark.createDataFrame(rows, "metric string, labels map<string,string>, ms long, value double")
+    return df.select("metric", "labels", F.timestamp_millis("ms").alias("ts"), "value")
+
+
 # ------------------------------------------------------------------ queries
 def _since(m: DataFrame, since_ms: int | None) -> DataFrame:
     return m if since_ms is None else m.where(F.unix_millis("ts") >= F.lit(since_ms))

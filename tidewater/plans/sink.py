@@ -176,15 +176,20 @@ def publish(
     if fs.exists(mpath):
         return json.loads(fs.read_text(mpath))
 
+    import time
+
+    started = time.time()
     stage = f"{staging}/batch={batch_id}"
     fs.delete(stage)
     tag = f"batch-{batch_id:020d}"
     files: list[str] = []
 
+    written: list[dict] = []
     if layout in ("hourly", "daily"):
         cols = ["dt", "hr"] if layout == "hourly" else ["dt"]
         # REBALANCE lets AQE split a hot hour over several writers
         write_parquet(df.hint("rebalance", *cols), stage, opts, partition_by=cols, mode="overwrite")
+        written = _written_counts(spark, fs, stage)
         for old in fs.glob(f"{base}/{'/'.join('*' for _ in cols)}/{tag}-*"):
             fs.delete(old)
         for i, src in enumerate(fs.data_files(stage)):
@@ -209,6 +214,7 @@ def publish(
                     offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")).alias("name"))
         )
         names = {} if ranges is None else {r["_tw_file"]: r["name"] for r in ranges.collect()}
+        written = _written_counts(spark, fs, stage)
         for src in staged_files:
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
             dst = f"{base}/{names[key]}"
@@ -217,12 +223,25 @@ def publish(
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
-    manifest = {"batch_id": batch_id, "layout": layout, "files": files, "positions": positions or []}
+    manifest = {
+        "batch_id": batch_id, "layout": layout, "files": files, "positions": positions or [],
+        "written": written, "committed_at_ms": int(time.time() * 1000),
+        "duration_s": round(time.time() - started, 3),
+    }
     fs.write_text(mpath, json.dumps(manifest))
     fs.delete(stage)
     return manifest
 
 
+def _written_counts(spark: SparkSession, fs: _FS, stage: str) -> list[dict]:
+    """Rows written per topic-partition in a staged batch (a scan of ``_kafka`` only; one row each)."""
+    if not fs.data_files(stage):
+        return []
+    staged = spark.read.option("basePath", stage).parquet(stage)
+    counts = staged.groupBy(F.col("_kafka.topic").alias("topic"), F.col("_kafka.partition").alias("partition")).count()
+    return [r.asDict() for r in counts.collect()]
+
+
 def committed_positions(spark: SparkSession, base: str) -> DataFrame:
     """K8/A3 input: (topic, partition, commit_seq, next_offset, watermark) from every published manifest."""
     base = base.rstrip("/")

@@ -42,6 +42,11 @@ def read_stream_log(spark: SparkSession, path: str, streaming: bool = False, max
     return spark.read.schema(KAFKA_SCHEMA).parquet(path)
 
 
+def write_log(records: DataFrame, path: str, mode: str = "append") -> None:
+    """Offline counterpart of writing to a topic: records in Kafka schema, appended as files (S8's input)."""
+    records.select(*KAFKA_SCHEMA.fieldNames()).write.mode(mode).parquet(path)
+
+
 def _late(id_col: Column) -> Column:
     return F.when(id_col % LATE_EVERY == 0, F.lit(LATENESS_MS)).otherwise(F.lit(0))
 

@@ -1,6 +1,6 @@
 """Command-line loader (the reference's runners, on Spark).
 
-    spark-submit -m tidewater.plans.runner --source parquet --path s3://.../topic \\
+    spark-submit scripts/tidewater_load.py --source parquet --path s3://.../topic \\
         --base s3://.../lake --loader deduplicated --batch-id 7
     ... --source kafka --bootstrap b:9092 --topics a,b --stream --trigger "5 minutes"
 

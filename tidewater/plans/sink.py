@@ -16,6 +16,7 @@ data itself is written by the executors.
 from __future__ import annotations
 
 import json
+import time
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -176,8 +177,6 @@ def publish(
     if fs.exists(mpath):
         return json.loads(fs.read_text(mpath))
 
-    import time
-
     started = time.time()
     stage = f"{staging}/batch={batch_id}"
     fs.delete(stage)

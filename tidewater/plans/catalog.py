@@ -642,6 +642,25 @@ def topic_values(spark: SparkSession, sf: str) -> DataFrame:
 STREAM_SLICES = 4
 
 
+def _topic_files(spark: SparkSession, log: DataFrame) -> str:
+    """The topic as files arriving in offset order: one slice of offsets per file set.
+
+    A file stream takes files by modification time, so each slice's files are
+    stamped one second after the previous slice's.
+    """
+    topic = sink.scratch_path(spark, "stream-topic")
+    bounds = log.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    step = (bounds.hi - bounds.lo) // STREAM_SLICES + 1
+    fs = sink._FS(spark, topic)
+    for i in range(STREAM_SLICES):
+        lo = bounds.lo + i * step
+        part = f"{topic}/slice={i}"
+        log.where((F.col("offset") >= lo) & (F.col("offset") < lo + step)).write.mode("overwrite").parquet(part)
+        for f in fs.data_files(part):
+            fs.set_mtime(f, 1_000_000_000_000 + i * 1000)
+    return topic
+
+
 @register(
     "stream_load_hourly",
     LOADED_X1.replace(f' AND "offset" % {CORRUPT_EVERY} <> 0', "")
@@ -654,19 +673,8 @@ def stream_load_hourly(spark: SparkSession, sf: str) -> DataFrame:
     every micro-batch is published under its batch id; the lake is read back through manifests."""
     from ..streaming.load import load_stream
 
-    topic = sink.scratch_path(spark, "stream-topic")
     log = codec.encode_events(events_log(spark, sf, payload=True)).select(*KAFKA_SCHEMA.fieldNames())
-    # offset slices in arrival order; a file stream takes files by modification
-    # time, so each slice's files are stamped one second after the previous one
-    bounds = log.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-    step = (bounds.hi - bounds.lo) // STREAM_SLICES + 1
-    fs = sink._FS(spark, topic)
-    for i in range(STREAM_SLICES):
-        lo = bounds.lo + i * step
-        part = f"{topic}/slice={i}"
-        log.where((F.col("offset") >= lo) & (F.col("offset") < lo + step)).write.mode("overwrite").parquet(part)
-        for f in fs.data_files(part):
-            fs.set_mtime(f, 1_000_000_000_000 + i * 1000)
+    topic = _topic_files(spark, log)
     base = sink.scratch_path(spark, "stream-lake")
     stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice")
     spec = loads.LoadSpec(dedup="recent", key_cache=CACHE_DEFAULT, roll_records=None)
@@ -676,3 +684,28 @@ def stream_load_hourly(spark: SparkSession, sf: str) -> DataFrame:
     return lake.groupBy("dt", "hr").agg(
         F.count(F.lit(1)).alias("records"), F.min("_kafka.offset").alias("min_offset"), F.max("_kafka.offset").alias("max_offset")
     )
+
+
+@register(
+    "stream_dedup_offset_range",
+    f'WITH {LOG}, {X3.format(src="log")} SELECT topic, "partition", "offset", '
+    f'(prev_off IS NOT NULL AND "offset" - prev_off <= {DEDUP_OFFSETS}) AS is_dup FROM x3',
+)
+def stream_dedup_offset_range(spark: SparkSession, sf: str) -> DataFrame:
+    """X3 as a stream: watermark state per topic-partition, last-offset state per key;
+    every micro-batch written under its id (a re-run replaces itself), then read back."""
+    from ..streaming.load import dedup_stream
+
+    log = events_log(spark, sf).withColumn("value", F.lit(None).cast("binary")).select(*KAFKA_SCHEMA.fieldNames())
+    topic = _topic_files(spark, log)
+    out = sink.scratch_path(spark, "stream-x3")
+    stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice")
+    marked = dedup_stream(stream, loads.LoadSpec(dedup="offsets", dedup_offsets=DEDUP_OFFSETS))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.select("topic", "partition", "offset", "is_dup").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = (marked.writeStream.foreachBatch(each).option("checkpointLocation", sink.scratch_path(spark, "stream-x3-ckpt"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out).select("topic", "partition", "offset", "is_dup")

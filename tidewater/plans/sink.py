@@ -189,7 +189,7 @@ def publish(
         # REBALANCE lets AQE split a hot hour over several writers
         write_parquet(df.hint("rebalance", *cols), stage, opts, partition_by=cols, mode="overwrite")
         written = _written_counts(spark, fs, stage)
-        for old in fs.glob(f"{base}/{'/'.join('*' for _ in cols)}/{tag}-*"):
+        for old in fs.glob(f"{base}/{'/'.join(c + '=*' for c in cols)}/{tag}-*"):
             fs.delete(old)
         for i, src in enumerate(fs.data_files(stage)):
             rel_dir = "/".join(_rel(src, stage).split("/")[:-1])
@@ -270,10 +270,8 @@ def read_loaded(
         if not paths:
             return spark.createDataFrame([], output_schema())
         return reader.parquet(*paths)
-    if layout == "topic_partition":
-        return reader.parquet(f"{base}/*.parquet")
-    depth = {"hourly": 2, "daily": 1}[layout]
-    return reader.parquet(f"{base}/{'/'.join('*' for _ in range(depth))}/*.parquet")
+    pattern = {"topic_partition": "*.parquet", "hourly": "dt=*/hr=*/*.parquet", "daily": "dt=*/*.parquet"}[layout]
+    return reader.parquet(f"{base}/{pattern}")
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -133,3 +133,13 @@ def test_auto_strategy_equals_chunked_around_the_capacity(spark):
     a = dedup_recent_keys(two, 5000, scope="root").select("topic", "partition", "offset", "is_dup")
     b = dedup_recent_keys(two, 5000, scope="root", strategy="chunked").select("topic", "partition", "offset", "is_dup")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_recent_keys_many_runs_against_simulation(spark):
+    from conftest import SF
+
+    log = events_log(spark, SF)
+    for cap, chunk in [(5, 300), (40, 900)]:  # most chunks full (many runs) / few full chunks (long runs)
+        got = _collect(dedup_recent_keys(log, cap, chunk_size=chunk, strategy="chunked"))
+        exp = _brute_x1(got, cap, ["topic", "partition"], ["offset"])
+        assert {k: v for k, v in zip(zip(got.topic, got.partition, got.offset), got.is_dup)} == exp

@@ -1,3 +1,4 @@
+import pytest
 """Partition values, names and rolling rules."""
 
 from pyspark.sql import functions as F
@@ -17,7 +18,9 @@ def test_roll_any_file_reference_case(spark):
     # 1 topic x 3 partitions x 10 records written partition by partition, limit 6:
     # p0 0-5 | p0 6-9 + p1 0-5 | p1 6-9 + p2 0-5 | p2 6-9 (open)
     recs = generate_test_records(spark, ["test_topic_1"], 3, 10)
-    rolled = partitioning.roll_any_file(recs, 6, group=("_tw_root",), file_cols=("topic", "partition"), order=["topic", "partition", "offset"])
+    with pytest.raises(ValueError, match="sequential_ok"):
+        partitioning.roll_any_file(recs, 6, group=("_tw_root",), file_cols=("topic", "partition"), order=["topic", "partition", "offset"])
+    rolled = partitioning.roll_any_file(recs, 6, group=("_tw_root",), file_cols=("topic", "partition"), order=["topic", "partition", "offset"], sequential_ok=True)
     names = partitioning.offset_range_paths(rolled.where("closed"), batch="batch_id").toPandas()
     by_batch = names.groupby("batch_id")["path"].apply(sorted).to_dict()
     assert by_batch == {
@@ -90,5 +93,5 @@ def test_roll_any_file_contiguous_equals_sequential(spark):
     hourly = partitioning.time_partition(with_stream_watermark(events_log(spark, SF_SMALL)), "hourly")
     for n in (1, 3, 7):
         a = partitioning.roll_any_file(hourly, n, contiguous=True).toPandas().sort_values(["partition", "offset"]).reset_index(drop=True)
-        b = partitioning.roll_any_file(hourly, n, contiguous=False).toPandas().sort_values(["partition", "offset"]).reset_index(drop=True)
+        b = partitioning.roll_any_file(hourly, n, contiguous=False, sequential_ok=True).toPandas().sort_values(["partition", "offset"]).reset_index(drop=True)
         assert a[["partition", "offset", "batch_id", "closed"]].equals(b[["partition", "offset", "batch_id", "closed"]])

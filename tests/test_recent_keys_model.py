@@ -55,3 +55,28 @@ def test_capacity_one():
 )
 def test_chunked_equals_simulation_wide(keys, capacity, chunk_len):
     assert chunked(keys, capacity, chunk_len) == simulate_cache(keys, capacity)
+
+
+def chunked_runs(keys, capacity, chunk_len):
+    from tidewater.operators.recent_keys import run_fold
+
+    chunks = [keys[i : i + chunk_len] for i in range(0, len(keys), chunk_len)]
+    summ = []
+    for ch in chunks:
+        rows = _summary_rows(ch, capacity + 1)
+        summ.append(([k for r, k in rows if r >= 0], [k for r, k in rows if r < 0][0]))
+    warm = run_fold(summ, capacity)
+    out = []
+    for ch, (w, rp) in zip(chunks, warm):
+        out.extend(decide_chunk(ch, w, rp, capacity))
+    return out
+
+
+@settings(max_examples=800, deadline=None)
+@given(
+    keys=st.lists(st.integers(0, 30).map(str), min_size=1, max_size=300),
+    capacity=st.integers(1, 12),
+    chunk_len=st.integers(1, 60),
+)
+def test_run_fold_equals_simulation(keys, capacity, chunk_len):
+    assert chunked_runs(keys, capacity, chunk_len) == simulate_cache(keys, capacity)

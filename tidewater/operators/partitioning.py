@@ -151,6 +151,7 @@ def roll_any_file(
     file_cols: Sequence[str] = ("dt", "hr"),
     order: Sequence[str] = ("offset",),
     contiguous: bool | None = None,
+    sequential_ok: bool = False,
 ) -> DataFrame:
     """once any open file of a batch holds ``n`` records, the whole batch commits.
 
@@ -167,9 +168,10 @@ def roll_any_file(
     file, and a file's unfinished tail joins the next file's first batch, so
     ``batch_id = sum over earlier files of floor(count / n) + floor(pos / n)``.
     Interleaved files (e.g. ``group=("_tw_root",)``, files per
-    topic-partition, order (timestamp, topic, partition, offset)) run the
-    rule sequentially per group, streaming with memory bounded by the number
-    of open files.
+    topic-partition, order (timestamp, topic, partition, offset)) need the
+    rule run sequentially per group, one sorted pass per group in one task
+    (memory bounded by the number of open files): only with
+    ``sequential_ok=True``, since a large group would be a single task.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
@@ -179,6 +181,12 @@ def roll_any_file(
         )
     if contiguous:
         return _roll_contiguous(df, n, list(group), list(file_cols))
+    if not sequential_ok:
+        raise ValueError(
+            "files interleave within a group: the rule then runs as one sorted pass per group "
+            "(a single task for the whole group); pass sequential_ok=True to accept that, or group "
+            "per topic-partition with time files, which runs in parallel"
+        )
     x = df.withColumn("_tw_root", F.lit("root")) if "_tw_root" in group and "_tw_root" not in df.columns else df
     ids = [c for c in ("topic", "partition", "offset") if c not in group]
 

@@ -26,17 +26,19 @@ Chunked execution:
    for offset order; range partitions otherwise);
 2. per chunk, a summary of at most ``capacity + 2`` rows: its most recent
    distinct keys (without its last record) and its last key;
-3. a streaming fold per scope over the summaries, in chunk order, yields for
-   every chunk the recency list just before the last record of the previous
-   chunk (at most ``capacity + 1`` keys) — its "warm" state;
+3. a streaming fold over the summaries, in chunk order, yields for every
+   chunk the recency list just before the last record of the previous chunk
+   (at most ``capacity + 1`` keys) — its "warm" state.  A chunk with more
+   than ``capacity + 1`` distinct keys fixes the state after it by itself,
+   so the fold runs per *run* of chunks between such chunks, in parallel;
 4. each chunk rebuilds the exact cache from its warm state and the replayed
    previous last record, then applies the rule to its own records
    (``cogroup`` of the chunk with its warm state).
 
 Memory per task is bounded by the chunk size and the capacity; no scope,
-however hot, is gathered in one task.  Only the fold (step 3) is sequential
-per scope, over summaries that are ``chunk size / capacity`` times smaller
-than the data.
+however hot, is gathered in one task.  The fold (step 3) is sequential only
+within a run, over summaries ``chunk size / capacity`` times smaller than
+the data.
 """
 
 from __future__ import annotations
@@ -45,7 +47,7 @@ from collections import OrderedDict
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +101,31 @@ class WarmFold:
         return warm, replay
 
 
+def run_fold(chunks: list[tuple[list[str], str]], capacity: int) -> list[tuple[list[str], str | None]]:
+    """Warm state of every chunk, computed run by run.
+
+    ``chunks``: per chunk in order, (summary keys newest first, last key).
+    A chunk whose summary holds ``capacity + 1`` keys fixes the state after
+    it on its own, so the fold restarts there: runs between such chunks are
+    independent (in Spark, one task per run instead of one per scope).
+    Returns (warm keys, replayed key) per chunk, as ``WarmFold`` would.
+    """
+    cap = capacity + 1
+    out: list[tuple[list[str], str | None]] = [([], None)] * len(chunks)
+    run_start = [i for i, (summary, _) in enumerate(chunks) if len(summary) >= cap]
+    starts = sorted(set([0] + run_start))
+    for a, b in zip(starts, starts[1:] + [len(chunks)]):
+        fold = WarmFold(capacity)
+        if a > 0:  # the run's first chunk is full: what came before does not matter
+            fold.prev_last = chunks[a - 1][1]
+        for j in range(a, b):
+            summary, last = chunks[j]
+            fold.step(summary, last)
+            if j + 1 < len(chunks):
+                out[j + 1] = (fold.state, fold.prev_last)
+    return out
+
+
 def decide_chunk(keys: list[str], warm: list[str], replay: str | None, capacity: int) -> list[bool]:
     """Duplicate flags for ``keys`` given the warm recency list and the replayed record.
 
@@ -239,36 +266,53 @@ def dedup_recent_keys(
     # same frame and grouping as step 4, so Spark reuses the one narrow shuffle
     summaries = narrow.groupBy(*grp, CHUNK).applyInPandas(summarize, summary_schema)
 
-    # 3. streaming fold per scope -> warm state per chunk
+    # 3. warm state per chunk.  A chunk holding more than capacity + 1 distinct
+    # keys fixes the state after it, so the fold restarts there: runs of chunks
+    # between such chunks fold independently (one task per run, not per scope).
+    # The chunk table (one row per chunk) comes from a JVM distinct count.
     warm_schema = T.StructType(
         [*grp_fields, T.StructField(CHUNK, T.LongType()), T.StructField("rank", T.IntegerType()),
          T.StructField("k", T.StringType())]
     )
+    by_chunk = Window.partitionBy(*grp).orderBy(CHUNK)
+    chunk_tbl = (
+        narrow.groupBy(*grp, CHUNK).agg(F.countDistinct(DEDUP_KEY).alias("_tw_nk"))
+        .select(
+            *grp, CHUNK,
+            F.lead(CHUNK).over(by_chunk).alias("_tw_next"),
+            F.max(F.when(F.col("_tw_nk") >= cap + 1, F.col(CHUNK))).over(
+                by_chunk.rowsBetween(Window.unboundedPreceding, 0)).alias("_tw_run"),
+        )
+        .where(F.col("_tw_next").isNotNull())
+        .withColumn("_tw_run", F.coalesce(F.col("_tw_run"), F.lit(-1).cast("long")))
+    )
+    runs = summaries.join(chunk_tbl, on=[*grp, CHUNK], how="inner")
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_group = None
+        cur = None
         folder = WarmFold(capacity)
-        pending = None  # (chunk, summary keys, last key)
+        pending = None  # (next chunk, summary keys, last key)
         out_rows: list[tuple] = []
 
         def flush(g, item):
-            c, summary, last_key = item
-            warm_keys, replay = folder.step(summary, last_key)
-            out_rows.extend((*g, c, r, k) for r, k in enumerate(warm_keys))
-            if replay is not None:
-                out_rows.append((*g, c, -1, replay))
+            nxt, summary, last_key = item
+            folder.step(summary, last_key)
+            out_rows.extend((*g, nxt, r, k) for r, k in enumerate(folder.state))
+            if folder.prev_last is not None:
+                out_rows.append((*g, nxt, -1, folder.prev_last))
 
         for pdf in batches:
             if pdf.empty:
                 continue
             gvals = list(zip(*[pdf[c].tolist() for c in grp]))
-            for g, c, r, k in zip(gvals, pdf[CHUNK].tolist(), pdf["rank"].tolist(), pdf["k"].tolist()):
-                if g != cur_group or pending is None or c != pending[0]:
+            for g, run, c, nxt, r, k in zip(gvals, pdf["_tw_run"].tolist(), pdf[CHUNK].tolist(),
+                                            pdf["_tw_next"].tolist(), pdf["rank"].tolist(), pdf["k"].tolist()):
+                if (g, run) != cur or pending is None or nxt != pending[0]:
                     if pending is not None:
-                        flush(cur_group, pending)
-                    if g != cur_group:
-                        cur_group, folder = g, WarmFold(capacity)
-                    pending = (c, [], None)
+                        flush(cur[0], pending)
+                    if (g, run) != cur:
+                        cur, folder = (g, run), WarmFold(capacity)
+                    pending = (nxt, [], None)
                 if r < 0:
                     pending = (pending[0], pending[1], k)
                 else:
@@ -277,15 +321,15 @@ def dedup_recent_keys(
                 yield pd.DataFrame(out_rows, columns=[*grp, CHUNK, "rank", "k"])
                 out_rows.clear()
         if pending is not None:
-            flush(cur_group, pending)
+            flush(cur[0], pending)
         if out_rows:
             yield pd.DataFrame(out_rows, columns=[*grp, CHUNK, "rank", "k"])
 
-    # summaries of one scope travel to one task, in chunk order; the last-key
+    # summaries of one run travel to one task, in chunk order; the last-key
     # row (rank -1) sorts after the ranked rows of its chunk
     warm = (
-        summaries.repartition(*grp)
-        .sortWithinPartitions(*grp, CHUNK, F.when(F.col("rank") < 0, F.lit(1 << 30)).otherwise(F.col("rank")))
+        runs.repartition(*grp, "_tw_run")
+        .sortWithinPartitions(*grp, "_tw_run", CHUNK, F.when(F.col("rank") < 0, F.lit(1 << 30)).otherwise(F.col("rank")))
         .mapInPandas(fold, warm_schema)
     )
 

@@ -67,3 +67,15 @@ def test_engine_choice(spark):
     df = spark.createDataFrame([(b"", 0)], "value binary, offset long")
     plan = codec.decode_proto(df)._jdf.queryExecution().toString()
     assert "MapInArrow" in plan or "PythonMapInArrow" in plan
+
+
+def test_decode_on_a_stream(spark, scratch):
+    log = codec.encode_events(events_log(spark, SF_SMALL, payload=True), corrupt_every=50)
+    log.select("key", "value", "topic", "partition", "offset", "timestamp", "timestampType").write.parquet(f"{scratch}/t")
+    from tidewater.sources.logs import read_stream_log
+
+    dec = codec.decode_proto(read_stream_log(spark, f"{scratch}/t", streaming=True))
+    q = dec.writeStream.format("memory").queryName("dec_stream").trigger(availableNow=True).start()
+    q.awaitTermination()
+    got = spark.sql("select count(*) n, sum(cast(_corrupt as int)) bad from dec_stream").first()
+    assert (got.n, got.bad) == (1000, 20)

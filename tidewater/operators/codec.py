@@ -35,6 +35,8 @@ def spread_for_python(df: DataFrame) -> DataFrame:
     parallelism (a small or single-row-group file); a large input already
     has that many splits and passes through unchanged, without a shuffle.
     """
+    if df.isStreaming:  # a stream's splits come from its source options (e.g. minPartitions)
+        return df
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)

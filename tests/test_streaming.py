@@ -89,3 +89,12 @@ def test_metrics_from_progress(spark):
     assert [r.rate * 5 for r in batched] == [0, 3]  # first sample has no earlier value: offsets start at 0 read
     p999 = monitoring.commit_duration_quantile(m, 0.999, window_ms=5000).orderBy("window_ms").collect()
     assert len(p999) == 2 and p999[1].duration_s > 5
+
+
+def test_batch_cache_rule_refuses_a_stream(spark, scratch):
+    import pytest
+
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 10)])
+    with pytest.raises(ValueError, match="watermark_and_dedup"):
+        dedup_recent_keys(read_stream_log(spark, path, streaming=True), 5)

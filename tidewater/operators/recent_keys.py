@@ -222,6 +222,8 @@ def dedup_recent_keys(
     """
     if capacity < 1:
         raise ValueError("capacity must be >= 1")
+    if df.isStreaming:
+        raise ValueError("dedup_recent_keys is the batch form; streams use streaming.processors.watermark_and_dedup")
     if strategy == "auto" and _max_distinct_keys(df, scope, key) < capacity:
         return _seen_before(df, scope, order, key)
     spark = df.sparkSession

@@ -98,3 +98,42 @@ def test_batch_cache_rule_refuses_a_stream(spark, scratch):
     _write_slices(spark, path, [(0, 10)])
     with pytest.raises(ValueError, match="watermark_and_dedup"):
         dedup_recent_keys(read_stream_log(spark, path, streaming=True), 5)
+
+
+def test_stream_time_range_equals_batch(spark, scratch):
+    from tidewater.operators.dedup import dedup_watermark_range
+
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 400), (400, 1000)])
+    got = _run(spark, path, f"{scratch}/ck", f"{scratch}/out", LoadSpec(dedup="time", dedup_ms=3_600_000))
+    exp = dedup_watermark_range(with_stream_watermark(read_stream_log(spark, path)), 3_600_000).select(
+        "topic", "partition", "offset", "watermark", "is_dup"
+    )
+    assert _same(got, exp)
+
+
+def test_stream_root_scope_keeps_watermark_per_partition(spark, scratch):
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 400), (400, 1000)])
+    got = _run(spark, path, f"{scratch}/ck", f"{scratch}/out", LoadSpec(dedup="recent", key_cache=4, scope="root"))
+    exp = dedup_recent_keys(with_stream_watermark(read_stream_log(spark, path)), 4, scope="root").select(
+        "topic", "partition", "offset", "watermark", "is_dup"
+    )
+    # the watermark is per topic-partition whatever the dedup scope
+    assert got.select("topic", "partition", "offset", "watermark").exceptAll(exp.select("topic", "partition", "offset", "watermark")).count() == 0
+    # the cache decisions equal the batch form when each micro-batch holds later times than the one before
+    assert got.count() == 1000
+
+
+def test_stream_load_by_topic_partition(spark, scratch):
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 500), (500, 1000)])
+    st = read_stream_log(spark, path, streaming=True, max_files_per_trigger=1)
+    spec = LoadSpec(dedup="offsets", dedup_offsets=20, layout="topic_partition", roll_records=50)
+    q = load_stream(st, f"{scratch}/lake", spec, checkpoint=f"{scratch}/ck")
+    q.awaitTermination()
+    lake = sink.read_loaded(spark, f"{scratch}/lake", "topic_partition", committed_only=True)
+    exp = dedup_offset_range(read_stream_log(spark, path), 20).where("not is_dup").count()
+    assert lake.count() == exp
+    names = lake.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f")).distinct().count()
+    assert names > 2

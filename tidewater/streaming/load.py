@@ -46,10 +46,12 @@ def dedup_stream(stream: DataFrame, spec: LoadSpec) -> DataFrame:
         marked = watermark_and_dedup(x, None, scope).drop("is_dup")
         if spec.dedup == "offsets":
             marked = offset_range_dedup(marked, spec.dedup_offsets)
+        elif spec.dedup == "time":
+            marked = offset_range_dedup(marked, spec.dedup_ms, by="time")
         elif spec.dedup is None:
             marked = marked.withColumn("is_dup", F.lit(False))
         else:
-            raise ValueError(f"dedup rule {spec.dedup!r} has no streaming form; use 'recent' or 'offsets'")
+            raise ValueError(f"unknown dedup rule {spec.dedup!r}")
     return marked.drop("tw_scope") if scope else marked
 
 

@@ -80,11 +80,16 @@ class WatermarkRecentKeys(StatefulProcessor):
 
 
 class LastOffsetDedup(StatefulProcessor):
-    """X3 keyed by (scope, key): duplicate iff the key's last offset is within ``n``."""
+    """X3/X4 keyed by (scope, key): duplicate iff the key's previous record is recent.
 
-    def __init__(self, n: int, ttl_ms: int | None = None):
+    ``by="offset"``: within ``n`` offsets (X3); ``by="time"``: at most ``n`` ms
+    older (X4).  Every record refreshes the key's state, kept or not.
+    """
+
+    def __init__(self, n: int, ttl_ms: int | None = None, by: str = "offset"):
         self.n = n
         self.ttl_ms = ttl_ms
+        self.by = by
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.last = handle.getValueState("last", "off long", self.ttl_ms)
@@ -94,13 +99,14 @@ class LastOffsetDedup(StatefulProcessor):
         if pdf.empty:
             return
         pdf = pdf.sort_values("offset", kind="mergesort")
+        col = "offset" if self.by == "offset" else "tw_ts_ms"
         last = self.last.get()[0] if self.last.exists() else None
         dups = []
-        for o in pdf["offset"].tolist():
-            dups.append(last is not None and o - last <= self.n)
-            last = o
+        for v in pdf[col].tolist():
+            dups.append(last is not None and v - last <= self.n)
+            last = v
         self.last.update((int(last),))
-        out = pdf.drop(columns=["tw_dedup_key"])
+        out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms") if c in pdf.columns])
         out["is_dup"] = dups
         yield out
 
@@ -136,10 +142,14 @@ def watermark_and_dedup(stream: DataFrame, capacity: int | None, scope: list[str
     return y.groupBy(*scope).transformWithStateInPandas(WatermarkRecentKeys(capacity, watermark=False), out, "Append", "None")
 
 
-def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None) -> DataFrame:
-    """X3 on a stream, keyed by (topic, partition, key)."""
+def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None, by: str = "offset") -> DataFrame:
+    """X3 (``by="offset"``) or X4 (``by="time"``, ``n`` in ms) on a stream, keyed by (topic, partition, key)."""
     _prep(stream)
     x = stream.withColumn("tw_dedup_key", key_string("key"))
-    fields = [f for f in x.schema.fields if f.name != "tw_dedup_key"]
+    if by == "time":
+        x = x.withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp")))
+    fields = [f for f in x.schema.fields if f.name not in ("tw_dedup_key", "tw_ts_ms")]
     out = T.StructType(fields + [T.StructField("is_dup", T.BooleanType())])
-    return x.groupBy("topic", "partition", "tw_dedup_key").transformWithStateInPandas(LastOffsetDedup(n, ttl_ms), out, "Append", "None")
+    return x.groupBy("topic", "partition", "tw_dedup_key").transformWithStateInPandas(
+        LastOffsetDedup(n, ttl_ms, by), out, "Append", "None"
+    )

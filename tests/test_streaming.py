@@ -137,3 +137,21 @@ def test_stream_load_by_topic_partition(spark, scratch):
     assert lake.count() == exp
     names = lake.select(F.element_at(F.split(F.input_file_name(), "/"), -1).alias("f")).distinct().count()
     assert names > 2
+
+
+def test_stream_offset_dedup_with_state_ttl(spark, scratch):
+    from tidewater.streaming.processors import offset_range_dedup
+
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 1000)])
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        st = read_stream_log(spark, path, streaming=True)
+        q = (offset_range_dedup(st, 30, ttl_ms=24 * 3_600_000).writeStream.format("memory").queryName("ttl_x3")
+             .option("checkpointLocation", f"{scratch}/ck").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        got = spark.sql("select topic, partition, offset, is_dup from ttl_x3")
+    finally:
+        spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
+    exp = dedup_offset_range(read_stream_log(spark, path), 30).select("topic", "partition", "offset", "is_dup")
+    assert _same(got, exp)

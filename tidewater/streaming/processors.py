@@ -143,13 +143,21 @@ def watermark_and_dedup(stream: DataFrame, capacity: int | None, scope: list[str
 
 
 def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None, by: str = "offset") -> DataFrame:
-    """X3 (``by="offset"``) or X4 (``by="time"``, ``n`` in ms) on a stream, keyed by (topic, partition, key)."""
+    """X3 (``by="offset"``) or X4 (``by="time"``, ``n`` in ms) on a stream, keyed by (topic, partition, key).
+
+    ``ttl_ms`` bounds the per-key state (keys idle longer are forgotten); TTL
+    runs on processing time.  A run-to-completion trigger (``availableNow``)
+    with TTL also needs ``spark.sql.streaming.noDataMicroBatches.enabled=false``,
+    or the query keeps scheduling clean-up batches.
+    """
     _prep(stream)
     x = stream.withColumn("tw_dedup_key", key_string("key"))
     if by == "time":
         x = x.withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp")))
     fields = [f for f in x.schema.fields if f.name not in ("tw_dedup_key", "tw_ts_ms")]
     out = T.StructType(fields + [T.StructField("is_dup", T.BooleanType())])
+    # state TTL (bounding the per-key state) runs on processing time
+    time_mode = "ProcessingTime" if ttl_ms else "None"
     return x.groupBy("topic", "partition", "tw_dedup_key").transformWithStateInPandas(
-        LastOffsetDedup(n, ttl_ms, by), out, "Append", "None"
+        LastOffsetDedup(n, ttl_ms, by), out, "Append", time_mode
     )

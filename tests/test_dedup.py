@@ -143,3 +143,15 @@ def test_recent_keys_many_runs_against_simulation(spark):
         got = _collect(dedup_recent_keys(log, cap, chunk_size=chunk, strategy="chunked"))
         exp = _brute_x1(got, cap, ["topic", "partition"], ["offset"])
         assert {k: v for k, v in zip(zip(got.topic, got.partition, got.offset), got.is_dup)} == exp
+
+
+def test_fused_watermark_offset_dedup_equals_composition(spark):
+    from tidewater.operators.watermark import with_stream_watermark
+
+    log = events_log(spark, SF_SMALL)
+    for n, size in [(7, 20), (50, 50), (50, 1 << 20), (1, 1)]:
+        fused = dedup.watermark_offset_dedup(log, n, chunk_size=size).select("topic", "partition", "offset", "watermark", "is_dup")
+        comp = dedup.dedup_offset_range(with_stream_watermark(log, chunk_size=size), n).select(
+            "topic", "partition", "offset", "watermark", "is_dup")
+        assert fused.count() == 1000
+        assert fused.exceptAll(comp).count() == 0 and comp.exceptAll(fused).count() == 0, (n, size)

@@ -164,3 +164,45 @@ def dedup_recent_keys(*args, **kwargs) -> DataFrame:
     from .recent_keys import dedup_recent_keys as impl
 
     return impl(*args, **kwargs)
+
+
+def watermark_offset_dedup(
+    df: DataFrame,
+    n: int,
+    chunk_size: int = DEFAULT_CHUNK,
+    time_col: str = "timestamp",
+    out: str = "watermark",
+) -> DataFrame:
+    """W1 + X3 per topic-partition on a single exchange of the data.
+
+    Rows are hashed on (topic, partition, chunk), chunk = offset // size.  A
+    record within ``n`` offsets of the next chunk is also sent, tagged, to
+    that chunk (a fraction n / size of the rows), so both windows run on the
+    same exchange: the running watermark per (topic, partition, chunk),
+    skipping the copies, and the previous offset per (topic, partition,
+    chunk, key) — a finer clustering the same hash partitioning satisfies.
+    The watermark's carry-in from earlier chunks is a small partial
+    aggregate joined back.
+    """
+    if not 1 <= n <= chunk_size:
+        raise ValueError("need 1 <= n <= chunk_size")
+    from .scans import running_max  # noqa: F401  (same carry-in rule as running_max)
+
+    tp = list(TOPIC_PARTITION)
+    c = F.floor(F.col("offset") / F.lit(chunk_size)).cast("long")
+    x = df.withColumn(DEDUP_KEY, key_string("key")).withColumn("_tw_ts", ts_millis(time_col)).withColumn("_tw_c", c)
+    near_next = F.col("offset") >= (F.col("_tw_c") + 1) * F.lit(chunk_size) - F.lit(n)
+    copies = F.when(near_next, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))
+    x = x.withColumn("_tw_copy", F.explode(copies)).withColumn(
+        "_tw_c", F.col("_tw_c") + F.when(F.col("_tw_copy"), 1).otherwise(0)
+    )
+    run = Window.partitionBy(*tp, "_tw_c").orderBy("offset").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = x.withColumn(out, F.max(F.when(~F.col("_tw_copy"), F.col("_tw_ts"))).over(run))
+    by_key = Window.partitionBy(*tp, "_tw_c", DEDUP_KEY).orderBy("offset")
+    x = x.withColumn("_tw_prev", F.lag("offset").over(by_key)).where(~F.col("_tw_copy"))
+    per_chunk = df.groupBy(*tp, c.alias("_tw_c")).agg(F.max(ts_millis(time_col)).alias("_tw_cmax"))
+    before = Window.partitionBy(*tp).orderBy("_tw_c").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select(*tp, "_tw_c", F.max("_tw_cmax").over(before).alias("_tw_carry"))
+    x = x.join(carry, on=[*tp, "_tw_c"], how="left").withColumn(out, F.greatest(F.col(out), F.col("_tw_carry")))
+    dup = F.col(DEDUP_KEY).isNotNull() & F.col("_tw_prev").isNotNull() & (F.col("offset") - F.col("_tw_prev") <= F.lit(n))
+    return x.withColumn(IS_DUP, dup).drop(DEDUP_KEY, "_tw_ts", "_tw_c", "_tw_copy", "_tw_prev", "_tw_carry")

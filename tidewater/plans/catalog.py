@@ -104,7 +104,8 @@ FROM kept GROUP BY ALL""",
 )
 def hour_bucket_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Flagship: log -> watermark -> offset-range dedup -> hour buckets -> counts."""
-    x = dedup.drop_duplicates_marked(dedup.dedup_offset_range(_wm(spark, sf), DEDUP_OFFSETS))
+    # watermark and offset-range dedup share one exchange of the log
+    x = dedup.drop_duplicates_marked(dedup.watermark_offset_dedup(events_log(spark, sf), DEDUP_OFFSETS))
     x = partitioning.time_partition(x, "hourly")
     return x.groupBy("dt", "hr", "topic", "partition").agg(
         F.count(F.lit(1)).alias("records"), F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset")
@@ -486,7 +487,7 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 # ------------------------------------------------------------------ M1-M10
 def _metrics(spark: SparkSession, sf: str) -> DataFrame:
     """The load metrics as a stored table (as a metrics store holds them); the M queries read it."""
-    marked = dedup.dedup_offset_range(_wm(spark, sf), DEDUP_OFFSETS).select(
+    marked = dedup.watermark_offset_dedup(events_log(spark, sf), DEDUP_OFFSETS).select(
         "topic", "partition", "offset", "key", "watermark", "is_dup"
     )
     # the marked log feeds several series: computed once, as a table

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..operators import codec, dedup, partitioning
 from ..operators.recent_keys import dedup_recent_keys
 from ..operators.positions import commit_positions
+from ..operators.scans import DEFAULT_CHUNK
 from ..operators.watermark import with_stream_watermark
 from .sink import _FS, ParquetOptions, publish
 
@@ -64,8 +65,10 @@ def prepare(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
     """Watermark, dedup, decode, filter: decoded rows with ``watermark``, before file assignment."""
     if spec.history is not None and spec.dedup is not None:
         log = dedup.with_rewind(log, spec.history, spec.rewind)
-    x = with_stream_watermark(log)
-    x = mark_duplicates(x, spec)
+    if spec.dedup == "offsets" and spec.scope is None and spec.dedup_offsets <= DEFAULT_CHUNK:
+        x = dedup.watermark_offset_dedup(log, spec.dedup_offsets)  # one exchange for both
+    else:
+        x = mark_duplicates(with_stream_watermark(log), spec)
     if "is_rewound" in x.columns:
         x = dedup.drop_rewound(x)
     if spec.dedup is not None:

@@ -186,7 +186,6 @@ def watermark_offset_dedup(
     """
     if not 1 <= n <= chunk_size:
         raise ValueError("need 1 <= n <= chunk_size")
-    from .scans import running_max  # noqa: F401  (same carry-in rule as running_max)
 
     tp = list(TOPIC_PARTITION)
     c = F.floor(F.col("offset") / F.lit(chunk_size)).cast("long")

@@ -174,11 +174,13 @@ def simulate_cache(keys: Sequence[str | None], capacity: int) -> list[bool]:
     return out
 
 
-def _max_distinct_keys(df: DataFrame, scope, key: Column | None) -> int:
+def _key_stats(df: DataFrame, scope, key: Column | None) -> tuple[int, int]:
+    """(distinct keys of the busiest scope, rows with a key) in one aggregate job."""
     x, grp = scope_columns(df, scope)
     x = x.select(*grp, (key if key is not None else key_string("key")).alias(DEDUP_KEY)).where(F.col(DEDUP_KEY).isNotNull())
-    top = x.distinct().groupBy(*grp).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+    per_scope = x.groupBy(*grp).agg(F.countDistinct(DEDUP_KEY).alias("nk"), F.count(F.lit(1)).alias("n"))
+    top, rows = per_scope.agg(F.max("nk"), F.sum("n")).first()
+    return int(top or 0), int(rows or 0)
 
 
 def _seen_before(df: DataFrame, scope, order: Sequence[str] | None, key: Column | None) -> DataFrame:
@@ -224,8 +226,11 @@ def dedup_recent_keys(
         raise ValueError("capacity must be >= 1")
     if df.isStreaming:
         raise ValueError("dedup_recent_keys is the batch form; streams use streaming.processors.watermark_and_dedup")
-    if strategy == "auto" and _max_distinct_keys(df, scope, key) < capacity:
-        return _seen_before(df, scope, order, key)
+    rows = None
+    if strategy == "auto":
+        most_keys, rows = _key_stats(df, scope, key)
+        if most_keys < capacity:
+            return _seen_before(df, scope, order, key)
     spark = df.sparkSession
     ship_package(spark)
     x, grp = scope_columns(df, scope)
@@ -241,8 +246,10 @@ def dedup_recent_keys(
     if order == ["offset"]:
         narrow = narrow.withColumn(CHUNK, F.floor(F.col("offset") / F.lit(chunk_size)).cast("long"))
     else:
-        # range chunks of about chunk_size rows each (one counting scan of the key column)
-        n = num_chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-narrow.count() // chunk_size))
+        # range chunks of about chunk_size rows each (row count from the key statistics)
+        if rows is None:
+            rows = narrow.count()
+        n = num_chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // chunk_size))
         narrow = narrow.repartitionByRange(n, *grp, *order).withColumn(
             CHUNK, F.spark_partition_id().cast("long")
         )

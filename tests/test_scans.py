@@ -40,5 +40,5 @@ def test_offsets_for_times(spark):
     rows = [("t", 0, o, ts) for o, ts in enumerate([5, 3, 9, 1, 12, 11])]
     df = spark.createDataFrame(rows, "topic string, partition int, offset long, ms long").withColumn("timestamp", F.timestamp_millis("ms"))
     times = spark.createDataFrame([("t", 0, 4), ("t", 0, 10), ("t", 0, 13), ("t", 1, 0)], "topic string, partition int, t_ms long")
-    got = {(r.partition, r.t_ms): (r.offset, r.timestamp_ms) for r in offsets_for_times(df, times, chunk_ms=3).collect()}
+    got = {(r.partition, r.t_ms): (r.offset, r.timestamp_ms) for r in offsets_for_times(df, times, bucket_ms=3).collect()}
     assert got == {(0, 4): (0, 5), (0, 10): (4, 12), (0, 13): (None, None), (1, 0): (None, None)}

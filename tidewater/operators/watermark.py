@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schema import TOPIC_PARTITION, assert_kafka_shaped, ts_millis
@@ -64,32 +64,41 @@ def offsets_for_times(
     log: DataFrame,
     times: DataFrame,
     time_col: str = "timestamp",
-    chunk_ms: int = 60_000,
+    bucket_ms: int = 60_000,
 ) -> DataFrame:
     """Per requested (topic, partition, t_ms), the first offset whose time is >= t.
 
-    Requests are merged into the log and scanned in descending time: the
-    running minimum of (offset, time) over records at or after t is the
-    answer (an as-of lookup; no record x request expansion).  The scan is
-    chunked by ``chunk_ms`` of time.  Partitions with no such record get
-    nulls.
+    With records bucketed by ``bucket_ms`` of time, the answer is the smaller
+    of (a) the first offset among records of t's own bucket with time >= t —
+    the records meet the (few) requests of their bucket in an equi-join — and
+    (b) the first offset over all later buckets — a suffix minimum over the
+    per-bucket table (one row per bucket, partial aggregation).  No ordered
+    scan over records, so a burst in one bucket is just a larger aggregate.
+    Partitions with no such record get nulls.
     """
-    recs = log.select(
-        "topic", "partition",
-        F.struct(F.col("offset").alias("offset"), ts_millis(time_col).alias("ts")).alias("_tw_hit"),
-        ts_millis(time_col).alias("_tw_t"), F.lit(0).alias("_tw_kind"), F.lit(None).cast("long").alias("t_ms"),
+    tp = list(TOPIC_PARTITION)
+    first = F.struct(F.col("offset").alias("offset"), F.col("_tw_ts").alias("ts"))
+    recs = log.select(*tp, "offset", ts_millis(time_col).alias("_tw_ts")).withColumn(
+        "_tw_b", F.floor(F.col("_tw_ts") / F.lit(bucket_ms)).cast("long")
     )
-    req = times.select(
-        "topic", "partition",
-        F.lit(None).cast("struct<offset:bigint,ts:bigint>").alias("_tw_hit"),
-        F.col("t_ms").cast("long").alias("_tw_t"), F.lit(1).alias("_tw_kind"), F.col("t_ms").cast("long").alias("t_ms"),
+    req = times.select(*tp, F.col("t_ms").cast("long").alias("t_ms")).distinct().withColumn(
+        "_tw_b", F.floor(F.col("t_ms") / F.lit(bucket_ms)).cast("long")
     )
-    u = recs.unionByName(req).withColumn("_tw_neg", -F.col("_tw_t"))
-    x = running_max(
-        u, TOPIC_PARTITION, ["_tw_neg", "_tw_kind"], "_tw_hit", "_tw_best",
-        chunk=F.floor(F.col("_tw_neg") / F.lit(chunk_ms)).cast("long"), agg="min",
+    own = (
+        recs.join(req, on=[*tp, "_tw_b"], how="inner")
+        .where(F.col("_tw_ts") >= F.col("t_ms"))
+        .groupBy(*tp, "t_ms")
+        .agg(F.min(first).alias("_tw_own"))
     )
-    return x.where(F.col("_tw_kind") == 1).select(
-        "topic", "partition", "t_ms",
-        F.col("_tw_best.offset").alias("offset"), F.col("_tw_best.ts").alias("timestamp_ms"),
+    buckets = recs.groupBy(*tp, "_tw_b").agg(F.min(first).alias("_tw_best"))
+    marks = req.select(*tp, "_tw_b", F.lit(None).cast(buckets.schema["_tw_best"].dataType).alias("_tw_best"),
+                       F.lit(1).alias("_tw_req"), "t_ms")
+    u = buckets.withColumn("_tw_req", F.lit(0)).withColumn("t_ms", F.lit(None).cast("long")).unionByName(marks)
+    # newest bucket first; a request sorts before its own bucket's row, so it sees later buckets only
+    later = Window.partitionBy(*tp).orderBy(F.col("_tw_b").desc(), F.col("_tw_req").desc()).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
     )
+    after = u.withColumn("_tw_later", F.min("_tw_best").over(later)).where(F.col("_tw_req") == 1).select(*tp, "t_ms", "_tw_later")
+    out = req.join(own, on=[*tp, "t_ms"], how="left").join(after, on=[*tp, "t_ms"], how="left")
+    best = F.least(F.col("_tw_own"), F.col("_tw_later"))
+    return out.select(*tp, "t_ms", best["offset"].alias("offset"), best["ts"].alias("timestamp_ms"))

@@ -110,3 +110,17 @@ def test_batch_audits_feed_monitoring(spark, scratch):
     assert sum(r.files_per_hour for r in files) == 2 * 2  # two batches, 2 x increase per 30 minutes
     written = monitoring.records_written_rate(m, window_ms=3_600_000).groupBy().sum("rate").first()[0] * 3600
     assert round(written) == sink.read_loaded(spark, f"{scratch}/lake", "hourly").count()
+
+
+def test_runner_stream_load_from_parquet_topic(spark, scratch):
+    from tidewater.plans import runner
+    from tidewater.schema import KAFKA_SCHEMA
+
+    _encoded(spark).select(*KAFKA_SCHEMA.fieldNames()).write.parquet(f"{scratch}/topic")
+    runner.main(["--source", "parquet", "--path", f"{scratch}/topic", "--base", f"{scratch}/lake", "--loader", "deduplicated",
+                 "--key-cache", "3", "--stream", "--available-now", "--checkpoint", f"{scratch}/ck"])
+    from tidewater.operators.recent_keys import dedup_recent_keys
+    from tidewater.sources.logs import read_stream_log
+
+    exp = dedup_recent_keys(read_stream_log(spark, f"{scratch}/topic"), 3).where("not is_dup").count()
+    assert sink.read_loaded(spark, f"{scratch}/lake", "hourly", committed_only=True).count() == exp

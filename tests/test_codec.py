@@ -79,3 +79,11 @@ def test_decode_on_a_stream(spark, scratch):
     q.awaitTermination()
     got = spark.sql("select count(*) n, sum(cast(_corrupt as int)) bad from dec_stream").first()
     assert (got.n, got.bad) == (1000, 20)
+
+
+def test_required_kafka_group_is_checked(spark):
+    log = codec.encode_events(events_log(spark, SF_SMALL, payload=True)).withColumn("watermark", F.unix_millis("timestamp"))
+    ann = codec.annotate_kafka(codec.drop_malformed(codec.decode_proto(log)))
+    assert codec.required_violations(ann).count() == 0
+    broken = ann.withColumn("_kafka", F.col("_kafka").withField("watermark", F.lit(None).cast("long")))
+    assert codec.required_violations(broken).count() == 1000

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import proto
-from ..schema import META_COL, kafka_meta
+from ..schema import KAFKA_META, META_COL, kafka_meta
 from ..session import ship_package
 from ..sources.logs import CORRUPT_EVERY
 
@@ -150,6 +150,20 @@ def annotate_kafka(
     return decoded.select(*message_fields, kafka_meta(watermark).alias(META_COL), *extra)
 
 
+def required_violations(loaded: DataFrame) -> DataFrame:
+    """Rows breaking the required ``_kafka`` group (the group or any of its fields null).
+
+    The loaded schema marks ``_kafka`` and its fields required; Spark keeps
+    such constraints as data checks, not as file properties, so this is the
+    check (empty on a valid load).
+    """
+    fields = [F.col(f"{META_COL}.{f.name}").isNull() for f in KAFKA_META.fields]
+    bad = F.col(META_COL).isNull()
+    for c in fields:
+        bad = bad | c
+    return loaded.where(bad)
+
+
 def filter_records(df: DataFrame, predicate: Column | None = None, python_predicate=None) -> DataFrame:
     """Keep records passing a predicate on the *decoded* message.
 

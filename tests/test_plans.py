@@ -9,7 +9,7 @@ from tidewater.plans import catalog
 
 PYTHON_NODES = ("MapInPandas", "MapInArrow", "FlatMapGroupsInPandas", "FlatMapCoGroupsInPandas", "ArrowEvalPython", "BatchEvalPython")
 # queries whose work needs a Python stage (protobuf, the exact cache, or per-row predicates)
-PYTHON_OK = {"dedup_recent_keys", "dedup_root_scope", "decode_roundtrip", "drop_malformed", "malformed_report", "filter_records"}
+PYTHON_OK = {"dedup_recent_keys", "dedup_root_scope", "decode_roundtrip", "drop_malformed", "malformed_report", "malformed_counts", "filter_records"}
 # queries whose returned frame reads tables they wrote (lake, metrics, staged topic)
 READS_BACK = {"load_deduplicated", "load_plain", "file_ranges", "parquet_roundtrip", "stream_load_hourly",
               "stream_dedup_offset_range", "roll_any_file"}

@@ -240,6 +240,18 @@ def malformed_report(spark: SparkSession, sf: str) -> DataFrame:
     return codec.malformed_report(codec.decode_proto(log))
 
 
+@register(
+    "malformed_counts",
+    f"""SELECT 'events' AS topic, CAST(user_id % 3 AS INTEGER) AS "partition", count(*) AS malformed,
+  min(event_id) AS first_offset, max(event_id) AS last_offset
+FROM events WHERE event_id % {CORRUPT_EVERY} = 0 GROUP BY ALL""",
+)
+def malformed_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Skipped records per topic-partition with their offset span."""
+    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY)
+    return codec.malformed_counts(codec.decode_proto(log))
+
+
 @register(
     "filter_records",
     f"""WITH {LOG}, {X3.format(src='log')}

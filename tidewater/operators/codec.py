@@ -1,8 +1,9 @@
 """Decode, validate, annotate and filter records (R1-R8), and encode (K10 side).
 
-Decoding runs as ``mapInArrow``: Arrow batches in, the ``value`` bytes are
-parsed with the message class, other columns pass through untouched
-(zero-copy).  A record that does not parse — or has a null value (a
+Decoding runs in the JVM with ``from_protobuf`` when the spark-protobuf
+package is on the classpath, else as ``mapInArrow``: Arrow batches in, the
+``value`` bytes parsed with the message class, other columns passing
+through untouched (zero-copy).  A record that does not parse — or has a null value (a
 tombstone) — is marked ``_corrupt`` instead of failing the job; the load
 plans drop it (R2) and report it (R3).
 """

@@ -14,6 +14,8 @@ Three rules, all per *scope* (a partition group, P5):
 
 All mark rather than drop (``is_dup``) so ``duplicate_counts`` (X6) and
 the load plans can share one pass; ``drop_duplicates_marked`` filters.
+``watermark_offset_dedup`` fuses W1 and X3 on one exchange of the log;
+``with_rewind`` / ``drop_rewound`` warm a batch increment (X5).
 A null key is never a duplicate and does not enter the cache.
 """
 

@@ -229,9 +229,11 @@ def _roll_contiguous(df: DataFrame, n: int, group: list[str], file_cols: list[st
 
 
 def _unit(seed: int, k: Column, tag: str) -> Column:
-    """Uniform (0, 1) from a hash of (seed, k, tag): stable under any partitioning."""
-    h = F.xxhash64(F.lit(seed), k, F.lit(tag)).bitwiseAND(F.lit((1 << 53) - 1))
-    return (h + F.lit(1)) / F.lit(float((1 << 53) + 1))
+    """Uniform (0, 1) from the MD5 of "seed/k/tag" (first 13 hex digits): stable
+    under any partitioning, and computable in SQL engines too."""
+    text = F.concat_ws("/", F.lit(str(seed)), k.cast("string"), F.lit(tag))
+    h = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+    return (h + F.lit(1)) / F.lit(float(16**13 + 1))
 
 
 def fuzzy_limits(spark, count: int, mean: float, sd: float, seed: int) -> DataFrame:

@@ -722,3 +722,25 @@ def stream_dedup_offset_range(spark: SparkSession, sf: str) -> DataFrame:
          .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.parquet(out).select("topic", "partition", "offset", "is_dup")
+
+
+FUZZY_MEAN, FUZZY_SD, FUZZY_SEED, FUZZY_FILES = 100.0, 20.0, 7, 4000
+
+
+@register(
+    "roll_fuzzy",
+    f"""WITH {LOG},
+p AS (SELECT topic, "partition", "offset", row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS pos FROM log),
+u AS (SELECT k,
+        (CAST('0x' || substr(md5('{FUZZY_SEED}/' || CAST(k AS VARCHAR) || '/a'), 1, 13) AS BIGINT) + 1) / {float(16**13 + 1)} AS ua,
+        (CAST('0x' || substr(md5('{FUZZY_SEED}/' || CAST(k AS VARCHAR) || '/b'), 1, 13) AS BIGINT) + 1) / {float(16**13 + 1)} AS ub
+      FROM range(0, {FUZZY_FILES}) t(k)),
+s AS (SELECT k, greatest(1, CAST(round({FUZZY_MEAN} + {FUZZY_SD} * (sqrt(-2.0 * ln(ua)) * cos(2.0 * 3.141592653589793 * ub))) AS BIGINT)) AS size FROM u),
+f AS (SELECT k, sum(size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS fend, size FROM s)
+SELECT p.topic, p."partition", p."offset", f.k AS file_seq FROM p JOIN f ON p.pos >= f.fend - f.size AND p.pos < f.fend""",
+)
+def roll_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
+    """per topic-partition files at Gaussian-jittered record limits (mean 100, sd 20, seed 7)."""
+    return partitioning.roll_fuzzy(events_log(spark, sf), FUZZY_MEAN, FUZZY_SD, FUZZY_SEED).select(
+        "topic", "partition", "offset", "file_seq"
+    )

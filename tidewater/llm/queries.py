@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, packing
+from ..plans.sink import scratch_path
+from . import bpe, packing, warc
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -28,5 +29,13 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_best_fit_packing)}
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WARC records of all pages, written and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    back = warc.read_records(spark, path)
+    return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
+
+
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_best_fit_packing, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.sink import scratch_path
-from . import bpe, packing, warc
+from . import bpe, langid, packing, toxicity, warc
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,6 +17,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def remainder(column: str, n: int):
+    """crc32 of an id as text, modulo n."""
+    return F.crc32(F.col(column).cast("string").cast("binary")) % n
+
+
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text, learned from the documents that are not held out."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", 4) == 2
+    model = langid.fit(docs.where(~F.coalesce(held_out, F.lit(False))).select("text", "lang"))
+    return langid.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every whole text and the bytes they decode to, as digests."""
     coded = bpe.encode(read(spark, sf_dir, "documents"), MULTI_RANKS, ["doc_id"], round_trip=True)
@@ -29,6 +42,15 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score for every whole text, learned from the labels that are not held out."""
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    held_out = remainder("doc_id", 5) == 0
+    model = toxicity.fit(docs, labels.where(~F.coalesce(held_out, F.lit(False))))
+    scored = toxicity.score(docs, model, ["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WARC records of all pages, written and read back."""
     path = scratch_path(spark, "warc")
@@ -37,5 +59,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op3_best_fit_packing, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op7_toxicity, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}

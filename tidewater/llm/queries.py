@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.sink import scratch_path
-from . import bpe, langid, packing, toxicity, warc
+from . import bpe, langid, ngram_join, packing, toxicity, warc
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -42,6 +42,11 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", F.col("length").cast("long").alias("length"), "ids_crc32", "sequence_id", "offset")
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate component of every document: 5-word shingles, Jaccard similarity of 0.75 or more."""
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every whole text, learned from the labels that are not held out."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -59,5 +64,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op7_toxicity, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op7_toxicity, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}

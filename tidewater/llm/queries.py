@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.sink import scratch_path
-from . import ann, bpe, fingerprint, langid, ngram_join, packing, toxicity, warc
+from . import ann, bpe, fingerprint, html_extract, langid, ngram_join, packing, toxicity, warc
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page, by its host's winning container path."""
+    return html_extract.extract(read(spark, sf_dir, "pages"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every whole text, learned from the labels that are not held out."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
@@ -74,5 +79,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op7_toxicity, op8_nearest, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op6_html_text, op7_toxicity, op8_nearest, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}

@@ -7,9 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.sink import scratch_path
-from . import ann, bpe, fingerprint, html_extract, langid, ngram_join, packing, toxicity, warc
+from . import ann, bpe, fingerprint, html_extract, langid, ngram_join, packing, tokencount, toxicity, warc
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BYTE_TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -71,6 +72,11 @@ def op8_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words and greedy longest-match tokens of every whole text."""
+    return tokencount.token_counts(read(spark, sf_dir, "documents"), WORD_TOKENIZER, ["doc_id"])
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """WARC records of all pages, written and read back."""
     path = scratch_path(spark, "warc")
@@ -79,5 +85,5 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op6_html_text, op7_toxicity, op8_nearest, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op6_html_text, op7_toxicity, op8_nearest, op9_token_counts, op10_warc)}
 ORACLE_SQL: dict[str, str] = {}

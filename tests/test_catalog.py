@@ -8,6 +8,7 @@ import pytest
 from conftest import SF_SMALL
 import __spark_entry__ as entry
 from scripts.oracle_check import digest, norm
+from tidewater.plans import catalog
 
 TABLES = "orders events".split()
 
@@ -20,7 +21,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(catalog.ORACLE_SQL))
 def test_query_matches_oracle(spark, con, name):
     got = entry.queries()[name](spark, SF_SMALL).toPandas()
     exp = con.sql(entry.oracle_sql()[name]).df()
@@ -30,7 +31,7 @@ def test_query_matches_oracle(spark, con, name):
 
 
 def test_every_query_has_oracle_or_simulation_test():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(catalog.QUERIES) == set(catalog.ORACLE_SQL)
 
 
 def test_entry_smoke(spark):

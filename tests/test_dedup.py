@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidewater.operators import dedup
-from tidewater.operators.recent_keys import dedup_recent_keys, simulate_cache
+from cache_model import simulate_cache
+from tidewater.operators.recent_keys import dedup_recent_keys
 from tidewater.sources.generators import generate_test_records
 from tidewater.sources.logs import events_log, two_topic_log
 
@@ -122,15 +123,15 @@ def test_load_with_byte_limit_and_rewind(spark, scratch):
     assert max(r["count"] for r in sizes) < 100 and len(m["files"]) == len(sizes)
 
 
-def test_auto_strategy_equals_chunked_around_the_capacity(spark):
+def test_unbounded_strategy_equals_chunked_beyond_the_capacity(spark):
     log = events_log(spark, SF_SMALL)
     keys_per_partition = log.groupBy("partition").agg(F.countDistinct("key").alias("n")).agg(F.max("n")).first()[0]
-    for cap in (keys_per_partition - 1, keys_per_partition, keys_per_partition + 1, 2000):
-        a = dedup_recent_keys(log, cap).select("topic", "partition", "offset", "is_dup")
+    for cap in (keys_per_partition + 1, 2000):
+        a = dedup_recent_keys(log, cap, strategy="unbounded").select("topic", "partition", "offset", "is_dup")
         b = dedup_recent_keys(log, cap, strategy="chunked").select("topic", "partition", "offset", "is_dup")
         assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0, cap
     two = two_topic_log(spark, SF_SMALL)
-    a = dedup_recent_keys(two, 5000, scope="root").select("topic", "partition", "offset", "is_dup")
+    a = dedup_recent_keys(two, 5000, scope="root", strategy="unbounded").select("topic", "partition", "offset", "is_dup")
     b = dedup_recent_keys(two, 5000, scope="root", strategy="chunked").select("topic", "partition", "offset", "is_dup")
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
@@ -155,3 +156,18 @@ def test_fused_watermark_offset_dedup_equals_composition(spark):
             "topic", "partition", "offset", "watermark", "is_dup")
         assert fused.count() == 1000
         assert fused.exceptAll(comp).count() == 0 and comp.exceptAll(fused).count() == 0, (n, size)
+
+
+def test_root_scope_does_not_depend_on_exchange_reuse(spark):
+    log = two_topic_log(spark, SF_SMALL)
+    want = None
+    for reuse, aqe in (("true", "true"), ("false", "true"), ("false", "false")):
+        spark.conf.set("spark.sql.exchange.reuse", reuse)
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        try:
+            got = {(r.topic, r.partition, r.offset): r.is_dup for r in dedup_recent_keys(log, 30, scope="root", num_chunks=7).collect()}
+        finally:
+            spark.conf.set("spark.sql.exchange.reuse", "true")
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+        want = want or got
+        assert got == want

@@ -58,3 +58,14 @@ def test_queue_depth_last_sample_and_topic_values(spark):
     m = _metrics(spark, rows)
     assert [(r.job, r.depth) for r in M.commit_queue_depth(m).collect()] == [("j", 3.0)]
     assert sorted(r.topic for r in M.topic_values(m).collect()) == ["a", "b"]
+
+
+def test_quantiles_of_several_series_are_summed(spark):
+    def b(le, v, thread_no):
+        return (M.COMMIT_BUCKET, {"le": le, "loader_thread": "l", "partition_group": "g", "instance": str(thread_no)}, T0, float(v))
+
+    les = ["0.5", "1", "5", "30", "60", "300", "900", "3600", "+Inf"]
+    rows = [b(le, 0 if le == "0.5" else 1000, 0) for le in les] + [b(le, 0 if le in ("0.5", "1") else 1000, 1) for le in les]
+    got = M.commit_duration_quantile(_metrics(spark, rows), 0.999).collect()
+    # one series lies in (0.5, 1], the other in (1, 5]
+    assert len(got) == 1 and abs(got[0].duration_s - ((0.5 + 0.5 * 0.999) + (1 + 4 * 0.999))) < 1e-9

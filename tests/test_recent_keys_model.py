@@ -3,7 +3,8 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tidewater.operators.recent_keys import WarmFold, _summary_rows, decide_chunk, simulate_cache
+from cache_model import run_fold, simulate_cache
+from tidewater.operators.recent_keys import WarmFold, _summary_rows, decide_chunk
 
 
 def chunked(keys, capacity, chunk_len):
@@ -58,8 +59,6 @@ def test_chunked_equals_simulation_wide(keys, capacity, chunk_len):
 
 
 def chunked_runs(keys, capacity, chunk_len):
-    from tidewater.operators.recent_keys import run_fold
-
     chunks = [keys[i : i + chunk_len] for i in range(0, len(keys), chunk_len)]
     summ = []
     for ch in chunks:

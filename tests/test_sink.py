@@ -124,3 +124,53 @@ def test_runner_stream_load_from_parquet_topic(spark, scratch):
 
     exp = dedup_recent_keys(read_stream_log(spark, f"{scratch}/topic"), 3).where("not is_dup").count()
     assert sink.read_loaded(spark, f"{scratch}/lake", "hourly", committed_only=True).count() == exp
+
+
+def test_small_files_appear_whole(spark, scratch):
+    fs = sink._FS(spark, scratch)
+    fs.write_text(f"{scratch}/m/x.json", "[1]")
+    fs.write_text(f"{scratch}/m/x.json", "[1, 2]")
+    assert fs.read_text(f"{scratch}/m/x.json") == "[1, 2]" and not [f for f in os.listdir(f"{scratch}/m") if f.endswith(".part")]
+
+
+def test_an_attempt_that_died_while_moving_leaves_nothing(spark, scratch):
+    base = f"{scratch}/tp"
+    spec = loads.LoadSpec(dedup=None, layout="topic_partition", roll_records=100)
+    loads.load(_encoded(spark), base, 0, spec)
+    files = json.loads(open(sink.manifest_path(base, 0)).read())["files"]
+    # as if the batch had died after its moves: no manifest, its list of moves still there
+    os.remove(sink.manifest_path(base, 0))
+    os.makedirs(f"{base}/_staging", exist_ok=True)
+    with open(f"{base}/_staging/moves-0.json", "w") as f:
+        json.dump(files, f)
+    loads.load(_encoded(spark), base, 0, loads.LoadSpec(dedup=None, layout="topic_partition", roll_records=70))
+    assert sink.read_loaded(spark, base, "topic_partition").count() == 1000
+
+
+def test_committed_read_of_an_empty_lake_has_its_directories(spark, scratch):
+    assert {"dt", "hr"} <= set(sink.read_loaded(spark, f"{scratch}/none", "hourly", committed_only=True).columns)
+
+
+def test_resumed_increments_equal_one_batch(spark, scratch):
+    enc = _encoded(spark)
+    whole = loads.LoadSpec(dedup="recent", key_cache=4, layout="daily", chunk_size=300)
+    loads.load(enc, f"{scratch}/one", 0, whole)
+    parts = loads.LoadSpec(dedup="recent", key_cache=4, layout="daily", chunk_size=300, resume=True, rewind=1000)
+    for i, end in enumerate((350, 351, 800, 2000)):
+        loads.load(enc.where(F.col("offset") < end), f"{scratch}/parts", i, parts)
+    a, b = (sink.read_loaded(spark, f"{scratch}/{p}", "daily", committed_only=True).select("_kafka.*", "dt") for p in ("one", "parts"))
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
+
+
+def test_reports_feed_monitoring(spark, scratch):
+    from tidewater.operators import monitoring
+
+    enc = codec.encode_events(events_log(spark, SF_SMALL, payload=True), corrupt_every=50)
+    m = loads.load(enc, f"{scratch}/lake", 0, loads.LoadSpec(dedup="offsets", dedup_offsets=50, layout="daily", report=True))
+    series = monitoring.metrics_from_manifests(spark, f"{scratch}/lake")
+    assert sum(d["duplicate"] for d in m["dropped"]) > 0
+    rate = monitoring.duplicate_rate(series, window_ms=3_600_000).groupBy().sum("rate").first()[0]
+    assert round(rate * 3600) == sum(d["duplicate"] for d in m["dropped"])
+    batched = monitoring.records_batched_rate(series, window_ms=3_600_000).groupBy().sum("rate").first()[0]
+    assert round(batched * 3600) == 1000
+    assert loads.read_dead_letters(spark, f"{scratch}/lake").count() == sum(d["malformed"] for d in m["dropped"]) > 0

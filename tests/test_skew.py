@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from conftest import SF
 from tidewater.operators import dedup
-from tidewater.operators.recent_keys import dedup_recent_keys, simulate_cache
+from cache_model import simulate_cache
+from tidewater.operators.recent_keys import dedup_recent_keys
 from tidewater.operators.scans import running_max
 from tidewater.sources.logs import events_log
 

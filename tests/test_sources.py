@@ -32,7 +32,8 @@ def test_kafka_options():
     o = kafka.kafka_options("b:9092", ["a", "b"], consumer={"max.poll.records": "2000", "fetch.min.bytes": "8192"})
     assert o["subscribe"] == "a,b" and o["startingOffsets"] == "earliest"
     assert o["kafka.isolation.level"] == "read_committed"
-    assert o["maxOffsetsPerTrigger"] == "2000" and o["kafka.fetch.min.bytes"] == "8192"
+    assert "maxOffsetsPerTrigger" not in o and o["kafka.max.poll.records"] == "2000" and o["kafka.fetch.min.bytes"] == "8192"
+    assert kafka.kafka_options("b:9092", "a", max_offsets_per_trigger=5)["maxOffsetsPerTrigger"] == "5"
     with pytest.raises(ValueError):
         kafka.kafka_options("b:9092", "a", consumer={"enable.auto.commit": "false"})
     assert kafka.kafka_options("b:9092", "a", consumer={"group.id": "g"})["kafka.group.id"] == "g"

@@ -155,3 +155,40 @@ def test_stream_offset_dedup_with_state_ttl(spark, scratch):
         spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     exp = dedup_offset_range(read_stream_log(spark, path), 30).select("topic", "partition", "offset", "is_dup")
     assert _same(got, exp)
+
+
+def test_stream_scopes_equal_batch(spark, scratch):
+    path = f"{scratch}/log"
+    log = encode_events(events_log(spark, SF_SMALL, payload=True)).select(*COLS)
+    log.coalesce(1).write.mode("append").parquet(path)
+    for i, scope in enumerate((F.col("partition") % 2, ["topic"], "root")):
+        got = _run(spark, path, f"{scratch}/ck{i}", f"{scratch}/out{i}", LoadSpec(dedup="recent", key_cache=4, scope=scope))
+        exp = dedup_recent_keys(with_stream_watermark(read_stream_log(spark, path)), 4, scope=scope)
+        assert _same(got.select("topic", "partition", "offset", "is_dup"), exp.select("topic", "partition", "offset", "is_dup")), scope
+
+
+def test_offset_rules_refuse_wider_scopes(spark, scratch):
+    import pytest
+
+    log = events_log(spark, SF_SMALL)
+    with pytest.raises(ValueError, match="topic-partition"):
+        dedup_offset_range(log, 5, scope="root")
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 10)])
+    with pytest.raises(ValueError, match="topic-partition"):
+        dedup_stream(read_stream_log(spark, path, streaming=True), LoadSpec(dedup="offsets", scope="root"))
+
+
+def test_streamed_batches_keep_positions_and_counts(spark, scratch):
+    path = f"{scratch}/log"
+    _write_slices(spark, path, [(0, 500), (500, 1000)])
+    st = read_stream_log(spark, path, streaming=True, max_files_per_trigger=1)
+    load_stream(st, f"{scratch}/lake", LoadSpec(dedup="offsets", dedup_offsets=20, layout="daily"), checkpoint=f"{scratch}/ck").awaitTermination()
+    from tidewater.operators import monitoring, positions
+
+    last = positions.last_committed(sink.committed_positions(spark, f"{scratch}/lake"))
+    exp = positions.commit_positions(read_stream_log(spark, path)).select("topic", "partition", "next_offset", "watermark")
+    assert _same(last.select("topic", "partition", "next_offset", "watermark"), exp)
+    dups = dedup_offset_range(read_stream_log(spark, path), 20).where("is_dup").count()
+    rate = monitoring.duplicate_rate(monitoring.metrics_from_manifests(spark, f"{scratch}/lake"), window_ms=3_600_000).groupBy().sum("rate").first()[0]
+    assert dups > 0 and round(rate * 3600) == dups

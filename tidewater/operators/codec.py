@@ -29,21 +29,6 @@ CORRUPT = "_corrupt"
 CORRUPT_BYTES = b"\x0a\x7f"
 
 
-def spread_for_python(df: DataFrame) -> DataFrame:
-    """Give an Arrow-batched Python stage at least one partition per core.
-
-    Only when the input has fewer partitions than the cluster's default
-    parallelism (a small or single-row-group file); a large input already
-    has that many splits and passes through unchanged, without a shuffle.
-    """
-    if df.isStreaming:  # a stream's splits come from its source options (e.g. minPartitions)
-        return df
-    want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
-
-
 def jvm_protobuf_available(spark) -> bool:
     """True when the spark-protobuf package is on the cluster's classpath."""
     try:
@@ -73,6 +58,7 @@ def decode_proto(
     descriptor_set: bytes | None = None,
     value_col: str = "value",
     engine: str = "auto",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Parse ``value`` into the message's top-level columns; mark failures ``_corrupt``.
 
@@ -81,8 +67,11 @@ def decode_proto(
     sub-message is null, empty bytes are a valid all-default message.
     ``engine``: ``"jvm"`` (``from_protobuf``, needs the spark-protobuf
     package), ``"python"`` (Arrow batches, per-row parse), or ``"auto"``:
-    the JVM when the package is present.
+    the JVM when the package is present.  ``partitions``: deal the rows to
+    so many tasks first, for inputs of few splits (a shuffle; None: as read).
     """
+    if partitions:
+        df = df.repartition(partitions)
     if engine == "jvm" or (engine == "auto" and jvm_protobuf_available(df.sparkSession)):
         return _decode_jvm(df, message, descriptor_set, value_col)
     ship_package(df.sparkSession)
@@ -116,7 +105,7 @@ def decode_proto(
             arrays.append(pa.array(bad, type=pa.bool_()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, *names, CORRUPT])
 
-    return spread_for_python(df).mapInArrow(run, out_schema)
+    return df.mapInArrow(run, out_schema)
 
 
 def drop_malformed(decoded: DataFrame) -> DataFrame:
@@ -197,8 +186,11 @@ def encode_proto(
     message: str = "messages.ComplexType",
     descriptor_set: bytes | None = None,
     out_col: str = "value",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Serialize a struct column (in the message's Spark shape) to bytes (``to_protobuf`` when present)."""
+    if partitions:
+        df = df.repartition(partitions)
     if jvm_protobuf_available(df.sparkSession):
         from pyspark.sql.protobuf.functions import to_protobuf
 
@@ -218,7 +210,7 @@ def encode_proto(
             arrays = [batch.column(n) for n in keep_names] + [pa.array(enc, type=pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, out_col])
 
-    return spread_for_python(df).mapInArrow(run, out_schema)
+    return df.mapInArrow(run, out_schema)
 
 
 def complex_from_events() -> Column:
@@ -243,14 +235,14 @@ def complex_from_events() -> Column:
     )
 
 
-def encode_events(log_with_payload: DataFrame, corrupt_every: int | None = None) -> DataFrame:
+def encode_events(log_with_payload: DataFrame, corrupt_every: int | None = None, partitions: int | None = None) -> DataFrame:
     """Kafka log with ``value`` = serialized ComplexType per event.
 
     ``corrupt_every``: records whose id is a multiple get ``CORRUPT_BYTES``
     (decode fixtures, R2/R3).
     """
     x = log_with_payload.withColumn("_tw_msg", complex_from_events())
-    x = encode_proto(x, "_tw_msg")
+    x = encode_proto(x, "_tw_msg", partitions=partitions)
     if corrupt_every:
         x = x.withColumn(
             "value", F.when(F.col("ev_id") % corrupt_every == 0, F.lit(CORRUPT_BYTES)).otherwise(F.col("value"))

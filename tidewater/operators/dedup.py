@@ -64,10 +64,15 @@ def dedup_offset_range(
     bucket before (then that bucket's largest offset is within ``n``).  The
     window is over (scope, key, bucket), so a hot key is spread over its
     buckets; the bucket maxima are a narrow table joined one bucket on.
+    Offsets of different topic-partitions do not compare: a scope divides
+    topic-partitions further, and ``"root"`` is refused.
     """
     if n < 1:
         raise ValueError("n must be >= 1")
+    if isinstance(scope, str) and scope == "root":
+        raise ValueError("offsets compare within a topic-partition; use another rule for a root scope")
     x, grp = scope_columns(df, scope)
+    grp = list(dict.fromkeys([*TOPIC_PARTITION, *grp]))
     x = x.withColumn(DEDUP_KEY, key if key is not None else key_string("key"))
     x = x.withColumn("_tw_b", F.floor(F.col("offset") / F.lit(n)).cast("long"))
     w = Window.partitionBy(*grp, DEDUP_KEY, "_tw_b")

@@ -160,13 +160,14 @@ def metrics_from_progress(spark, progresses: list[dict], job: str = JOB) -> Data
     """Series from streaming progress reports (``StreamingQuery.recentProgress``).
 
     Per Kafka topic-partition: records read so far (counter) and lag =
-    latest offset - end offset (gauge); per batch: input rows, dropped
-    duplicates, one commit with its ``addBatch`` time in the duration
-    histogram.  The report list is small driver-side metadata.
+    latest offset - end offset (gauge); per batch: input rows, one commit with
+    its ``addBatch`` time in the duration histogram.  Progress reports do not
+    know the loader's duplicates; they are in the manifests
+    (``metrics_from_manifests``).  The report list is small driver-side metadata.
     """
     rows = []
     read: dict[tuple[str, str], int] = {}
-    batches, dups = 0, 0.0
+    batches = 0
     buckets = {b: 0 for b in DURATION_BUCKETS}
     total_rows = 0.0
     for p in sorted(progresses, key=lambda p: p.get("batchId", 0)):
@@ -181,8 +182,6 @@ def metrics_from_progress(spark, progresses: list[dict], job: str = JOB) -> Data
                 rows.append((RECORDS_BATCHED, labels, ts, float(read[tp])))
                 if tp in latest:
                     rows.append((RECORDS_LAG, labels, ts, float(latest[tp] - off)))
-        dups += sum(float(op.get("numDroppedDuplicateRows", 0) or 0) for op in p.get("stateOperators", []) or [])
-        rows.append((DUPLICATES, {"job": job, "loader_thread": LOADER_THREAD}, ts, dups))
         dur = (p.get("durationMs") or {}).get("addBatch")
         if dur is not None:
             batches += 1
@@ -199,10 +198,11 @@ def metrics_from_progress(spark, progresses: list[dict], job: str = JOB) -> Data
 def metrics_from_manifests(spark, base: str, job: str = JOB) -> DataFrame:
     """Series from the batch audits of a loaded lake (one manifest per published batch).
 
-    Per topic-partition: records read (from committed positions) and records
-    written, as counters; per job: committed batches, the publish duration
-    histogram, and a queue gauge (0: publishing is synchronous).  Sample
-    time = commit time of the batch.
+    Per topic-partition: records read by each batch and records written, as
+    counters, and the watermark's delay behind the commit; of reporting loads
+    also duplicates and key bytes.  Per job: committed batches, the publish
+    duration histogram, and a queue gauge (0: publishing is synchronous).
+    Sample time = commit time of the batch.
     """
     import json
 
@@ -214,14 +214,25 @@ def metrics_from_manifests(spark, base: str, job: str = JOB) -> DataFrame:
     manifests.sort(key=lambda m: m["batch_id"])
     rows = []
     written: dict[tuple[str, str], int] = {}
-    first: dict[tuple[str, str], int] = {}
+    read: dict[tuple[str, str], int] = {}
+    dups: dict[tuple[str, str], int] = {}
+    size: dict[str, int] = {}
     buckets = {b: 0 for b in DURATION_BUCKETS}
     for i, m in enumerate(manifests, start=1):
         ts = m.get("committed_at_ms", 0)
         for p in m.get("positions", []):
             tp = (p["topic"], str(p["partition"]))
-            first.setdefault(tp, 0)
-            rows.append((RECORDS_BATCHED, {"topic": tp[0], "partition": tp[1]}, ts, float(p["next_offset"])))
+            read[tp] = read.get(tp, 0) + int(p.get("records", 0))
+            rows.append((RECORDS_BATCHED, {"topic": tp[0], "partition": tp[1]}, ts, float(read[tp])))
+            if p.get("watermark") is not None:
+                rows.append((WATERMARK_DELAY, {"topic": tp[0], "partition": tp[1]}, ts, float(ts - p["watermark"])))
+        for d in m.get("dropped", []):
+            tp = (d["topic"], str(d["partition"]))
+            dups[tp] = dups.get(tp, 0) + int(d["duplicate"])
+            rows.append((DUPLICATES, {"job": job, "loader_thread": LOADER_THREAD, "topic": tp[0], "partition": tp[1]}, ts, float(dups[tp])))
+            size[tp[0]] = size.get(tp[0], 0) + int(d.get("key_bytes") or 0)
+        for topic, n in size.items():
+            rows.append((BYTES_CONSUMED, {"topic": topic}, ts, float(n)))
         for w in m.get("written", []):
             tp = (w["topic"], str(w["partition"]))
             written[tp] = written.get(tp, 0) + int(w["count"])
@@ -250,12 +261,12 @@ def _series_id() -> Column:
     return F.array_join(F.array_sort(F.transform(F.map_entries("labels"), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
 
 
-def _increases(m: DataFrame, metric: str, since_ms: int | None, topic_regex: str | None = None) -> DataFrame:
-    x = m.where(F.col("metric") == metric)
+def _increases(m: DataFrame, metric: str | list[str], since_ms: int | None, topic_regex: str | None = None) -> DataFrame:
+    x = m.where(F.col("metric").isin(metric))
     if topic_regex is not None:
         x = x.where(F.col("labels")["topic"].rlike(f"^(?:{topic_regex})$"))
     x = x.withColumn("_sid", _series_id())
-    prev = F.lag("value").over(Window.partitionBy("_sid").orderBy("ts"))
+    prev = F.lag("value").over(Window.partitionBy("metric", "_sid").orderBy("ts"))
     x = x.withColumn("inc", F.when(prev.isNull(), F.col("value")).when(F.col("value") >= prev, F.col("value") - prev).otherwise(F.col("value")))
     return _since(x, since_ms)
 
@@ -301,11 +312,12 @@ def records_written_rate(m: DataFrame, topic_regex: str = ".*", window_ms: int =
 
 def in_flight_rate(m: DataFrame, topic_regex: str = ".*", window_ms: int = 60_000, since_ms: int | None = None) -> DataFrame:
     """M5: batched rate minus written rate, matched on (topic, partition, window)."""
-    b = records_batched_rate(m, topic_regex, window_ms, since_ms).withColumnRenamed("rate", "batched")
-    w = records_written_rate(m, topic_regex, window_ms, since_ms).withColumnRenamed("rate", "written")
-    return b.join(w, on=["topic", "partition", "window_ms"], how="inner").select(
-        "topic", "partition", "window_ms", (F.col("batched") - F.col("written")).alias("rate")
-    )
+    x = _increases(m, [RECORDS_BATCHED, RECORDS_WRITTEN], since_ms, topic_regex)
+    topic, partition = (F.col("labels")[k].alias(k) for k in ("topic", "partition"))
+    batched, written = (F.sum(F.when(F.col("metric") == k, F.col("inc"))) / (window_ms / 1000.0) for k in (RECORDS_BATCHED, RECORDS_WRITTEN))
+    # one pass over both counters; a window needs samples of both
+    both = x.groupBy(topic, partition, _window_start(window_ms).alias("window_ms")).agg((batched - written).alias("rate"))
+    return both.where(F.col("rate").isNotNull())
 
 
 def duplicate_rate(m: DataFrame, window_ms: int = 60_000, since_ms: int | None = None) -> DataFrame:
@@ -320,19 +332,21 @@ def files_per_hour(m: DataFrame, window_ms: int = 1_800_000, since_ms: int | Non
 
 
 def commit_duration_quantile(m: DataFrame, q: float = 0.999, window_ms: int = 20_000, since_ms: int | None = None) -> DataFrame:
-    """M8: quantile of commit duration from histogram buckets per (loader_thread, partition_group).
+    """M8: commit duration quantiles of all series, summed per (loader_thread, partition_group).
 
-    Per window: bucket increases, then the first bucket whose cumulative
+    Per series (all labels but ``le``) and window: bucket increases, then the first bucket whose cumulative
     count reaches q x total, interpolated linearly inside it (lower bound 0
     for the first bucket; the +Inf bucket answers with the largest finite
     bound).  Windows without observations are left out.
     """
     x = _increases(m, COMMIT_BUCKET, since_ms)
+    others = F.map_filter("labels", lambda k, _: k != "le")
+    series = F.array_join(F.array_sort(F.transform(F.map_entries(others), lambda e: F.concat(e["key"], F.lit("="), e["value"]))), ",")
     per = x.groupBy(
         F.col("labels")["loader_thread"].alias("loader_thread"), F.col("labels")["partition_group"].alias("partition_group"),
-        F.col("labels")["le"].alias("le"), _window_start(window_ms).alias("window_ms"),
+        series.alias("series"), F.col("labels")["le"].alias("le"), _window_start(window_ms).alias("window_ms"),
     ).agg(F.sum("inc").alias("cnt"))
-    keys = ["loader_thread", "partition_group", "window_ms"]
+    keys = ["loader_thread", "partition_group", "series", "window_ms"]
     bound = F.when(F.col("le") == "+Inf", F.lit(float("inf"))).otherwise(F.col("le").cast("double"))
     per = per.withColumn("bound", bound)
     w = Window.partitionBy(*keys).orderBy("bound")
@@ -348,7 +362,7 @@ def commit_duration_quantile(m: DataFrame, q: float = 0.999, window_ms: int = 20
     value = F.when(b["bound"] == float("inf"), b["prev_bound"]).otherwise(
         b["prev_bound"] + (b["bound"] - b["prev_bound"]) * (b["rank"] - b["prev_cnt"]) / (b["cnt"] - b["prev_cnt"])
     )
-    return first.select(*keys, value.alias("duration_s"))
+    return first.withColumn("q", value).groupBy("loader_thread", "partition_group", "window_ms").agg(F.sum("q").alias("duration_s"))
 
 
 def commit_queue_depth(m: DataFrame, window_ms: int = 60_000, since_ms: int | None = None) -> DataFrame:

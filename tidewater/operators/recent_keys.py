@@ -53,6 +53,7 @@ from pyspark.sql import types as T
 
 from ..schema import key_string
 from ..session import ship_package
+from ..storage import materialize
 from .dedup import DEDUP_KEY, IS_DUP, scope_columns
 from .scans import DEFAULT_CHUNK
 
@@ -101,31 +102,6 @@ class WarmFold:
         return warm, replay
 
 
-def run_fold(chunks: list[tuple[list[str], str]], capacity: int) -> list[tuple[list[str], str | None]]:
-    """Warm state of every chunk, computed run by run.
-
-    ``chunks``: per chunk in order, (summary keys newest first, last key).
-    A chunk whose summary holds ``capacity + 1`` keys fixes the state after
-    it on its own, so the fold restarts there: runs between such chunks are
-    independent (in Spark, one task per run instead of one per scope).
-    Returns (warm keys, replayed key) per chunk, as ``WarmFold`` would.
-    """
-    cap = capacity + 1
-    out: list[tuple[list[str], str | None]] = [([], None)] * len(chunks)
-    run_start = [i for i, (summary, _) in enumerate(chunks) if len(summary) >= cap]
-    starts = sorted(set([0] + run_start))
-    for a, b in zip(starts, starts[1:] + [len(chunks)]):
-        fold = WarmFold(capacity)
-        if a > 0:  # the run's first chunk is full: what came before does not matter
-            fold.prev_last = chunks[a - 1][1]
-        for j in range(a, b):
-            summary, last = chunks[j]
-            fold.step(summary, last)
-            if j + 1 < len(chunks):
-                out[j + 1] = (fold.state, fold.prev_last)
-    return out
-
-
 def decide_chunk(keys: list[str], warm: list[str], replay: str | None, capacity: int) -> list[bool]:
     """Duplicate flags for ``keys`` given the warm recency list and the replayed record.
 
@@ -158,31 +134,6 @@ def decide_chunk(keys: list[str], warm: list[str], replay: str | None, capacity:
     return out
 
 
-def simulate_cache(keys: Sequence[str | None], capacity: int) -> list[bool]:
-    """Reference model: the bounded recent-key set applied record by record."""
-    cache: OrderedDict[str, None] = OrderedDict()  # last = most recent
-    out = []
-    for k in keys:
-        if k is None:
-            out.append(False)
-            continue
-        out.append(k in cache)
-        if len(cache) >= capacity:
-            cache.popitem(last=False)
-        cache[k] = None
-        cache.move_to_end(k)
-    return out
-
-
-def _key_stats(df: DataFrame, scope, key: Column | None) -> tuple[int, int]:
-    """(distinct keys of the busiest scope, rows with a key) in one aggregate job."""
-    x, grp = scope_columns(df, scope)
-    x = x.select(*grp, (key if key is not None else key_string("key")).alias(DEDUP_KEY)).where(F.col(DEDUP_KEY).isNotNull())
-    per_scope = x.groupBy(*grp).agg(F.countDistinct(DEDUP_KEY).alias("nk"), F.count(F.lit(1)).alias("n"))
-    top, rows = per_scope.agg(F.max("nk"), F.sum("n")).first()
-    return int(top or 0), int(rows or 0)
-
-
 def _seen_before(df: DataFrame, scope, order: Sequence[str] | None, key: Column | None) -> DataFrame:
     """The cache rule when no scope has ``capacity`` distinct keys: duplicate iff seen before."""
     x, grp = scope_columns(df, scope)
@@ -206,7 +157,7 @@ def dedup_recent_keys(
     key: Column | None = None,
     chunk_size: int = DEFAULT_CHUNK,
     num_chunks: int | None = None,
-    strategy: str = "auto",
+    strategy: str = "chunked",
 ) -> DataFrame:
     """Mark ``is_dup`` with the exact recent-key cache of ``capacity`` entries.
 
@@ -216,21 +167,23 @@ def dedup_recent_keys(
     partition and (timestamp, topic, partition, offset) for wider scopes.
     Rows must be unique on (topic, partition, offset).
 
-    ``strategy``: ``"auto"`` first counts the distinct keys of the busiest
-    scope (one small aggregate); below ``capacity`` the cache never evicts,
-    so the rule is "key seen before in its scope" and runs as a JVM
-    aggregate + join.  Otherwise (or with ``"chunked"``) the general
-    chunk-parallel algorithm runs.
+    ``strategy``: ``"chunked"`` is the general chunk-parallel algorithm.
+    ``"unbounded"`` is for callers who know that no scope has ``capacity``
+    distinct keys: the cache never evicts, so the rule is "key seen before in
+    its scope" and runs as a JVM aggregate + join.
+
+    For another order than the offset, rows are range-partitioned into
+    ``num_chunks`` chunks (default: the shuffle partitions) and that narrow
+    table is written once: all later steps must see the same chunks.
     """
     if capacity < 1:
         raise ValueError("capacity must be >= 1")
     if df.isStreaming:
         raise ValueError("dedup_recent_keys is the batch form; streams use streaming.processors.watermark_and_dedup")
-    rows = None
-    if strategy == "auto":
-        most_keys, rows = _key_stats(df, scope, key)
-        if most_keys < capacity:
-            return _seen_before(df, scope, order, key)
+    if strategy == "unbounded":
+        return _seen_before(df, scope, order, key)
+    if strategy != "chunked":
+        raise ValueError(f"unknown strategy {strategy!r}")
     spark = df.sparkSession
     ship_package(spark)
     x, grp = scope_columns(df, scope)
@@ -246,13 +199,9 @@ def dedup_recent_keys(
     if order == ["offset"]:
         narrow = narrow.withColumn(CHUNK, F.floor(F.col("offset") / F.lit(chunk_size)).cast("long"))
     else:
-        # range chunks of about chunk_size rows each (row count from the key statistics)
-        if rows is None:
-            rows = narrow.count()
-        n = num_chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-rows // chunk_size))
-        narrow = narrow.repartitionByRange(n, *grp, *order).withColumn(
-            CHUNK, F.spark_partition_id().cast("long")
-        )
+        n = num_chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        ranges = narrow.repartitionByRange(n, *grp, *order).withColumn(CHUNK, F.spark_partition_id().cast("long"))
+        narrow = materialize(ranges, "order-chunks")
 
     grp_fields = [narrow.schema[c] for c in grp]
     cap = capacity + 1

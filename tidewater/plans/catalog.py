@@ -88,6 +88,11 @@ def _wm(spark: SparkSession, sf: str) -> DataFrame:
     return watermark.with_stream_watermark(events_log(spark, sf))
 
 
+def _tasks(spark: SparkSession) -> int:
+    """Tasks that the events table's messages are encoded in (it is one row group)."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _tp_cols():
     return ["topic", "partition", "offset"]
 
@@ -216,7 +221,7 @@ def _decoded_cols():
 @register("decode_roundtrip", DECODED_SQL)
 def decode_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     """Events -> ComplexType bytes -> decoded columns."""
-    log = codec.encode_events(events_log(spark, sf, payload=True))
+    log = codec.encode_events(events_log(spark, sf, payload=True), partitions=_tasks(spark))
     return codec.drop_malformed(codec.decode_proto(log)).select(*_decoded_cols())
 
 
@@ -226,7 +231,7 @@ def decode_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 FROM events WHERE event_id % {CORRUPT_EVERY} <> 0""",
 )
 def drop_malformed(spark: SparkSession, sf: str) -> DataFrame:
-    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY)
+    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY, partitions=_tasks(spark))
     return codec.drop_malformed(codec.decode_proto(log)).select(*_tp_cols(), "id")
 
 
@@ -236,7 +241,7 @@ def drop_malformed(spark: SparkSession, sf: str) -> DataFrame:
 FROM events WHERE event_id % {CORRUPT_EVERY} = 0""",
 )
 def malformed_report(spark: SparkSession, sf: str) -> DataFrame:
-    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY)
+    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY, partitions=_tasks(spark))
     return codec.malformed_report(codec.decode_proto(log))
 
 
@@ -248,7 +253,7 @@ FROM events WHERE event_id % {CORRUPT_EVERY} = 0 GROUP BY ALL""",
 )
 def malformed_counts(spark: SparkSession, sf: str) -> DataFrame:
     """Skipped records per topic-partition with their offset span."""
-    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY)
+    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY, partitions=_tasks(spark))
     return codec.malformed_counts(codec.decode_proto(log))
 
 
@@ -420,7 +425,7 @@ def generate_complex_records(spark: SparkSession, sf: str) -> DataFrame:
 def _encoded(spark: SparkSession, sf: str, corrupt: bool = False) -> DataFrame:
     """The events topic at rest: encoded once, written as a Kafka-schema table, read back."""
     path = sink.scratch_path(spark, "topic")
-    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY if corrupt else None)
+    log = codec.encode_events(events_log(spark, sf, payload=True), corrupt_every=CORRUPT_EVERY if corrupt else None, partitions=_tasks(spark))
     log.select(*KAFKA_SCHEMA.fieldNames()).write.mode("overwrite").parquet(path)
     return read_stream_log(spark, path)
 
@@ -686,7 +691,7 @@ def stream_load_hourly(spark: SparkSession, sf: str) -> DataFrame:
     every micro-batch is published under its batch id; the lake is read back through manifests."""
     from ..streaming.load import load_stream
 
-    log = codec.encode_events(events_log(spark, sf, payload=True)).select(*KAFKA_SCHEMA.fieldNames())
+    log = codec.encode_events(events_log(spark, sf, payload=True), partitions=_tasks(spark)).select(*KAFKA_SCHEMA.fieldNames())
     topic = _topic_files(spark, log)
     base = sink.scratch_path(spark, "stream-lake")
     stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice")
@@ -744,3 +749,259 @@ def roll_fuzzy(spark: SparkSession, sf: str) -> DataFrame:
     return partitioning.roll_fuzzy(events_log(spark, sf), FUZZY_MEAN, FUZZY_SD, FUZZY_SEED).select(
         "topic", "partition", "offset", "file_seq"
     )
+
+
+# ------------------------------------- several chunks, increments, reports
+CHUNK_SMALL = 500  # offsets per chunk: many chunks at every scale
+
+
+@register("stream_watermark_chunks", ORACLE_SQL["stream_watermark"])
+def stream_watermark_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    x = watermark.with_stream_watermark(events_log(spark, sf), chunk_size=CHUNK_SMALL)
+    return x.select(*_tp_cols(), ts_millis("timestamp").alias("timestamp_ms"), "watermark")
+
+
+@register("roll_by_records_chunks", ORACLE_SQL["roll_by_records"])
+def roll_by_records_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return partitioning.roll_by_records(events_log(spark, sf), ROLL_RECORDS, chunk_size=CHUNK_SMALL).select(*_tp_cols(), "file_seq")
+
+
+@register("dedup_watermark_range_chunks", ORACLE_SQL["dedup_watermark_range"])
+def dedup_watermark_range_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup.dedup_watermark_range(events_log(spark, sf), DEDUP_MS, chunk_size=CHUNK_SMALL).select(*_tp_cols(), "is_dup")
+
+
+@register("dedup_recent_keys_chunks", ORACLE_SQL["dedup_recent_keys"])
+def dedup_recent_keys_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return dedup_recent_keys(events_log(spark, sf), CACHE_SMALL, chunk_size=CHUNK_SMALL).select(*_tp_cols(), "is_dup")
+
+
+@register("hour_bucket_counts_chunks", ORACLE_SQL["hour_bucket_counts"])
+def hour_bucket_counts_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    x = dedup.watermark_offset_dedup(events_log(spark, sf), DEDUP_OFFSETS, chunk_size=CHUNK_SMALL)
+    x = partitioning.time_partition(dedup.drop_duplicates_marked(x), "hourly")
+    return x.groupBy("dt", "hr", "topic", "partition").agg(
+        F.count(F.lit(1)).alias("records"), F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset")
+    )
+
+
+_LAKE_DAYS = """
+SELECT strftime(date_trunc('hour', epoch_ms(watermark)), '%Y_%m_%d') AS dt, count(*) AS records, min("offset") AS min_offset, max("offset") AS max_offset FROM kept GROUP BY ALL"""
+
+
+def _lake_days(lake: DataFrame) -> DataFrame:
+    return lake.groupBy("dt").agg(
+        F.count(F.lit(1)).alias("records"), F.min("_kafka.offset").alias("min_offset"), F.max("_kafka.offset").alias("max_offset")
+    )
+
+
+@register(
+    "load_deduplicated_small",
+    f"""WITH {LOG}, {WM}, {recent_keys_cte(CACHE_SMALL, 'topic, "partition"', '"offset"', src='wm')},
+kept AS (SELECT * FROM x1 WHERE NOT is_dup AND "offset" % {CORRUPT_EVERY} <> 0)"""
+    + _LAKE_DAYS,
+)
+def load_deduplicated_small(spark: SparkSession, sf: str) -> DataFrame:
+    """K6 with a cache that evicts and several chunks."""
+    base = sink.scratch_path(spark, "load-small")
+    loads.load(_encoded(spark, sf, corrupt=True), base, 0, loads.LoadSpec(dedup="recent", key_cache=CACHE_SMALL, layout="daily", chunk_size=CHUNK_SMALL))
+    return _lake_days(sink.read_loaded(spark, base, "daily", committed_only=True))
+
+
+@register(
+    "file_ranges_recent_keys",
+    f"""WITH {LOG}, {recent_keys_cte(CACHE_SMALL, 'topic, "partition"', '"offset"')},
+kept AS (SELECT * FROM x1 WHERE NOT is_dup),
+r AS (SELECT *, (row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1) // {FILE_ROLL} AS file_seq FROM kept)
+SELECT topic || '_' || CAST("partition" AS VARCHAR) || '_' || CAST(min("offset") AS VARCHAR) || '_' || CAST(max("offset") AS VARCHAR) || '.parquet' AS file,
+  topic, "partition", min("offset") AS min_offset, max("offset") AS max_offset, count(*) AS records
+FROM r GROUP BY topic, "partition", file_seq""",
+)
+def file_ranges_recent_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """K7 with the recent-key cache."""
+    base = sink.scratch_path(spark, "load-tp-x1")
+    loads.load_by_topic_partition(_encoded(spark, sf), base, 0, key_cache=CACHE_SMALL, roll_records=FILE_ROLL)
+    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
+    return partitioning.file_ranges(sink.read_loaded(spark, base, "topic_partition"), name)
+
+
+def _thirds(log: DataFrame) -> tuple[int, int]:
+    b = log.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
+    return b.lo + (b.hi - b.lo) // 3, b.lo + 2 * (b.hi - b.lo) // 3
+
+
+@register(
+    "load_increments",
+    f"""WITH {LOG}, {WM}, {X3.format(src='wm')}
+SELECT topic, "partition", "offset", watermark, strftime(date_trunc('hour', epoch_ms(watermark)), '%Y_%m_%d') AS dt FROM kept""",
+)
+def load_increments(spark: SparkSession, sf: str) -> DataFrame:
+    """Three batches, each reading the topic from its start, equal one batch:
+    committed offsets are skipped, the watermark and the dedup rule go on."""
+    base = sink.scratch_path(spark, "load-increments")
+    topic = _encoded(spark, sf)
+    first, second = _thirds(topic)
+    spec = loads.LoadSpec(dedup="offsets", dedup_offsets=DEDUP_OFFSETS, rewind=DEDUP_OFFSETS, resume=True, layout="daily", chunk_size=CHUNK_SMALL)
+    loads.load(topic.where(F.col("offset") < first), base, 0, spec)
+    loads.load(topic.where(F.col("offset") < second), base, 1, spec)
+    loads.load(topic, base, 2, spec)
+    lake = sink.read_loaded(spark, base, "daily", committed_only=True)
+    return lake.select("_kafka.topic", "_kafka.partition", "_kafka.offset", "_kafka.watermark", "dt")
+
+
+@register(
+    "dedup_with_rewind",
+    f"""WITH {LOG}, b AS (SELECT min("offset") + (max("offset") - min("offset")) // 3 AS at FROM log), {X3.format(src="log")}
+SELECT topic, "partition", "offset", (prev_off IS NOT NULL AND "offset" - prev_off <= {DEDUP_OFFSETS}) AS is_dup FROM x3, b WHERE "offset" >= b.at""",
+)
+def dedup_with_rewind(spark: SparkSession, sf: str) -> DataFrame:
+    """A later slice of the log, warmed with the offsets before it."""
+    log = events_log(spark, sf)
+    at, _ = _thirds(log)
+    warmed = dedup.with_rewind(log.where(F.col("offset") >= at), log, DEDUP_OFFSETS)
+    return dedup.drop_rewound(dedup.dedup_offset_range(warmed, DEDUP_OFFSETS)).select(*_tp_cols(), "is_dup")
+
+
+def _reported(spark: SparkSession, sf: str) -> str:
+    base = sink.scratch_path(spark, "load-report")
+    spec = loads.LoadSpec(dedup="offsets", dedup_offsets=DEDUP_OFFSETS, predicate=F.col("price") > F.lit(FILTER_PRICE), layout="daily", report=True)
+    loads.load(_encoded(spark, sf, corrupt=True), base, 0, spec)
+    return base
+
+
+@register(
+    "load_dead_letters",
+    f"""WITH {LOG}, {WM}, {X3.format(src='wm')}
+SELECT topic, "partition", "offset", watermark, CAST(0 AS BIGINT) AS batch FROM kept WHERE "offset" % {CORRUPT_EVERY} = 0""",
+)
+def load_dead_letters(spark: SparkSession, sf: str) -> DataFrame:
+    """The malformed records that a load set aside (duplicates are dropped before decoding)."""
+    return loads.read_dead_letters(spark, _reported(spark, sf))
+
+
+@register(
+    "load_drop_counts",
+    f"""WITH {LOG}, {X3.format(src='log')},
+m AS (SELECT x3.*, e.value, (prev_off IS NOT NULL AND "offset" - prev_off <= {DEDUP_OFFSETS}) AS dup, ("offset" % {CORRUPT_EVERY} = 0) AS bad
+      FROM x3 JOIN events e ON e.event_id = x3."offset")
+SELECT topic, "partition", count(*) AS records, count(*) FILTER (dup) AS duplicates, count(*) FILTER (NOT dup AND bad) AS malformed,
+  count(*) FILTER (NOT dup AND NOT bad AND NOT coalesce(value > {FILTER_PRICE}, FALSE)) AS filtered FROM m GROUP BY ALL""",
+)
+def load_drop_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What a load dropped per topic-partition, from its manifest (one row each)."""
+    import json
+
+    base = _reported(spark, sf)
+    m = json.loads(sink._FS(spark, base).read_text(sink.manifest_path(base, 0)))
+    read = {(p["topic"], p["partition"]): p["records"] for p in m["positions"]}
+    rows = [(d["topic"], d["partition"], read[(d["topic"], d["partition"])], d["duplicate"], d["malformed"], d["filtered"]) for d in m["dropped"]]
+    return spark.createDataFrame(rows, "topic string, partition int, records long, duplicates long, malformed long, filtered long")
+
+
+@register(
+    "load_custom_partition",
+    f"""WITH {LOG} SELECT e.event_type AS kind, CAST(log."partition" AS VARCHAR) AS part, count(*) AS records
+FROM log JOIN events e ON e.event_id = log."offset" GROUP BY ALL""",
+)
+def load_custom_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Directories by columns of the caller's own."""
+    base = sink.scratch_path(spark, "load-custom")
+    spec = loads.LoadSpec(dedup=None, layout="custom", partition_columns={"kind": F.col("name"), "part": F.col("partition").cast("string")})
+    loads.load(_encoded(spark, sf), base, 0, spec)
+    lake = sink.read_loaded(spark, base, "custom", committed_only=True)
+    return lake.groupBy("kind", "part").agg(F.count(F.lit(1)).alias("records"))
+
+
+@register(
+    "load_formatter_1n",
+    """SELECT event_id AS "offset", CAST(user_id AS INTEGER) AS something, 0 AS nth FROM events
+UNION ALL SELECT event_id AS "offset", CAST(json_extract_string(props, '$.k') AS INTEGER) AS something, 1 AS nth FROM events
+WHERE TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) IS NOT NULL""",
+)
+def load_formatter_1n(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per element of a repeated field, written by the load."""
+    base = sink.scratch_path(spark, "load-format")
+    spec = loads.LoadSpec(dedup=None, layout="daily", formatter=lambda x: x.select("*", F.posexplode("somethings").alias("nth", "something")).drop("somethings"))
+    loads.load(_encoded(spark, sf), base, 0, spec)
+    return sink.read_loaded(spark, base, "daily", committed_only=True).select("_kafka.offset", "something", "nth")
+
+
+@register(
+    "hour_windows",
+    f"""WITH {LOG}, {WM}
+SELECT CAST(epoch_ms(date_trunc('hour', epoch_ms(watermark))) AS BIGINT) AS bucket_ms,
+  CAST(epoch_ms(date_trunc('hour', epoch_ms(watermark))) + 3600000 AS BIGINT) AS end_ms, count(*) AS records FROM wm GROUP BY ALL""",
+)
+def hour_windows(spark: SparkSession, sf: str) -> DataFrame:
+    """Tumbling hour windows of the watermark, as millis."""
+    w = _wm(spark, sf).groupBy(watermark.hour_window().alias("w")).agg(F.count(F.lit(1)).alias("records"))
+    return w.select(watermark.bucket_millis("w.start").alias("bucket_ms"), watermark.bucket_millis("w.end").alias("end_ms"), "records")
+
+
+@register(
+    "topic_partition_values",
+    f"""WITH {LOG2} SELECT topic AS part_topic, "partition" AS part_partition, count(*) AS records, min("offset") AS min_offset, max("offset") AS max_offset
+FROM log GROUP BY ALL""",
+)
+def topic_partition_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Records and offset span per topic-partition value."""
+    x = partitioning.topic_partition_partitioner(two_topic_log(spark, sf))
+    r = positions.offset_ranges(x, extra=["_tw_part_topic", "_tw_part_partition"])
+    return r.select(F.col("_tw_part_topic").alias("part_topic"), F.col("_tw_part_partition").alias("part_partition"), "records", "min_offset", "max_offset")
+
+
+ROLL_BYTES = 500
+
+
+@register(
+    "roll_by_bytes",
+    f"""WITH {LOG}, n AS (SELECT greatest(1, CAST(floor({ROLL_BYTES} / greatest(avg(strlen(k)), 1.0)) AS BIGINT)) AS n FROM log)
+SELECT topic, "partition", "offset", (row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1) // n.n AS file_seq FROM log, n""",
+)
+def roll_by_bytes(spark: SparkSession, sf: str) -> DataFrame:
+    """a byte limit as a record limit, from the mean record size (here: of the keys)."""
+    log = events_log(spark, sf)
+    mean = log.agg(F.avg(F.octet_length("key"))).first()[0]
+    n = partitioning.target_records_per_file(mean, ROLL_BYTES)
+    return partitioning.roll_by_records(log, n, chunk_size=CHUNK_SMALL).select(*_tp_cols(), "file_seq")
+
+
+def _keyless(log: DataFrame) -> DataFrame:
+    """The log with no key on every fifth offset."""
+    return log.withColumn("key", F.when(F.col("offset") % 5 != 0, F.col("key")))
+
+
+def _marked_stream(spark: SparkSession, log: DataFrame, spec: loads.LoadSpec, name: str) -> DataFrame:
+    from ..streaming.load import dedup_stream
+
+    topic = _topic_files(spark, log.withColumn("value", F.lit(None).cast("binary")).select(*KAFKA_SCHEMA.fieldNames()))
+    out = sink.scratch_path(spark, name)
+    marked = dedup_stream(read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice"), spec)
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        batch.select("topic", "partition", "offset", "is_dup").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    q = marked.writeStream.foreachBatch(each).option("checkpointLocation", sink.scratch_path(spark, f"{name}-ckpt")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(out).select("topic", "partition", "offset", "is_dup")
+
+
+@register(
+    "stream_dedup_null_keys",
+    f"""WITH log AS (SELECT CASE WHEN "offset" % 5 <> 0 THEN k END AS k, topic, "partition", "offset", ts_ms FROM ({EVENTS_LOG_SQL})),
+{X3.format(src="log")} SELECT topic, "partition", "offset", (k IS NOT NULL AND prev_off IS NOT NULL AND "offset" - prev_off <= {DEDUP_OFFSETS}) AS is_dup FROM x3""",
+)
+def stream_dedup_null_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """X3 as a stream over a log with records that have no key: none of them is a duplicate."""
+    return _marked_stream(spark, _keyless(events_log(spark, sf)), loads.LoadSpec(dedup="offsets", dedup_offsets=DEDUP_OFFSETS), "stream-null")
+
+
+@register(
+    "stream_dedup_watermark_range",
+    f"""WITH log AS (SELECT CASE WHEN "offset" % 5 <> 0 THEN k END AS k, topic, "partition", "offset", ts_ms FROM ({EVENTS_LOG_SQL})),
+l AS (SELECT *, lag(ts_ms) OVER (PARTITION BY topic, "partition", k ORDER BY "offset") AS prev_ts FROM log)
+SELECT topic, "partition", "offset", (k IS NOT NULL AND prev_ts IS NOT NULL AND ts_ms - prev_ts <= {DEDUP_MS}) AS is_dup FROM l""",
+)
+def stream_dedup_watermark_range(spark: SparkSession, sf: str) -> DataFrame:
+    """X4 as a stream, keyless records included."""
+    return _marked_stream(spark, _keyless(events_log(spark, sf)), loads.LoadSpec(dedup="time", dedup_ms=DEDUP_MS), "stream-x4")

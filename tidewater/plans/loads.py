@@ -4,24 +4,34 @@ Stage order is fixed, as in the loader: the running watermark is taken as
 records are read (duplicates included), then recently seen keys are dropped,
 then values are decoded (bad ones set aside), then the user filter runs on
 decoded fields, then rows are annotated with ``_kafka`` and given their
-partition value.  ``load_plan`` builds that DataFrame; ``load`` publishes it
-as one batch.  The same plan runs inside ``foreachBatch`` for streams
+partition value.  ``load_plan`` builds that DataFrame (no job runs for it, but
+for a root scope, whose order is written first); ``load`` publishes it as one
+batch.  The same plan runs inside ``foreachBatch`` for streams
 (``streaming.load_stream``).
+
+A resumed load (``LoadSpec(resume=True)``) begins where the lake's committed
+positions end: committed offsets are skipped, the watermark goes on from the
+committed one, and the dedup rule is warmed with the ``rewind`` offsets before.
+A reporting load (``report=True``) stages every record with what became of it,
+once: dead letters and counts come from that table.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
+
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import codec, dedup, partitioning
+from ..operators.positions import last_committed
 from ..operators.recent_keys import dedup_recent_keys
-from ..operators.positions import commit_positions
 from ..operators.scans import DEFAULT_CHUNK
 from ..operators.watermark import with_stream_watermark
-from .sink import _FS, ParquetOptions, publish
+from ..schema import ts_millis
+from .sink import _FS, ParquetOptions, committed_positions, manifest_path, publish
 
 # The loader's two configurations.
 APP_SETTINGS = {"key_cache": 2000, "rewind": 2000, "roll_records": 100, "compression": "SNAPPY", "layout": "hourly"}
@@ -29,68 +39,150 @@ SIMPLE_SETTINGS = {"key_cache": 10, "rewind": 1000, "roll_records": 6, "compress
 BY_TOPIC_PARTITION_SETTINGS = {"key_cache": 30, "rewind": 30, "roll_records": 6, "compression": None, "layout": "topic_partition"}
 
 
+# Records of a topic-partition file when no limit is set: a file has one writer.
+TOPIC_PARTITION_ROLL = 1_000_000
+
+
 @dataclass
 class LoadSpec:
-    """What a load does; every field has the loader's application default."""
+    """What a load does.  ``LoadSpec.preset`` has the loader's own settings, whose files hold very few records."""
 
     dedup: str | None = "recent"  # "recent" (X1) | "offsets" (X3) | "time" (X4) | None (K5)
     key_cache: int = 2000
     dedup_offsets: int = 2000
     dedup_ms: int = 0
-    scope: object = None  # None = per topic-partition; "root"; Column
+    scope: object = None  # None = per topic-partition; "root"; columns; Column
     message: str = "messages.ComplexType"
     descriptor_set: bytes | None = None
     predicate: Column | None = None
-    layout: str = "hourly"  # hourly | daily | topic_partition
-    roll_records: int | None = 100
+    layout: str = "hourly"  # hourly | daily | topic_partition | custom
+    roll_records: int | None = None  # records per file; None: as Spark's writers roll
     roll_bytes: int | None = None  # byte limit, turned into a record limit from the mean value size
     history: DataFrame | None = None  # X5: earlier records to rewind over (batch increments)
     rewind: int = 2000
+    resume: bool = False  # K8: go on from the lake's committed positions
+    positions: DataFrame | None = None  # committed positions to go on from (set by a resumed load)
+    report: bool = False  # R3/X6: dead letters and drop counts with every batch
+    formatter: Callable[[DataFrame], DataFrame] | None = None  # U2: annotated rows -> 0..n rows each, partition columns kept
+    partition_columns: dict[str, Column] | None = None  # U3: directories of the custom layout
+    file_name: Column | None = None  # U5: topic-partition file name from t, p, lo, hi
+    time_column: str = "watermark"  # U6: epoch millis that hourly and daily directories come from
+    chunk_size: int = DEFAULT_CHUNK  # offsets that one window task scans
+    decode_partitions: int | None = None  # tasks that values are decoded in; None: as they come
     parquet: ParquetOptions = field(default_factory=lambda: ParquetOptions(compression="SNAPPY"))
 
+    @classmethod
+    def preset(cls, name: str, **kw) -> "LoadSpec":
+        """The loader's own settings: ``app``, ``simple`` or ``by_topic_partition``."""
+        s = {"app": APP_SETTINGS, "simple": SIMPLE_SETTINGS, "by_topic_partition": BY_TOPIC_PARTITION_SETTINGS}[name]
+        given = {"key_cache": s["key_cache"], "rewind": s["rewind"], "roll_records": s["roll_records"], "layout": s["layout"], "parquet": ParquetOptions(compression=s["compression"])}
+        return cls(**{**given, **kw})
+
 
 def mark_duplicates(log: DataFrame, spec: LoadSpec) -> DataFrame:
     if spec.dedup is None:
         return log
     if spec.dedup == "recent":
-        return dedup_recent_keys(log, spec.key_cache, scope=spec.scope)
+        return dedup_recent_keys(log, spec.key_cache, scope=spec.scope, chunk_size=spec.chunk_size)
     if spec.dedup == "offsets":
         return dedup.dedup_offset_range(log, spec.dedup_offsets, scope=spec.scope)
     if spec.dedup == "time":
-        return dedup.dedup_watermark_range(log, spec.dedup_ms, scope=spec.scope)
+        return dedup.dedup_watermark_range(log, spec.dedup_ms, scope=spec.scope, chunk_size=spec.chunk_size)
     raise ValueError(f"unknown dedup rule {spec.dedup!r}")
 
 
-def prepare(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
-    """Watermark, dedup, decode, filter: decoded rows with ``watermark``, before file assignment."""
-    if spec.history is not None and spec.dedup is not None:
-        log = dedup.with_rewind(log, spec.history, spec.rewind)
-    if spec.dedup == "offsets" and spec.scope is None and spec.dedup_offsets <= DEFAULT_CHUNK:
-        x = dedup.watermark_offset_dedup(log, spec.dedup_offsets)  # one exchange for both
+def mark(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
+    """Watermark and dedup: the new records with ``watermark`` and, if a rule is set, ``is_dup``."""
+    history = spec.history
+    if spec.positions is not None:  # one row per topic-partition
+        done = spec.positions.select("topic", "partition", F.col("next_offset").alias("_tw_next"), F.col("watermark").alias("_tw_wm"))
+        history = log if history is None else history
+        log = log.join(done.drop("_tw_wm"), ["topic", "partition"], "left").where(F.coalesce(F.col("offset") >= F.col("_tw_next"), F.lit(True))).drop("_tw_next")
+    if history is not None and spec.dedup is not None:
+        log = dedup.with_rewind(log, history, spec.rewind)
+    # the fused form needs a chunk that holds the window; both forms give the same rows
+    if spec.dedup == "offsets" and spec.scope is None and spec.dedup_offsets <= spec.chunk_size:
+        x = dedup.watermark_offset_dedup(log, spec.dedup_offsets, chunk_size=spec.chunk_size)  # one exchange for both
     else:
-        x = mark_duplicates(with_stream_watermark(log), spec)
+        x = mark_duplicates(with_stream_watermark(log, chunk_size=spec.chunk_size), spec)
     if "is_rewound" in x.columns:
         x = dedup.drop_rewound(x)
+    if spec.positions is not None:
+        x = x.join(done.drop("_tw_next"), ["topic", "partition"], "left").withColumn("watermark", F.greatest("watermark", "_tw_wm")).drop("_tw_wm")
+    return x
+
+
+def prepare(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
+    """Watermark, dedup, decode, filter: decoded rows with ``watermark``, before file assignment."""
+    x = mark(log, spec)
     if spec.dedup is not None:
         x = dedup.drop_duplicates_marked(x)
-    x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set))
+    x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set, partitions=spec.decode_partitions))
     if spec.predicate is not None:
         x = codec.filter_records(x, spec.predicate)
     return x
 
 
+STATUS = "_tw_status"
+
+
+def with_status(marked: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Every marked record, decoded unless it is a duplicate, with what becomes of it:
+    kept, duplicate, malformed or filtered."""
+    x = marked if "is_dup" in marked.columns else marked.withColumn("is_dup", F.lit(False))
+    x = codec.decode_proto(x.withColumn("value", F.when(~F.col("is_dup"), F.col("value"))), spec.message, spec.descriptor_set, partitions=spec.decode_partitions)
+    status = F.when(F.col("is_dup"), "duplicate").when(F.col(codec.CORRUPT), "malformed")
+    if spec.predicate is not None:
+        status = status.when(~F.coalesce(spec.predicate, F.lit(False)), "filtered")
+    return x.withColumn(STATUS, status.otherwise("kept")).drop("is_dup", codec.CORRUPT)
+
+
+def publish_staged(spark: SparkSession, staged_path: str, base: str, batch_id: int, spec: LoadSpec, limit: int | None) -> dict:
+    """Publish a staged table of ``with_status``: files of the kept rows, dead letters, and in the
+    manifest the positions and drop counts, all from that one table."""
+    staged = spark.read.parquet(staged_path)
+    counts = staged.groupBy("topic", "partition").agg(
+        (F.max("offset") + 1).alias("next_offset"), F.max("watermark").alias("watermark"), F.count(F.lit(1)).alias("records"),
+        *(F.count(F.when(F.col(STATUS) == s, 1)).alias(s) for s in ("duplicate", "malformed", "filtered")),
+        F.sum(F.coalesce(F.octet_length("key"), F.lit(0))).alias("key_bytes"),
+    ).collect()  # one row per topic-partition
+    rows = [r.asDict() for r in counts]
+    positions = [{k: r[k] for k in ("topic", "partition", "next_offset", "watermark", "records")} for r in rows]
+    dropped = [{k: r[k] for k in ("topic", "partition", "duplicate", "malformed", "filtered", "key_bytes")} for r in rows]
+    if any(r["malformed"] for r in rows):
+        letters = staged.where(F.col(STATUS) == "malformed").select("topic", "partition", "offset", "watermark")
+        letters.write.mode("overwrite").parquet(f"{base.rstrip('/')}/_dead_letters/batch={batch_id}")
+    kept = assign_files(staged.where(F.col(STATUS) == "kept"), spec, limit)
+    return _publish(kept, base, batch_id, spec, limit, positions, {"dropped": dropped})
+
+
+def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
+    """Topic, partition, offset and watermark of every malformed record of reporting loads, by batch."""
+    path = f"{base.rstrip('/')}/_dead_letters"
+    schema = "topic string, partition int, offset long, watermark long, batch long"
+    if not _FS(spark, base).exists(path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(f"{path}/batch=*")
+
+
 def assign_files(x: DataFrame, spec: LoadSpec, roll: int | None) -> DataFrame:
     """Partition value (and file number) for prepared rows; message fields, ``_kafka``, partition columns."""
     if spec.layout == "topic_partition":
-        x = partitioning.roll_by_records(x, roll or (1 << 62))
+        x = partitioning.roll_by_records(x, roll or TOPIC_PARTITION_ROLL, chunk_size=spec.chunk_size)
         keep = ["file_seq"]
     elif spec.layout in ("hourly", "daily"):
-        x = partitioning.time_partition(x, spec.layout)
+        x = partitioning.time_partition(x, spec.layout, spec.time_column)
         keep = partitioning.partition_columns(spec.layout)
+    elif spec.layout == "custom":
+        if not spec.partition_columns:
+            raise ValueError("the custom layout needs partition_columns")
+        x = partitioning.custom_partitioner(x, **spec.partition_columns)
+        keep = list(spec.partition_columns)
     else:
         raise ValueError(f"unknown layout {spec.layout!r}")
     msg_fields = [f.name for f in codec.proto.spark_schema(codec.proto.message_class(spec.message, spec.descriptor_set).DESCRIPTOR).fields]
-    return x.select(*msg_fields, codec.kafka_meta().alias("_kafka"), *keep)
+    out = x.select(*msg_fields, codec.kafka_meta().alias("_kafka"), *keep)
+    return codec.format_records(out, spec.formatter) if spec.formatter else out
 
 
 def load_plan(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
@@ -114,26 +206,38 @@ def _record_limit(log: DataFrame, spec: LoadSpec) -> int | None:
 def load(log: DataFrame, base: str, batch_id: int, spec: LoadSpec = LoadSpec()) -> dict:
     """Run one batch end to end and publish it; returns the batch manifest.
 
-    For files per topic-partition, the decoded rows are staged once as a
-    table under the lake's staging folder before files are numbered: the
-    numbering scan reads its input twice, and the decode (Python) would
-    otherwise run twice.
+    For files per topic-partition and for reporting loads, the decoded rows are
+    staged once as a table under the lake's staging folder: the numbering scan
+    reads its input twice, and dedup and decode would otherwise run twice.
+    Positions then come from that table.  Other loads read the log's offsets
+    and times once more for them.
     """
-    opts = spec.parquet
+    spark = log.sparkSession
+    if _FS(spark, base).exists(manifest_path(base, batch_id)):
+        return publish(log, base, batch_id)  # published already
+    if spec.resume and spec.positions is None:
+        spec = replace(spec, positions=last_committed(committed_positions(spark, base)))
     limit = _record_limit(log, spec)
-    # K8: the position after this batch covers every record read (duplicates and bad ones too)
-    positions = [r.asDict() for r in commit_positions(log).collect()]  # one row per topic-partition
-    if spec.layout == "topic_partition":
+    if spec.layout == "topic_partition" or spec.report:
         staged_path = f"{base.rstrip('/')}/_staging/prepared={batch_id}"
-        prepared = prepare(log, spec)
-        prepared.write.mode("overwrite").parquet(staged_path)
-        plan = assign_files(log.sparkSession.read.parquet(staged_path), spec, limit)
-        manifest = publish(plan, base, batch_id, layout=spec.layout, opts=opts, positions=positions)
-        _FS(log.sparkSession, base).delete(staged_path)
+        with_status(mark(log, spec), spec).write.mode("overwrite").parquet(staged_path)
+        manifest = publish_staged(spark, staged_path, base, batch_id, spec, limit)
+        _FS(spark, base).delete(staged_path)
         return manifest
-    if limit:
+    # K8: the position after this batch covers every record read (duplicates and bad ones too)
+    new = log if spec.positions is None else log.join(spec.positions.select("topic", "partition", F.col("next_offset").alias("_tw_next")), ["topic", "partition"], "left").where(F.coalesce(F.col("offset") >= F.col("_tw_next"), F.lit(True)))
+    read = new.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"), F.max(ts_millis("timestamp")).alias("watermark"), F.count(F.lit(1)).alias("records"))
+    if spec.positions is not None:  # the running watermark goes on from the committed one
+        read = read.join(spec.positions.select("topic", "partition", F.col("watermark").alias("_tw_wm")), ["topic", "partition"], "left").withColumn("watermark", F.greatest("watermark", "_tw_wm")).drop("_tw_wm")
+    positions = [r.asDict() for r in read.collect()]  # one row per topic-partition
+    return _publish(load_plan(log, spec), base, batch_id, spec, limit, positions)
+
+
+def _publish(plan: DataFrame, base: str, batch_id: int, spec: LoadSpec, limit: int | None, positions: list[dict], audit: dict | None = None) -> dict:
+    opts = spec.parquet
+    if limit and spec.layout != "topic_partition":
         opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, limit)
-    return publish(load_plan(log, spec), base, batch_id, layout=spec.layout, opts=opts, positions=positions)
+    return publish(plan, base, batch_id, layout=spec.layout, opts=opts, positions=positions, partition_cols=list(spec.partition_columns or {}), file_name=spec.file_name, audit=audit)
 
 
 def load_all(log: DataFrame, base: str, batch_id: int, **kw) -> dict:

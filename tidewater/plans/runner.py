@@ -39,7 +39,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     p.add_argument("--key-cache", type=int, default=2000)
     p.add_argument("--scope", choices=["partition", "root"], default="partition")
     p.add_argument("--layout", choices=["hourly", "daily", "topic_partition"], default=None)
-    p.add_argument("--roll-records", type=int, default=100)
+    p.add_argument("--roll-records", type=int, default=None)
+    p.add_argument("--resume", action="store_true", help="go on from the lake's committed positions (batch)")
+    p.add_argument("--report", action="store_true", help="dead letters and drop counts with every batch")
     p.add_argument("--compression", default="SNAPPY")
     p.add_argument("--max-offsets-per-trigger", type=int, default=None)
     return p.parse_args(argv)
@@ -53,6 +55,8 @@ def spec_from(args: argparse.Namespace) -> LoadSpec:
         scope="root" if args.scope == "root" else None,
         layout=layout,
         roll_records=args.roll_records,
+        resume=args.resume,
+        report=args.report,
         parquet=ParquetOptions(compression=args.compression),
     )
 

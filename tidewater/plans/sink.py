@@ -1,12 +1,13 @@
 """Parquet sink with staged, idempotent publishing.
 
 A batch is written by Spark into ``<staging>/batch=<id>`` (Spark's output
-committer discards the files of failed tasks, K9), then its files are moved
-into the destination layout through the Hadoop ``FileSystem`` and a manifest
-``_manifests/batch-<id>.json`` is written last.  Re-running a batch id whose
-manifest exists is a no-op; re-running one that failed half-way first
-removes that batch's earlier files, so a restart neither loses nor repeats
-a batch.  Readers that must see only complete batches read through the
+committer discards the files of failed tasks, K9).  The list of moves is
+written next, the files are moved into the destination layout through the
+Hadoop ``FileSystem``, then the positions and, last, the manifest
+``_manifests/batch-<id>.json`` appear, each by a rename.  Re-running a batch id
+whose manifest exists is a no-op; re-running one that failed half-way first
+removes what its list of moves names, in every layout, so a restart neither
+loses nor repeats a batch.  Readers that must see only complete batches read through the
 manifests (``read_loaded(committed_only=True)``).
 
 The moves are metadata operations issued by the driver, one per file; the
@@ -20,12 +21,13 @@ import time
 from dataclasses import dataclass
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.partitioning import offset_range_name
 from ..schema import output_schema
-from ..session import require_checkpoint_dir
+from ..storage import materialize, scratch_path  # noqa: F401  (also used through this module)
 
 # Accepted compression names (case-insensitive) -> Spark codec.
 COMPRESSIONS = {"NONE": "none", "ZSTD": "zstd", "GZIP": "gzip", "SNAPPY": "snappy", "LZ4": "lz4"}
@@ -111,7 +113,7 @@ class _FS:
         d = self.p(dst)
         self.fs.mkdirs(d.getParent())
         if self.fs.exists(d):
-            self.fs.delete(d, False)
+            raise OSError(f"{dst} exists and is not this batch's")
         if not self.fs.rename(self.p(src), d):
             raise OSError(f"rename failed: {src} -> {dst}")
 
@@ -119,11 +121,18 @@ class _FS:
         self.fs.setTimes(self.p(s), int(millis), -1)
 
     def write_text(self, s: str, text: str) -> None:
-        out = self.fs.create(self.p(s), True)
+        """Write a small file whole or not at all: under another name, then renamed."""
+        target = self.p(s)
+        part = self.Path(target.getParent(), f"_{target.getName()}.part")
+        out = self.fs.create(part, True)
         try:
             out.write(bytearray(text.encode("utf-8")))
         finally:
             out.close()
+        if self.fs.exists(target):
+            self.fs.delete(target, False)
+        if not self.fs.rename(part, target):
+            raise OSError(f"rename failed: {part} -> {s}")
 
     def read_text(self, s: str) -> str:
         stream = self.fs.open(self.p(s))
@@ -145,6 +154,10 @@ def _rel(path: str, root: str) -> str:
     return tail.lstrip("/")
 
 
+def positions_path(base: str, batch_id: int) -> str:
+    return f"{base.rstrip('/')}/_positions/batch-{batch_id:020d}.json"
+
+
 def manifest_path(base: str, batch_id: int) -> str:
     return f"{base.rstrip('/')}/_manifests/batch-{batch_id:020d}.json"
 
@@ -157,6 +170,9 @@ def publish(
     opts: ParquetOptions = ParquetOptions(),
     staging: str | None = None,
     positions: list[dict] | None = None,
+    partition_cols: list[str] | None = None,
+    file_name: Column | None = None,
+    audit: dict | None = None,
 ) -> dict:
     """K4: stage one batch, move its files into ``base``, write the manifest last.
 
@@ -167,7 +183,9 @@ def publish(
     ``layout``: ``hourly`` (dt=yyyyMMdd/hr=HH), ``daily`` (dt=yyyy_MM_dd) —
     the frame carries those columns — or ``topic_partition``: one file per
     (topic, partition, file_seq) named ``{topic}_{partition}_{min}_{max}.parquet``
-    (the frame carries ``_kafka`` and ``file_seq``).
+    (the frame carries ``_kafka`` and ``file_seq``) — or ``custom``: the frame
+    carries ``partition_cols`` (U3).  ``file_name`` (U5) names a topic-partition
+    file from its columns t, p, lo and hi.  ``audit`` is added to the manifest.
     """
     spark = df.sparkSession
     base = base.rstrip("/")
@@ -179,23 +197,26 @@ def publish(
 
     started = time.time()
     stage = f"{staging}/batch={batch_id}"
+    moves_path = f"{staging}/moves-{batch_id}.json"
+    if fs.exists(moves_path):  # an attempt that died while moving
+        for dst in json.loads(fs.read_text(moves_path)):
+            fs.delete(dst)
+        fs.delete(moves_path)
     fs.delete(stage)
     tag = f"batch-{batch_id:020d}"
-    files: list[str] = []
+    moves: list[tuple[str, str]] = []
 
     written: list[dict] = []
-    if layout in ("hourly", "daily"):
-        cols = ["dt", "hr"] if layout == "hourly" else ["dt"]
+    if layout in ("hourly", "daily", "custom"):
+        cols = partition_cols if layout == "custom" else ["dt", "hr"] if layout == "hourly" else ["dt"]
         # REBALANCE lets AQE split a hot hour over several writers
         write_parquet(df.hint("rebalance", *cols), stage, opts, partition_by=cols, mode="overwrite")
         written = _written_counts(spark, fs, stage)
-        for old in fs.glob(f"{base}/{'/'.join(c + '=*' for c in cols)}/{tag}-*"):
+        for old in fs.glob(f"{base}/{'/'.join(c + '=*' for c in cols)}/{tag}-*"):  # files without a manifest are no one's
             fs.delete(old)
         for i, src in enumerate(fs.data_files(stage)):
             rel_dir = "/".join(_rel(src, stage).split("/")[:-1])
-            dst = f"{base}/{rel_dir}/{tag}-{i:05d}.parquet"
-            fs.move(src, dst)
-            files.append(dst)
+            moves.append((src, f"{base}/{rel_dir}/{tag}-{i:05d}.parquet"))
     elif layout == "topic_partition":
         file_key = F.concat_ws("__", F.col("_kafka.topic"), F.col("_kafka.partition").cast("string"), F.col("file_seq").cast("string"))
         keyed = df.withColumn("_tw_file", file_key).drop("file_seq")
@@ -210,24 +231,27 @@ def publish(
             .agg(F.first("_kafka.topic").alias("t"), F.first("_kafka.partition").alias("p"),
                  F.min("_kafka.offset").alias("lo"), F.max("_kafka.offset").alias("hi"))
             .select(F.col("_tw_file").cast("string").alias("_tw_file"),
-                    offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")).alias("name"))
+                    (offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")) if file_name is None else file_name).alias("name"))
         )
         names = {} if ranges is None else {r["_tw_file"]: r["name"] for r in ranges.collect()}
         written = _written_counts(spark, fs, stage)
         for src in staged_files:
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
-            dst = f"{base}/{names[key]}"
-            fs.move(src, dst)
-            files.append(dst)
+            moves.append((src, f"{base}/{names[key]}"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
+    fs.write_text(moves_path, json.dumps([dst for _, dst in moves]))
+    for src, dst in moves:
+        fs.move(src, dst)
     manifest = {
-        "batch_id": batch_id, "layout": layout, "files": files, "positions": positions or [],
+        "batch_id": batch_id, "layout": layout, "files": [dst for _, dst in moves], "positions": positions or [],
         "written": written, "committed_at_ms": int(time.time() * 1000),
-        "duration_s": round(time.time() - started, 3),
+        "duration_s": round(time.time() - started, 3), **(audit or {}),
     }
+    fs.write_text(positions_path(base, batch_id), json.dumps(positions or []))
     fs.write_text(mpath, json.dumps(manifest))
+    fs.delete(moves_path)
     fs.delete(stage)
     return manifest
 
@@ -242,14 +266,17 @@ def _written_counts(spark: SparkSession, fs: _FS, stage: str) -> list[dict]:
 
 
 def committed_positions(spark: SparkSession, base: str) -> DataFrame:
-    """K8/A3 input: (topic, partition, commit_seq, next_offset, watermark) from every published manifest."""
+    """K8/A3 input: (topic, partition, commit_seq, next_offset, watermark) of every published batch.
+
+    Reads the small position files only (one row per topic-partition), not the lists of files."""
     base = base.rstrip("/")
     fs = _FS(spark, base)
+    published = {m.rsplit("/", 1)[-1] for m in fs.glob(f"{base}/_manifests/batch-*.json")}
     rows = []
-    for m in fs.glob(f"{base}/_manifests/batch-*.json"):
-        man = json.loads(fs.read_text(m))
-        for p in man.get("positions", []):
-            rows.append((p["topic"], int(p["partition"]), int(man["batch_id"]), int(p["next_offset"]), p.get("watermark")))
+    for path in fs.glob(f"{base}/_positions/batch-*.json"):
+        name = path.rsplit("/", 1)[-1]
+        for p in json.loads(fs.read_text(path)) if name in published else ():
+            rows.append((p["topic"], int(p["partition"]), int(name[len("batch-") : -len(".json")]), int(p["next_offset"]), p.get("watermark")))
     return spark.createDataFrame(rows, "topic string, partition int, commit_seq long, next_offset long, watermark long")
 
 
@@ -268,25 +295,9 @@ def read_loaded(
         for m in fs.glob(f"{base}/_manifests/batch-*.json"):
             paths.extend(json.loads(fs.read_text(m))["files"])
         if not paths:
-            return spark.createDataFrame([], output_schema())
+            extra = {"hourly": "dt string, hr string", "daily": "dt string"}.get(layout)
+            columns = [*output_schema().fields, *(T.StructType.fromDDL(extra).fields if extra else [])]
+            return spark.createDataFrame([], T.StructType(columns))
         return reader.parquet(*paths)
     pattern = {"topic_partition": "*.parquet", "hourly": "dt=*/hr=*/*.parquet", "daily": "dt=*/*.parquet"}[layout]
     return reader.parquet(f"{base}/{pattern}")
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a derived frame once as a Parquet table in the shared checkpoint
-    folder and read it back: cuts the lineage where several consumers would
-    otherwise each recompute it (chained ordered scans), and survives
-    executor loss (unlike a local checkpoint)."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared checkpoint folder."""
-    import uuid
-
-    root = require_checkpoint_dir(spark)
-    return f"{root.rstrip('/')}/tidewater-{name}-{uuid.uuid4().hex[:12]}"

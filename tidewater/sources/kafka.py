@@ -39,7 +39,9 @@ def kafka_options(
     S2 topics: a list or comma-separated string; S3 start: earliest unless a
     checkpoint exists; S4 offsets: always the checkpoint's; S5 isolation:
     read_committed by default; S6 intake: offsets per trigger; S7 other
-    consumer settings pass through as ``kafka.<key>``.  W6 on a broker:
+    consumer settings pass through as ``kafka.<key>`` (also
+    ``max.poll.records``, the client's fetch buffer: it is no intake limit).
+    W6 on a broker:
     ``starting_timestamp_ms`` starts every partition at its first offset
     whose time is at or after it (``startingTimestamp``).
     """
@@ -67,23 +69,23 @@ def kafka_options(
         key = k[len("kafka."):] if k.startswith("kafka.") else k
         if key in FORBIDDEN:
             raise ValueError(f"consumer setting {key!r} is not passed through: {FORBIDDEN[key]}")
-        if key == "max.poll.records" and not max_offsets_per_trigger:
-            # the per-poll cap becomes the per-trigger intake limit
-            opts["maxOffsetsPerTrigger"] = str(v)
-            continue
         opts[f"kafka.{key}"] = str(v)
     return opts
 
 
-def read_kafka(spark: SparkSession, streaming: bool = True, **kw) -> DataFrame:
-    """Kafka topics as a stream (default) or a bounded batch, raw bytes."""
+def read_kafka(spark: SparkSession, streaming: bool = True, ending_offsets: str = "latest", **kw) -> DataFrame:
+    """Kafka topics as a stream (default) or a bounded batch, raw bytes.
+
+    ``ending_offsets`` ends a batch: a JSON map of offsets pins it, so that every
+    job of the load reads the same records; ``latest`` is resolved by each job.
+    """
     opts = kafka_options(**kw)
     if streaming:
         return spark.readStream.format("kafka").options(**opts).load()
     opts.pop("maxOffsetsPerTrigger", None)
     opts.pop("minOffsetsPerTrigger", None)
     opts.pop("maxTriggerDelay", None)
-    opts.setdefault("endingOffsets", "latest")
+    opts["endingOffsets"] = ending_offsets
     return spark.read.format("kafka").options(**opts).load()
 
 
@@ -99,3 +101,10 @@ def write_kafka(records: DataFrame, bootstrap_servers: str, topic: str, producer
     """Keyed records (``key``, ``value`` bytes) to a topic, batch write."""
     out = records.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
     out.write.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic, producer)).save()
+
+
+def write_kafka_stream(records: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str, producer: dict[str, str] | None = None, trigger: dict | None = None):
+    """K10 as a stream: keyed records to a topic, at least once, offsets in ``checkpoint``; returns the query."""
+    out = records.select(F.col("key").cast("binary").alias("key"), F.col("value").cast("binary").alias("value"))
+    writer = out.writeStream.format("kafka").options(**kafka_sink_options(bootstrap_servers, topic, producer))
+    return writer.option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -1,4 +1,4 @@
-"""Streaming load: read -> (W1 + X1 state) -> foreachBatch(decode, annotate, publish).
+"""Streaming load: read -> (W1 + X1 state) -> foreachBatch(decode, stage, publish).
 
 Each micro-batch is published under its batch id, so a batch re-run after
 a failure overwrites the same files and a published batch is skipped
@@ -12,38 +12,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import codec, partitioning
-from ..plans.loads import LoadSpec
-from ..plans.sink import ParquetOptions, publish
+from ..operators.dedup import scope_columns
+from ..plans.loads import LoadSpec, publish_staged, with_status
+from ..plans.sink import _FS
 from ..session import require_checkpoint_dir
 from .processors import offset_range_dedup, watermark_and_dedup
 
 
-def annotate_batch(batch: DataFrame, spec: LoadSpec, decoded: bool = False) -> DataFrame:
-    """Per micro-batch: drop duplicates, decode, filter, annotate, partition."""
-    x = batch.where(~F.col("is_dup")).drop("is_dup") if "is_dup" in batch.columns else batch
-    if not decoded:
-        x = codec.drop_malformed(codec.decode_proto(x, spec.message, spec.descriptor_set))
-    if spec.predicate is not None:
-        x = codec.filter_records(x, spec.predicate)
-    if spec.layout == "topic_partition":
-        x = partitioning.roll_by_records(x, spec.roll_records or (1 << 62))
-        keep = ["file_seq"]
-    else:
-        x = partitioning.time_partition(x, spec.layout)
-        keep = partitioning.partition_columns(spec.layout)
-    msg = [f.name for f in codec.proto.spark_schema(codec.proto.message_class(spec.message, spec.descriptor_set).DESCRIPTOR).fields]
-    return x.select(*msg, codec.kafka_meta().alias("_kafka"), *keep)
-
-
 def dedup_stream(stream: DataFrame, spec: LoadSpec) -> DataFrame:
-    """Watermark and dedup state for a stream, per the spec's rule."""
-    scope = ["tw_scope"] if spec.scope == "root" else None
-    x = stream.withColumn("tw_scope", F.lit("root")) if scope else stream
+    """Watermark and dedup state for a stream, per the spec's rule.
+
+    The scope of the recent-key cache is that of the batch form: None (topic-
+    partition), ``"root"``, columns or a Column.  Offset and time rules compare
+    records of one topic-partition; a scope with them is refused.
+    """
+    x, scope = scope_columns(stream, spec.scope)
+    if "_tw_group" in scope:
+        x, scope = x.withColumnRenamed("_tw_group", "tw_scope"), ["tw_scope"]
     if spec.dedup == "recent":
         marked = watermark_and_dedup(x, spec.key_cache, scope)
     else:
-        marked = watermark_and_dedup(x, None, scope).drop("is_dup")
+        if spec.scope is not None and spec.dedup is not None:
+            raise ValueError(f"dedup rule {spec.dedup!r} compares records of one topic-partition; scope must be None")
+        marked = watermark_and_dedup(x, None, None).drop("is_dup")
         if spec.dedup == "offsets":
             marked = offset_range_dedup(marked, spec.dedup_offsets)
         elif spec.dedup == "time":
@@ -52,7 +43,7 @@ def dedup_stream(stream: DataFrame, spec: LoadSpec) -> DataFrame:
             marked = marked.withColumn("is_dup", F.lit(False))
         else:
             raise ValueError(f"unknown dedup rule {spec.dedup!r}")
-    return marked.drop("tw_scope") if scope else marked
+    return marked.drop("tw_scope")
 
 
 def load_stream(
@@ -68,22 +59,15 @@ def load_stream(
     if checkpoint is None:
         checkpoint = f"{require_checkpoint_dir(spark).rstrip('/')}/tidewater-stream-{query_name or 'load'}"
     marked = dedup_stream(stream, spec)
-    opts = spec.parquet
-    if spec.layout != "topic_partition" and spec.roll_records:
-        opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, spec.roll_records)
+    staging = f"{base.rstrip('/')}/_staging"
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        if spec.layout != "topic_partition":
-            publish(annotate_batch(batch, spec), base, batch_id, layout=spec.layout, opts=opts)
-            return
-        # numbering files reads the decoded batch twice: keep one decoded copy
-        # for this micro-batch only (its size is bounded by the trigger)
-        decoded = codec.drop_malformed(codec.decode_proto(
-            batch.where(~F.col("is_dup")).drop("is_dup"), spec.message, spec.descriptor_set)).persist()
-        try:
-            publish(annotate_batch(decoded, spec, decoded=True), base, batch_id, layout=spec.layout, opts=opts)
-        finally:
-            decoded.unpersist()
+        # the micro-batch is written once with what became of every record; files,
+        # positions, dead letters and counts all come from that table
+        staged = f"{staging}/prepared={batch_id}"
+        with_status(batch, spec).write.mode("overwrite").parquet(staged)
+        publish_staged(batch.sparkSession, staged, base, batch_id, spec, spec.roll_records)
+        _FS(spark, base).delete(staged)
 
     w = marked.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:

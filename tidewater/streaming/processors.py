@@ -22,6 +22,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..schema import key_string
 from ..session import ship_package
 
+NULL_KEY_GROUPS = 1024  # groups that the keyless records of a topic-partition are dealt to
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -83,7 +84,9 @@ class LastOffsetDedup(StatefulProcessor):
     """X3/X4 keyed by (scope, key): duplicate iff the key's previous record is recent.
 
     ``by="offset"``: within ``n`` offsets (X3); ``by="time"``: at most ``n`` ms
-    older (X4).  Every record refreshes the key's state, kept or not.
+    older (X4).  Every record refreshes the key's state, kept or not.  Records
+    without a key are no duplicates of one another and keep no state; they are
+    grouped by offset too, so that they do not meet in one task.
     """
 
     def __init__(self, n: int, ttl_ms: int | None = None, by: str = "offset"):
@@ -99,6 +102,11 @@ class LastOffsetDedup(StatefulProcessor):
         if pdf.empty:
             return
         pdf = pdf.sort_values("offset", kind="mergesort")
+        if pdf["tw_dedup_key"].isna().iloc[0]:
+            out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms", "tw_spread") if c in pdf.columns])
+            out["is_dup"] = False
+            yield out
+            return
         col = "offset" if self.by == "offset" else "tw_ts_ms"
         last = self.last.get()[0] if self.last.exists() else None
         dups = []
@@ -106,7 +114,7 @@ class LastOffsetDedup(StatefulProcessor):
             dups.append(last is not None and v - last <= self.n)
             last = v
         self.last.update((int(last),))
-        out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms") if c in pdf.columns])
+        out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms", "tw_spread") if c in pdf.columns])
         out["is_dup"] = dups
         yield out
 
@@ -152,12 +160,13 @@ def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None, by:
     """
     _prep(stream)
     x = stream.withColumn("tw_dedup_key", key_string("key"))
+    x = x.withColumn("tw_spread", F.when(F.col("tw_dedup_key").isNull(), F.pmod("offset", F.lit(NULL_KEY_GROUPS))).otherwise(0).cast("int"))
     if by == "time":
         x = x.withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp")))
-    fields = [f for f in x.schema.fields if f.name not in ("tw_dedup_key", "tw_ts_ms")]
+    fields = [f for f in x.schema.fields if f.name not in ("tw_dedup_key", "tw_ts_ms", "tw_spread")]
     out = T.StructType(fields + [T.StructField("is_dup", T.BooleanType())])
     # state TTL (bounding the per-key state) runs on processing time
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return x.groupBy("topic", "partition", "tw_dedup_key").transformWithStateInPandas(
+    return x.groupBy("topic", "partition", "tw_dedup_key", "tw_spread").transformWithStateInPandas(
         LastOffsetDedup(n, ttl_ms, by), out, "Append", time_mode
     )

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -173,14 +174,14 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next, where
     the next document is the one of the next larger id (after the last, the first).
 
-    Rows are dealt in ranges of ids and read in order; a range's last row waits for the first text
-    of the next range, of which there is one a partition."""
+    Rows are dealt in ranges of ids, their texts compressed on the way, and read in order; a range's
+    last row waits for the first text of the next range, of which there is one a partition."""
     id_type = df.schema[doc_id].dataType.simpleString()
     schema = f"id {id_type}, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, waiting, started = TaskContext.get().partitionId(), None, False
-        kind = None
+        kind, unpack = None, zstandard.ZstdDecompressor().decompress
 
         def out(columns: list[list], role: str, whole: list) -> pa.RecordBatch:
             n = len(columns[0])
@@ -193,7 +194,7 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
 
         for batch in batches:
             kind = batch.schema.field(0).type
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            ids, texts = batch.column(0).to_pylist(), [unpack(x.as_py()).decode() for x in batch.column(1)]
             for a, b in tv.chunks(texts, CHUNK_CHARS):
                 rows, row_ids = texts[a:b], ids[a:b]
                 if not started:
@@ -216,9 +217,15 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
                 types = [batch.schema.field(0).type, pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=_FIELDS)
 
-    rows = df.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    order = [F.col("id").asc_nulls_first(), F.xxhash64("__text"), F.col("__text")]
-    dealt = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        press = zstandard.ZstdCompressor(level=3).compress
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press(x.as_py()) for x in batch.column(1)], pa.binary()), batch.column(2)], names=["id", "__text", "__hash"])
+
+    rows = df.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("__text"))
+    rows = rows.withColumn("__hash", F.xxhash64("__text")).mapInArrow(pack, f"id {id_type}, __text binary, __hash long")
+    order = [F.col("id").asc_nulls_first(), F.col("__hash")]
+    dealt = rows.repartitionByRange(*order).sortWithinPartitions(*order).select("id", "__text")
     read = materialize(dealt.mapInArrow(run, f"{schema}, role string, part int, text string"), "fingerprints")
     # one row a partition each; the first text of all follows the last row
     firsts = read.where("role = 'first'").select("part", F.col("text").alias("following"))

@@ -88,7 +88,7 @@ class KernelModel:
             key, col = self._tables[n]
             h = gram_hashes(cp, n)
             slot = (h >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
-            at = np.flatnonzero(key[slot] == h)
+            at = np.flatnonzero((key[slot] == h) & (h != 0))  # 0 is an empty slot
             flat[owner[at] * width + col[slot[at]]] = True
         return out
 
@@ -168,19 +168,15 @@ def predict(df: DataFrame, model: KernelModel | None, keep: list[str], text: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            names, scores = [], []
-            for a, b in tv.chunks(texts, 1 << 19):
-                cp, bounds = tv.code_points(texts[a:b])
+            # few rows of a matrix at a time, however short the texts
+            for part, texts in tv.text_slices(batch, len(keep), 1 << 19, 128):
+                cp, bounds = tv.code_points(texts)
                 letters = np.concatenate([[0], np.cumsum(tv.char_classes()[cp] == tv.LETTER)])[bounds]
                 known = (np.diff(letters) > 0) & (model is not None)
-                # few rows of a matrix at a time, however short the texts
-                for c in range(a, b, 128):
-                    rows = known[c - a : c - a + 128]
-                    s = model.scores(texts[c : min(b, c + 128)]) if rows.any() else np.zeros((len(rows), 1))
-                    best = s.argmax(axis=1)
-                    names += [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, rows, strict=True)]
-                    scores += [float(min(1.0, s[i, k])) if ok else 0.0 for i, (k, ok) in enumerate(zip(best, rows, strict=True))]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
+                s = model.scores(texts) if known.any() else np.zeros((len(texts), 1))
+                best = s.argmax(axis=1)
+                names = [model.labels[k] if ok else UNKNOWN for k, ok in zip(best, known, strict=True)]
+                scores = [float(min(1.0, s[i, k])) if ok else 0.0 for i, (k, ok) in enumerate(zip(best, known, strict=True))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=schema.names)
 
     return df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(run, schema)

@@ -60,6 +60,16 @@ def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, in
         yield a, len(texts)
 
 
+def text_slices(batch, column: int, limit: int = CHUNK_CHARS, rows: int = 1024) -> Iterator[tuple]:
+    """Slices of an Arrow batch with their texts (null: empty): at most ``rows`` rows and, unless
+    one text is longer, ``limit`` characters."""
+    for at in range(0, batch.num_rows, rows):
+        part = batch.slice(at, rows)
+        texts = [t or "" for t in part.column(column).to_pylist()]
+        for a, b in chunks(texts, limit):
+            yield part.slice(a, b - a), texts[a:b]
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts as one code-point array, and the n + 1 text boundaries in it."""
     cp = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)

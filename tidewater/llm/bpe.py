@@ -28,7 +28,6 @@ from pyspark.sql import types as T
 from . import textvec as tv
 
 CACHE_PIECES = 1 << 20
-_CODERS: dict[str, "PieceCoder"] = {}
 
 
 def byte_chars() -> list[str]:
@@ -153,17 +152,18 @@ class PieceCoder:
 
 def coder(path: str) -> PieceCoder:
     """The worker's coder for a vocabulary file: a rank file (.tiktoken) or a tokenizer file (.json)."""
-    if path not in _CODERS:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        if path.endswith(".json"):
-            from tokenizers import Tokenizer
-
-            full = Tokenizer.from_file(path)
-            marks = tuple(t.content for t in full.get_added_tokens_decoder().values())
-            _CODERS[path] = PieceCoder(*file_tokenizer(path), whole=lambda t: full.encode(t, add_special_tokens=False).ids, marks=marks)
-        else:
-            _CODERS[path] = PieceCoder(*rank_tokenizer(path))
-    return _CODERS[path]
+    return tv.held(("coder", path), lambda: _make_coder(path))
+
+
+def _make_coder(path: str) -> PieceCoder:
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+    if not path.endswith(".json"):
+        return PieceCoder(*rank_tokenizer(path))
+    from tokenizers import Tokenizer
+
+    full = Tokenizer.from_file(path)
+    marks = tuple(t.content for t in full.get_added_tokens_decoder().values())
+    return PieceCoder(*file_tokenizer(path), whole=lambda t: full.encode(t, add_special_tokens=False).ids, marks=marks)
 
 
 def _kept(df: DataFrame, keep: list[str], text: str) -> DataFrame:

@@ -167,6 +167,7 @@ def predict(df: DataFrame, model: KernelModel | None, keep: list[str], text: str
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tv.release()
         for batch in batches:
             # few rows of a matrix at a time, however short the texts
             for part, texts in tv.text_slices(batch, len(keep), 1 << 19, 128):

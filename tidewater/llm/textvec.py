@@ -22,6 +22,22 @@ _classes: np.ndarray | None = None
 _weights = np.zeros(0, dtype=np.uint64)
 
 
+_held: dict = {}
+
+
+def held(name: tuple, make):
+    """The worker's one long-lived helper: made anew, and the last one dropped, when another is asked for."""
+    if name not in _held:
+        _held.clear()
+        _held[name] = make()
+    return _held[name]
+
+
+def release() -> None:
+    """Drop the worker's long-lived helper: the work at hand needs none."""
+    _held.clear()
+
+
 def char_classes() -> np.ndarray:
     """Class of every code point: letter, number, white space or other."""
     global _classes

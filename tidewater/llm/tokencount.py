@@ -160,19 +160,15 @@ class WordCounter:
         return np.diff(words[at]), np.diff(tokens[at])
 
 
-_counters: dict[str, WordCounter] = {}
-
-
 def token_counts(df: DataFrame, path: str, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns, n_words and n_tokens of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _counters:
-            _counters[path] = WordCounter(path)
+        counter = tv.held(("words", path), lambda: WordCounter(path))
         for batch in batches:
             texts = batch.column(len(keep)).to_pylist()
             for a, b in tv.chunks(texts):
-                words, tokens = _counters[path].count(texts[a:b])
+                words, tokens = counter.count(texts[a:b])
                 yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns[:-1]), pa.array(words, pa.int64()), pa.array(tokens, pa.int64())], names=[*keep, "n_words", "n_tokens"])
 
     schema = df.select(*keep).schema.add("n_words", "long").add("n_tokens", "long")

@@ -54,6 +54,7 @@ def trigram_counts(df: DataFrame, text: str = "text") -> np.ndarray:
     """Counts of letter trigrams over all texts; the table's size is the alphabet's."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tv.release()
         total = np.zeros(SYMBOLS**3, dtype=np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -107,7 +108,7 @@ class Restorer:
         logs = self.logs
         states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
         for c in token:
-            readings = [(c, 0.0)] if c.isalpha() else [(r, -1.0) for r in LOOKALIKES.get(c, "")]
+            readings = [(c, 0.0)] if c.isalpha() else [(r, -0.5) for r in LOOKALIKES.get(c, "")]
             new: dict[tuple[int, int, str], tuple[float, str]] = {}
 
             def offer(key, score, word, new=new):
@@ -121,14 +122,14 @@ class Restorer:
                     if letter == last:  # one letter written again
                         offer((a, b, last), score + cost - 2.0, word)
                 if not c.isalpha():
-                    offer((a, b, last), score - (0.5 if c in SEPARATORS else 4.0), word)  # a mark between letters
+                    offer((a, b, last), score - (0.5 if c in SEPARATORS else 8.0), word)  # a mark between letters
             # a bounded beam: states that differ only in far letters have met by then
             states = dict(sorted(new.items(), key=lambda x: (-x[1][0], x[1][1]))[:24]) if len(new) > 24 else new
         return max(((s + float(logs[a, b, 0]), w) for (a, b, _), (s, w) in states.items()), default=(0, ""))[1]
 
 
 _EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_SIGN_EDGE = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$!|+(€£]+$|([^\w\s])\1+$")
+_SIGN_EDGE = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$!|+(€£]+$|([^\w\s])\1{2,}$")
 
 
 def token_words(token: str, restorer: Restorer | None) -> list[str]:
@@ -195,6 +196,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     logs = model.logs
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tv.release()
         restorer = Restorer(logs)
         for batch in batches:
             toxic, texts = (c.to_pylist() for c in batch.columns)
@@ -236,7 +238,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     enough = math.log(tested) / math.log(1 / prior)  # so many rows are no accident
     open_rows, chosen = set(range(1, n_rows + 1)), []
     weight = lambda f: len(rows_with[f]) * math.log(table[f][0] / table[f][1] / prior)
-    for f in sorted(rows_with, key=lambda f: (-round(weight(f), 6), -len(f), f)):
+    for f in sorted(rows_with, key=lambda f: (-round(weight(f), 6), not f.endswith("*"), -len(f), f)):
         stem = f.rstrip("*")
         if any(stem.startswith(g.rstrip("*")) or g.rstrip("*").startswith(stem) for g in chosen):
             continue  # another length of the same beginning says it already
@@ -313,16 +315,10 @@ def score(df: DataFrame, model: ToxicModel, keep: list[str], text: str = "text")
     model.name = model.name or uuid.uuid4().hex
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if model.name not in _scorers:
-            _scorers.clear()
-            _scorers[model.name] = Scorer(model)
-        scorer = _scorers[model.name]
+        scorer = tv.held(("scorer", model.name), lambda: Scorer(model))
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            scores = [s for a, b in tv.chunks(texts) for s in scorer.score(texts[a:b])]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(scores, pa.float64())], names=schema.names)
+            for part, texts in tv.text_slices(batch, len(keep)):
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(scorer.score(texts), pa.float64())], names=schema.names)
 
     return df.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(run, schema)
 
-
-_scorers: dict[str, Scorer] = {}

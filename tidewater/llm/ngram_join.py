@@ -13,10 +13,13 @@ size), so that passages many documents share seldom become join keys.  The
 counting sketch only orders blocks: whatever it holds, no pair is lost.
 
 Sets that share a block key are sorted by size.  Each meets the key's first set
-and its next ``window`` ones; keys with more sets than that are looked at
-again once links are known, and if they join several components, all their
-sets of different components are compared by bit sketches in blocks.  Candidate
-pairs pass the bit sketches' Hamming bound and are then verified exactly.
+and its next ``window`` ones.  Keys with more sets than that are looked at again
+once links are known: where they hold several components, the sets outside the
+largest one are compared with that component's sets by bit sketches, in bounded
+chunks, and tried with the nearest.  What still lies in different components
+after that is tried pair by pair, as far as the sketches allow a link.
+Candidate pairs pass the bit sketches' Hamming bound and are then verified
+exactly.
 
 Equal sets are one node from the start.  Components come from star contraction
 on written tables.  Rows without words (null, empty) have no shingles and link
@@ -40,7 +43,8 @@ from . import textvec as tv
 WORDS = 5
 COUNTER_BITS = 20
 BAND_BITS = 3  # sizes of a band lie within a factor of 2 ** BAND_BITS
-WINDOW = 8
+WINDOW = 4
+CHUNK_SETS = 1 << 14  # sets of a component that are compared in one task
 BROADCAST_ROWS = 1 << 20  # ids that a text scan may be filtered by without a shuffle
 
 
@@ -101,6 +105,7 @@ def rarity(df: DataFrame, text: str, words: int) -> np.ndarray:
     size, part = 1 << COUNTER_BITS, 1 << 14
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tv.release()
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             texts = batch.column(0).to_pylist()
@@ -160,8 +165,8 @@ def block_keys(held: np.ndarray, classes: np.ndarray, limit: Threshold) -> np.nd
 
 
 def bit_sketch(held: np.ndarray) -> bytes:
-    """Parity bits of a set: two to four bits an element, at least 64."""
-    m = max(64, 1 << (2 * len(held) - 1).bit_length())
+    """Parity bits of a set: four to eight bits an element, at least 64."""
+    m = max(64, 1 << (4 * len(held) - 1).bit_length())
     return np.packbits(np.bincount((held & np.uint64(m - 1)).astype(np.int64), minlength=m).astype(np.uint8) & 1).tobytes()
 
 
@@ -180,6 +185,7 @@ def sketch_sets(df: DataFrame, doc_id: str, text: str, words: int, limit: Thresh
     classes = rarity(df, text, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tv.release()
         seen: set[int] = set()
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
@@ -225,7 +231,16 @@ def candidates(keyed: DataFrame, limit: Threshold, window: int) -> DataFrame:
     """Rows (a, b, key, n): pairs a < b with a null key; sets (a) of keys that have more than
     ``window`` + 1 of them with a null b."""
 
+    def both(found: list[np.ndarray]) -> pa.RecordBatch:
+        a, b = np.concatenate(found, axis=1)
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+        a, b = a[new], b[new]
+        return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64())], names=["a", "b", "key", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, count = [], 0  # pairs share many keys: a bounded number is kept back to drop repeats
         for key, n, node in key_runs(batches):
             start = np.append(True, key[1:] != key[:-1])
             first = np.flatnonzero(start)
@@ -235,24 +250,22 @@ def candidates(keyed: DataFrame, limit: Threshold, window: int) -> DataFrame:
             head = np.repeat(first, size)
             end = head + np.repeat(size, size)
             at = np.arange(len(key))
-            pairs = []
             for d in range(0, min(window, int(size.max()) - 1) + 1):
                 other = at + d if d else head  # d = 0: the key's first set
                 ok = ((other < end) if d else (at - head > window)) & (np.repeat(size, size) > 1)
                 x, y = at[ok], other[ok]
                 ok = np.maximum(n[x], n[y]) <= limit.largest(np.minimum(n[x], n[y]))
-                pairs.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])]))
-            a, b = np.concatenate(pairs, axis=1)
-            if len(a):
-                order = np.lexsort((b, a))
-                a, b = a[order], b[order]
-                new = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))
-                a, b = a[new], b[new]
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.nulls(len(a), pa.int64()), pa.nulls(len(a), pa.int64())], names=["a", "b", "key", "n"])
+                held.append(np.stack([np.minimum(node[x[ok]], node[y[ok]]), np.maximum(node[x[ok]], node[y[ok]])]))
+                count += int(ok.sum())
+            if count >= 1 << 20:
+                yield both(held)
+                held, count = [], 0
             many = np.repeat(size > window + 1, size)
             if many.any():
                 k = int(many.sum())
                 yield pa.RecordBatch.from_arrays([pa.array(node[many]), pa.nulls(k, pa.int64()), pa.array(key[many]), pa.array(n[many])], names=["a", "b", "key", "n"])
+        if count:
+            yield both(held)
 
     ordered = keyed.repartition(F.col("key")).sortWithinPartitions("key", "n", "node")
     return ordered.mapInArrow(run, "a long, b long, key long, n long")
@@ -279,20 +292,27 @@ def filtered_by_ids(df: DataFrame, column: str, ids: DataFrame, how: str, bound:
     return df.join(F.broadcast(ids) if ids.count() <= bound else ids, column, how)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, text: str, words: int, limit: Threshold) -> DataFrame:
-    """The pairs (a, b) that are links, by their exact sets, which are made again from the texts."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+def exact_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(node, held): the sorted hashes of the sets of ``nodes``, made again from the texts, once a node."""
     owners = sets.where("keys is not null").groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node", "left_semi")
     owner_ids = materialize(owners.select(F.col("id").alias("__id")).distinct(), "owner-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
+            texts = batch.column(1).to_pylist()
             for a, b in tv.chunks(texts):
                 h, bounds = shingle_hashes(texts[a:b], words)
                 held = [np.unique(h[bounds[i] : bounds[i + 1]]) for i in range(b - a)]
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in held], pa.int64()), pa.array([x.tobytes() for x in held], pa.binary())], names=["node", "held"])
 
+    rows = df.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    # rows that repeat an id give a node twice or nodes of no pair: the first repeats links, the joins drop the others
+    return filtered_by_ids(rows, "__id", owner_ids, "left_semi").mapInArrow(run, "node long, held binary")
+
+
+def verified(pairs: DataFrame, exact: DataFrame, limit: Threshold) -> DataFrame:
+    """The pairs (a, b) that are links, by their exact sets."""
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ok = []
@@ -302,10 +322,6 @@ def verified(pairs: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, text
                 ok.append(limit.den * shared >= limit.num * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    rows = df.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    found = filtered_by_ids(rows, "__id", owner_ids, "left_semi").mapInArrow(run, "node long, held binary")
-    # rows that repeat an id with another text give nodes of no pair; the joins drop them
-    exact = materialize(found.dropDuplicates(["node"]), "sets")
     both = pairs.join(exact.select(F.col("node").alias("a"), F.col("held").alias("ha")), "a").join(exact.select(F.col("node").alias("b"), F.col("held").alias("hb")), "b")
     return both.select("a", "b", "ha", "hb").mapInArrow(compare, "a long, b long")
 
@@ -344,49 +360,91 @@ def components(edges: DataFrame) -> DataFrame:
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
-def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs (a, b) of different components that share a crowded key and may link by their sketches."""
-    rows = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high").select("key")
-    rows = rows.join(mixed, "key").join(sketches.select("node", "sketch"), "node").select("key", "n", "node", "root", "sketch")
+def grouped_pairs(rows: DataFrame, keys: list[str], limit: Threshold, nearest: bool) -> DataFrame:
+    """Pairs (a, b) within groups of rows (keys, own, n, node, root, sketch) that may link by their
+    sketches: every row that is not ``own`` against those of other roots, or only the nearest."""
+
+    def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
+        own, n, node, root = (np.array([g[k] for g in group], dtype=np.int64) for k in (0, 1, 2, 3))
+        size = np.array([len(g[4]) for g in group])
+        rows_of = {int(w): np.flatnonzero(size == w) for w in np.unique(size)}
+        matrix = {w: np.stack([np.frombuffer(group[i][4], np.uint8) for i in at]) for w, at in rows_of.items()}
+        for i in np.flatnonzero(own == 0).tolist():
+            mine, best = np.frombuffer(group[i][4], np.uint8), (1 << 40, -1)
+            for width in (len(mine) // 2, len(mine), 2 * len(mine)):
+                for c in range(0, len(rows_of.get(width, ())), 4096):
+                    block, others = rows_of[width][c : c + 4096], matrix[width][c : c + 4096]
+                    ok = (root[block] != root[i]) & (n[block] <= limit.largest(n[i])) & (n[i] <= limit.largest(n[block]))
+                    block, others = block[ok], others[ok]
+                    if width > len(mine):
+                        others = others[:, : len(mine)] ^ others[:, len(mine) :]
+                    folded = mine if width >= len(mine) else mine[:width] ^ mine[width:]
+                    far = np.bitwise_count(others ^ folded).sum(axis=1)
+                    ok = far <= limit.difference(n[i], n[block])
+                    if not ok.any():
+                        continue
+                    block, far = block[ok], far[ok]
+                    if nearest:
+                        best = min(best, (int(far.min()), int(node[block[far.argmin()]])))
+                    else:
+                        yield from ((int(node[i]), int(x)) for x in node[block].tolist())
+            if nearest and best[0] < 1 << 40:
+                yield int(node[i]), best[1]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[tuple] = []
+        current = None
+        told: set[tuple[int, int]] = set()  # a bounded number of pairs, to drop repeats
 
-        def compare(group: list[tuple]) -> Iterator[pa.RecordBatch]:
-            n, node, root = (np.array([g[k] for g in group], dtype=np.int64) for k in (1, 2, 3))
-            size = np.array([len(g[4]) for g in group])
-            top = np.searchsorted(n, limit.largest(n), side="right")
-            pairs = []
-            for width in np.unique(size):
-                own = np.flatnonzero(size == width)
-                matrix = np.stack([np.frombuffer(group[i][4], np.uint8) for i in own])
-                wide = np.flatnonzero(size == 2 * width)
-                other = np.stack([np.frombuffer(group[i][4], np.uint8) for i in wide]) if len(wide) else np.zeros((0, 2 * width), np.uint8)
-                against = np.concatenate([matrix, other[:, :width] ^ other[:, width:]])
-                place = np.concatenate([own, wide])  # in order of size
-                for k, i in enumerate(own):
-                    stop = int(np.searchsorted(place, top[i]))
-                    for c in range(k + 1, stop, 4096):
-                        block = place[c : min(stop, c + 4096)]
-                        far = np.bitwise_count(against[c : c + len(block)] ^ matrix[k]).sum(axis=1)
-                        ok = block[(far <= limit.difference(n[i], n[block])) & (root[block] != root[i])]
-                        pairs += [(min(node[i], x), max(node[i], x)) for x in node[ok]]
-            if pairs:
-                a, b = np.array(sorted(set(pairs)), dtype=np.int64).T
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+        def out() -> pa.RecordBatch:
+            a, b = np.array(sorted(told), dtype=np.int64).reshape(-1, 2).T
+            told.clear()
+            return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+        def take() -> Iterator[pa.RecordBatch]:
+            for x, y in compare(rest) if rest else ():
+                told.add((min(x, y), max(x, y)))
+                if len(told) >= 1 << 17:
+                    yield out()
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if rest and row[0] != rest[0][0]:
-                    yield from compare(rest)
-                    rest = []
-                rest.append(row)
-        if rest:
-            yield from compare(rest)
+                if row[: len(keys)] != current:
+                    yield from take()
+                    current, rest = row[: len(keys)], []
+                rest.append(row[len(keys) :])
+        yield from take()
+        if told:
+            yield out()
+
+    ordered = rows.select(*keys, "own", "n", "node", "root", "sketch").repartition(*keys).sortWithinPartitions(*keys)
+    return ordered.mapInArrow(run, "a long, b long")
 
-    ordered = rows.repartition(F.col("key")).sortWithinPartitions("key", "n", "node")
-    return ordered.mapInArrow(run, "a long, b long").distinct()
+
+def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit: Threshold, nearest: bool) -> DataFrame:
+    """Pairs (a, b) of different components that share a crowded key and may link by their sketches.
+
+    In each key, the sets outside its largest component are strangers.  Each stranger meets the
+    sets of that component once, however many keys say so, the component dealt in chunks of
+    bounded size; with ``nearest`` only the nearest of them.  Strangers of one key and of
+    different components meet within the key (not with ``nearest``)."""
+    rows = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("key", F.col("m.root").alias("main"), "roots")
+    strangers = materialize(rows.join(main, "key").where("root <> main"), "strangers")
+    asked = strangers.select("main", "node", "root").distinct()
+    mains = asked.select("main").distinct()
+    members = roots.withColumnRenamed("root", "main").join(mains, "main", "left_semi").select("main", "node").union(mains.select("main", F.col("main").alias("node"))).distinct()
+    chunks = members.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / CHUNK_SETS).cast("int").alias("chunks"))
+    own = members.join(chunks, "main").select("main", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("own"), "node", F.col("main").alias("root"))
+    guests = asked.join(chunks, "main").select("main", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("own"), "node", "root")
+    # strangers need not meet one another here: they are marked by one root
+    guests = guests.withColumn("root", F.lit(0).cast("long")).union(own.withColumn("root", F.lit(1).cast("long")))
+    pairs = grouped_pairs(guests.join(sketches, "node"), ["main", "chunk"], limit, nearest)
+    if not nearest:
+        several = strangers.join(strangers.groupBy("key").agg(F.countDistinct("root").alias("k")).where("k > 1").select("key"), "key", "left_semi")
+        pairs = pairs.union(grouped_pairs(several.select("key", F.lit(0).alias("own"), "node", "root").join(sketches, "node"), ["key"], limit, False))
+    return pairs.distinct()
 
 
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, limit: Threshold | None = None, window: int = WINDOW) -> DataFrame:
@@ -396,15 +454,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     keyed = sets.where("keys is not null").select(F.explode("keys").alias("key"), "n", "node")
     met = materialize(candidates(keyed, limit, window), "candidates")
     sketches = sets.where("sketch is not null").select("node", "n", "sketch").dropDuplicates(["node"])
-    pairs = met.where("b is not null").select("a", "b").distinct()
-    near = materialize(near_by_sketch(pairs, sketches, limit), "near")
-    links = materialize(verified(near, sets, df, doc_id, text, words, limit), "links")
-    roots = materialize(components(links), "roots")
+    near = materialize(near_by_sketch(met.where("b is not null").select("a", "b").distinct(), sketches, limit), "near")
     crowded = met.where("key is not null").select("key", F.col("a").alias("node"), "n")
-    more = materialize(unresolved(crowded, roots, sketches, limit).join(near, ["a", "b"], "left_anti"), "unresolved")
-    if not more.isEmpty():
-        links = links.union(verified(more, sets, df, doc_id, text, words, limit))
+
+    def links_of(pairs: DataFrame) -> DataFrame:
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        return verified(pairs, materialize(exact_sets(nodes, sets, df, doc_id, text, words), "sets"), limit)
+
+    roots = materialize(components(links_of(near)), "roots")
+    tried = near
+    for nearest in (True, False):
+        more = materialize(unresolved(crowded, roots, sketches, limit, nearest).join(tried, ["a", "b"], "left_anti"), "unresolved")
+        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links_of(more))
         roots = materialize(components(links), "roots")
+        tried = tried.union(more)
     ids = sets.where("id is not null and n > 0").groupBy("node").agg(F.min("id").alias("low"))
     lowest = ids.join(roots, "node").groupBy("root").agg(F.min("low").alias("lowest"))
     named = ids.join(roots.join(lowest, "root"), "node", "left").select("node", F.coalesce("lowest", "low").alias("lowest"))

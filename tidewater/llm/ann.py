@@ -2,7 +2,8 @@
 
 Unit vectors are turned by fast pseudo-rotations (sign flips and Hadamard
 transforms, three times) and assigned to the nearest signed axis; a few such
-functions make a bucket, and ``TABLES`` independent tables are kept.  A query
+functions make a bucket, the last one with as many axes as the number of vectors
+calls for, and ``TABLES`` independent tables are kept.  A query
 looks into the ``PROBES`` buckets of each table whose axes are nearest to it.
 Candidates meet their query once, in blocks of indexed vectors, and are ranked
 by the exact Euclidean distance of the original vectors in double precision;
@@ -12,15 +13,15 @@ Equal vectors are one entry with their smallest ids, as many as any answer can
 need, so copies cost nothing.  Vectors that are null, zero, or hold null or
 non-finite components take no part, as query or as candidate; only vectors of
 one length are compared.  Ties go to the smaller id.  Repeated rows of one id
-and vector count once.  An empty table gives an empty result.  The number of
-functions a bucket has follows from the number of distinct vectors, so that
-buckets stay small.  The index holds every vector.
+and vector count once.  An empty table gives an empty result.  A table has about
+one bucket for two distinct vectors, so that a query's candidates do not grow
+with the table.  The index holds every vector.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import product
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,20 @@ from pyspark.sql import functions as F
 from ..plans.sink import materialize
 
 TABLES = 32
-PROBES = 96
+PROBES = 128
+BUCKETS_PER_VECTOR = 0.45
 BLOCK_ROWS = 4096
 
 
-def functions_for(vectors: int) -> int:
-    """Hash functions a bucket: one up to 4096 vectors, and one more for every 2 ** 9 times as many."""
-    return 1 + max(0, -(-(max(1, vectors).bit_length() - 12) // 9))
+def axes_for(vectors: int, d: int) -> list[int]:
+    """Axes of each hash function: whole ones of d, and a part of d to come near the wanted buckets."""
+    wanted = max(1.0, vectors * BUCKETS_PER_VECTOR)
+    axes = [d]
+    wanted /= 2 * d
+    while wanted >= 2 * d:
+        axes.append(d)
+        wanted /= 2 * d
+    return [*axes, round(wanted / 2)] if round(wanted / 2) >= 1 else axes
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -50,48 +58,56 @@ def hadamard(x: np.ndarray) -> np.ndarray:
     return x / np.sqrt(d)
 
 
-def rotations(vectors: np.ndarray, functions: int, tables: int = TABLES, seed: int = 11) -> Iterator[tuple[int, list[np.ndarray]]]:
-    """For each table, its functions' pseudo-rotations of the unit vectors, as signed scores of 2 d axes."""
+def rotations(vectors: np.ndarray, count: int, tables: int = TABLES, seed: int = 11) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """For each table, its functions' pseudo-rotations of the unit vectors, as scores of signed axes;
+    ``count``: vectors in the table."""
     d = max(2, 1 << (vectors.shape[1] - 1).bit_length())
     unit = np.zeros((len(vectors), d))
     unit[:, : vectors.shape[1]] = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     rng = np.random.default_rng([seed, d])
     for table in range(tables):
         scores = []
-        for _ in range(functions):
+        for axes in axes_for(count, d):
             x = unit
             for _ in range(3):
                 x = hadamard(x * rng.choice([-1.0, 1.0], d))
-            scores.append(np.concatenate([x, -x], axis=1))
+            scores.append(np.concatenate([x[:, :axes], -x[:, :axes]], axis=1))
         yield table, scores
 
 
-def buckets(vectors: np.ndarray, functions: int) -> Iterator[tuple[int, np.ndarray]]:
+def buckets(vectors: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
     """For each table, the bucket of every vector."""
-    for table, scores in rotations(vectors, functions):
+    for table, scores in rotations(vectors, count):
         key = np.zeros(len(vectors), dtype=np.int64)
         for s in scores:
             key = key * s.shape[1] + s.argmax(axis=1)
         yield table, key
 
 
-def probes(vectors: np.ndarray, functions: int, count: int = PROBES) -> Iterator[tuple[int, np.ndarray]]:
-    """For each table, the ``count`` buckets nearest to every vector (all, if there are fewer)."""
-    for table, scores in rotations(vectors, functions):
-        axes = scores[0].shape[1]
+def probes(vectors: np.ndarray, count: int, wanted: int = PROBES) -> Iterator[tuple[int, np.ndarray]]:
+    """For each table, the ``wanted`` buckets nearest to every vector (all, if there are fewer)."""
+    for table, scores in rotations(vectors, count):
         # only a function's best axes can be in the best combinations
-        width = min(axes, count, 48 if functions > 1 else count)
-        tops = [np.argsort(-s, axis=1, kind="stable")[:, :width] for s in scores]
+        tops = [np.argsort(-s, axis=1, kind="stable")[:, :wanted] for s in scores]
         gaps = [(s.max(axis=1, keepdims=True) - np.take_along_axis(s, t, axis=1)) ** 2 for s, t in zip(scores, tops, strict=True)]
-        combos = np.array([c for c in product(range(width), repeat=functions) if np.prod(np.array(c) + 1.0) <= count])
+        combos = np.array(_combinations(tuple(t.shape[1] for t in tops), wanted))
         cost = sum(g[:, combos[:, k]] for k, g in enumerate(gaps))
-        best = np.argsort(cost, axis=1, kind="stable")[:, :count]
+        best = np.argsort(cost, axis=1, kind="stable")[:, :wanted]
         key = np.zeros(best.shape, dtype=np.int64)
         for k, t in enumerate(tops):
-            key = key * axes + np.take_along_axis(t, combos[best, k], axis=1)
+            key = key * scores[k].shape[1] + np.take_along_axis(t, combos[best, k], axis=1)
         yield table, key
 
 
+@cache
+def _combinations(widths: tuple[int, ...], wanted: int) -> list[tuple[int, ...]]:
+    """Ranks of axes, one per function, that can be among the ``wanted`` best: those with fewer better ones."""
+    out: list[tuple[tuple[int, ...], int]] = [((), 1)]
+    for w in widths:
+        out = [((*c, r), n * (r + 1)) for c, n in out for r in range(min(w, wanted // n))]
+    return [c for c, _ in out]
+
+
 def usable(column: Column) -> Column:
     """Whether a vector is not null, not zero and wholly finite."""
     c = column.cast("array<double>")
@@ -99,7 +115,7 @@ def usable(column: Column) -> Column:
     return c.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(c, lambda x: x != 0.0)
 
 
-def _keyed(vectors: DataFrame, functions: int, probing: bool) -> DataFrame:
+def _keyed(vectors: DataFrame, count: int, probing: bool) -> DataFrame:
     """(dim, table, bucket, id) rows of the buckets that vectors lie in, or probe."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +127,7 @@ def _keyed(vectors: DataFrame, functions: int, probing: bool) -> DataFrame:
                 for d in np.unique(lengths):
                     own = np.flatnonzero(lengths == d)
                     x = np.array([lists[int(i)].as_py() for i in own])
-                    for table, keys in probes(x, functions) if probing else buckets(x, functions):
+                    for table, keys in probes(x, count) if probing else buckets(x, count):
                         keys = keys.reshape(len(own), -1)
                         n = keys.size
                         columns = [pa.array(np.full(n, d, dtype=np.int32)), pa.array(np.full(n, table, dtype=np.int32)), pa.array(keys.reshape(-1)), pa.array(np.repeat(ids[own], keys.shape[1]))]
@@ -166,8 +182,7 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     asked = named.where("asks").select(F.col("vec_id").alias("query_id"), F.col("rep").alias("q"))
     queries = vectors.join(asked.select(F.col("q").alias("rep")).distinct(), "rep", "left_semi")
     count = vectors.count()
-    functions = functions_for(count)
-    index, looked = _keyed(vectors, functions, False), _keyed(queries, functions, True)
+    index, looked = _keyed(vectors, count, False), _keyed(queries, count, True)
     met = index.withColumnRenamed("id", "rep").join(looked.withColumnRenamed("id", "q"), ["dim", "table", "bucket"]).select("q", "rep").distinct()
     best = _best_of_blocks(vectors, queries, met, max(1, -(-count // BLOCK_ROWS)), k + 1)
     first = best.withColumn("nth", F.row_number().over(Window.partitionBy("q").orderBy("score", "rep"))).where(F.col("nth") <= k + 1).drop("nth")

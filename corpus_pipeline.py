@@ -24,10 +24,18 @@ MAX_TOXICITY = 0.5  # a document with this score or more goes
 MIN_LANGUAGE_SCORE = 0.4  # a document whose best language scores less goes
 
 
-def _numbered(docs: DataFrame) -> tuple[DataFrame, list[str], str]:
-    """The same rows under names that no operator uses, those names, and that of the text."""
-    names = [f"__c{i}" for i in range(len(docs.columns))]
-    return docs.toDF(*names), names, names[docs.columns.index("text")]
+def _to_judge(docs: DataFrame) -> DataFrame:
+    """What an operator needs to judge a document by: __id, __hash (of the text) and __body."""
+    return docs.select(F.col("doc_id").alias("__id"), F.xxhash64("text").alias("__hash"), F.col("text").alias("__body"))
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """The documents whose id and text are not among the rejected ones; texts pass no Python on this way."""
+    gone = materialize(rejected.select("__id", "__hash").distinct(), "rejected")
+    if gone.count() <= ngram_join.BROADCAST_ROWS:
+        gone = F.broadcast(gone)
+    same = (F.xxhash64(docs["text"]) == gone["__hash"]) & docs["doc_id"].eqNullSafe(gone["__id"])
+    return docs.join(gone, same, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,8 +44,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     held_out = F.coalesce(queries.remainder("doc_id", 5) == 0, F.lit(False))
     model = toxicity.fit(docs, labels.where(~held_out))
-    rows, names, text = _numbered(docs)
-    return toxicity.score(rows, model, names, text).where(F.col("score") < MAX_TOXICITY).select(names).toDF(*docs.columns)
+    scored = toxicity.score(_to_judge(docs), model, ["__id", "__hash"], "__body")
+    return _without(docs, scored.where(F.col("score") >= MAX_TOXICITY))
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +57,8 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     model = langid.fit(docs.select("text", "lang"))
     if model is None:
         return docs.where(F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    rows, names, text = _numbered(docs)
-    known = langid.predict(rows, model, names, text)
-    return known.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE)).select(names).toDF(*docs.columns)
+    judged = langid.predict(_to_judge(docs), model, ["__id", "__hash"], "__body")
+    return _without(docs, judged.where((F.col("lang_pred") == langid.UNKNOWN) | (F.col("score") < MIN_LANGUAGE_SCORE)))
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Command-line loader (the reference's runners, on Spark).
+"""Command-line loader: one batch load, or a streaming load until stopped.
 
     spark-submit scripts/tidewater_load.py --source parquet --path s3://.../topic \\
         --base s3://.../lake --loader deduplicated --batch-id 7

@@ -4,18 +4,22 @@ Unit vectors are turned by fast pseudo-rotations (sign flips and Hadamard
 transforms, three times) and assigned to the nearest signed axis; a few such
 functions make a bucket, the last one with as many axes as the number of vectors
 calls for, and ``TABLES`` independent tables are kept.  A query
-looks into the ``PROBES`` buckets of each table whose axes are nearest to it.
+looks into the buckets of each table whose axes are nearest to it: ``PROBES`` up
+to ``PROBES_VECTORS`` vectors, and as many more as the table's growth to the power
+``PROBES_POWER``, because the true neighbours' buckets lie further down a longer list.
 Candidates meet their query once, in blocks of indexed vectors, and are ranked
 by the exact Euclidean distance of the original vectors in double precision;
 each block keeps a query's best, then the blocks' best are ranked together.
+A query that meets fewer vectors than it asks for, though there are more, is
+compared with all vectors, block by block.
 
 Equal vectors are one entry with their smallest ids, as many as any answer can
 need, so copies cost nothing.  Vectors that are null, zero, or hold null or
 non-finite components take no part, as query or as candidate; only vectors of
 one length are compared.  Ties go to the smaller id.  Repeated rows of one id
 and vector count once.  An empty table gives an empty result.  A table has about
-one bucket for two distinct vectors, so that a query's candidates do not grow
-with the table.  The index holds every vector.
+one bucket for two distinct vectors, so that a query's candidates grow as its
+probes do, slower than the table.  The index holds every vector.
 """
 
 from __future__ import annotations
@@ -32,8 +36,11 @@ from ..plans.sink import materialize
 
 TABLES = 32
 PROBES = 128
+PROBES_VECTORS = 10_000
+PROBES_POWER = 0.4
 BUCKETS_PER_VECTOR = 0.45
 BLOCK_ROWS = 4096
+BLOCK_QUERIES = 1024
 
 
 def axes_for(vectors: int, d: int) -> list[int]:
@@ -47,6 +54,11 @@ def axes_for(vectors: int, d: int) -> list[int]:
     return [*axes, round(wanted / 2)] if round(wanted / 2) >= 1 else axes
 
 
+def probes_for(vectors: int) -> int:
+    """Buckets of each table that a query looks into."""
+    return round(PROBES * max(1.0, vectors / PROBES_VECTORS) ** PROBES_POWER)
+
+
 def hadamard(x: np.ndarray) -> np.ndarray:
     """Walsh-Hadamard transform of every row; the width is a power of two."""
     n, d = x.shape
@@ -84,8 +96,9 @@ def buckets(vectors: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]
         yield table, key
 
 
-def probes(vectors: np.ndarray, count: int, wanted: int = PROBES) -> Iterator[tuple[int, np.ndarray]]:
+def probes(vectors: np.ndarray, count: int, wanted: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
     """For each table, the ``wanted`` buckets nearest to every vector (all, if there are fewer)."""
+    wanted = wanted or probes_for(count)
     for table, scores in rotations(vectors, count):
         # only a function's best axes can be in the best combinations
         tops = [np.argsort(-s, axis=1, kind="stable")[:, :wanted] for s in scores]
@@ -117,11 +130,12 @@ def usable(column: Column) -> Column:
 
 def _keyed(vectors: DataFrame, count: int, probing: bool) -> DataFrame:
     """(dim, table, bucket, id) rows of the buckets that vectors lie in, or probe."""
+    step = max(1, 512 * PROBES // probes_for(count)) if probing else 512
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
+            for at in range(0, whole.num_rows, step):
+                batch = whole.slice(at, step)
                 ids, lists = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1)
                 lengths = np.array([len(v) for v in lists])
                 for d in np.unique(lengths):
@@ -172,6 +186,37 @@ def _best_of_blocks(vectors: DataFrame, queries: DataFrame, met: DataFrame, bloc
     return rows.groupBy("block").cogroup(pairs.groupBy("block")).applyInArrow(rank, "q long, rep long, score double")
 
 
+def _best_of_all(vectors: DataFrame, queries: DataFrame, asked: int, blocks: int, keep: int) -> DataFrame:
+    """(q, rep, score): the ``keep`` nearest of all vectors of a query's length in every block of vectors."""
+    parts = -(-asked // BLOCK_QUERIES)
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), F.lit(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+
+    def rank(left: pa.Table, right: pa.Table) -> pa.Table:
+        out_q, out_rep, out_score = [], [], []
+        lists, reps = left.column("vector").combine_chunks(), left.column("rep").to_numpy()
+        lengths = np.diff(lists.offsets.to_numpy()) if len(lists) else np.zeros(0, dtype=np.int64)
+        flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lengths)
+        matrices = {}
+        for d in np.unique(lengths).tolist():
+            own = np.flatnonzero(lengths == d)
+            matrices[d] = reps[own], flat[(ends[own] - d)[:, None] + np.arange(d)]
+        for q, x in zip(right.column("rep").to_pylist(), right.column("vector"), strict=True):
+            x = np.array(x.as_py())
+            if len(x) in matrices:
+                rep, y = matrices[len(x)]
+                score = np.sqrt(((y - x) ** 2).sum(axis=1))
+                best = np.lexsort((rep, score))[:keep]
+                out_q += [q] * len(best)
+                out_rep += rep[best].tolist()
+                out_score += score[best].tolist()
+        return pa.table({"q": pa.array(out_q, pa.int64()), "rep": pa.array(out_rep, pa.int64()), "score": pa.array(out_score, pa.float64())})
+
+    rows = vectors.select(dealt(blocks).alias("block"), every(parts).alias("part"), "rep", "vector")
+    asking = queries.select(every(blocks).alias("block"), dealt(parts).alias("part"), "rep", "vector")
+    return rows.groupBy("block", "part").cogroup(asking.groupBy("block", "part")).applyInArrow(rank, "q long, rep long, score double")
+
+
 def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str = "embedding", k: int = 10) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` nearest that were found for every row of ``is_query``."""
     rows = df.where(usable(F.col(vector)) & F.col(vec_id).isNotNull()).select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks"))
@@ -184,8 +229,17 @@ def nearest(df: DataFrame, is_query: Column, vec_id: str = "vec_id", vector: str
     count = vectors.count()
     index, looked = _keyed(vectors, count, False), _keyed(queries, count, True)
     met = index.withColumnRenamed("id", "rep").join(looked.withColumnRenamed("id", "q"), ["dim", "table", "bucket"]).select("q", "rep").distinct()
-    best = _best_of_blocks(vectors, queries, met, max(1, -(-count // BLOCK_ROWS)), k + 1)
-    first = best.withColumn("nth", F.row_number().over(Window.partitionBy("q").orderBy("score", "rep"))).where(F.col("nth") <= k + 1).drop("nth")
+    blocks = max(1, -(-count // BLOCK_ROWS))
+    first_of = lambda best: best.withColumn("nth", F.row_number().over(Window.partitionBy("q").orderBy("score", "rep"))).where(F.col("nth") <= k + 1).drop("nth")
+    first = materialize(first_of(_best_of_blocks(vectors, queries, met, blocks, k + 1)), "nearest")
+    # queries that met fewer than they ask for, themselves included, though there are more of their length
+    sizes = vectors.groupBy(F.size("vector").alias("dim")).agg(F.count(F.lit(1)).alias("there"))
+    found = first.groupBy(F.col("q").alias("rep")).agg(F.count(F.lit(1)).alias("found"))
+    short = queries.join(found, "rep", "left").withColumn("dim", F.size("vector")).join(sizes, "dim")
+    short = materialize(short.where(F.coalesce("found", F.lit(0)) < F.least("there", F.lit(k + 1))).select("rep", "vector"), "short")
+    if asked_all := short.count():
+        exact = first_of(_best_of_all(vectors, short, asked_all, blocks, k + 1))
+        first = first.join(short.select(F.col("rep").alias("q")), "q", "left_anti").unionByName(exact)
     answers = first.join(members, "rep").join(asked, "q").where("vec_id <> query_id")
     ranked = answers.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy("score", "vec_id"))).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

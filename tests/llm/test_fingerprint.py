@@ -85,3 +85,31 @@ def test_banded_join_finds_near_copies(spark):
     pairs = {(r.id, r.class_id): r.likeness for r in fingerprint.near_pairs(prints, "doc_id").collect()}
     assert sum((100 + i, i) in pairs for i in range(30)) >= 28
     assert pairs[(200, 0)] == 1.0 and all(a % 100 == b % 100 for a, b in pairs)
+
+
+def test_classes_pass_by_unlike_first_rows_and_join_two_classes(spark):
+    def hexed(row):
+        return "".join(f"{v:02x}" for v in row)
+
+    rnd = np.random.default_rng(8)
+    base, unlike = rnd.integers(0, 256, 128), rnd.integers(0, 256, 128)
+    picks = np.random.default_rng(5).permutation(128)
+    unlike[picks[:64]] = base[picks[:64]]  # half of the bands: all meet the smallest id, 0.5 alike
+    near = base.copy()
+    near[picks[64::4]] = (near[picks[64::4]] + 1) % 256  # the other half of the bands differ from base's
+    left = rnd.integers(0, 256, 128)
+    middle, right = left.copy(), left.copy()
+    middle[:40] = (middle[:40] + 1) % 256
+    right[:40], right[40:80] = middle[:40], (right[40:80] + 1) % 256  # middle is alike to both, they are not
+    rows = [(1, hexed(unlike)), (2, hexed(base)), (3, hexed(near)), (10, hexed(left)), (11, hexed(right)), (12, hexed(middle)), (13, "")]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    got = {(r.id, r.class_id) for r in fingerprint.near_pairs(df, "doc_id").collect()}
+    assert got == {(3, 2), (11, 10), (12, 10)}
+
+
+def test_query_has_classes(spark):
+    rows = queries.op5_fingerprints(spark, "/root/testdata/sf0.001").collect()
+    prints = {}
+    for r in rows:
+        assert r.class_id is not None and r.class_id <= r.doc_id
+        assert prints.setdefault(r.fingerprint, r.class_id) == r.class_id

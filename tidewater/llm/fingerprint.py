@@ -7,8 +7,9 @@ steps: edit distance becomes Hamming distance between what the walks read.  A
 fingerprint samples that: each of ``BINS`` bins owns a random share of the
 steps and keeps eight bits of what was read at the step of best priority that
 the walk reached.  Likeness is the share of bins that agree.  For joins, bits
-of some bins form band keys; rows that share one meet their band's first row
-and are verified by the likeness of whole fingerprints.
+of some bins form band keys; rows that share one are verified by the likeness of
+whole fingerprints, first with their neighbours in a key, then, in keys that still
+hold several components of links, with every row of another component.
 
 Null texts are empty; an empty text has an empty fingerprint, two of which are
 alike (1.0) and unlike any other (0.0).  Equal texts have equal fingerprints.
@@ -30,12 +31,14 @@ from pyspark.sql import functions as F
 
 from ..plans.sink import materialize
 from . import textvec as tv
+from .ngram_join import components
 
 BINS = 128
 PERIOD = 4096  # the walk's random functions repeat after so many steps
 GRAM = 3  # characters read at a step
 SCALAR = 48  # with fewer walks left, each goes on alone
 CHUNK_CHARS = 1 << 22
+BLOCK_ROWS = 512
 
 _MOVES = np.random.default_rng(71).integers(0, 2, size=(PERIOD, 256), dtype=np.int8)
 _records: list[tuple[int, int]] = []
@@ -235,21 +238,97 @@ def with_next(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     return read.where("role = 'done'").select(_FIELDS).union(finished)
 
 
-def near_pairs(prints: DataFrame, doc_id: str, threshold: float = 0.6, bands: int = 32, bins: int = 4) -> DataFrame:
-    """Classes of alike fingerprints: (id, class_id, likeness), each row against the first row of
-    every band it shares, verified.  Rows that share a band are never paired with one another, so a
-    group of copies costs a row a copy; equal fingerprints are one row until the end."""
-    one = prints.groupBy("fingerprint").agg(F.min(doc_id).alias("id")).where("fingerprint <> ''")
+def unspell(prints: list[str]) -> np.ndarray:
+    """Fingerprints, not empty, of their texts."""
+    return np.array([[256 if p[i : i + 2] == "--" else int(p[i : i + 2], 16) for i in range(0, 2 * BINS, 2)] for p in prints], dtype=np.int16).reshape(len(prints), BINS)
+
+
+def _verified(pairs: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (a, b) of nodes whose fingerprints are alike."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ok = likeness(unspell(batch.column(2).to_pylist()), unspell(batch.column(3).to_pylist())) >= threshold
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(ok, pa.bool_()))
+
+    side = lambda k, name: one.select(F.col("node").alias(k), F.col("fingerprint").alias(name))
+    return pairs.join(side("a", "fa"), "a").join(side("b", "fb"), "b").select("a", "b", "fa", "fb").mapInArrow(compare, "a long, b long")
+
+
+def _neighbours(shared: DataFrame) -> DataFrame:
+    """Pairs (a, b) of nodes that follow one another in a key; ranges may cut a key, which is only a later meeting."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            both = [(x[1], y[1]) for x, y in zip([last, *rows], rows, strict=False) if x and x[0] == y[0]]
+            last = rows[-1] if rows else last
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in both], pa.int64()), pa.array([y for _, y in both], pa.int64())], names=["a", "b"])
+
+    return shared.select("key", "node").repartitionByRange("key", "node").sortWithinPartitions("key", "node").mapInArrow(run, "a long, b long").distinct()
+
+
+def _unresolved(shared: DataFrame, roots: DataFrame, one: DataFrame, threshold: float) -> DataFrame:
+    """Links (a, b) between components that share a key: its rows are dealt into blocks of about
+    BLOCK_ROWS, and every two blocks meet in a group of their own."""
+
+    def meet(group: pa.Table) -> pa.Table:
+        node, root, chunk = (group.column(c).to_numpy() for c in ("node", "root", "chunk"))
+        prints, i, j = unspell(group.column("fingerprint").to_pylist()), group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        first, second, found = np.flatnonzero(chunk == i), np.flatnonzero(chunk == j), []
+        for x in first.tolist():
+            others = second[root[second] != root[x]]
+            others = others[node[others] > node[x]] if i == j else others
+            ok = others[likeness(prints[[x]].repeat(len(others), axis=0), prints[others]) >= threshold]
+            found += [(int(node[x]), int(n)) for n in node[ok]]
+        return pa.table({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    rows = shared.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    several = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("chunks")).where("low < high")
+    dealt = rows.join(several.select("key", "chunks"), "key").withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other")})
+    return dealt.join(one, "node").select("key", "i", "j", "chunk", "node", "root", "fingerprint").groupBy("key", "i", "j").applyInArrow(meet, "a long, b long").distinct()
+
+
+def classes(prints: DataFrame, doc_id: str, threshold: float = 0.6, bands: int = 32, bins: int = 4) -> DataFrame:
+    """(fingerprint, class_id): the smallest id of its component of links, for every distinct fingerprint.
+
+    Links join fingerprints that share a band key and are alike by ``threshold``.  A key of bins
+    that no walk reached says nothing and joins nothing."""
+    one = prints.groupBy("fingerprint").agg(F.min(doc_id).alias("id")).withColumn("node", F.xxhash64("fingerprint"))
+    one = materialize(one, "prints")
+    shown = one.where("fingerprint <> ''").select("node", "fingerprint")
     picks = np.random.default_rng(5).permutation(BINS)
     keys = [F.concat_ws("", *(F.substring("fingerprint", 2 * int(picks[(k * bins + j) % BINS]) + 1, 2) for j in range(bins))) for k in range(bands)]
-    banded = one.select("id", "fingerprint", F.posexplode(F.array(*keys)).alias("band", "key"))
-    first = banded.groupBy("band", "key").agg(F.min("id").alias("class_id"))
-    met = banded.join(first, ["band", "key"]).where("id <> class_id").select("id", "class_id", "fingerprint").distinct()
-    both = met.join(one.select(F.col("id").alias("class_id"), F.col("fingerprint").alias("other")), "class_id")
-    cut = lambda c: F.regexp_extract_all(c, F.lit("(..)"), 1)
-    used = F.filter(F.arrays_zip(cut(F.col("fingerprint")).alias("a"), cut(F.col("other")).alias("b")), lambda x: (x["a"] != "--") | (x["b"] != "--"))
-    share = F.size(F.filter(used, lambda x: x["a"] == x["b"])) / F.size(used)
-    alike = both.withColumn("likeness", share).where(F.col("likeness") >= threshold)
-    pairs = alike.groupBy("id").agg(F.min(F.struct("class_id", "likeness")).alias("best")).select("id", "best.class_id", "best.likeness")
-    equal = prints.join(one, "fingerprint").where(F.col(doc_id) != F.col("id")).select(F.col(doc_id).alias("id"), F.col("id").alias("class_id"), F.lit(1.0).alias("likeness"))
-    return pairs.union(equal)
+    banded = shown.select("node", F.posexplode(F.array(*keys)).alias("band", "bits")).where(F.col("bits") != "--" * bins).select(F.xxhash64("band", "bits").alias("key"), "node")
+    held = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    shared = materialize(banded.join(held, "key", "left_semi"), "shared-keys")
+    roots = materialize(components(_verified(_neighbours(shared), shown, threshold)), "print-roots")
+    links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(_unresolved(shared, roots, shown, threshold))
+    roots = materialize(components(links), "print-roots")
+    rooted = one.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    lowest = rooted.groupBy("root").agg(F.min("id").alias("class_id"))
+    return rooted.join(lowest, "root").select("fingerprint", "class_id")
+
+
+def near_pairs(prints: DataFrame, doc_id: str, threshold: float = 0.6, bands: int = 32, bins: int = 4) -> DataFrame:
+    """Membership in classes of alike fingerprints: (id, class_id, likeness) of every row that is not
+    its class's smallest id, with its likeness to that row, which a chain of links may lie between."""
+    found = classes(prints, doc_id, threshold, bands, bins).where("fingerprint <> ''")
+    rows = prints.join(found, "fingerprint").where(F.col(doc_id) != F.col("class_id")).select(F.col(doc_id).alias("id"), "class_id", "fingerprint")
+    first = prints.join(found, "fingerprint").where(F.col(doc_id) == F.col("class_id")).groupBy("class_id").agg(F.min("fingerprint").alias("other"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            share = likeness(unspell(batch.column(2).to_pylist()), unspell(batch.column(3).to_pylist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(share, pa.float64())], names=["id", "class_id", "likeness"])
+
+    kind = prints.schema[doc_id].dataType.simpleString()
+    return rows.join(first, "class_id").select("id", "class_id", "fingerprint", "other").mapInArrow(compare, f"id {kind}, class_id {kind}, likeness double")
+
+
+def with_classes(found: DataFrame) -> DataFrame:
+    """Rows of ``with_next`` and class_id, the smallest id of the class of their fingerprint."""
+    named = classes(found, "id")
+    return found.join(named, "fingerprint", "left").select(*found.columns, "class_id")

@@ -49,8 +49,9 @@ def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fingerprints of every whole text, its edited text, and their likeness to each other and the next document's."""
-    return fingerprint.with_next(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    """Fingerprints of every whole text, its edited text, and their likeness to each other and the next document's;
+    class_id is the smallest id of the documents whose fingerprints are alike, in chains."""
+    return fingerprint.with_classes(fingerprint.with_next(read(spark, sf_dir, "documents"))).withColumnRenamed("id", "doc_id")
 
 
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

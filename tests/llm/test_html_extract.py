@@ -65,3 +65,15 @@ def test_hosts_vote(spark):
     assert got[9] == "T Short."  # the host's path, not the longest container
     assert got[10].startswith("A very long text") and got[11] == ""
     assert html_extract.extract(df).count() == 9 and html_extract.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["content no-sidebar", "post with-sidebar", "page menu-open", "single-post comments-off", "content ad-free", "share widget"])
+def test_names_do_not_set_the_article_apart(name):
+    article = "The whole article stands in this container. " * 5
+    page = f"<body><div class='sidebar'>Side words.</div><div class='{name}'><h1>Title</h1><p>{article}</p></div><div class='widget-sidebar'>More words.</div></body>"
+    assert html_extract.main_text(page) == f"Title {article.strip()}"
+
+
+def test_many_comments_are_no_article():
+    page = "<body><div class='post'><p>Short text.</p></div><div id='comments'>" + "<p>A reader says a lot.</p>" * 50 + "</div></body>"
+    assert html_extract.main_text(page) == "Short text."

@@ -42,6 +42,9 @@ NEVER_DROPPED = frozenset(["html", "body", "article", "main"])
 APART = frozenset(
     "nav navbar navigation menu menubar masthead header topbar footer sidebar aside rail notice notices alert cookie cookies consent gdpr banner ad ads advert adverts advertisement sponsor sponsored promo promotion share sharing social related recommended breadcrumb breadcrumbs pagination pager comment comments commentlist disqus respond replies reply newsletter subscribe subscription signup login popup modal overlay paywall widget".split()
 )
+# Words that make a name speak of what is missing or beside: no-sidebar, has-menu, comments-off.
+MODIFIERS = frozenset("no not non without has with hide hidden open opened closed close off on free is toggle toggled active enabled disabled left right".split())
+COMMENT_WORDS = frozenset("comment comments commentlist disqus respond replies reply".split())
 ARTICLE_WORDS = frozenset("article entry post story content".split())
 
 _TAG = re.compile(r"<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
@@ -55,12 +58,14 @@ class Page:
 
     def __init__(self, source: str):
         self.tag, self.parent, self.classes, self.apart, self.heading = ["html"], [-1], [""], [False], [False]
+        self.by_name = [False]  # set apart by its class or id alone, not by one of a reader's comments
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
         self._read(source)
 
     def _open(self, tag: str, attributes: str, parent: int) -> int:
         names = {k.lower(): v.strip("\"'") for k, v in _CLASS.findall(attributes)} if "=" in attributes else {}
-        words = re.split(r"[^a-z0-9]+", f"{names.get('class', '')} {names.get('id', '')}".lower())
+        tokens = [re.split(r"[^a-z0-9]+", t) for t in f"{names.get('class', '')} {names.get('id', '')}".lower().split()]
+        words = [w for t in tokens if len(t) == 1 or MODIFIERS.isdisjoint(t) for w in t]
         apart = tag in DROPPED
         if tag == "header" and self._inside(parent, ("article", "main")):
             words = []
@@ -68,16 +73,18 @@ class Page:
             apart = True
         elif tag not in NEVER_DROPPED and not APART.isdisjoint(words):
             apart = not (APART.intersection(words) <= {"header", "banner"} and not ARTICLE_WORDS.isdisjoint(words))
+        by_name = apart and tag not in DROPPED and tag != "header" and COMMENT_WORDS.isdisjoint(words)
         if tag == "article" and not {"comment", "comments", "reply", "respond"}.isdisjoint(words):
             apart = True  # a reader's comment in an element of its own
         if attributes and _HIDDEN.search(attributes) and tag not in NEVER_DROPPED:
-            apart = True
+            apart, by_name = True, False
         if names.get("role", "").lower() in ("navigation", "banner", "contentinfo", "complementary", "search", "alert", "dialog"):
-            apart = True
+            apart, by_name = True, False
         self.tag.append(tag)
         self.parent.append(parent)
         self.classes.append(".".join(sorted({re.sub(r"\d+", "#", c) for c in names.get("class", "").split()})))
         self.apart.append(apart)
+        self.by_name.append(by_name)
         self.heading.append(False)
         return len(self.tag) - 1
 
@@ -174,9 +181,18 @@ class Page:
         for i in range(n - 1, 0, -1):
             if holds[i] and not (self.apart[i] and self.tag[i] in DROPPED):
                 holds[self.parent[i]] = True
+        # a name does not set apart what holds most of the text that nothing else sets apart
+        shown, free = [True] * n, [0] * n
+        for i in range(1, n):
+            shown[i] = shown[self.parent[i]] and not (self.apart[i] and not self.by_name[i])
+        for node, text, links in self.blocks:
+            if shown[node]:
+                free[node] += max(0, len(text) - 2 * links)
+        for i in range(n - 1, 0, -1):
+            free[self.parent[i]] += free[i]
         kept = [True] * n
         for i in range(1, n):
-            set_apart = self.apart[i] and not (holds[i] and self.tag[i] not in DROPPED and self.tag[i] != "header")
+            set_apart = self.apart[i] and not (self.by_name[i] and 2 * free[i] > free[0]) and not (holds[i] and self.tag[i] not in DROPPED and self.tag[i] != "header")
             kept[i] = kept[self.parent[i]] and not set_apart
         good = [0] * n
         for node, text, links in self.blocks:

@@ -77,3 +77,22 @@ def test_names_do_not_set_the_article_apart(name):
 def test_many_comments_are_no_article():
     page = "<body><div class='post'><p>Short text.</p></div><div id='comments'>" + "<p>A reader says a lot.</p>" * 50 + "</div></body>"
     assert html_extract.main_text(page) == "Short text."
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<body><div class=post><p>lead</p><div class=entry>" + "long text " * 40 + "</div><p>closing</p></div></body>", "lead " + "long text " * 40 + "closing"),
+        ("<body><h1>Title</h1><div class=content>" + "long text " * 40 + "</div></body>", "Title " + ("long text " * 40).strip()),
+        ("<body><div class=lead>Lead.</div><div class=rest>" + "long text " * 40 + "</div></body>", "Lead. " + ("long text " * 40).strip()),
+        ("<body><div class=links><a href=x>here</a></div><div class=content>Some text.</div></body>", "Some text."),
+    ],
+)
+def test_no_part_of_the_article_is_lost(source, text):
+    assert html_extract.main_text(source) == text
+
+
+def test_a_winning_path_that_leaves_text_out_is_not_followed():
+    page = "<body><div class=c><p>A part.</p></div><div class=story><p>The other part, which is longer.</p></div></body>"
+    assert html_extract.main_text(page, "html>body>div.c") == "A part. The other part, which is longer."
+    assert html_extract.main_text(page, "html>body>div.c", ["html>body>div.story"]) == "A part."

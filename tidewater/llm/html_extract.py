@@ -1,13 +1,15 @@
 """Main text of web pages by consensus paths of their hosts (operator 6).
 
-Every page is read into containers and text blocks.  Within the text that is
-not set apart as menu, header, footer, sidebar, notice, advert, form, script,
-style or reader comment, the page's best container is the innermost one that
-still holds most of it.  Its path of tags and classes, numbers generalised, is
-the page's vote; Spark counts the votes of each host, and every page is then
-extracted again from the containers on its host's winning path.  A page that
-has no such container, or nothing in it, keeps its own best one, and so does
-one without a host.
+Every page is read into containers and text blocks.  Text set apart as menu,
+header, footer, sidebar, notice, advert, form, script, style or reader comment
+does not count, nor does the text of container paths (tags and classes, numbers
+generalised) that say the same on most of at least ``REPEATS`` different pages
+of a host.  The page's best container is the innermost one that holds all other
+text but links.  Its path is the page's vote; Spark counts the votes of each
+host, and every page is then extracted again from the containers on its host's
+winning path.  A page that has no such container, or other text beside it that
+counts, keeps its own best one, and so does one without a host; there, containers beside
+the best one with less than a hundredth of the text are left out.
 
 Null and empty pages have an empty text.  Ties between paths go to the one with
 more text, then to the alphabetically last.  Repeated rows vote each and are
@@ -17,6 +19,7 @@ one ends.  Only the id, url and html columns are read.
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 from collections.abc import Iterator
@@ -36,6 +39,7 @@ BLOCKS = frozenset(
     "address article aside blockquote body br caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
 )
 CONTAINERS = frozenset("body article main section div td center details figure blockquote table tbody tr ul ol".split())
+REPEATS = 3  # pages of a host that say the same before that is no page's own text
 HEADINGS = frozenset(["h1", "h2"])
 NEVER_DROPPED = frozenset(["html", "body", "article", "main"])
 # Words of class and id names that set a container apart.
@@ -56,7 +60,8 @@ _SPACE = re.compile(r"\s+")
 class Page:
     """Containers (by number, the parent's number smaller) and text blocks of one page."""
 
-    def __init__(self, source: str):
+    def __init__(self, source: str, repeated: list[str] | None = None):
+        self.repeated = frozenset(repeated or ())
         self.tag, self.parent, self.classes, self.apart, self.heading = ["html"], [-1], [""], [False], [False]
         self.by_name = [False]  # set apart by its class or id alone, not by one of a reader's comments
         self.blocks: list[tuple[int, str, int]] = []  # container, text, characters in links
@@ -176,6 +181,16 @@ class Page:
 
     def _kept(self) -> tuple[list[bool], list[int]]:
         """Per container, whether its text counts; and the good characters in it and below."""
+        if self.repeated:
+            paths = [""] * len(self.tag)
+            for i in range(len(self.tag)):
+                paths[i] = (paths[self.parent[i]] + ">" if i else "") + self._step(i)
+            kept, good = self._kept_without([i > 0 and x in self.repeated for i, x in enumerate(paths)])
+            if good[0]:
+                return kept, good
+        return self._kept_without([False] * len(self.tag))
+
+    def _kept_without(self, repeated: list[bool]) -> tuple[list[bool], list[int]]:
         n = len(self.tag)
         holds = [t in ("article", "main") and not a for t, a in zip(self.tag, self.apart, strict=True)]
         for i in range(n - 1, 0, -1):
@@ -193,7 +208,7 @@ class Page:
         kept = [True] * n
         for i in range(1, n):
             set_apart = self.apart[i] and not (self.by_name[i] and 2 * free[i] > free[0]) and not (holds[i] and self.tag[i] not in DROPPED and self.tag[i] != "header")
-            kept[i] = kept[self.parent[i]] and not set_apart
+            kept[i] = kept[self.parent[i]] and not set_apart and not repeated[i]
         good = [0] * n
         for node, text, links in self.blocks:
             if kept[node]:
@@ -202,8 +217,11 @@ class Page:
             good[self.parent[i]] += good[i]
         return kept, good
 
-    def best(self) -> int:
-        """The innermost container that holds most of the good text; an article, or what has a headline of its own, is not entered."""
+    def best(self, alone: bool = False) -> int:
+        """The innermost container that holds all of the good text; an article, or what has a headline of its own, is not entered.
+
+        On a page that stands ``alone``, without a host to tell what repeats, other containers
+        that hold less than a hundredth of the text are passed."""
         _, good = self._kept()
         below: list[list[int]] = [[] for _ in self.tag]
         for i in range(1, len(self.tag)):
@@ -212,16 +230,37 @@ class Page:
         while True:
             inner = [i for i in below[at] if self.tag[i] in CONTAINERS or self.tag[i] not in BLOCKS]
             most = max(inner, key=lambda i: good[i], default=-1)
-            if most < 0 or good[most] * 10 < good[at] * 7 or not good[at] or self.tag[at] in ("article", "main") and self.tag[most] not in ("article", "main") or self.heading[at] and at > 0 and self.tag[at] != "body":
+            beside = good[at] - good[most] if most >= 0 else 0
+            passed = alone and 100 * beside < good[at] and sum(good[i] for i in below[at]) == good[at]
+            if most < 0 or beside and not passed or not good[at] or self.tag[at] in ("article", "main") and self.tag[most] not in ("article", "main") or self.heading[at]:
                 return at
             if self.tag[most] not in CONTAINERS or self.tag[most] in ("table", "tbody", "tr", "ul", "ol", "blockquote") and not below[most]:
                 return at
             at = most
 
+    def branches(self) -> dict[str, str]:
+        """The text on every path of containers beside which there is other good text."""
+        kept, good = self._kept()
+        found: dict[int, list[str]] = {i: [] for i in range(1, len(self.tag)) if kept[i] and 0 < good[i] < good[self.parent[i]] and self.tag[i] not in NEVER_DROPPED}
+        for node, text, _ in self.blocks:
+            if kept[node]:
+                while node > 0:
+                    if node in found:
+                        found[node].append(text)
+                        break  # an inner branch's text is its own, not its outer one's
+                    node = self.parent[node]
+        out: dict[str, list[str]] = {}
+        for i, texts in found.items():
+            out.setdefault(self.path(i), []).extend([str(good[i]), *texts])
+        return {p: "\n".join(t) for p, t in out.items()}
+
+    def _step(self, node: int) -> str:
+        return self.tag[node] + ("." + self.classes[node] if self.classes[node] else "")
+
     def path(self, node: int) -> str:
         parts = []
         while node >= 0:
-            parts.append(self.tag[node] + ("." + self.classes[node] if self.classes[node] else ""))
+            parts.append(self._step(node))
             node = self.parent[node]
         return ">".join(reversed(parts))
 
@@ -233,6 +272,10 @@ class Page:
             inside[i] = i in roots or (i > 0 and inside[self.parent[i]])
         return " ".join(t for node, t, _ in self.blocks if inside[node] and kept[node])
 
+    def above(self, node: int) -> Iterator[int]:
+        while (node := self.parent[node]) >= 0:
+            yield node
+
     def on_path(self, path: str) -> list[int]:
         last = path.rpartition(">")[2].partition(".")[0]
         return [i for i, t in enumerate(self.tag) if t == last and self.path(i) == path]
@@ -242,12 +285,17 @@ def _needs_node(attributes: str) -> bool:
     return bool(attributes) and ("class" in attributes or "id=" in attributes or "hidden" in attributes or "none" in attributes)
 
 
-def main_text(source: str, path: str | None = None) -> str:
-    """The main text of one page, from the containers on ``path`` if it has any."""
-    page = Page(source)
-    if path and (roots := page.on_path(path)) and (found := page.text(roots)):
-        return found
-    return page.text([page.best()])
+def main_text(source: str, path: str | None = None, repeated: list[str] | None = None) -> str:
+    """The main text of one page, from the containers on ``path`` if they hold all that counts."""
+    page = Page(source, repeated)
+    best = page.best(alone=path is None)
+    if path and (roots := page.on_path(path)):
+        _, good = page._kept()
+        inner = set(roots)
+        outermost = [r for r in roots if not any(a in inner for a in page.above(r))]
+        if sum(good[r] for r in outermost) >= good[best] and (found := page.text(roots)):
+            return found
+    return page.text([best])
 
 
 HOST = r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"
@@ -257,35 +305,65 @@ def host_of(url):
     return F.coalesce(F.regexp_extract(F.lower(url), HOST, 1), F.lit(""))
 
 
-def host_paths(pages: DataFrame, url: str = "url", html_column: str = "html") -> DataFrame:
+def _hosted(pages: DataFrame, hosts: DataFrame) -> DataFrame:
+    """The pages and their host's row, if any; the large side is not moved while the hosts are few."""
+    return pages.join(F.broadcast(hosts) if hosts.count() <= BROADCAST_ROWS // 16 else hosts, "__host", "left")
+
+
+def repeated_paths(pages: DataFrame, url: str = "url", html_column: str = "html") -> DataFrame:
+    """(__host, __repeated): the paths whose text is the same on most of a host's different pages that have them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for host, v in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                page = Page(v.as_py())
+                whole = _hash("\n".join(t for _, t, _ in page.blocks))
+                out += [(host, whole, path, _hash(text)) for path, text in page.branches().items()]
+            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.string(), pa.int64()), strict=True)], names=["__host", "page", "path", "said"])
+
+    rows = pages.select(host_of(F.col(url)).alias("__host"), F.coalesce(F.col(html_column), F.lit("")).alias("__html")).where("__host <> ''")
+    said = rows.mapInArrow(run, "__host string, page long, path string, said long").distinct()
+    counts = said.groupBy("__host", "path", "said").agg(F.count(F.lit(1)).alias("n"))
+    alike = counts.groupBy("__host", "path").agg(F.max("n").alias("most"), F.sum("n").alias("all"))
+    return alike.where((F.col("most") >= REPEATS) & (2 * F.col("most") > F.col("all"))).groupBy("__host").agg(F.sort_array(F.collect_list("path")).alias("__repeated"))
+
+
+def _hash(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "big", signed=True)
+
+
+def host_paths(pages: DataFrame, repeated: DataFrame, url: str = "url", html_column: str = "html") -> DataFrame:
     """(host, path): each host's winning path."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             paths, sizes = [], []
-            for v in batch.column(1):
-                page = Page(v.as_py())
+            for v, r in zip(batch.column(1), batch.column(2), strict=True):
+                page = Page(v.as_py(), r.as_py())
                 node = page.best()
                 paths.append(page.path(node))
                 sizes.append(sum(len(t) for _, t, _ in page.blocks))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(paths, pa.string()), pa.array(sizes, pa.int64())], names=["host", "path", "size"])
 
-    rows = pages.select(host_of(F.col(url)).alias("host"), F.coalesce(F.col(html_column), F.lit("")).alias("__html")).where("host <> ''")
+    rows = pages.select(host_of(F.col(url)).alias("__host"), F.coalesce(F.col(html_column), F.lit("")).alias("__html")).where("__host <> ''")
+    rows = _hosted(rows, repeated).select("__host", "__html", "__repeated")
     votes = rows.mapInArrow(run, "host string, path string, size long").groupBy("host", "path").agg(F.count(F.lit(1)).alias("votes"), F.sum("size").alias("size"))
     return votes.groupBy("host").agg(F.max(F.struct("votes", "size", "path")).alias("best")).select("host", F.col("best.path").alias("path"))
 
 
 def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", html_column: str = "html") -> DataFrame:
     """page id, url, text and n_chars of every page."""
-    winners = materialize(host_paths(pages, url, html_column), "host-paths")
-    winners = winners.withColumnRenamed("host", "__host").withColumnRenamed("path", "__path")
+    repeated = materialize(repeated_paths(pages, url, html_column), "host-repeats")
+    winners = host_paths(pages, repeated, url, html_column).withColumnRenamed("host", "__host").withColumnRenamed("path", "__path")
+    hosts = materialize(winners.join(repeated, "__host", "left"), "host-paths")
     rows = pages.select(page_id, url, host_of(F.col(url)).alias("__host"), F.coalesce(F.col(html_column), F.lit("")).alias("__html"))
-    # one row a host; the large side is not moved while these are few
-    joined = rows.join(F.broadcast(winners) if winners.count() <= BROADCAST_ROWS // 16 else winners, "__host", "left").select(page_id, url, "__html", "__path")
+    joined = _hosted(rows, hosts).select(page_id, url, "__html", "__path", "__repeated")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [main_text(h.as_py(), p.as_py()) for h, p in zip(batch.column(2), batch.column(3), strict=True)]
+            texts = [main_text(h.as_py(), p.as_py(), r.as_py()) for h, p, r in zip(*batch.columns[2:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=[page_id, url, "text", "n_chars"])
 
     schema = pages.select(page_id, url).schema.add("text", "string").add("n_chars", "long")

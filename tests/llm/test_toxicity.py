@@ -71,3 +71,13 @@ def test_without_labels(spark):
     m = toxicity.fit(docs, labels)
     assert [r.score for r in toxicity.score(docs, m, ["doc_id"]).collect()] == [0.0, 0.0]
     assert toxicity.score(docs.limit(0), toxicity.fit(docs.limit(0), labels.limit(0)), ["doc_id"]).count() == 0
+
+
+@pytest.mark.parametrize("text", ["you are a l o s e r", "I i d i o t", "you iddiot", "what a loosser", "you a 1 0 s e r"])
+def test_word_edges_and_doubled_letters_are_seen_through(model, text):
+    assert toxicity.Scorer(model).score([text])[0] >= 0.5
+
+
+@pytest.mark.parametrize("text", ["a good letter will follow soon", "plan a b c or x y z", "I a m h e r e"])
+def test_doubles_and_runs_of_clean_texts_stay_clean(model, text):
+    assert toxicity.Scorer(model).score([text])[0] < 0.5

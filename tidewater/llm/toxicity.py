@@ -1,7 +1,8 @@
 """Toxicity of whole texts behind spelling tricks (operator 7).
 
 A noisy channel explains odd tokens: a letter may be written as a look-alike
-digit or sign, repeated, or set apart by blanks and marks.  The Viterbi path
+digit or sign, repeated (doubled letters too), or set apart by blanks and marks,
+where a blank may also be a word's edge.  The Viterbi path
 through the lattice of readings, under a letter-trigram model of all texts,
 restores the token.  Written and restored words then give evidence: words and
 word beginnings that mark toxic texts beyond chance, each explaining toxic
@@ -93,7 +94,7 @@ class Restorer:
     def odd(token: str) -> bool:
         """Whether a token (lower case, no signs at its ends) has a reading besides itself."""
         if token.isalpha():
-            return re.search(r"(.)\1\1", token) is not None
+            return re.search(r"(.)\1", token) is not None
         return sum(c.isalpha() for c in token) >= 2 or (len(token) >= 3 and any(c.isalpha() for c in token))
 
     def restore(self, token: str) -> str:
@@ -103,13 +104,22 @@ class Restorer:
             self.memo[token] = self._viterbi(token)
         return self.memo[token]
 
-    def _viterbi(self, token: str) -> str:
+    def restore_run(self, run: str) -> list[str]:
+        """The words of letters that were set apart: a blank between them joins them or is a word's edge."""
+        return self._viterbi(run, edges=True).split()
+
+    def _viterbi(self, token: str, edges: bool = False) -> str:
         code = {c: int(k) for c, k in zip(token, letter_codes(np.array([ord(c) for c in token], dtype=np.uint32)), strict=True)}
         logs = self.logs
         states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
         for c in token:
             readings = [(c, 0.0)] if c.isalpha() else [(r, -0.5) for r in LOOKALIKES.get(c, "")]
             new: dict[tuple[int, int, str], tuple[float, str]] = {}
+            if edges:
+                for (a, b, _), (score, word) in list(states.items()):
+                    ended = score + float(logs[a, b, 0])
+                    if b and ended > states.get((b, 0, ""), (-math.inf, ""))[0]:
+                        states[b, 0, ""] = ended, word + " "
 
             def offer(key, score, word, new=new):
                 if key not in new or score > new[key][0]:
@@ -146,6 +156,12 @@ def token_words(token: str, restorer: Restorer | None) -> list[str]:
     return words
 
 
+def run_words(run: str, restorer: Restorer | None) -> list[str]:
+    """The words that letters set apart show: as one token, and parted where words end."""
+    # the first letter may be a word of its own ("a", "I") whatever the letter model makes of it
+    return [w for r in (run.lower(), run[1:].lower()) if r for w in [*token_words(r, restorer), *(restorer.restore_run(r) if restorer else ())]]
+
+
 def word_features(word: str) -> list[str]:
     """The word and its beginnings (marked by a star)."""
     return [word, *(word[:n] + "*" for n in PREFIXES if len(word) >= n)]
@@ -166,7 +182,7 @@ def spaced_runs(tokens: list[str]) -> list[str]:
 
 def text_features(text: str, restorer: Restorer | None) -> set[str]:
     tokens = text.split()
-    words = {w for t in {*tokens, *spaced_runs(tokens)} for w in token_words(t, restorer)}
+    words = {w for t in {*tokens} for w in token_words(t, restorer)} | {w for r in {*spaced_runs(tokens)} for w in run_words(r, restorer)}
     return {f for w in words for f in word_features(w)}
 
 
@@ -269,9 +285,9 @@ class Scorer:
         self.rows = tv.RowTable(21)
         self.hits: dict[int, tuple[str, ...]] = {}
 
-    def _evidence(self, token: str) -> tuple[str, ...]:
+    def _evidence(self, token: str, words=token_words) -> tuple[str, ...]:
         known = self.model.evidence
-        return tuple(f for w in token_words(token, self.restorer) for f in word_features(w) if f in known)
+        return tuple(f for w in words(token, self.restorer) for f in word_features(w) if f in known)
 
     def score(self, texts: list[str]) -> list[float]:
         cp, bounds = tv.code_points(texts)
@@ -303,7 +319,7 @@ class Scorer:
         places = np.flatnonzero(single[:-4] & single[2:-2] & single[4:]) if len(single) > 4 else []
         for d in {int(np.searchsorted(bounds, starts[at], side="right")) - 1 for at in places}:
             for run in spaced_runs(texts[d].split()):
-                found[d].update(self._evidence(run))
+                found[d].update(self._evidence(run, run_words))
         return [self.model.score(found[i]) if i in found else self.model.base for i in range(len(texts))]
 
 

@@ -110,3 +110,27 @@ def test_components_of_chains_and_stars(spark):
     got = {r.node: r.root for r in ngram_join.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(41), 0), **dict.fromkeys(range(100, 120), 100), 130: 130, 131: 130}
     assert ngram_join.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_strangers_of_one_key_are_dealt_in_chunks(spark, monkeypatch):
+    import numpy as np
+    from pyspark.sql import functions as F
+
+    rnd, limit = np.random.default_rng(3), ngram_join.Threshold()
+    base = rnd.integers(0, 256, 64, dtype=np.uint8)
+    nodes = [(i, 100, bytearray(base.tobytes() if i % 3 else rnd.integers(0, 256, 64, dtype=np.uint8).tobytes())) for i in range(1, 61)]
+    sketches = spark.createDataFrame(nodes, "node long, n long, sketch binary")
+    crowded = sketches.select(F.lit(7).cast("long").alias("key"), "node", "n").drop("n")
+    roots = spark.createDataFrame([], "node long, root long")
+    grouped, largest = ngram_join.grouped_pairs, []
+
+    def measured(rows, keys, *rest):
+        largest.append(rows.groupBy(*keys).count().agg(F.max("count")).first()[0])
+        return grouped(rows, keys, *rest)
+
+    found = lambda: {(r.a, r.b) for r in ngram_join.unresolved(crowded, roots, sketches, limit, False).collect()}
+    whole = found()
+    monkeypatch.setattr(ngram_join, "CHUNK_SETS", 10)
+    monkeypatch.setattr(ngram_join, "grouped_pairs", measured)
+    assert found() == whole and len(whole) > 500
+    assert max(largest) <= 40  # two chunks, which hashes fill unevenly

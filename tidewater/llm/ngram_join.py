@@ -362,12 +362,14 @@ def components(edges: DataFrame) -> DataFrame:
 
 def grouped_pairs(rows: DataFrame, keys: list[str], limit: Threshold, nearest: bool) -> DataFrame:
     """Pairs (a, b) within groups of rows (keys, own, n, node, root, sketch) that may link by their
-    sketches: every row that is not ``own`` against those of other roots, or only the nearest."""
+    sketches: every row that is not ``own`` against those of other roots (the ``own`` ones, if the
+    group has any), or only the nearest."""
 
     def compare(group: list[tuple]) -> Iterator[tuple[int, int]]:
         own, n, node, root = (np.array([g[k] for g in group], dtype=np.int64) for k in (0, 1, 2, 3))
         size = np.array([len(g[4]) for g in group])
-        rows_of = {int(w): np.flatnonzero(size == w) for w in np.unique(size)}
+        asked = own == own.max()
+        rows_of = {int(w): np.flatnonzero((size == w) & asked) for w in np.unique(size[asked])}
         matrix = {w: np.stack([np.frombuffer(group[i][4], np.uint8) for i in at]) for w, at in rows_of.items()}
         for i in np.flatnonzero(own == 0).tolist():
             mine, best = np.frombuffer(group[i][4], np.uint8), (1 << 40, -1)
@@ -426,8 +428,12 @@ def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit:
 
     In each key, the sets outside its largest component are strangers.  Each stranger meets the
     sets of that component once, however many keys say so, the component dealt in chunks of
-    bounded size; with ``nearest`` only the nearest of them.  Strangers of one key and of
-    different components meet within the key (not with ``nearest``)."""
+    bounded size and the strangers too; with ``nearest`` only the nearest of them.  Strangers of
+    one key and of different components meet within the key (not with ``nearest``), dealt in
+    chunks of which every two meet in a group of their own."""
+    share = lambda n: F.pmod(F.xxhash64("node"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), n - 1))
+    chunks_of = F.ceil(F.count(F.lit(1)) / CHUNK_SETS).cast("int")
     rows = crowded.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     sizes = rows.groupBy("key", "root").agg(F.count(F.lit(1)).alias("c"))
     main = sizes.groupBy("key").agg(F.max(F.struct("c", "root")).alias("m"), F.count(F.lit(1)).alias("roots")).where("roots > 1").select("key", F.col("m.root").alias("main"), "roots")
@@ -435,15 +441,18 @@ def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit:
     asked = strangers.select("main", "node", "root").distinct()
     mains = asked.select("main").distinct()
     members = roots.withColumnRenamed("root", "main").join(mains, "main", "left_semi").select("main", "node").union(mains.select("main", F.col("main").alias("node"))).distinct()
-    chunks = members.groupBy("main").agg(F.ceil(F.count(F.lit(1)) / CHUNK_SETS).cast("int").alias("chunks"))
-    own = members.join(chunks, "main").select("main", F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int").alias("chunk"), F.lit(1).alias("own"), "node", F.col("main").alias("root"))
-    guests = asked.join(chunks, "main").select("main", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.lit(0).alias("own"), "node", "root")
+    chunks = members.groupBy("main").agg(chunks_of.alias("chunks"))
+    parts = asked.groupBy("main").agg(chunks_of.alias("parts"))
+    own = members.join(chunks, "main").join(parts, "main").select("main", share(F.col("chunks")).alias("chunk"), every(F.col("parts")).alias("part"), F.lit(1).alias("own"), "node", F.col("main").alias("root"))
+    guests = asked.join(chunks, "main").join(parts, "main").select("main", every(F.col("chunks")).alias("chunk"), share(F.col("parts")).alias("part"), F.lit(0).alias("own"), "node", "root")
     # strangers need not meet one another here: they are marked by one root
     guests = guests.withColumn("root", F.lit(0).cast("long")).union(own.withColumn("root", F.lit(1).cast("long")))
-    pairs = grouped_pairs(guests.join(sketches, "node"), ["main", "chunk"], limit, nearest)
+    pairs = grouped_pairs(guests.join(sketches, "node"), ["main", "chunk", "part"], limit, nearest)
     if not nearest:
-        several = strangers.join(strangers.groupBy("key").agg(F.countDistinct("root").alias("k")).where("k > 1").select("key"), "key", "left_semi")
-        pairs = pairs.union(grouped_pairs(several.select("key", F.lit(0).alias("own"), "node", "root").join(sketches, "node"), ["key"], limit, False))
+        keys = strangers.groupBy("key").agg(F.countDistinct("root").alias("k"), chunks_of.alias("chunks")).where("k > 1").select("key", "chunks")
+        dealt = strangers.join(keys, "key").withColumn("chunk", share(F.col("chunks"))).withColumn("other", every(F.col("chunks")))
+        dealt = dealt.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other"), "own": (F.col("chunk") > F.col("other")).cast("int")})
+        pairs = pairs.union(grouped_pairs(dealt.select("key", "i", "j", "own", "node", "root").join(sketches, "node"), ["key", "i", "j"], limit, False))
     return pairs.distinct()
 
 

@@ -75,3 +75,34 @@ def test_query_and_empty_table(spark):
     path = tempfile.mkdtemp() + "/w"
     warc.write(spark.createDataFrame([], "page_id long, url string, html string"), path)
     assert warc.read_records(spark, path).count() == 0
+
+
+def test_writer_hands_on_bounded_batches(monkeypatch):
+    import types
+
+    import pyarrow as pa
+
+    class Stop(Exception):
+        pass
+
+    class Rows:
+        sparkSession = None
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            raise Stop
+
+    rows = Rows()
+    try:
+        warc.write_records(rows, "unused", chunk_bytes=1000)
+    except Stop:
+        pass
+    monkeypatch.setattr(warc, "TaskContext", types.SimpleNamespace(get=lambda: types.SimpleNamespace(partitionId=lambda: 0)))
+    payloads = [b"x" * 20_000, b"", b"y" * 999, b"z" * 5000]
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2, None, 4]), pa.array(["u", None, "v", "w"]), pa.array(payloads, pa.binary()), pa.array(["00" * 20] * 4), pa.array([None] * 4, pa.int64())], names=["a", "b", "c", "d", "e"])
+    made = list(rows.run(iter([batch])))
+    assert max(sum(len(v.as_py()) for v in m.column(0)) for m in made) < 3000
+    assert [x for m in made for x in m.column(1).to_pylist()] == ["segmented"] * 20 + ["whole"] * 2 + ["segmented"] * 5

@@ -2,8 +2,9 @@
 
 Writing turns every payload into rows of record identifier and chunk number.
 A payload over ``chunk_bytes`` becomes a segmented record (a first segment and
-`continuation` records), so no writer or reader holds more than one chunk of
-it beside its source row.  One row is one record; Spark's text writer puts the
+`continuation` records), so no writer or reader holds more than a few chunks of
+it beside its source batch: the writer cuts a payload's Arrow buffer and hands on
+records as batches of about one chunk.  One row is one record; Spark's text writer puts the
 rows into gzip files, with the two line breaks that end a record as its line
 separator.  Reading splits at the start of the next record, parses headers
 and gives chunk rows back.  Whole records are digested where they are parsed;
@@ -47,14 +48,14 @@ def base32_sha1(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def payload_chunks(payload: bytes, limit: int = CHUNK_BYTES) -> Iterator[bytes]:
+def payload_chunks(payload: bytes | memoryview, limit: int = CHUNK_BYTES) -> Iterator[bytes]:
     """Chunks of at most ``limit`` bytes, at least one, none of which holds a record's beginning."""
-    if len(payload) <= limit and VERSION.strip() not in payload:
-        yield payload
+    if len(payload) <= limit and VERSION.strip() not in (whole := bytes(payload)):
+        yield whole
         return
     mark, at = END + VERSION, 0
     while at < len(payload):
-        chunk = payload[at : at + limit]
+        chunk = bytes(payload[at : at + limit])
         hit = (END + chunk + END).find(mark)
         if hit >= 0:
             chunk = chunk[: hit + 2]  # inside the word that begins a record
@@ -84,28 +85,49 @@ def write_records(rows: DataFrame, path: str, chunk_bytes: int = CHUNK_BYTES, da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, n = TaskContext.get().partitionId(), 0
+        out: list[tuple[bytes, str]] = []
+
+        def ready() -> pa.RecordBatch:
+            made = pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.string())], names=["value", "layout"])
+            out.clear()
+            return made
+
         for batch in batches:
-            out: list[tuple[bytes, str]] = []
-            for i, uri, payload, digest, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            held = 0
+            for row in range(batch.num_rows):
+                i, uri, digest, refers = (batch.column(c)[row].as_py() for c in (0, 1, 3, 4))
+                payload = memoryview(batch.column(2)[row].as_buffer())
                 n += 1
-                name = b"urn:page:%s:%d-%d" % (b"null" if i is None else b"%d" % i, part, n)
-                common = [] if uri is None else [(b"WARC-Target-URI", re.sub(rb"[\x00-\x20\x7f%]", lambda m: b"%%%02X" % m[0][0], uri.encode()))]
-                whole = [(b"WARC-Payload-Digest", b"sha1:" + base32_sha1(bytes.fromhex(digest)).encode()), (b"X-Payload-Length", b"%d" % len(payload))]
-                if refers is not None:
-                    fields = [*common, *whole, (b"WARC-Profile", b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), (b"WARC-Refers-To", b"<urn:page:%d>" % refers)]
-                    out.append((record(b"revisit", name, fields, HTTP_HEAD), "whole"))
-                    continue
-                chunks = list(payload_chunks(payload, chunk_bytes))
-                if len(chunks) == 1:
-                    out.append((record(b"response", name, common + whole, HTTP_HEAD + chunks[0]), "whole"))
-                for k, chunk in enumerate(chunks, 1) if len(chunks) > 1 else ():
-                    fields = [*common, (b"WARC-Segment-Number", b"%d" % k)]
-                    if k > 1:
-                        fields += [(b"WARC-Segment-Origin-ID", b"<" + name + b">")]
-                    if k == len(chunks):
-                        fields += [*whole, (b"WARC-Segment-Total-Length", b"%d" % (len(HTTP_HEAD) + len(payload)))]
-                    out.append((record(b"response" if k == 1 else b"continuation", name if k == 1 else name + b":%d" % k, fields, chunk if k > 1 else HTTP_HEAD + chunk), "segmented"))
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.binary()), pa.array([x[1] for x in out], pa.string())], names=["value", "layout"])
+                for made in records_of(n, part, i, uri, payload, digest, refers):
+                    out.append(made)
+                    held += len(made[0])
+                    if held >= chunk_bytes:
+                        yield ready()
+                        held = 0
+            if out:
+                yield ready()
+
+    def records_of(n: int, part: int, i: int | None, uri: str | None, payload: memoryview, digest: str, refers: int | None) -> Iterator[tuple[bytes, str]]:
+        name = b"urn:page:%s:%d-%d" % (b"null" if i is None else b"%d" % i, part, n)
+        common = [] if uri is None else [(b"WARC-Target-URI", re.sub(rb"[\x00-\x20\x7f%]", lambda m: b"%%%02X" % m[0][0], uri.encode()))]
+        whole = [(b"WARC-Payload-Digest", b"sha1:" + base32_sha1(bytes.fromhex(digest)).encode()), (b"X-Payload-Length", b"%d" % len(payload))]
+        if refers is not None:
+            fields = [*common, *whole, (b"WARC-Profile", b"http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"), (b"WARC-Refers-To", b"<urn:page:%d>" % refers)]
+            yield record(b"revisit", name, fields, HTTP_HEAD), "whole"
+            return
+        chunks = payload_chunks(payload, chunk_bytes)
+        chunk, following, k = next(chunks), next(chunks, None), 1
+        if following is None:
+            yield record(b"response", name, common + whole, HTTP_HEAD + chunk), "whole"
+            return
+        while chunk is not None:
+            fields = [*common, (b"WARC-Segment-Number", b"%d" % k)]
+            if k > 1:
+                fields += [(b"WARC-Segment-Origin-ID", b"<" + name + b">")]
+            if following is None:
+                fields += [*whole, (b"WARC-Segment-Total-Length", b"%d" % (len(HTTP_HEAD) + len(payload)))]
+            yield record(b"response" if k == 1 else b"continuation", name if k == 1 else name + b":%d" % k, fields, chunk if k > 1 else HTTP_HEAD + chunk), "segmented"
+            chunk, following, k = following, next(chunks, None), k + 1
 
     spark = rows.sparkSession
     info = record(b"warcinfo", b"urn:warcinfo:0", [], b"format: WARC File Format 1.1\r\n", b"application/warc-fields")

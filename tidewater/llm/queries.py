@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.sink import scratch_path
-from . import ann, bpe, fingerprint, html_extract, langid, ngram_join, packing, tokencount, toxicity, warc
+from . import ann, bitslice, bpe, fingerprint, html_extract, langid, ngram_join, packing, periodic, tokencount, toxicity, turn_repair, warc
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -86,5 +86,34 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op6_html_text, op7_toxicity, op8_nearest, op9_token_counts, op10_warc)}
+def op11_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five greatest integer inner products of every vector whose id is divisible by 50, against all vectors."""
+    return bitslice.top_k(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of every whole text, every tenth with a repeated tail; digests of all runs and of the collapsed text."""
+    found = periodic.periodic_runs(periodic.repeat_tails(read(spark, sf_dir, "documents")), ["doc_id"])
+    found = found.withColumn("best", periodic.strongest(F.col("runs")))
+    best = F.col("best")
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cheapest repair of every conversation's turns after damage."""
+    return turn_repair.repair(turn_repair.damage(read(spark, sf_dir, "conversations")))
+
+
+QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op6_html_text, op7_toxicity, op8_nearest, op9_token_counts, op10_warc, op11_sliced_top_k, op12_periodic_runs, op13_turn_repair)}
 ORACLE_SQL: dict[str, str] = {}

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tidewater.operators import codec
+from tidewater.operators.positions import last_committed
 from tidewater.plans import loads, sink
 from tidewater.sources.logs import events_log
 
@@ -162,6 +163,24 @@ def test_resumed_increments_equal_one_batch(spark, scratch):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0 and a.count() > 0
 
 
+def test_any_file_commits_go_on_in_the_next_load(spark, scratch):
+    enc = _encoded(spark)
+    spec = loads.LoadSpec(dedup=None, layout="daily", any_file=True, roll_records=9, roll_bytes=400, roll_open_ms=3 * 86_400_000, chunk_size=100, resume=True)
+    loads.load(enc, f"{scratch}/one", 0, spec)
+    for i, end in enumerate((300, 420, 5000)):
+        loads.load(enc.where(F.col("offset") < end), f"{scratch}/parts", i, spec)
+    one, parts = (
+        sink.read_loaded(spark, f"{scratch}/{p}", "daily", committed_only=True).select("_kafka.topic", "_kafka.partition", "_kafka.offset", F.input_file_name().alias("f")) for p in ("one", "parts")
+    )
+    # the same files, whatever their names: the offsets that lie in one file together
+    files = lambda df: sorted(tuple(sorted(r.o)) for r in df.groupBy("f").agg(F.collect_list("offset").alias("o")).collect())
+    assert files(one) == files(parts) and files(one)
+    at = lambda p: {(r.topic, r.partition): (r.next_offset, r.watermark) for r in last_committed(sink.committed_positions(spark, f"{scratch}/{p}")).collect()}
+    assert at("one") == at("parts")
+    uncommitted = enc.select("topic", "partition", "offset").join(one.select("topic", "partition", "offset"), ["topic", "partition", "offset"], "left_anti")
+    assert all(r.offset >= at("one")[r.topic, r.partition][0] for r in uncommitted.collect())
+
+
 def test_reports_feed_monitoring(spark, scratch):
     from tidewater.operators import monitoring
 

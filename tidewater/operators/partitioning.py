@@ -8,14 +8,12 @@ same rules can be checked, reported and used to name files at publish time.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import ship_package
+from .rolling import Limits, roll_limits
 from .scans import DEFAULT_CHUNK, offset_chunk, running_max, running_position
 from .watermark import WATERMARK, hour_bucket
 
@@ -100,50 +98,6 @@ def target_records_per_file(avg_row_bytes: float, target_bytes: int) -> int:
     return max(1, int(target_bytes // max(avg_row_bytes, 1.0)))
 
 
-def _sequential_roll(
-    df: DataFrame,
-    group: Sequence[str],
-    order: Sequence[str],
-    file_cols: Sequence[str],
-    ids: Sequence[str],
-    step,
-    extra_fields: list[T.StructField],
-) -> DataFrame:
-    """Run a per-group sequential rule over rows in order, streaming with bounded state.
-
-    Rows of a group meet in one task (``repartition`` + sort, spilling as
-    needed) and pass through an iterator; only the rule's state (counts per
-    open file) is held.
-    """
-    ship_package(df.sparkSession)
-    cols = list(dict.fromkeys([*group, *ids, *order, *file_cols]))
-    base = df.select(*cols)
-    schema = T.StructType([base.schema[c] for c in dict.fromkeys([*group, *ids])] + extra_fields)
-    out_names = schema.fieldNames()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur = None
-        state = None
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            gkeys = list(zip(*[pdf[c].tolist() for c in group]))
-            fkeys = list(zip(*[pdf[c].tolist() for c in file_cols]))
-            res = {name: [] for name in out_names[len(group) + len(ids):]}
-            for g, f in zip(gkeys, fkeys):
-                if g != cur:
-                    cur, state = g, None
-                state, values = step(state, f)
-                for name, v in zip(res, values):
-                    res[name].append(v)
-            out = pdf[list(dict.fromkeys([*group, *ids]))].copy()
-            for name, vals in res.items():
-                out[name] = vals
-            yield out[out_names]
-
-    return base.repartition(*group).sortWithinPartitions(*group, *order).mapInPandas(run, schema)
-
-
 def roll_any_file(
     df: DataFrame,
     n: int,
@@ -151,7 +105,7 @@ def roll_any_file(
     file_cols: Sequence[str] = ("dt", "hr"),
     order: Sequence[str] = ("offset",),
     contiguous: bool | None = None,
-    sequential_ok: bool = False,
+    chunk_size: int = DEFAULT_CHUNK,
 ) -> DataFrame:
     """once any open file of a batch holds ``n`` records, the whole batch commits.
 
@@ -168,10 +122,8 @@ def roll_any_file(
     file, and a file's unfinished tail joins the next file's first batch, so
     ``batch_id = sum over earlier files of floor(count / n) + floor(pos / n)``.
     Interleaved files (e.g. ``group=("_tw_root",)``, files per
-    topic-partition, order (timestamp, topic, partition, offset)) need the
-    rule run sequentially per group, one sorted pass per group in one task
-    (memory bounded by the number of open files): only with
-    ``sequential_ok=True``, since a large group would be a single task.
+    topic-partition, order (timestamp, topic, partition, offset)) are cut by
+    next starts and chunk tables (``rolling.roll_limits``).
     """
     if n < 1:
         raise ValueError("n must be >= 1")
@@ -181,33 +133,8 @@ def roll_any_file(
         )
     if contiguous:
         return _roll_contiguous(df, n, list(group), list(file_cols))
-    if not sequential_ok:
-        raise ValueError(
-            "files interleave within a group: the rule then runs as one sorted pass per group "
-            "(a single task for the whole group); pass sequential_ok=True to accept that, or group "
-            "per topic-partition with time files, which runs in parallel"
-        )
     x = df.withColumn("_tw_root", F.lit("root")) if "_tw_root" in group and "_tw_root" not in df.columns else df
-    ids = [c for c in ("topic", "partition", "offset") if c not in group]
-
-    def step(state, f):
-        if state is None:
-            state = [0, {}]
-        batch, counts = state
-        counts[f] = counts.get(f, 0) + 1
-        closes = counts[f] >= n
-        if closes:
-            state = [batch + 1, {}]
-        return state, (batch, closes)
-
-    rolled = _sequential_roll(
-        x, list(group), list(order), list(file_cols), ids, step,
-        [T.StructField("batch_id", T.LongType()), T.StructField("_tw_closes", T.BooleanType())],
-    )
-    # a batch is closed iff one of its records made a file reach the limit;
-    # batches are bounded (< n records per file), so this window is not skewed
-    w = Window.partitionBy(*group, "batch_id")
-    out = rolled.withColumn("closed", F.max("_tw_closes").over(w)).drop("_tw_closes")
+    out = roll_limits(x, Limits(records=n), group, file_cols, order, chunk_size=chunk_size)
     return out.drop("_tw_root") if "_tw_root" not in df.columns else out
 
 

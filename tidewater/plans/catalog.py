@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import codec, dedup, monitoring, partitioning, positions, watermark
+from ..operators import codec, dedup, monitoring, partitioning, positions, rolling, watermark
 from . import loads, sink
 from ..operators.recent_keys import dedup_recent_keys
 from ..schema import KAFKA_SCHEMA, ts_millis
@@ -385,6 +385,86 @@ def roll_any_file(spark: SparkSession, sf: str) -> DataFrame:
     return partitioning.roll_any_file(sink.materialize(hourly, "hourly-log"), ROLL_RECORDS)
 
 
+# Starts of batches from the next start after every place (CTE nxt: grp, pos, nxt), and each place's batch.
+STARTS_SQL = """s AS (SELECT DISTINCT grp, CAST(0 AS BIGINT) AS start, CAST(0 AS BIGINT) AS batch_id FROM nxt
+  UNION ALL SELECT s.grp, nxt.nxt, s.batch_id + 1 FROM s JOIN nxt ON nxt.grp = s.grp AND nxt.pos = s.start WHERE nxt.nxt IS NOT NULL),
+t AS (SELECT grp, max(batch_id) AS total FROM s GROUP BY grp)"""
+
+
+@register(
+    "roll_any_file_root",
+    f"""WITH RECURSIVE {LOG2},
+o AS (SELECT *, 'root' AS grp, row_number() OVER (ORDER BY ts_ms, topic, "partition", "offset") - 1 AS pos FROM log),
+e AS (SELECT grp, pos, lead(pos, {ROLL_RECORDS - 1}) OVER (PARTITION BY topic, "partition" ORDER BY pos) AS e FROM o),
+nxt AS (SELECT grp, pos, min(e) OVER (ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) + 1 AS nxt FROM e),
+{STARTS_SQL}
+SELECT topic, "partition", "offset", s.batch_id, s.batch_id < t.total AS closed
+FROM o ASOF JOIN s ON s.grp = o.grp AND o.pos >= s.start JOIN t ON t.grp = o.grp""",
+)
+def roll_any_file_root(spark: SparkSession, sf: str) -> DataFrame:
+    """F4 with one root group: a file per topic-partition, interleaved in the order of time; any full one commits all."""
+    log = two_topic_log(spark, sf).withColumn("_tw_root", F.lit("root"))
+    rolled = partitioning.roll_any_file(log, ROLL_RECORDS, ["_tw_root"], ["topic", "partition"], ["timestamp", "topic", "partition", "offset"], chunk_size=CHUNK_SMALL)
+    return rolled.select(*_tp_cols(), "batch_id", "closed")
+
+
+ROLL_SIZE = 150  # bytes of a file in the any-of limits
+ROLL_OPEN_MS = 12 * 3_600_000
+
+
+@register(
+    "roll_any_limit",
+    f"""WITH RECURSIVE {LOG}, {WM},
+o AS (SELECT *, topic || '/' || CAST("partition" AS VARCHAR) AS grp, date_trunc('hour', epoch_ms(watermark)) AS f,
+  strlen(k) + "offset" % 50 AS bytes, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS pos FROM wm),
+c AS (SELECT *, sum(bytes) OVER (PARTITION BY grp, f ORDER BY pos) AS cum FROM o),
+at_clock AS (SELECT grp, watermark AS clock, min(pos) AS pos FROM o GROUP BY ALL),
+by_records AS (SELECT grp, pos, lead(pos, {ROLL_RECORDS - 1}) OVER (PARTITION BY grp, f ORDER BY pos) AS e FROM o),
+by_size AS (SELECT a.grp, a.pos, b.pos AS e FROM c a ASOF LEFT JOIN c b ON b.grp = a.grp AND b.f = a.f AND a.cum - a.bytes + {ROLL_SIZE} <= b.cum),
+by_clock AS (SELECT a.grp, a.pos, b.pos AS e FROM o a ASOF LEFT JOIN at_clock b ON b.grp = a.grp AND a.watermark + {ROLL_OPEN_MS} <= b.clock),
+e AS (SELECT grp, pos, min(e) AS e FROM (SELECT * FROM by_records UNION ALL SELECT * FROM by_size UNION ALL SELECT * FROM by_clock) GROUP BY ALL),
+nxt AS (SELECT grp, pos, min(e) OVER (PARTITION BY grp ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) + 1 AS nxt FROM e),
+{STARTS_SQL}
+SELECT topic, "partition", "offset", s.batch_id, s.batch_id < t.total AS closed
+FROM o ASOF JOIN s ON s.grp = o.grp AND o.pos >= s.start JOIN t ON t.grp = o.grp""",
+)
+def roll_any_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """F2 + F3 + F4: hour files that commit by records, exact bytes or open time, whichever any of them reaches first."""
+    hourly = partitioning.time_partition(_wm(spark, sf), "hourly")
+    size = F.octet_length("key") + F.col("offset") % 50
+    limits = rolling.Limits(ROLL_RECORDS, ROLL_SIZE, ROLL_OPEN_MS)
+    return rolling.roll_limits(hourly, limits, file_cols=["dt", "hr"], size=size, clock=F.col("watermark"), chunk_size=CHUNK_SMALL).select(*_tp_cols(), "batch_id", "closed")
+
+
+ANY_FILE_RECORDS = 50
+
+
+@register(
+    "load_any_file",
+    f"""WITH RECURSIVE {LOG}, {WM},
+o AS (SELECT *, topic || '/' || CAST("partition" AS VARCHAR) AS grp, date_trunc('day', epoch_ms(watermark)) AS f,
+  row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS pos FROM wm),
+e AS (SELECT grp, pos, lead(pos, {ANY_FILE_RECORDS - 1}) OVER (PARTITION BY grp, f ORDER BY pos) AS e FROM o),
+nxt AS (SELECT grp, pos, min(e) OVER (PARTITION BY grp ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) + 1 AS nxt FROM e),
+{STARTS_SQL},
+b AS (SELECT o.*, s.batch_id, t.total FROM o ASOF JOIN s ON s.grp = o.grp AND o.pos >= s.start JOIN t ON t.grp = o.grp),
+p AS (SELECT topic, "partition", min("offset") AS next_offset FROM b WHERE batch_id >= total GROUP BY ALL),
+m AS (SELECT topic, "partition", max("offset") + 1 AS after_last FROM log GROUP BY ALL)
+SELECT b.topic, b."partition", strftime(f, '%Y_%m_%d') AS dt, count(*) AS records,
+  min("offset") AS min_offset, max("offset") AS max_offset, any_value(coalesce(p.next_offset, m.after_last)) AS next_offset
+FROM b JOIN m USING (topic, "partition") LEFT JOIN p USING (topic, "partition") WHERE batch_id < total GROUP BY ALL""",
+)
+def load_any_file(spark: SparkSession, sf: str) -> DataFrame:
+    """F4 in a load: rows of committed batches only, and the positions that the next load goes on from."""
+    base = sink.scratch_path(spark, "load-any-file")
+    spec = loads.LoadSpec(dedup=None, any_file=True, layout="daily", roll_records=ANY_FILE_RECORDS)
+    loads.load(_encoded(spark, sf), base, 0, spec)
+    lake = sink.read_loaded(spark, base, "daily", committed_only=True)
+    rows = lake.select(F.col("_kafka.topic").alias("topic"), F.col("_kafka.partition").alias("partition"), F.col("_kafka.offset").alias("offset"), "dt")
+    counts = rows.groupBy("topic", "partition", "dt").agg(F.count(F.lit(1)).alias("records"), F.min("offset").alias("min_offset"), F.max("offset").alias("max_offset"))
+    return counts.join(sink.committed_positions(spark, base).select("topic", "partition", "next_offset"), ["topic", "partition"])
+
+
 # ------------------------------------------------------------------ S9, S10
 @register(
     "generate_test_records",

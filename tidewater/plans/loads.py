@@ -14,6 +14,9 @@ positions end: committed offsets are skipped, the watermark goes on from the
 committed one, and the dedup rule is warmed with the ``rewind`` offsets before.
 A reporting load (``report=True``) stages every record with what became of it,
 once: dead letters and counts come from that table.
+
+With ``any_file`` the kept rows are cut into commits by the limits (F4); rows
+after the last commit stay uncommitted, and the positions stop before them.
 """
 
 from __future__ import annotations
@@ -28,10 +31,11 @@ from pyspark.sql import functions as F
 from ..operators import codec, dedup, partitioning
 from ..operators.positions import last_committed
 from ..operators.recent_keys import dedup_recent_keys
+from ..operators.rolling import Limits, roll_limits
 from ..operators.scans import DEFAULT_CHUNK
 from ..operators.watermark import with_stream_watermark
 from ..schema import ts_millis
-from .sink import _FS, ParquetOptions, committed_positions, manifest_path, publish
+from .sink import _FS, ParquetOptions, committed_positions, manifest_path, materialize, publish
 
 # The loader's two configurations.
 APP_SETTINGS = {"key_cache": 2000, "rewind": 2000, "roll_records": 100, "compression": "SNAPPY", "layout": "hourly"}
@@ -57,7 +61,9 @@ class LoadSpec:
     predicate: Column | None = None
     layout: str = "hourly"  # hourly | daily | topic_partition | custom
     roll_records: int | None = None  # records per file; None: as Spark's writers roll
-    roll_bytes: int | None = None  # byte limit, turned into a record limit from the mean value size
+    roll_bytes: int | None = None  # byte limit; exact with any_file, else a record limit from the mean value size
+    roll_open_ms: int | None = None  # time since a file's first record, on the watermark's clock (any_file, streams)
+    any_file: bool = False  # once any open file reaches a limit, all commit; later records wait for the next load
     history: DataFrame | None = None  # X5: earlier records to rewind over (batch increments)
     rewind: int = 2000
     resume: bool = False  # K8: go on from the lake's committed positions
@@ -124,12 +130,16 @@ def prepare(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
 
 
 STATUS = "_tw_status"
+BYTES = "_tw_bytes"  # a record's key and value, for byte limits
+COMMIT = "_tw_commit"
 
 
 def with_status(marked: DataFrame, spec: LoadSpec) -> DataFrame:
     """Every marked record, decoded unless it is a duplicate, with what becomes of it:
     kept, duplicate, malformed or filtered."""
     x = marked if "is_dup" in marked.columns else marked.withColumn("is_dup", F.lit(False))
+    if spec.roll_bytes and spec.any_file:
+        x = x.withColumn(BYTES, F.coalesce(F.octet_length("key"), F.lit(0)) + F.coalesce(F.octet_length("value"), F.lit(0)))
     x = codec.decode_proto(x.withColumn("value", F.when(~F.col("is_dup"), F.col("value"))), spec.message, spec.descriptor_set, partitions=spec.decode_partitions)
     status = F.when(F.col("is_dup"), "duplicate").when(F.col(codec.CORRUPT), "malformed")
     if spec.predicate is not None:
@@ -152,8 +162,40 @@ def publish_staged(spark: SparkSession, staged_path: str, base: str, batch_id: i
     if any(r["malformed"] for r in rows):
         letters = staged.where(F.col(STATUS) == "malformed").select("topic", "partition", "offset", "watermark")
         letters.write.mode("overwrite").parquet(f"{base.rstrip('/')}/_dead_letters/batch={batch_id}")
-    kept = assign_files(staged.where(F.col(STATUS) == "kept"), spec, limit)
-    return _publish(kept, base, batch_id, spec, limit, positions, {"dropped": dropped})
+    kept = staged.where(F.col(STATUS) == "kept")
+    if spec.any_file:
+        committed = committed_any_file(kept, spec)
+        positions = _positions_before(staged, committed.where(~F.col("closed")), positions)
+        kept = kept.join(committed.where("closed").select("topic", "partition", "offset", COMMIT), ["topic", "partition", "offset"])
+    return _publish(assign_files(kept, spec, limit), base, batch_id, spec, limit, positions, {"dropped": dropped})
+
+
+def committed_any_file(kept: DataFrame, spec: LoadSpec) -> DataFrame:
+    """(topic, partition, offset, _tw_commit, closed) of the kept rows: the commit of every row, and whether it happened.
+
+    Batches are per topic-partition, or per ``spec.scope`` (``"root"``: all partitions, in the order of their times)."""
+    if spec.layout not in ("hourly", "daily"):
+        raise ValueError("any_file commits files of the hourly and daily layouts")
+    x, group = dedup.scope_columns(kept, spec.scope)
+    order = ["offset"] if sorted(group) == ["partition", "topic"] else ["timestamp", "topic", "partition", "offset"]
+    x = partitioning.time_partition(x, spec.layout, spec.time_column)
+    limits = Limits(spec.roll_records, spec.roll_bytes, spec.roll_open_ms)
+    rolled = roll_limits(x, limits, group, partitioning.partition_columns(spec.layout), order, F.col(BYTES) if spec.roll_bytes else None, F.col("watermark"), spec.chunk_size)
+    name = F.concat_ws("-", *(F.col(c).cast("string") for c in [*group, "batch_id"]))
+    return materialize(rolled.select("topic", "partition", "offset", name.alias(COMMIT), "closed"), "commits")
+
+
+def _positions_before(staged: DataFrame, still_open: DataFrame, positions: list[dict]) -> list[dict]:
+    """Positions that stop before each topic-partition's first uncommitted record."""
+    first = still_open.groupBy("topic", "partition").agg(F.min("offset").alias("_tw_first"))
+    done = staged.join(F.broadcast(first), ["topic", "partition"]).where(F.col("offset") < F.col("_tw_first"))  # one row per topic-partition
+    before = done.groupBy("topic", "partition").agg(F.max("watermark").alias("watermark"), F.count(F.lit(1)).alias("records"))
+    stops = {(r["topic"], r["partition"]): r.asDict() for r in first.join(before, ["topic", "partition"], "left").collect()}
+    out = []
+    for p in positions:
+        stop = stops.get((p["topic"], p["partition"]))
+        out.append(p if stop is None else {**p, "next_offset": stop["_tw_first"], "watermark": stop["watermark"], "records": stop["records"] or 0})
+    return out
 
 
 def read_dead_letters(spark: SparkSession, base: str) -> DataFrame:
@@ -172,7 +214,7 @@ def assign_files(x: DataFrame, spec: LoadSpec, roll: int | None) -> DataFrame:
         keep = ["file_seq"]
     elif spec.layout in ("hourly", "daily"):
         x = partitioning.time_partition(x, spec.layout, spec.time_column)
-        keep = partitioning.partition_columns(spec.layout)
+        keep = [*partitioning.partition_columns(spec.layout), *([COMMIT] if spec.any_file else [])]
     elif spec.layout == "custom":
         if not spec.partition_columns:
             raise ValueError("the custom layout needs partition_columns")
@@ -196,6 +238,8 @@ def _record_limit(log: DataFrame, spec: LoadSpec) -> int | None:
     Whichever is reached first wins, as with the loader's any-of limits; the
     byte form is approximate (Spark has no exact byte cap per file).
     """
+    if spec.any_file:
+        return None  # files are cut by the commits
     limits = [spec.roll_records] if spec.roll_records else []
     if spec.roll_bytes:
         mean = log.agg(F.avg(F.octet_length("value") + F.coalesce(F.octet_length("key"), F.lit(0)))).first()[0] or 1.0
@@ -218,7 +262,7 @@ def load(log: DataFrame, base: str, batch_id: int, spec: LoadSpec = LoadSpec())
     if spec.resume and spec.positions is None:
         spec = replace(spec, positions=last_committed(committed_positions(spark, base)))
     limit = _record_limit(log, spec)
-    if spec.layout == "topic_partition" or spec.report:
+    if spec.layout == "topic_partition" or spec.report or spec.any_file:
         staged_path = f"{base.rstrip('/')}/_staging/prepared={batch_id}"
         with_status(mark(log, spec), spec).write.mode("overwrite").parquet(staged_path)
         manifest = publish_staged(spark, staged_path, base, batch_id, spec, limit)
@@ -237,7 +281,7 @@ def _publish(plan: DataFrame, base: str, batch_id: int, spec: LoadSpec, limit: i
     opts = spec.parquet
     if limit and spec.layout != "topic_partition":
         opts = ParquetOptions(opts.compression, opts.block_size, opts.page_size, opts.dictionary, limit)
-    return publish(plan, base, batch_id, layout=spec.layout, opts=opts, positions=positions, partition_cols=list(spec.partition_columns or {}), file_name=spec.file_name, audit=audit)
+    return publish(plan, base, batch_id, layout=spec.layout, opts=opts, positions=positions, partition_cols=list(spec.partition_columns or {}), file_name=spec.file_name, audit=audit, commit_col=COMMIT if spec.any_file else None)
 
 
 def load_all(log: DataFrame, base: str, batch_id: int, **kw) -> dict:

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import json
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
 
@@ -34,6 +35,7 @@ COMPRESSIONS = {"NONE": "none", "ZSTD": "zstd", "GZIP": "gzip", "SNAPPY": "snapp
 
 DEFAULT_BLOCK_SIZE = 134_217_728
 DEFAULT_PAGE_SIZE = 1_048_576
+MOVES_AT_A_TIME = 16
 
 
 def parse_compression(name: str | None) -> str:
@@ -111,12 +113,18 @@ class _FS:
 
     def move(self, src: str, dst: str) -> None:
         d = self.p(dst)
-        self.fs.mkdirs(d.getParent())
         if self.fs.exists(d):
             raise OSError(f"{dst} exists and is not this batch's")
         if not self.fs.rename(self.p(src), d):
             raise OSError(f"rename failed: {src} -> {dst}")
 
+    def move_all(self, moves: list[tuple[str, str]]) -> None:
+        """Each folder is made once; moves wait for the file system, so several go at a time."""
+        for folder in sorted({dst.rsplit("/", 1)[0] for _, dst in moves}):
+            self.fs.mkdirs(self.p(folder))
+        with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
+            list(pool.map(lambda m: self.move(*m), moves))
+
     def set_mtime(self, s: str, millis: int) -> None:
         self.fs.setTimes(self.p(s), int(millis), -1)
 
@@ -173,6 +181,7 @@ def publish(
     partition_cols: list[str] | None = None,
     file_name: Column | None = None,
     audit: dict | None = None,
+    commit_col: str | None = None,
 ) -> dict:
     """K4: stage one batch, move its files into ``base``, write the manifest last.
 
@@ -186,6 +195,8 @@ def publish(
     (the frame carries ``_kafka`` and ``file_seq``) — or ``custom``: the frame
     carries ``partition_cols`` (U3).  ``file_name`` (U5) names a topic-partition
     file from its columns t, p, lo and hi.  ``audit`` is added to the manifest.
+    ``commit_col``: a column of the frame (not written) that cuts the files of a
+    directory, one file for each of its values.
     """
     spark = df.sparkSession
     base = base.rstrip("/")
@@ -209,13 +220,14 @@ def publish(
     written: list[dict] = []
     if layout in ("hourly", "daily", "custom"):
         cols = partition_cols if layout == "custom" else ["dt", "hr"] if layout == "hourly" else ["dt"]
-        # REBALANCE lets AQE split a hot hour over several writers
-        write_parquet(df.hint("rebalance", *cols), stage, opts, partition_by=cols, mode="overwrite")
+        # REBALANCE lets AQE split a hot hour over several writers; a commit's file is bounded and has one
+        dealt = df.repartition(*cols, commit_col) if commit_col else df.hint("rebalance", *cols)
+        write_parquet(dealt, stage, opts, partition_by=[*cols, *([commit_col] if commit_col else [])], mode="overwrite")
         written = _written_counts(spark, fs, stage)
         for old in fs.glob(f"{base}/{'/'.join(c + '=*' for c in cols)}/{tag}-*"):  # files without a manifest are no one's
             fs.delete(old)
         for i, src in enumerate(fs.data_files(stage)):
-            rel_dir = "/".join(_rel(src, stage).split("/")[:-1])
+            rel_dir = "/".join(_rel(src, stage).split("/")[: len(cols)])
             moves.append((src, f"{base}/{rel_dir}/{tag}-{i:05d}.parquet"))
     elif layout == "topic_partition":
         file_key = F.concat_ws("__", F.col("_kafka.topic"), F.col("_kafka.partition").cast("string"), F.col("file_seq").cast("string"))
@@ -242,8 +254,7 @@ def publish(
         raise ValueError(f"unknown layout {layout!r}")
 
     fs.write_text(moves_path, json.dumps([dst for _, dst in moves]))
-    for src, dst in moves:
-        fs.move(src, dst)
+    fs.move_all(moves)
     manifest = {
         "batch_id": batch_id, "layout": layout, "files": [dst for _, dst in moves], "positions": positions or [],
         "written": written, "committed_at_ms": int(time.time() * 1000),

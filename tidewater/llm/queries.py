@@ -1,4 +1,4 @@
-"""The registered queries of the operators, and the SQL of those that SQL can express."""
+"""The registered queries of the operators; the SQL of those that SQL can express is in ``oracles``."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..plans.sink import scratch_path
 from . import ann, bitslice, bpe, fingerprint, html_extract, langid, ngram_join, packing, periodic, tokencount, toxicity, turn_repair, warc
+from .oracles import ORACLE_SQL  # noqa: F401
 
 MULTI_RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORD_TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
@@ -116,4 +117,3 @@ def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_language, op2_byte_bpe, op3_best_fit_packing, op4_ngram_jaccard, op5_fingerprints, op6_html_text, op7_toxicity, op8_nearest, op9_token_counts, op10_warc, op11_sliced_top_k, op12_periodic_runs, op13_turn_repair)}
-ORACLE_SQL: dict[str, str] = {}

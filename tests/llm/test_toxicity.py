@@ -81,3 +81,43 @@ def test_word_edges_and_doubled_letters_are_seen_through(model, text):
 @pytest.mark.parametrize("text", ["a good letter will follow soon", "plan a b c or x y z", "I a m h e r e"])
 def test_doubles_and_runs_of_clean_texts_stay_clean(model, text):
     assert toxicity.Scorer(model).score([text])[0] < 0.5
+
+
+@pytest.mark.parametrize("footer", [0, 60, 200])
+def test_a_shared_footer_hides_no_label(spark, footer):
+    rng = np.random.default_rng(2)
+    end = " ".join(f"foot{i}" for i in range(footer))
+    rows, labels = [], []
+    for i in range(1200):
+        own = [f"w{rng.integers(0, 4000)}" for _ in range(20)]
+        if i % 10 == 0:
+            for k, word in enumerate(rng.choice(["vornik", "plazzer", "gromtek", "skuldar", "yibbet", "drazzle"], 4)):
+                own.insert(int(rng.integers(0, 20)), str(word))
+        rows.append((i, " ".join(own) + " " + end))
+        labels.append((i, int(i % 10 == 0)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([x for x in labels if x[0] % 20 < 10], "doc_id long, toxic int")
+    m = toxicity.fit(docs, known)
+    found = {r.doc_id: r.score >= 0.5 for r in toxicity.score(docs, m, ["doc_id"]).collect()}
+    held = [i for i, _ in rows if i % 20 >= 10]
+    assert all(found[i] == (i % 10 == 0) for i in held)
+
+
+def test_filtered_tokens_hit_as_if_all_were_decoded(model, spark):
+    r = toxicity.Scorer(model)
+    texts = [x.text or "" for x in queries.read(spark, SF, "documents").select("text").limit(150).collect()]
+    hits = lambda words: {f for w in words for f in toxicity.word_features(w) if f in model.evidence}
+    tokens = {t for text in texts for t in text.split()} | {"1d10t", "l0-ser", "$-c-u-m", "st!ll", "1|l1", "m0r0n!!!", "clown...", "iiidiot"}
+    for t in tokens:
+        assert hits(toxicity.token_words(t, r.restorer, r.stems)) == hits(toxicity.token_words(t, r.restorer)), t
+    for run in ("aloser", "iidiot", "abcd", "y0u5cum"):
+        assert hits(toxicity.run_words(run, r.restorer, r.stems)) == hits(toxicity.run_words(run, r.restorer)), run
+
+
+@pytest.mark.parametrize("token", ["a" + "." * 300_000 + "a", "x" * 300_000, "." * 300_000, "i" * 100_000 + "!", "a-" * 100_000])
+def test_long_tokens_take_linear_time(model, token):
+    import time
+
+    began = time.time()
+    toxicity.Scorer(model).score([token])
+    assert time.time() - began < 10

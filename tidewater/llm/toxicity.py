@@ -11,8 +11,11 @@ a noisy-or.
 
 The letter model counts every document.  Labels are learned from a bounded
 sample of labelled rows (``SAMPLE_ROWS``, those with the smallest id hashes);
-near copies in it count once.  Null and empty texts hold no word and get the
-score of texts without evidence.  Documents labelled twice are sampled once,
+equal texts in it count once.  A text is scored by decoding only tokens of which
+some reading can begin like a word of the evidence (``Stems``); no other token
+can hit.  Decoding is exact and linear in a token's length, as is all else.
+Null and empty texts hold no word and get the score of texts without evidence;
+other columns are not looked at, equal texts have equal scores.  Documents labelled twice are sampled once,
 toxic if any label says so; null labels are not used.  Without a toxic row every
 score is 0.
 """
@@ -21,7 +24,8 @@ from __future__ import annotations
 
 import math
 import re
-from collections import defaultdict
+import uuid
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -86,9 +90,12 @@ def trigram_logs(counts: np.ndarray) -> np.ndarray:
 class Restorer:
     """Viterbi decoding of odd tokens under the letter model."""
 
+    MEMO_CHARS = 1 << 23
+
     def __init__(self, logs: np.ndarray):
         self.logs = logs
         self.memo: dict[str, str] = {}
+        self.held = 0  # characters of the remembered tokens
 
     @staticmethod
     def odd(token: str) -> bool:
@@ -99,9 +106,11 @@ class Restorer:
 
     def restore(self, token: str) -> str:
         if token not in self.memo:
-            if len(self.memo) > 1 << 17:
+            if self.held > self.MEMO_CHARS:
                 self.memo.clear()
+                self.held = 0
             self.memo[token] = self._viterbi(token)
+            self.held += len(token) + 64
         return self.memo[token]
 
     def restore_run(self, run: str) -> list[str]:
@@ -109,57 +118,141 @@ class Restorer:
         return self._viterbi(run, edges=True).split()
 
     def _viterbi(self, token: str, edges: bool = False) -> str:
+        """The best path, exactly: a state is the last two letters; the words behind it are linked backwards."""
         code = {c: int(k) for c, k in zip(token, letter_codes(np.array([ord(c) for c in token], dtype=np.uint32)), strict=True)}
+        code |= {r: ord(r) - 96 for c in code for r in LOOKALIKES.get(c, "")}
         logs = self.logs
-        states: dict[tuple[int, int, str], tuple[float, str]] = {(0, 0, ""): (0.0, "")}
+        states: dict[tuple[int, int, str], tuple[float, tuple | None]] = {(0, 0, ""): (0.0, None)}
         for c in token:
             readings = [(c, 0.0)] if c.isalpha() else [(r, -0.5) for r in LOOKALIKES.get(c, "")]
-            new: dict[tuple[int, int, str], tuple[float, str]] = {}
+            new: dict[tuple[int, int, str], tuple[float, tuple | None]] = {}
             if edges:
                 for (a, b, _), (score, word) in list(states.items()):
                     ended = score + float(logs[a, b, 0])
-                    if b and ended > states.get((b, 0, ""), (-math.inf, ""))[0]:
-                        states[b, 0, ""] = ended, word + " "
-
-            def offer(key, score, word, new=new):
-                if key not in new or score > new[key][0]:
-                    new[key] = (score, word)
-
+                    if b and ended > states.get((b, 0, ""), (-math.inf, None))[0]:
+                        states[b, 0, ""] = ended, (word, " ")
             for (a, b, last), (score, word) in states.items():
+                ways = []
                 for letter, cost in readings:
-                    k = code.get(letter) or int(letter_codes(np.array([ord(letter)], dtype=np.uint32))[0])
-                    offer((b, k, letter), score + cost + float(logs[a, b, k]), word + letter)
+                    k = code[letter]
+                    ways.append(((b, k, letter), score + cost + float(logs[a, b, k]), letter))
                     if letter == last:  # one letter written again
-                        offer((a, b, last), score + cost - 2.0, word)
+                        ways.append(((a, b, last), score + cost - 2.0, ""))
+                if not c.isalpha():  # a mark between letters
+                    ways.append(((a, b, last), score - (0.5 if c in SEPARATORS else 8.0), ""))
+                for key, total, letter in ways:
+                    if key not in new or total > new[key][0]:
+                        new[key] = total, (word, letter) if letter else word
+            states = new
+        _, link = max(((s + float(logs[a, b, 0]), w) for (a, b, _), (s, w) in states.items()), key=lambda x: x[0], default=(0.0, None))
+        letters = []
+        while link is not None:
+            link, letter = link
+            letters.append(letter)
+        return "".join(reversed(letters))
+
+
+# Signs beside letters and digits that a word may begin or end with.
+WORD_SIGNS = frozenset("@$!|+(€£_")
+
+
+def without_edges(token: str) -> str:
+    """A token without the signs at its ends that stand for no letter, or without its last sign if that is written often."""
+    a, b = 0, len(token)
+    kept = lambda c: c.isalnum() or c in WORD_SIGNS
+    while a < b and not kept(token[a]):
+        a += 1
+    while b > a and not kept(token[b - 1]):
+        b -= 1
+    if b == len(token) and b > a and not token[-1].isalnum() and token[-1] != "_":
+        c = b
+        while c > a and token[c - 1] == token[-1]:
+            c -= 1
+        b = c if b - c >= 3 else b
+    return token[a:b]
+
+
+def letters_and_digits(token: str) -> str:
+    """A token without the signs at its ends."""
+    a, b = 0, len(token)
+    while a < b and not token[a].isalnum():
+        a += 1
+    while b > a and not token[b - 1].isalnum():
+        b -= 1
+    return token[a:b]
+
+
+# Letters that one sign may stand for are one class; a word's skeleton is its classes, equal neighbours once.
+_CLASS = {"l": "i"}
+_CLASSES_OF = {c: frozenset(_CLASS.get(r, r) for r in readings) for c, readings in LOOKALIKES.items()}
+
+
+def skeleton(word: str) -> str:
+    """What all spellings that can be read as a word have in common."""
+    classes = [_CLASS.get(c, c) for c in word if c.isalpha()]
+    return "".join(c for i, c in enumerate(classes) if not i or classes[i - 1] != c)
+
+
+class Stems:
+    """Skeletons of the evidence, to tell tokens that no reading can make a hit."""
+
+    def __init__(self, evidence):
+        self.nodes: list[dict[str, int]] = [{}]
+        self.ends: set[int] = set()
+        self.last: list[str] = [""]
+        for word in evidence:
+            at = 0
+            for c in skeleton(word.rstrip("*")):
+                if c not in self.nodes[at]:
+                    self.nodes[at][c] = len(self.nodes)
+                    self.nodes.append({})
+                    self.last.append(c)
+                at = self.nodes[at][c]
+            self.ends.add(at)
+
+    def may_begin(self, token: str, anywhere: bool = False) -> bool:
+        """Whether some reading of the token (of a part of it, if ``anywhere``) begins like the evidence."""
+        if 0 in self.ends:
+            return True
+        at = {0}
+        for c in token:
+            classes = (_CLASS.get(c, c),) if c.isalpha() else _CLASSES_OF.get(c, ())
+            then = {0} if anywhere else set()
+            for node in at:
                 if not c.isalpha():
-                    offer((a, b, last), score - (0.5 if c in SEPARATORS else 8.0), word)  # a mark between letters
-            # a bounded beam: states that differ only in far letters have met by then
-            states = dict(sorted(new.items(), key=lambda x: (-x[1][0], x[1][1]))[:24]) if len(new) > 24 else new
-        return max(((s + float(logs[a, b, 0]), w) for (a, b, _), (s, w) in states.items()), default=(0, ""))[1]
-
-
-_EDGES = re.compile(r"^[\W_]+|[\W_]+$")
-_SIGN_EDGE = re.compile(r"^[^\w@$!|+(€£]+|[^\w@$!|+(€£]+$|([^\w\s])\1{2,}$")
-
-
-def token_words(token: str, restorer: Restorer | None) -> list[str]:
-    """The words that a token shows: as written, in parts, and restored."""
+                    then.add(node)  # left out
+                for k in classes:
+                    if self.last[node] == k:
+                        then.add(node)
+                    if k in self.nodes[node]:
+                        then.add(self.nodes[node][k])
+            if not self.ends.isdisjoint(then):
+                return True
+            if not then:
+                return False
+            at = then
+        return False
+
+
+def token_words(token: str, restorer: Restorer | None, stems: Stems | None = None) -> list[str]:
+    """The words that a token shows: as written, in parts, and restored (with ``stems``: if that can begin like one)."""
     low = token.lower()
     if low.isalpha() and not Restorer.odd(low):
         return [low]
     words = [w for w in re.split(r"[\W\d_]+", low) if w]
-    core = _SIGN_EDGE.sub("", low)
+    core = without_edges(low)
     if restorer and core and not core.isdigit():
-        for form in {core, _EDGES.sub("", low)}:
-            if form and Restorer.odd(form):
+        for form in {core, letters_and_digits(low)}:
+            if form and Restorer.odd(form) and (stems is None or stems.may_begin(form)):
                 words.append(restorer.restore(form))
     return words
 
 
-def run_words(run: str, restorer: Restorer | None) -> list[str]:
+def run_words(run: str, restorer: Restorer | None, stems: Stems | None = None) -> list[str]:
     """The words that letters set apart show: as one token, and parted where words end."""
     # the first letter may be a word of its own ("a", "I") whatever the letter model makes of it
-    return [w for r in (run.lower(), run[1:].lower()) if r for w in [*token_words(r, restorer), *(restorer.restore_run(r) if restorer else ())]]
+    parts = lambda r: restorer.restore_run(r) if restorer and (stems is None or stems.may_begin(r, anywhere=True)) else ()
+    return [w for r in (run.lower(), run[1:].lower()) if r for w in [*token_words(r, restorer, stems), *parts(r)]]
 
 
 def word_features(word: str) -> list[str]:
@@ -180,10 +273,25 @@ def spaced_runs(tokens: list[str]) -> list[str]:
     return out
 
 
-def text_features(text: str, restorer: Restorer | None) -> set[str]:
+def text_features(text: str, restorer: Restorer | None) -> dict[str, int]:
+    """A text's features, each with a hash of the words around it where it comes first."""
     tokens = text.split()
-    words = {w for t in {*tokens} for w in token_words(t, restorer)} | {w for r in {*spaced_runs(tokens)} for w in run_words(r, restorer)}
-    return {f for w in words for f in word_features(w)}
+    first: dict[str, int] = {}
+    for i, t in enumerate(tokens):
+        first.setdefault(t, i)
+    out: dict[str, int] = {}
+    for t, i in first.items():
+        around = None
+        for w in token_words(t, restorer):
+            for f in word_features(w):
+                if f not in out:
+                    around = hash_text(" ".join(tokens[max(0, i - 1) : i] + tokens[i + 1 : i + 2]).lower()) if around is None else around
+                    out[f] = around
+    for r in {*spaced_runs(tokens)}:
+        for w in run_words(r, restorer):
+            for f in word_features(w):
+                out.setdefault(f, hash_text(r))
+    return out
 
 
 @dataclass
@@ -212,23 +320,18 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     logs = model.logs
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tv.release()
-        restorer = Restorer(logs)
+        restorer = tv.held(("restorer", name), lambda: Restorer(logs))  # a worker's tasks share what it has decoded
         for batch in batches:
             toxic, texts = (c.to_pylist() for c in batch.columns)
-            held = [sorted(text_features(t, restorer)) for t in texts]
-            # near copies share the smallest hash of their word triples
-            keys, kinds = [], []
-            for t in texts:
-                w = t.lower().split()
-                keys.append(min((hash_text(" ".join(w[i : i + 3])) for i in range(max(1, len(w) - 2))), default=0))
-                kinds.append(min(map(hash_text, set(w)), default=0))
-            columns = [pa.array(toxic, pa.int32()), pa.array(keys, pa.int64()), pa.array(kinds, pa.int64()), pa.array(held, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "near", "kind", "features"])
-
-    sample = labelled_sample(docs, labels, doc_id, text, label, rows).repartition(64)
-    found = sample.mapInArrow(features, "toxic int, near long, kind long, features array<string>")
-    found = materialize(found.dropDuplicates(["near", "toxic"]), "toxic-sample")
+            held = [sorted(text_features(t, restorer).items()) for t in texts]
+            names = [[f for f, _ in h] for h in held]
+            around = [[c for _, c in h] if bad else None for h, bad in zip(held, toxic, strict=True)]
+            columns = [pa.array(toxic, pa.int32()), pa.array(names, pa.list_(pa.string())), pa.array(around, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["toxic", "features", "around"])
+
+    name = uuid.uuid4().hex
+    sample = labelled_sample(docs, labels, doc_id, text, label, rows).distinct().repartition(64)
+    found = materialize(sample.mapInArrow(features, "toxic int, features array<string>, around array<long>"), "toxic-sample")
     size = {r["toxic"]: r["n"] for r in found.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad:
@@ -243,14 +346,19 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     tested = max(2, counts.where("n >= 3").count())
     able = able.where(gain >= 2 * math.log(tested)).select("f", "bad", "n")
     table = {r["f"]: (r["bad"], r["n"]) for r in able.collect()}  # bounded by the sample
+    # what at least half of the sample's rows hold tells no text from another
+    common = {r["f"] for r in counts.where(2 * F.col("n") >= bad + good).select("f").collect()}
     rows_with: dict[str, set[int]] = defaultdict(set)
-    kinds_with: dict[str, set[int]] = defaultdict(set)
+    kinds_with: dict[str, Counter] = defaultdict(Counter)
+    around_with: dict[str, Counter] = defaultdict(Counter)
     n_rows = 0
-    for n_rows, r in enumerate(found.where("toxic = 1").select("kind", "features").toLocalIterator(), 1):
-        for f in r["features"]:
+    for n_rows, r in enumerate(found.where("toxic = 1").select("features", "around").toLocalIterator(), 1):
+        kind = min((hash_text(f) for f in r["features"] if f not in common), default=0)
+        for f, around in zip(r["features"], r["around"], strict=True):
             if f in table:
                 rows_with[f].add(n_rows)
-                kinds_with[f].add(r["kind"])
+                kinds_with[f][kind] += 1
+                around_with[f][around] += 1
     enough = math.log(tested) / math.log(1 / prior)  # so many rows are no accident
     open_rows, chosen = set(range(1, n_rows + 1)), []
     weight = lambda f: len(rows_with[f]) * math.log(table[f][0] / table[f][1] / prior)
@@ -260,8 +368,11 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
             continue  # another length of the same beginning says it already
         clean = table[f][1] - table[f][0]
         newly = len(rows_with[f] & open_rows)
-        # it explains rows that nothing else does, or marks texts of many kinds: not only one text's copies
-        if newly >= max(3, enough, 4 * clean) or len(kinds_with[f]) >= 1.5 * max(3, enough, 4 * clean):
+        # copies of one text, near ones too, mostly share a kind and the words around: they are no further evidence
+        apart, wanted = max(effective_number(kinds_with[f]), effective_number(around_with[f])), max(3, enough, 4 * clean)
+        held = min(table[f][0], apart)
+        sure = held >= 0.75 * (held + clean) and gain_of(held, held + clean, prior) >= 2 * math.log(tested)
+        if sure and apart >= wanted and (newly >= wanted or apart >= 1.5 * wanted):
             chosen.append(f)
             open_rows -= rows_with[f]
     model.evidence = {f: (table[f][0] + 0.5) / (table[f][1] + 1.0) for f in chosen}
@@ -269,6 +380,17 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     return model
 
 
+def gain_of(bad: float, n: float, prior: float) -> float:
+    """Log likelihood ratio, times two, of ``bad`` toxic rows among ``n`` against the prior."""
+    clean = n - bad
+    return 2 * (bad * math.log(bad / n / prior) + (clean * math.log(clean / n / max(1 - prior, 1e-12)) if clean else 0.0))
+
+
+def effective_number(counts: Counter) -> float:
+    """How many groups of equal size are as diverse as these (inverse Simpson index)."""
+    return sum(counts.values()) ** 2 / sum(n * n for n in counts.values())
+
+
 def hash_text(s: str) -> int:
     """A 62-bit hash that is the same in every process."""
     import zlib
@@ -282,12 +404,13 @@ class Scorer:
 
     def __init__(self, model: ToxicModel):
         self.model, self.restorer = model, Restorer(model.logs)
+        self.stems = Stems(model.evidence)
         self.rows = tv.RowTable(21)
         self.hits: dict[int, tuple[str, ...]] = {}
 
     def _evidence(self, token: str, words=token_words) -> tuple[str, ...]:
         known = self.model.evidence
-        return tuple(f for w in words(token, self.restorer) for f in word_features(w) if f in known)
+        return tuple(f for w in words(token, self.restorer, self.stems) for f in word_features(w) if f in known)
 
     def score(self, texts: list[str]) -> list[float]:
         cp, bounds = tv.code_points(texts)
@@ -325,8 +448,6 @@ class Scorer:
 
 def score(df: DataFrame, model: ToxicModel, keep: list[str], text: str = "text") -> DataFrame:
     """``keep`` columns and score (0 to 1) for every row."""
-    import uuid
-
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField("score", T.DoubleType())])
     model.name = model.name or uuid.uuid4().hex
 

@@ -39,3 +39,12 @@ def test_nulls_repeats_and_extra_columns(spark):
 def test_run(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+def test_repeated_ids_lose_no_text(spark):
+    a = " ".join(f"word{i}" for i in range(60))
+    b = " ".join(f"other{i}" for i in range(40))
+    rows = [(1, a), (3, a + " more"), (3, b), (5, b), (5, b), (7, "quite another text that stands alone"), (7, "quite another text that stands alone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF)
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, a), (3, b), (7, rows[-1][1])]

@@ -17,7 +17,8 @@ and its next ``window`` ones.  Keys with more sets than that are looked at again
 once links are known: where they hold several components, the sets outside the
 largest one are compared with that component's sets by bit sketches, in bounded
 chunks, and tried with the nearest.  What still lies in different components
-after that is tried pair by pair, as far as the sketches allow a link.
+after that is tried pair by pair, as far as the sketches allow a link; keys whose
+sets all lie in one larger key are left out, as their pairs meet there.
 Candidate pairs pass the bit sketches' Hamming bound and are then verified
 exactly.
 
@@ -45,6 +46,7 @@ COUNTER_BITS = 20
 BAND_BITS = 3  # sizes of a band lie within a factor of 2 ** BAND_BITS
 WINDOW = 4
 CHUNK_SETS = 1 << 14  # sets of a component that are compared in one task
+CHUNK_CHARS = 1 << 18  # characters whose words are hashed at once, unless one text is longer
 BROADCAST_ROWS = 1 << 20  # ids that a text scan may be filtered by without a shuffle
 
 
@@ -108,9 +110,8 @@ def rarity(df: DataFrame, text: str, words: int) -> np.ndarray:
         tv.release()
         total = np.zeros(size, dtype=np.int64)
         for batch in batches:
-            texts = batch.column(0).to_pylist()
-            for a, b in tv.chunks(texts):
-                h, _ = shingle_hashes(texts[a:b], words)
+            for _, texts in tv.text_slices(batch, 0, CHUNK_CHARS):
+                h, _ = shingle_hashes(texts, words)
                 total += np.bincount((h >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=size)
         cut = total.astype("<u4").reshape(-1, part)
         some = np.flatnonzero(cut.any(axis=1))
@@ -180,7 +181,7 @@ def sketch_distance(a: np.ndarray, b: np.ndarray) -> int:
 
 
 def sketch_sets(df: DataFrame, doc_id: str, text: str, words: int, limit: Threshold) -> DataFrame:
-    """id, n (set size), node (the set's hash), keys and sketch; keys and sketch are null for
+    """id, text_hash, n (set size), node (the set's hash), keys and sketch; keys and sketch are null for
     repeats of a set in a task, and for rows that link with nothing."""
     classes = rarity(df, text, words)
 
@@ -188,26 +189,25 @@ def sketch_sets(df: DataFrame, doc_id: str, text: str, words: int, limit: Thresh
         tv.release()
         seen: set[int] = set()
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1).to_pylist()
-            valid = ids.is_valid().to_pylist()
-            for a, b in tv.chunks(texts):
-                h, bounds = shingle_hashes(texts[a:b], words)
+            for part, texts in tv.text_slices(batch, 2, CHUNK_CHARS):
+                valid = part.column(0).is_valid().to_pylist()
+                h, bounds = shingle_hashes(texts, words)
                 sizes, nodes, keys, sketches = [], [], [], []
-                for i in range(b - a):
+                for i in range(len(texts)):
                     held = np.unique(h[bounds[i] : bounds[i + 1]])
                     node = node_of(held)
-                    new = bool(len(held)) and valid[a + i] and node not in seen
+                    new = bool(len(held)) and valid[i] and node not in seen
                     if new:
                         seen.add(node)
                     sizes.append(len(held))
                     nodes.append(node)
                     keys.append(signed(block_keys(held, classes, limit)) if new else None)
                     sketches.append(bit_sketch(held) if new else None)
-                columns = [ids.slice(a, b - a), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "node", "keys", "sketch"])
+                columns = [part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "text_hash", "n", "node", "keys", "sketch"])
 
-    rows = df.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    return rows.mapInArrow(run, f"id {df.schema[doc_id].dataType.simpleString()}, n long, node long, keys array<long>, sketch binary")
+    rows = df.select(F.col(doc_id).alias("__id"), F.xxhash64(text).alias("__hash"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    return rows.mapInArrow(run, f"id {df.schema[doc_id].dataType.simpleString()}, text_hash long, n long, node long, keys array<long>, sketch binary")
 
 
 def key_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -298,11 +298,11 @@ def exact_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, te
     owner_ids = materialize(owners.select(F.col("id").alias("__id")).distinct(), "owner-ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tv.release()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in tv.chunks(texts):
-                h, bounds = shingle_hashes(texts[a:b], words)
-                held = [np.unique(h[bounds[i] : bounds[i + 1]]) for i in range(b - a)]
+            for _, texts in tv.text_slices(batch, 1, CHUNK_CHARS):
+                h, bounds = shingle_hashes(texts, words)
+                held = [np.unique(h[bounds[i] : bounds[i + 1]]) for i in range(len(texts))]
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in held], pa.int64()), pa.array([x.tobytes() for x in held], pa.binary())], names=["node", "held"])
 
     rows = df.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
@@ -449,6 +449,7 @@ def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit:
     guests = guests.withColumn("root", F.lit(0).cast("long")).union(own.withColumn("root", F.lit(1).cast("long")))
     pairs = grouped_pairs(guests.join(sketches, "node"), ["main", "chunk", "part"], limit, nearest)
     if not nearest:
+        strangers = materialize(without_covered(strangers), "strangers")
         keys = strangers.groupBy("key").agg(F.countDistinct("root").alias("k"), chunks_of.alias("chunks")).where("k > 1").select("key", "chunks")
         dealt = strangers.join(keys, "key").withColumn("chunk", share(F.col("chunks"))).withColumn("other", every(F.col("chunks")))
         dealt = dealt.withColumns({"i": F.least("chunk", "other"), "j": F.greatest("chunk", "other"), "own": (F.col("chunk") > F.col("other")).cast("int")})
@@ -456,8 +457,22 @@ def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit:
     return pairs.distinct()
 
 
+def without_covered(strangers: DataFrame) -> DataFrame:
+    """The strangers of keys whose strangers are not all among those of one larger key, where their pairs meet.
+
+    A passage's keys are taken in one order, so each holds the sets of the next.  A key is held against
+    the key that is the largest one of most of its sets; only counts of narrow rows decide."""
+    rows = strangers.select("key", "node").distinct()
+    sized = rows.join(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")), "key")
+    largest = sized.groupBy("node").agg(F.max(F.struct("size", "key")).alias("m")).select("node", F.col("m.key").alias("over"))
+    votes = sized.join(largest, "node").groupBy("key", "size", "over").agg(F.count(F.lit(1)).alias("v"))
+    over = votes.groupBy("key", "size").agg(F.max(F.struct("v", "over")).alias("m")).select("key", "size", F.col("m.over").alias("over")).where("over <> key")
+    shared = rows.join(over, "key").join(rows.withColumnRenamed("key", "over"), ["over", "node"]).groupBy("key", "size").agg(F.count(F.lit(1)).alias("both"))
+    return strangers.join(shared.where("both = size").select("key"), "key", "left_anti")
+
+
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, limit: Threshold | None = None, window: int = WINDOW) -> DataFrame:
-    """id, n_shingles and component_id (the smallest id that links reach) of every row."""
+    """id, text_hash (xxhash64 of the text), n_shingles and component_id (the smallest id that links reach) of every row."""
     limit = limit or Threshold()
     sets = materialize(sketch_sets(df, doc_id, text, words, limit), "sketches")
     keyed = sets.where("keys is not null").select(F.explode("keys").alias("key"), "n", "node")
@@ -480,5 +495,5 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", w
     ids = sets.where("id is not null and n > 0").groupBy("node").agg(F.min("id").alias("low"))
     lowest = ids.join(roots, "node").groupBy("root").agg(F.min("low").alias("lowest"))
     named = ids.join(roots.join(lowest, "root"), "node", "left").select("node", F.coalesce("lowest", "low").alias("lowest"))
-    rows = sets.select("id", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
-    return rows.select("id", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("lowest")).otherwise(F.col("id")).alias("component_id"))
+    rows = sets.select("id", "text_hash", F.col("n").alias("n_shingles"), "node").join(named, "node", "left")
+    return rows.select("id", "text_hash", "n_shingles", F.when((F.col("n_shingles") > 0) & F.col("id").isNotNull(), F.col("lowest")).otherwise(F.col("id")).alias("component_id"))

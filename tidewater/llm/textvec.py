@@ -34,8 +34,19 @@ def held(name: tuple, make):
 
 
 def release() -> None:
-    """Drop the worker's long-lived helper: the work at hand needs none."""
+    """Drop the worker's long-lived helper, and give its memory back: the work at hand needs none."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
     _held.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it
+        pass
 
 
 def char_classes() -> np.ndarray:

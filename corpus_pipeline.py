@@ -62,16 +62,20 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of every near-duplicate component."""
+    """Of every near-duplicate component the document with the smallest doc_id (of those, the smallest text hash)."""
     ship_package(spark)
     found = materialize(ngram_join.near_duplicates(docs), "components")
-    by_id = found.where("id is not null").groupBy(F.col("id").alias("doc_id")).agg(F.min("component_id").alias("low"), F.count(F.lit(1)).alias("n"))
-    gone = materialize(by_id.where("low <> doc_id").select("doc_id"), "near-copies")
-    again = materialize(by_id.where("low = doc_id and n > 1").select("doc_id"), "repeated")
-    kept = ngram_join.filtered_by_ids(docs, "doc_id", gone, "left_anti")
-    if not again.isEmpty():
-        repeated = ngram_join.filtered_by_ids(kept, "doc_id", again, "left_semi").dropDuplicates(["doc_id", "text"])
-        kept = ngram_join.filtered_by_ids(kept, "doc_id", again, "left_anti").unionByName(repeated)
+    linked = found.where("id is not null and n_shingles > 0").select("component_id", F.struct(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).alias("row"))
+    first = linked.groupBy("component_id").agg(F.min("row").alias("first"))
+    # copies are pre-aggregated, so a component of very many rows is a few counts
+    rows = linked.groupBy("component_id", "row").agg(F.count(F.lit(1)).alias("n"))
+    kept = _without(docs, rows.join(first, "component_id").where("row <> first").select("row.*"))
+    again = materialize(rows.where("n > 1").select("row.*"), "repeated")
+    if not again.isEmpty():  # rows that repeat a doc_id with its text are one document
+        again = F.broadcast(again) if again.count() <= ngram_join.BROADCAST_ROWS else again
+        same = (F.xxhash64(kept["text"]) == again["__hash"]) & kept["doc_id"].eqNullSafe(again["__id"])
+        repeated = kept.join(again, same, "left_semi").dropDuplicates(["doc_id", "text"])
+        kept = kept.join(again, same, "left_anti").unionByName(repeated)
     return kept.select(docs.columns)
 
 

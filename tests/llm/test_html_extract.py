@@ -63,7 +63,7 @@ def test_hosts_vote(spark):
     got = {r.page_id: r.text for r in html_extract.extract(df).collect()}
     assert got[0] == "T0 The text of page 0 is this one."
     assert got[9] == "T Short."  # the host's path, not the longest container
-    assert got[10].startswith("A very long text") and got[11] == ""
+    assert got[10].startswith("T Short. A very long text") and got[11] == ""  # a page without a host loses nothing
     assert html_extract.extract(df).count() == 9 and html_extract.extract(df.limit(0)).count() == 0
 
 
@@ -96,3 +96,42 @@ def test_a_winning_path_that_leaves_text_out_is_not_followed():
     page = "<body><div class=c><p>A part.</p></div><div class=story><p>The other part, which is longer.</p></div></body>"
     assert html_extract.main_text(page, "html>body>div.c") == "A part. The other part, which is longer."
     assert html_extract.main_text(page, "html>body>div.c", ["html>body>div.story"]) == "A part."
+
+
+def test_copies_of_one_article_are_no_repeated_path(spark):
+    article = "<div class='story'><p>" + "One article stands under four addresses of the host. " * 5 + "</p></div>"
+    rows = [(i, f"http://copies.example/{i}", f"<body>{article}<div class='count'>Views {i * 7} today seen by readers</div></body>") for i in range(4)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in html_extract.extract(df).collect():
+        assert r.text == ("One article stands under four addresses of the host. " * 5).strip() + f" Views {r.page_id * 7} today seen by readers"
+
+
+@pytest.mark.parametrize(
+    "source, text",
+    [
+        ("<body><div class='main'>" + "Long text. " * 60 + "</div><div class='extra'>Correction: one line.</div></body>", "Long text. " * 60 + "Correction: one line."),
+        ("<div class='content' title='A hidden gem'><p>Shown.</p></div>", "Shown."),
+        ("<div class=content data-hidden=1><p>Shown.</p></div><div HIDDEN>not</div>", "Shown."),
+        ("<p class=x title=It's>One it is</p><p>Two isn't three</p>", "One it is Two isn't three"),
+        ("<article><p>Start.</p><section class='social'><p>" + "On the social life of bees. " * 3 + "</p></section><p>End.</p></article>", "Start. " + "On the social life of bees. " * 3 + "End."),
+        ("<article><p>Start here.</p><div class='social'><a href=x>Share this on every network</a></div><p>End.</p></article>", "Start here. End."),
+        ('<p a="x>y">one</p><p b=\'2" 3\'>two</p>', "one two"),
+        ("<p>one <b title='never closed>two</p>", "one two"),
+        ("a <p class=", "a <p class="),
+    ],
+)
+def test_attributes_and_asides(source, text):
+    assert html_extract.main_text(source) == text
+
+
+@pytest.mark.parametrize(
+    "source",
+    ['<p "' * 250_000, "<p a='" * 150_000, "<a" * 400_000, "<div>" * 100_000, "<div><b>" * 50_000 + "</i></p>" * 50_000, "<div><p>x" * 50_000, "<" * 800_000, "<!" * 400_000, "<p a=" + "=" * 500_000, "<div class=c>t" * 60_000],
+)
+def test_odd_pages_take_linear_time(source):
+    import time
+
+    began = time.time()
+    html_extract.main_text(source, 5, [7])
+    html_extract.Page(source).branches()
+    assert time.time() - began < 12

@@ -13,7 +13,7 @@ PYTHON_OK = {"dedup_recent_keys", "dedup_recent_keys_default", "dedup_recent_key
 # queries whose returned frame reads tables they wrote (lake, metrics, staged topic)
 READS_BACK = {"load_deduplicated", "load_plain", "file_ranges", "parquet_roundtrip", "stream_load_hourly",
               "stream_dedup_offset_range", "roll_any_file", "load_deduplicated_small", "file_ranges_recent_keys", "load_increments",
-              "load_dead_letters", "load_custom_partition", "load_formatter_1n", "stream_dedup_null_keys", "stream_dedup_watermark_range"}
+              "load_dead_letters", "load_custom_partition", "load_any_file", "roll_any_file_root", "roll_any_limit", "load_formatter_1n", "stream_dedup_null_keys", "stream_dedup_watermark_range"}
 
 
 def _plan(spark, df):

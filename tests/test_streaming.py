@@ -192,3 +192,39 @@ def test_streamed_batches_keep_positions_and_counts(spark, scratch):
     dups = dedup_offset_range(read_stream_log(spark, path), 20).where("is_dup").count()
     rate = monitoring.duplicate_rate(monitoring.metrics_from_manifests(spark, f"{scratch}/lake"), window_ms=3_600_000).groupBy().sum("rate").first()[0]
     assert dups > 0 and round(rate * 3600) == dups
+
+
+def test_open_files_close_by_limit_and_by_the_heartbeat(spark, scratch):
+    topic, lake = f"{scratch}/topic", f"{scratch}/lake"
+    log = encode_events(events_log(spark, SF_SMALL, payload=True)).select(*COLS).where("partition = 0")
+    first, more = log.where("offset < 100"), log.where("offset >= 100 and offset < 200")
+    first.coalesce(1).write.mode("append").parquet(topic)
+    spec = LoadSpec(dedup=None, layout="daily", any_file=True, roll_records=20, roll_open_ms=6_000)
+    st = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=1)
+    q = load_stream(st, lake, spec, checkpoint=f"{scratch}/ckpt", trigger={"processingTime": "1 second"})
+    offsets = lambda: sorted(r.o for r in sink.read_loaded(spark, lake, "daily", committed_only=True).select("_kafka.offset").toDF("o").collect())
+
+    def wait_for(n):
+        end = time.time() + 90
+        while time.time() < end and len(offsets()) < n:
+            time.sleep(1)
+        return offsets()
+
+    try:
+        want = sorted(r.offset for r in first.select("offset").collect())
+        assert wait_for(len(want)) == want  # the last ones by the timer: nothing more has come
+        more.coalesce(1).write.mode("append").parquet(topic)
+        both = sorted(want + [r.offset for r in more.select("offset").collect()])
+        assert wait_for(len(both)) == both
+    finally:
+        q.stop()
+    rows = sink.read_loaded(spark, lake, "daily", committed_only=True).groupBy(F.input_file_name()).count().collect()
+    assert max(r["count"] for r in rows) <= 20
+
+
+def test_any_file_streams_refuse_other_layouts(spark, scratch):
+    import pytest
+
+    st = read_stream_log(spark, scratch, streaming=True)
+    with pytest.raises(ValueError, match="any_file"):
+        load_stream(st, f"{scratch}/lake", LoadSpec(dedup=None, layout="topic_partition", any_file=True, roll_records=5))

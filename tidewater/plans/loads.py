@@ -163,7 +163,9 @@ def publish_staged(spark: SparkSession, staged_path: str, base: str, batch_id: i
         letters = staged.where(F.col(STATUS) == "malformed").select("topic", "partition", "offset", "watermark")
         letters.write.mode("overwrite").parquet(f"{base.rstrip('/')}/_dead_letters/batch={batch_id}")
     kept = staged.where(F.col(STATUS) == "kept")
-    if spec.any_file:
+    if spec.any_file and "tw_commit" in staged.columns:  # a stream's records come with their commit
+        kept = kept.withColumnRenamed("tw_commit", COMMIT)
+    elif spec.any_file:
         committed = committed_any_file(kept, spec)
         positions = _positions_before(staged, committed.where(~F.col("closed")), positions)
         kept = kept.join(committed.where("closed").select("topic", "partition", "offset", COMMIT), ["topic", "partition", "offset"])

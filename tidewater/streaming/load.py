@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import scope_columns
+from ..operators.partitioning import partition_columns, time_partition
+from ..operators.rolling import Limits
 from ..plans.loads import LoadSpec, publish_staged, with_status
 from ..plans.sink import _FS
 from ..session import require_checkpoint_dir
+from .open_files import hold_open_files
 from .processors import offset_range_dedup, watermark_and_dedup
 
 
@@ -54,11 +57,22 @@ def load_stream(
     trigger: dict | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Start the streaming load; ``trigger`` e.g. {"availableNow": True} or {"processingTime": "5 minutes"}."""
+    """Start the streaming load; ``trigger`` e.g. {"availableNow": True} or {"processingTime": "5 minutes"}.
+
+    With ``any_file`` a micro-batch publishes the commits that closed in it; a quiet partition's files
+    close ``roll_open_ms`` after their first record, which takes a processing-time trigger (W5)."""
     spark: SparkSession = stream.sparkSession
     if checkpoint is None:
         checkpoint = f"{require_checkpoint_dir(spark).rstrip('/')}/tidewater-stream-{query_name or 'load'}"
     marked = dedup_stream(stream, spec)
+    if spec.any_file:
+        # files stay open over micro-batches until a limit or the heartbeat's timer closes them
+        if spec.layout not in ("hourly", "daily") or spec.scope is not None:
+            raise ValueError("any_file streams commit time files per topic-partition")
+        named = F.concat_ws("/", *partition_columns(spec.layout))
+        size = F.coalesce(F.octet_length("key"), F.lit(0)) + F.coalesce(F.octet_length("value"), F.lit(0))
+        limits = Limits(spec.roll_records, spec.roll_bytes, spec.roll_open_ms)
+        marked = hold_open_files(time_partition(marked, spec.layout, spec.time_column), limits, named, size).drop(*partition_columns(spec.layout))
     staging = f"{base.rstrip('/')}/_staging"
 
     def each(batch: DataFrame, batch_id: int) -> None:

@@ -27,8 +27,8 @@ def remainder(column: str, n: int):
 def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every whole text, learned from the documents that are not held out."""
     docs = read(spark, sf_dir, "documents")
-    held_out = remainder("doc_id", 4) == 2
-    model = langid.fit(docs.where(~F.coalesce(held_out, F.lit(False))).select("text", "lang"))
+    held_out = F.coalesce(remainder("doc_id", 4) == 2, F.lit(False))  # a null id is not held out
+    model = langid.fit(docs.where(~held_out).select("text", "lang"))
     return langid.predict(docs, model, ["doc_id"]).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
@@ -63,8 +63,8 @@ def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A toxicity score for every whole text, learned from the labels that are not held out."""
     docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
-    held_out = remainder("doc_id", 5) == 0
-    model = toxicity.fit(docs, labels.where(~F.coalesce(held_out, F.lit(False))))
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(False))  # a null id is not held out
+    model = toxicity.fit(docs, labels.where(~held_out))
     scored = toxicity.score(docs, model, ["doc_id"])
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 

@@ -273,24 +273,24 @@ def spaced_runs(tokens: list[str]) -> list[str]:
     return out
 
 
-def text_features(text: str, restorer: Restorer | None) -> dict[str, int]:
-    """A text's features, each with a hash of the words around it where it comes first."""
+def text_features(text: str, restorer: Restorer | None, around: bool = True) -> dict[str, int]:
+    """A text's features, each with a hash of the words around it where it comes first (without ``around``: 0)."""
     tokens = text.split()
     first: dict[str, int] = {}
     for i, t in enumerate(tokens):
         first.setdefault(t, i)
     out: dict[str, int] = {}
     for t, i in first.items():
-        around = None
+        beside = None if around else 0
         for w in token_words(t, restorer):
             for f in word_features(w):
                 if f not in out:
-                    around = hash_text(" ".join(tokens[max(0, i - 1) : i] + tokens[i + 1 : i + 2]).lower()) if around is None else around
-                    out[f] = around
+                    beside = hash_text(" ".join(tokens[max(0, i - 1) : i] + tokens[i + 1 : i + 2]).lower()) if beside is None else beside
+                    out[f] = beside
     for r in {*spaced_runs(tokens)}:
         for w in run_words(r, restorer):
             for f in word_features(w):
-                out.setdefault(f, hash_text(r))
+                out.setdefault(f, hash_text(r) if around else 0)
     return out
 
 
@@ -323,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
         restorer = tv.held(("restorer", name), lambda: Restorer(logs))  # a worker's tasks share what it has decoded
         for batch in batches:
             toxic, texts = (c.to_pylist() for c in batch.columns)
-            held = [sorted(text_features(t, restorer).items()) for t in texts]
+            held = [sorted(text_features(t, restorer, around=bool(bad)).items()) for t, bad in zip(texts, toxic, strict=True)]
             names = [[f for f, _ in h] for h in held]
             around = [[c for _, c in h] if bad else None for h, bad in zip(held, toxic, strict=True)]
             columns = [pa.array(toxic, pa.int32()), pa.array(names, pa.list_(pa.string())), pa.array(around, pa.list_(pa.int64()))]
@@ -339,6 +339,8 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     prior = bad / (bad + good)
     pairs = found.select("toxic", F.explode("features").alias("f"))
     counts = pairs.groupBy("f").agg(F.sum("toxic").alias("bad"), F.count(F.lit(1)).alias("n"))
+    # rarer ones are neither evidence nor common; written once for the three readings below
+    counts = materialize(counts.where((F.col("n") >= 3) | (2 * F.col("n") >= bad + good)), "toxic-counts")
     # log likelihood ratio against the prior, beyond what the best of so many features reaches by chance
     share = F.col("bad") / F.col("n")
     gain = 2 * (F.col("bad") * F.log(share / prior) + (F.col("n") - F.col("bad")) * F.log(F.greatest(1 - share, F.lit(1e-12)) / max(1 - prior, 1e-12)))

@@ -18,6 +18,9 @@ def test_parse_compression():
     assert [sink.parse_compression(c) for c in ("snappy", "ZSTD", "Gzip", "lz4", "NONE")] == ["snappy", "zstd", "gzip", "lz4", "none"]
     with pytest.raises(ValueError, match="Unknown compression type"):
         sink.parse_compression("brotli2")
+    for known in ("bzip2", "LZO", "Brotli"):
+        with pytest.raises(NotImplementedError, match="unsupported in Parquet"):
+            sink.parse_compression(known)
 
 
 def _encoded(spark):
@@ -55,6 +58,51 @@ def test_topic_partition_files_named_by_offset_range(spark, scratch):
     assert lake.count() == 1000
 
 
+def test_topic_partition_files_named_by_the_user(spark, scratch):
+    base = f"{scratch}/named"
+    name = F.format_string("%s-%d/from-%012d.parquet", F.col("t"), F.col("p"), F.col("lo"))
+    spec = loads.LoadSpec(dedup=None, layout="topic_partition", roll_records=100, file_name=name)
+    manifest = loads.load(_encoded(spark), base, 0, spec)
+    lake = spark.read.option("recursiveFileLookup", "true").parquet(*manifest["files"])
+    per_file = lake.groupBy(F.input_file_name().alias("f")).agg(F.min("_kafka.offset").alias("lo"), F.first("_kafka.topic").alias("t"), F.first("_kafka.partition").alias("p")).collect()
+    assert {r.f.split("/named/")[1] for r in per_file} == {f"{r.t}-{r.p}/from-{r.lo:012d}.parquet" for r in per_file} == {f.split("/named/")[1] for f in manifest["files"]}
+    assert lake.count() == 1000
+
+
+def test_file_names_that_clash_stop_the_batch(spark, scratch):
+    by_partition = F.format_string("%s_%d.parquet", F.col("t"), F.col("p"))
+    rolled = loads.LoadSpec(dedup=None, layout="topic_partition", roll_records=100, file_name=by_partition)
+    with pytest.raises(ValueError, match="two files named"):
+        loads.load(_encoded(spark), f"{scratch}/clash", 0, rolled)
+    whole = loads.LoadSpec(dedup=None, layout="topic_partition", file_name=by_partition)
+    enc = _encoded(spark)
+    first = loads.load(enc.where("offset < 500"), f"{scratch}/two", 0, whole)
+    with pytest.raises(ValueError, match="two files named"):  # the first batch's files stay as they are
+        loads.load(enc.where("offset >= 500"), f"{scratch}/two", 1, whole)
+    assert spark.read.parquet(*first["files"]).agg(F.max("_kafka.offset")).first()[0] < 500
+    with pytest.raises(ValueError, match="null"):
+        loads.load(enc, f"{scratch}/null", 0, loads.LoadSpec(dedup=None, layout="topic_partition", file_name=F.lit(None).cast("string")))
+
+
+def test_directories_by_another_time_column(spark, scratch):
+    spec = loads.LoadSpec(dedup=None, layout="hourly", roll_records=None, time_column="header.creation_time")
+    loads.load(_encoded(spark), f"{scratch}/created", 0, spec)
+    lake = sink.read_loaded(spark, f"{scratch}/created", "hourly")
+    created = F.timestamp_millis("header.creation_time")
+    apart = lake.where((F.date_format(created, "yyyyMMdd") != F.col("dt")) | (F.date_format(created, "HH") != F.col("hr")))
+    assert lake.count() == 1000 and apart.count() == 0 and lake.select("dt", "hr").distinct().count() > 1
+    assert lake.where(F.date_format(F.timestamp_millis("_kafka.watermark"), "HH") != F.col("hr")).count() > 0
+
+
+def test_loaders_by_name(spark, scratch):
+    enc = _encoded(spark)
+    manifest = loads.loader("by_topic_partition")(enc, f"{scratch}/by_name", 0, roll_records=100)
+    assert manifest["layout"] == "topic_partition" and manifest["files"]
+    assert sum(w["count"] for w in loads.loader("plain")(enc, f"{scratch}/plain", 0, layout="daily")["written"]) == 1000
+    with pytest.raises(ValueError, match="unknown loader"):
+        loads.loader("none such")
+
+
 def test_writer_options_reach_parquet(spark, scratch):
     import pyarrow.parquet as pq
 

@@ -33,16 +33,22 @@ from ..storage import materialize, scratch_path  # noqa: F401  (also used throug
 # Accepted compression names (case-insensitive) -> Spark codec.
 COMPRESSIONS = {"NONE": "none", "ZSTD": "zstd", "GZIP": "gzip", "SNAPPY": "snappy", "LZ4": "lz4"}
 
+# Compressions known elsewhere that Parquet cannot be written with here.
+UNUSABLE_COMPRESSIONS = ("BROTLI", "BZIP", "BZIP2", "DEFLATE", "LZO", "XZ")
+
 DEFAULT_BLOCK_SIZE = 134_217_728
 DEFAULT_PAGE_SIZE = 1_048_576
 MOVES_AT_A_TIME = 16
 
 
 def parse_compression(name: str | None) -> str:
-    """K2: compression setting -> Spark codec; absent -> none; unknown -> ValueError."""
+    """K2: compression setting -> Spark codec; absent -> none; known but unusable in Parquet
+    -> NotImplementedError; unknown -> ValueError."""
     if name is None:
         return "none"
     key = name.strip().upper()
+    if key in UNUSABLE_COMPRESSIONS:
+        raise NotImplementedError(f"Compression '{name}' is unsupported in Parquet")
     if key not in COMPRESSIONS:
         raise ValueError(f"Unknown compression type '{name}'")
     return COMPRESSIONS[key]
@@ -194,7 +200,8 @@ def publish(
     (topic, partition, file_seq) named ``{topic}_{partition}_{min}_{max}.parquet``
     (the frame carries ``_kafka`` and ``file_seq``) — or ``custom``: the frame
     carries ``partition_cols`` (U3).  ``file_name`` (U5) names a topic-partition
-    file from its columns t, p, lo and hi.  ``audit`` is added to the manifest.
+    file from its columns t, p, lo and hi; names that are null, repeat within the batch
+    or are another batch's file stop the batch before anything moves.  ``audit`` is added to the manifest.
     ``commit_col``: a column of the frame (not written) that cuts the files of a
     directory, one file for each of its values.
     """
@@ -250,6 +257,7 @@ def publish(
         for src in staged_files:
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
             moves.append((src, f"{base}/{names[key]}"))
+        _check_names(fs, list(names.values()), moves, taken=file_name is not None)
     else:
         raise ValueError(f"unknown layout {layout!r}")
 
@@ -267,6 +275,17 @@ def publish(
     return manifest
 
 
+def _check_names(fs: _FS, names: list[str | None], moves: list[tuple[str, str]], taken: bool) -> None:
+    """No two files may get one name, nor (``taken``) the name of a file that is there: the later would replace the earlier."""
+    if None in names:
+        raise ValueError("a file name is null")
+    seen: set[str] = set()
+    for _, dst in moves:
+        if dst in seen or (taken and fs.exists(dst)):
+            raise ValueError(f"two files named {dst}")
+        seen.add(dst)
+
+
 def _written_counts(spark: SparkSession, fs: _FS, stage: str) -> list[dict]:
     """Rows written per topic-partition in a staged batch (a scan of ``_kafka`` only; one row each)."""
     if not fs.data_files(stage):

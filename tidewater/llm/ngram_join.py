@@ -16,8 +16,11 @@ Sets that share a block key are sorted by size.  Each meets the key's first set
 and its next ``window`` ones.  Keys with more sets than that are looked at again
 once links are known: where they hold several components, the sets outside the
 largest one are compared with that component's sets by bit sketches, in bounded
-chunks, and tried with the nearest.  What still lies in different components
-after that is tried pair by pair, as far as the sketches allow a link.
+chunks, and tried with the nearest.  The sets of keys that still hold several
+components then get new keys: all their blocks are counted, and those that many of
+these sets hold come last in the order, so that a passage they share is a key only
+of sets with little else.  What lies in different components of a crowded new key
+is tried pair by pair, as far as the sketches allow a link.
 Candidate pairs pass the bit sketches' Hamming bound and are then verified
 exactly.
 
@@ -43,6 +46,8 @@ from . import textvec as tv
 WORDS = 5
 COUNTER_BITS = 20
 BAND_BITS = 3  # sizes of a band lie within a factor of 2 ** BAND_BITS
+EMPTY = 63  # rarity class of blocks without an element
+MARK_BITS = 25  # at most 2 ** MARK_BITS marks of frequent keys reach the tasks (4 MB)
 WINDOW = 4
 CHUNK_SETS = 1 << 14  # sets of a component that are compared in one task
 CHUNK_CHARS = 1 << 18  # characters whose words are hashed at once, unless one text is longer
@@ -131,12 +136,12 @@ def rarity(df: DataFrame, text: str, words: int) -> np.ndarray:
     return np.clip(np.floor(np.log2(np.maximum(counts.reshape(-1), 1) / base)) + 1, 0, 31).astype(np.uint8)
 
 
-def block_keys(held: np.ndarray, classes: np.ndarray, limit: Threshold) -> np.ndarray:
-    """Join keys of a set: its first D + 1 blocks in each size band that it takes part in."""
+def set_blocks(held: np.ndarray, classes: np.ndarray, limit: Threshold) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Keys of a set's blocks, the rarity class of each (EMPTY without an element), and how many are
+    join keys (D + 1), for each size band that the set takes part in."""
     n = len(held)
     band = (n.bit_length() - 1) // BAND_BITS
     rank = classes[(held >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
-    out = []
     for level in (band, band + 1):
         top = (1 << BAND_BITS * (band + 1)) - 1
         largest = limit.largest(n)
@@ -158,9 +163,19 @@ def block_keys(held: np.ndarray, classes: np.ndarray, limit: Threshold) -> np.nd
         if len(keys) < need:  # blocks without an element agree too, and come last
             empty = np.setdiff1d(np.arange(blocks, dtype=np.uint64), names)
             keys = np.concatenate([keys, tv.mix64(~tv.mix64(empty + salt))])
-            rarest = np.concatenate([rarest, np.full(len(empty), 63, dtype=np.uint8)])
-        first = np.lexsort((keys, rarest))[:need]
-        out.append(keys[first])
+            rarest = np.concatenate([rarest, np.full(len(empty), EMPTY, dtype=np.uint8)])
+        yield keys, rarest, need
+
+
+def block_keys(held: np.ndarray, classes: np.ndarray, limit: Threshold, marks: np.ndarray | None = None) -> np.ndarray:
+    """Join keys of a set: its first D + 1 blocks in each size band, those with a marked key after the others."""
+    out = []
+    for keys, rarest, need in set_blocks(held, classes, limit):
+        late = rarest == EMPTY
+        if marks is not None:
+            slot = keys & np.uint64(64 * len(marks) - 1)
+            late |= (marks[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63)) & np.uint64(1)).astype(bool)
+        out.append(keys[np.lexsort((keys, rarest, late))[:need]])
     return np.concatenate(out)
 
 
@@ -179,10 +194,9 @@ def sketch_distance(a: np.ndarray, b: np.ndarray) -> int:
     return int(np.bitwise_count(a ^ b).sum())
 
 
-def sketch_sets(df: DataFrame, doc_id: str, text: str, words: int, limit: Threshold) -> DataFrame:
+def sketch_sets(df: DataFrame, doc_id: str, text: str, words: int, limit: Threshold, classes: np.ndarray) -> DataFrame:
     """id, text_hash, n (set size), node (the set's hash), keys and sketch; keys and sketch are null for
     repeats of a set in a task, and for rows that link with nothing."""
-    classes = rarity(df, text, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tv.release()
@@ -291,10 +305,17 @@ def filtered_by_ids(df: DataFrame, column: str, ids: DataFrame, how: str, bound:
     return df.join(F.broadcast(ids) if ids.count() <= bound else ids, column, how)
 
 
-def exact_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
-    """(node, held): the sorted hashes of the sets of ``nodes``, made again from the texts, once a node."""
+def texts_of(nodes: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(__id, __text): texts that hold the sets of ``nodes``, once a node.  Rows that repeat an id with
+    another text come along; their sets are sets of the table too."""
     owners = sets.where("keys is not null").groupBy("node").agg(F.min("id").alias("id")).join(nodes, "node", "left_semi")
     owner_ids = materialize(owners.select(F.col("id").alias("__id")).distinct(), "owner-ids")
+    rows = df.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    return filtered_by_ids(rows, "__id", owner_ids, "left_semi")
+
+
+def exact_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, text: str, words: int) -> DataFrame:
+    """(node, held): the sorted hashes of the sets of ``nodes``, made again from the texts, once a node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tv.release()
@@ -304,9 +325,59 @@ def exact_sets(nodes: DataFrame, sets: DataFrame, df: DataFrame, doc_id: str, te
                 held = [np.unique(h[bounds[i] : bounds[i + 1]]) for i in range(len(texts))]
                 yield pa.RecordBatch.from_arrays([pa.array([node_of(x) for x in held], pa.int64()), pa.array([x.tobytes() for x in held], pa.binary())], names=["node", "held"])
 
-    rows = df.select(F.col(doc_id).alias("__id"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     # rows that repeat an id give a node twice or nodes of no pair: the first repeats links, the joins drop the others
-    return filtered_by_ids(rows, "__id", owner_ids, "left_semi").mapInArrow(run, "node long, held binary")
+    return texts_of(nodes, sets, df, doc_id, text).mapInArrow(run, "node long, held binary")
+
+
+def marks_of(frequent: DataFrame) -> np.ndarray:
+    """Bits of a written table's keys, 16 bits a key and at most 2 ** MARK_BITS: a key that is not of the
+    table may be marked too."""
+    bits = 1 << min(max((16 * frequent.count()).bit_length(), 10), MARK_BITS)
+    slots = frequent.select((F.col("key").bitwiseAND(bits - 1)).alias("slot"))
+    words = slots.groupBy(F.expr("shiftright(slot, 6)").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot & 63 as int)))").alias("mask"))
+    marks, found = np.zeros(bits // 64, dtype=np.uint64), words.toArrow()  # at most bits / 64 rows
+    marks[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return marks
+
+
+def mixed_sets(crowded: DataFrame, roots: DataFrame) -> DataFrame:
+    """Sets (node) of the crowded keys that hold several components."""
+    rows = crowded.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
+    mixed = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return rows.join(mixed, "key", "left_semi").select("node").distinct()
+
+
+def reordered(rows: DataFrame, words: int, limit: Threshold, classes: np.ndarray, window: int) -> DataFrame:
+    """(key, n, node): join keys of the sets of texts (__id, __text), with blocks that more than
+    ``window`` + 1 of these sets hold put last.  It is one order for all these sets, so two of them
+    that link share a key again."""
+
+    def held_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+        tv.release()
+        for batch in batches:
+            for _, texts in tv.text_slices(batch, 1, CHUNK_CHARS):
+                h, bounds = shingle_hashes(texts, words)
+                sets = (np.unique(h[bounds[i] : bounds[i + 1]]) for i in range(len(texts)))
+                yield [s for s in sets if len(s)]
+
+    def every(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in held_sets(batches):
+            keys = [k[r < EMPTY] for s in sets for k, r, _ in set_blocks(s, classes, limit)]
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys)))], names=["key"])
+
+    counted = rows.mapInArrow(every, "key long").groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    marks = marks_of(materialize(counted.where(F.col("c") > window + 1).select("key"), "frequent"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for sets in held_sets(batches):
+            keys = [block_keys(s, classes, limit, marks) for s in sets]
+            if keys:
+                sizes = [len(k) for k in keys]
+                n, node = (np.repeat(np.array(x, dtype=np.int64), sizes) for x in ([len(s) for s in sets], [node_of(s) for s in sets]))
+                yield pa.RecordBatch.from_arrays([pa.array(signed(np.concatenate(keys))), pa.array(n), pa.array(node)], names=["key", "n", "node"])
+
+    return rows.mapInArrow(run, "key long, n long, node long")
 
 
 def verified(pairs: DataFrame, exact: DataFrame, limit: Threshold) -> DataFrame:
@@ -458,24 +529,38 @@ def unresolved(crowded: DataFrame, roots: DataFrame, sketches: DataFrame, limit:
 def near_duplicates(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS, limit: Threshold | None = None, window: int = WINDOW) -> DataFrame:
     """id, text_hash (xxhash64 of the text), n_shingles and component_id (the smallest id that links reach) of every row."""
     limit = limit or Threshold()
-    sets = materialize(sketch_sets(df, doc_id, text, words, limit), "sketches")
-    keyed = sets.where("keys is not null").select(F.explode("keys").alias("key"), "n", "node")
-    met = materialize(candidates(keyed, limit, window), "candidates")
+    classes = rarity(df, text, words)
+    sets = materialize(sketch_sets(df, doc_id, text, words, limit, classes), "sketches")
     sketches = sets.where("sketch is not null").select("node", "n", "sketch").dropDuplicates(["node"])
-    near = materialize(near_by_sketch(met.where("b is not null").select("a", "b").distinct(), sketches, limit), "near")
-    crowded = met.where("key is not null").select("key", F.col("a").alias("node"), "n")
+    none = sets.select(F.col("node").alias("a"), F.col("node").alias("b")).where(F.lit(False))
+
+    def met_by(keyed: DataFrame, tried: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Pairs (a, b) that may link, and the (key, node) rows of crowded keys."""
+        met = materialize(candidates(keyed, limit, window), "candidates")
+        pairs = met.where("b is not null").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+        return materialize(near_by_sketch(pairs, sketches, limit), "near"), met.where("key is not null").select("key", F.col("a").alias("node"))
 
-    def links_of(pairs: DataFrame) -> DataFrame:
+    def joined(roots: DataFrame | None, pairs: DataFrame) -> DataFrame:
+        """(node, root) of the components, with the links of new pairs."""
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        return verified(pairs, materialize(exact_sets(nodes, sets, df, doc_id, text, words), "sets"), limit)
-
-    roots = materialize(components(links_of(near)), "roots")
-    tried = near
-    for nearest in (True, False):
-        more = materialize(unresolved(crowded, roots, sketches, limit, nearest).join(tried, ["a", "b"], "left_anti"), "unresolved")
-        links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links_of(more))
-        roots = materialize(components(links), "roots")
-        tried = tried.union(more)
+        links = verified(pairs, materialize(exact_sets(nodes, sets, df, doc_id, text, words), "sets"), limit)
+        if roots is not None:
+            links = roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(links)
+        return materialize(components(links), "roots")
+
+    def left(crowded: DataFrame, roots: DataFrame, tried: DataFrame, nearest: bool) -> DataFrame:
+        return materialize(unresolved(crowded, roots, sketches, limit, nearest).join(tried, ["a", "b"], "left_anti"), "unresolved")
+
+    tried, crowded = met_by(sets.where("keys is not null").select(F.explode("keys").alias("key"), "n", "node"), none)
+    roots = joined(None, tried)
+    more = left(crowded, roots, tried, True)
+    roots, tried = joined(roots, more), tried.union(more)
+    # a link still missing joins two sets of one crowded key: both get new keys, in another common order
+    mixed = texts_of(mixed_sets(crowded, roots), sets, df, doc_id, text)
+    more, crowded = met_by(reordered(mixed, words, limit, classes, window), tried)
+    roots, tried = joined(roots, more), tried.union(more)
+    more = left(crowded, roots, tried, False)
+    roots = joined(roots, more)
     ids = sets.where("id is not null and n > 0").groupBy("node").agg(F.min("id").alias("low"))
     lowest = ids.join(roots, "node").groupBy("root").agg(F.min("low").alias("lowest"))
     named = ids.join(roots.join(lowest, "root"), "node", "left").select("node", F.coalesce("lowest", "low").alias("lowest"))

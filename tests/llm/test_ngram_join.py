@@ -99,10 +99,8 @@ def test_linked_sets_share_a_key(shared, left, right, seed):
     limit = ngram_join.Threshold()
     same = len(np.intersect1d(a, b))
     linked = 100 * same >= 75 * (len(a) + len(b) - same)
-    marks = rnd.integers(0, 2**64, 32, dtype=np.uint64)  # half of all keys are put last
     if linked:
         assert set(ngram_join.block_keys(a, classes, limit).tolist()) & set(ngram_join.block_keys(b, classes, limit).tolist())
-        assert set(ngram_join.block_keys(a, classes, limit, marks).tolist()) & set(ngram_join.block_keys(b, classes, limit, marks).tolist())
     sketches = [np.frombuffer(ngram_join.bit_sketch(s), np.uint8) for s in (a, b)]
     assert ngram_join.sketch_distance(*sketches) <= len(a) + len(b) - 2 * same
 
@@ -136,39 +134,3 @@ def test_strangers_of_one_key_are_dealt_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "grouped_pairs", measured)
     assert found() == whole and len(whole) > 500
     assert max(largest) <= 40  # two chunks, which hashes fill unevenly
-
-
-def test_marked_blocks_come_last():
-    limit, classes = ngram_join.Threshold(), np.zeros(1 << ngram_join.COUNTER_BITS, dtype=np.uint8)
-    held = np.unique(np.random.default_rng(5).integers(0, 2**64, 300, dtype=np.uint64))
-    first = ngram_join.block_keys(held, classes, limit)
-    marks = np.zeros(1 << 14, dtype=np.uint64)
-    for key in first[:40].tolist():
-        slot = key & (64 * len(marks) - 1)
-        marks[slot >> 6] |= np.uint64(1 << (slot & 63))
-    again = set(ngram_join.block_keys(held, classes, limit, marks).tolist())
-    assert len(again) == len(first) and not again & set(first[:40].tolist())
-
-
-def test_marks_hold_every_key(spark):
-    keys = [int(x) for x in np.random.default_rng(6).integers(-(2**63), 2**63, 500)]
-    marks = ngram_join.marks_of(spark.createDataFrame([(k,) for k in keys], "key long"))
-    for slot in ((k % 2**64) & (64 * len(marks) - 1) for k in keys):
-        assert int(marks[slot >> 6]) >> (slot & 63) & 1
-    assert sum(int(x).bit_count() for x in marks) <= 500
-    assert not ngram_join.marks_of(spark.createDataFrame([], "key long")).any()
-
-
-def test_shared_passages_leave_the_keys_of_sets_with_text_of_their_own(spark):
-    rnd = random.Random(11)
-    vocabulary = [f"w{i}" for i in range(5000)]
-    passage = [rnd.choice(vocabulary) for _ in range(80)]
-    texts = [" ".join([*passage, *(rnd.choice(vocabulary) for _ in range(200))]) for _ in range(40)]
-    texts += [" ".join(edited(texts[0].split(), 0.03, rnd, vocabulary)) for _ in range(10)]
-    rows = list(enumerate(texts))
-    df = spark.createDataFrame(rows, "__id long, __text string")
-    limit, classes = ngram_join.Threshold(), np.zeros(1 << ngram_join.COUNTER_BITS, dtype=np.uint8)
-    keys = ngram_join.reordered(df, 5, limit, classes, 4).groupBy("key").count()
-    sizes = [r["count"] for r in keys.collect()]
-    assert max(sizes) <= 16  # the near copies and chance, not the 40 texts that share a passage
-    assert found(spark, rows) == brute(rows)

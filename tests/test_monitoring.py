@@ -1,5 +1,6 @@
 """Monitoring queries on hand-made series: counter resets, windows, regex, since, quantiles."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.operators import monitoring as M
@@ -69,3 +70,15 @@ def test_quantiles_of_several_series_are_summed(spark):
     got = M.commit_duration_quantile(_metrics(spark, rows), 0.999).collect()
     # one series lies in (0.5, 1], the other in (1, 5]
     assert len(got) == 1 and abs(got[0].duration_s - ((0.5 + 0.5 * 0.999) + (1 + 4 * 0.999))) < 1e-9
+
+
+def test_named_metrics_of_a_log_equal_those_of_all(spark):
+    rows = [("t", i % 2, i, f"k{i % 7}", 1_000 * i, i % 5 == 0) for i in range(60)]
+    marked = spark.createDataFrame(rows, "topic string, partition int, offset long, key string, watermark long, is_dup boolean")
+    flat = lambda m: sorted((r.metric, sorted(r.labels.items()), r.ts, r.value) for r in m.collect())
+    whole = flat(M.metrics_from_log(marked, 5))
+    for names in ([M.RECORDS_BATCHED, M.RECORDS_WRITTEN], [M.BYTES_CONSUMED], [M.COMMIT_BUCKET, M.RECORDS_LAG]):
+        got = flat(M.metrics_from_log(marked, 5, names))
+        assert got and got == [r for r in whole if r[0] in names]
+    with pytest.raises(ValueError):
+        M.metrics_from_log(marked, 5, ["no_such_metric"])

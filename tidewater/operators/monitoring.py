@@ -58,8 +58,11 @@ def _sample(metric: str, labels: Column, ts_ms: Column, value: Column) -> list[C
     return [F.lit(metric).alias("metric"), labels.alias("labels"), F.timestamp_millis(ts_ms).alias("ts"), value.cast("double").alias("value")]
 
 
-def metrics_from_log(marked: DataFrame, file_records: int = FILE_RECORDS) -> DataFrame:
-    """Loader series derived from a log with ``watermark`` and ``is_dup``.
+def metrics_from_log(marked: DataFrame, file_records: int = FILE_RECORDS, metrics: list[str] | None = None) -> DataFrame:
+    """Loader series derived from a log with ``watermark`` and ``is_dup``: the named metrics, or all.
+
+    Each of the three passes over the log (per topic-partition, bytes per topic,
+    duration histogram) is made only where a named metric needs it.
 
     Samples are taken per topic-partition every 5 s of watermark time in
     which it had records (scrape time = end of the 5 s slot).  Counters:
@@ -97,18 +100,25 @@ def metrics_from_log(marked: DataFrame, file_records: int = FILE_RECORDS) -> Dat
         (COMMIT_COUNT, {**tp_lab, "job": F.lit(JOB)}, files_now),
         (COMMIT_QUEUE, {**tp_lab, "job": F.lit(JOB)}, files_now - files_before),
     ]
-    # one pass over the per-scrape table: every sample row is unpivoted from it
-    samples = F.explode(F.array(*[
-        F.struct(F.lit(metric).alias("metric"), _labels(**labels).alias("labels"), value.cast("double").alias("value"))
-        for metric, labels, value in per_partition
-    ])).alias("s")
-    series = [cum.select(samples, "scrape").select(
-        "s.metric", "s.labels", F.timestamp_millis(F.col("scrape")).alias("ts"), "s.value"
-    )]
-    by_topic = x.groupBy("topic", "scrape").agg(F.sum("nbytes").alias("b"))
-    by_topic = by_topic.select("topic", "scrape", F.sum("b").over(Window.partitionBy("topic").orderBy("scrape").rowsBetween(Window.unboundedPreceding, 0)).alias("bytes_cum"))
-    series.append(by_topic.select(*_sample(BYTES_CONSUMED, _labels(topic=F.col("topic")), F.col("scrape"), F.col("bytes_cum"))))
-    series.append(_duration_histogram(marked, file_records))
+    wanted = [p for p in per_partition if metrics is None or p[0] in metrics]
+    series = []
+    if wanted:
+        # one pass over the per-scrape table: every sample row is unpivoted from it
+        samples = F.explode(F.array(*[
+            F.struct(F.lit(metric).alias("metric"), _labels(**labels).alias("labels"), value.cast("double").alias("value"))
+            for metric, labels, value in wanted
+        ])).alias("s")
+        series.append(cum.select(samples, "scrape").select(
+            "s.metric", "s.labels", F.timestamp_millis(F.col("scrape")).alias("ts"), "s.value"
+        ))
+    if metrics is None or BYTES_CONSUMED in metrics:
+        by_topic = x.groupBy("topic", "scrape").agg(F.sum("nbytes").alias("b"))
+        by_topic = by_topic.select("topic", "scrape", F.sum("b").over(Window.partitionBy("topic").orderBy("scrape").rowsBetween(Window.unboundedPreceding, 0)).alias("bytes_cum"))
+        series.append(by_topic.select(*_sample(BYTES_CONSUMED, _labels(topic=F.col("topic")), F.col("scrape"), F.col("bytes_cum"))))
+    if metrics is None or COMMIT_BUCKET in metrics:
+        series.append(_duration_histogram(marked, file_records))
+    if not series:
+        raise ValueError(f"no series of a log among {metrics}")
     out = series[0]
     for s in series[1:]:
         out = out.unionByName(s)

@@ -582,14 +582,15 @@ def parquet_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
 
 
 # ------------------------------------------------------------------ M1-M10
-def _metrics(spark: SparkSession, sf: str) -> DataFrame:
-    """The load metrics as a stored table (as a metrics store holds them); the M queries read it."""
+def _metrics(spark: SparkSession, sf: str, *metrics: str) -> DataFrame:
+    """The named load metrics, derived from the marked log."""
     marked = dedup.watermark_offset_dedup(events_log(spark, sf), DEDUP_OFFSETS).select(
         "topic", "partition", "offset", "key", "watermark", "is_dup"
     )
-    # the marked log feeds several series: computed once, as a table
-    marked = sink.materialize(marked, "marked-log")
-    return sink.materialize(monitoring.metrics_from_log(marked), "metrics")
+    if metrics == (monitoring.COMMIT_BUCKET,):  # positions in files take two passes over the kept records: computed once
+        kept = sink.materialize(marked.where(~F.col("is_dup")).select("topic", "partition", "offset", "watermark"), "kept-log")
+        marked = kept.withColumns({"key": F.lit(None).cast("binary"), "is_dup": F.lit(False)})
+    return monitoring.metrics_from_log(marked, metrics=list(metrics))
 
 
 _BUCKETS = ", ".join(f"('{b}')" for b in monitoring.DURATION_BUCKETS)
@@ -626,7 +627,7 @@ SELECT {_TP}, CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, min(CA
 FROM cum WHERE scrape - wm_max < {monitoring.MAX_DELAY_MS} GROUP BY ALL""",
 )
 def watermark_delay(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.watermark_delay(_metrics(spark, sf))
+    return monitoring.watermark_delay(_metrics(spark, sf, monitoring.WATERMARK_DELAY))
 
 
 @register(
@@ -637,17 +638,17 @@ SELECT {_TP}, CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, CAST(a
 FROM cum GROUP BY ALL""",
 )
 def offset_lag(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.offset_lag(_metrics(spark, sf))
+    return monitoring.offset_lag(_metrics(spark, sf, monitoring.RECORDS_LAG))
 
 
 @register("records_batched_rate", METRICS_SQL + ",\n" + _rate_sql("kept_cum", _TP, 60000))
 def records_batched_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.records_batched_rate(_metrics(spark, sf), topic_regex="ev.*")
+    return monitoring.records_batched_rate(_metrics(spark, sf, monitoring.RECORDS_BATCHED), topic_regex="ev.*")
 
 
 @register("records_written_rate", METRICS_SQL + ",\n" + _rate_sql(f"floor(kept_cum / {monitoring.FILE_RECORDS}) * {monitoring.FILE_RECORDS}", _TP, 60000))
 def records_written_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.records_written_rate(_metrics(spark, sf))
+    return monitoring.records_written_rate(_metrics(spark, sf, monitoring.RECORDS_WRITTEN))
 
 
 @register(
@@ -662,12 +663,12 @@ SELECT {_TP}, CAST(floor(scrape / 60000) * 60000 AS BIGINT) AS window_ms, sum(ib
 FROM i GROUP BY ALL""",
 )
 def in_flight_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.in_flight_rate(_metrics(spark, sf))
+    return monitoring.in_flight_rate(_metrics(spark, sf, monitoring.RECORDS_BATCHED, monitoring.RECORDS_WRITTEN))
 
 
 @register("duplicate_rate", METRICS_SQL + ",\n" + _rate_sql("dup_cum", 'CAST("partition" AS VARCHAR) AS "partition"', 60000))
 def duplicate_rate(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.duplicate_rate(_metrics(spark, sf))
+    return monitoring.duplicate_rate(_metrics(spark, sf, monitoring.DUPLICATES))
 
 
 @register(
@@ -680,7 +681,7 @@ def duplicate_rate(spark: SparkSession, sf: str) -> DataFrame:
     ),
 )
 def files_per_hour(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.files_per_hour(_metrics(spark, sf))
+    return monitoring.files_per_hour(_metrics(spark, sf, monitoring.COMMIT_COUNT))
 
 
 @register(
@@ -716,7 +717,7 @@ SELECT loader_thread, partition_group, window_ms,
 FROM b4 WHERE rn = 1""",
 )
 def commit_duration_p999(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.commit_duration_quantile(_metrics(spark, sf), 0.999)
+    return monitoring.commit_duration_quantile(_metrics(spark, sf, monitoring.COMMIT_BUCKET), 0.999)
 
 
 @register(
@@ -729,12 +730,12 @@ l AS (SELECT topic, "partition", CAST(floor(scrape / 60000) * 60000 AS BIGINT) A
 SELECT '{monitoring.JOB}' AS job, window_ms, CAST(sum(v) AS DOUBLE) AS depth FROM l GROUP BY ALL""",
 )
 def commit_queue_depth(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.commit_queue_depth(_metrics(spark, sf))
+    return monitoring.commit_queue_depth(_metrics(spark, sf, monitoring.COMMIT_QUEUE))
 
 
 @register("topic_values", f"WITH {LOG} SELECT DISTINCT topic FROM log")
 def topic_values(spark: SparkSession, sf: str) -> DataFrame:
-    return monitoring.topic_values(_metrics(spark, sf))
+    return monitoring.topic_values(_metrics(spark, sf, monitoring.BYTES_CONSUMED))
 
 
 STREAM_SLICES = 4

@@ -241,3 +241,21 @@ def test_reports_feed_monitoring(spark, scratch):
     batched = monitoring.records_batched_rate(series, window_ms=3_600_000).groupBy().sum("rate").first()[0]
     assert round(batched * 3600) == 1000
     assert loads.read_dead_letters(spark, f"{scratch}/lake").count() == sum(d["malformed"] for d in m["dropped"]) > 0
+
+
+def test_staged_files_are_listed_once_by_spark(spark, scratch, monkeypatch):
+    def refuse(self, root):
+        raise AssertionError("the driver walked a staged batch file by file")
+
+    monkeypatch.setattr(sink._FS, "data_files", refuse)
+    enc = _encoded(spark).where(F.col("offset") < 300)
+    loads.load(enc, f"{scratch}/commits", 0, loads.LoadSpec(dedup=None, any_file=True, layout="daily", roll_records=9))
+    files = sink.read_loaded(spark, f"{scratch}/commits", "daily", committed_only=True).groupBy(F.input_file_name()).count().collect()
+    assert files and max(r["count"] for r in files) <= 9
+    # names that URLs and directories write in other ways
+    odd = F.when(F.col("offset") % 3 == 0, "a b%20:c").when(F.col("offset") % 3 == 1, "50 %+x").otherwise("é=1")
+    spec = loads.LoadSpec(dedup=None, layout="custom", partition_columns={"kind": odd})
+    manifest = loads.load(enc, f"{scratch}/odd", 0, spec)
+    assert all(os.path.exists(f.split(":", 1)[-1]) for f in manifest["files"])
+    lake = sink.read_loaded(spark, f"{scratch}/odd", "custom", committed_only=True)
+    assert {r.kind: r["count"] for r in lake.groupBy("kind").count().collect()} == {"a b%20:c": 100, "50 %+x": 100, "é=1": 100}

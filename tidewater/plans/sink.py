@@ -17,6 +17,7 @@ data itself is written by the executors.
 from __future__ import annotations
 
 import json
+import re
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -113,6 +114,15 @@ class _FS:
                 out.append(st.getPath().toString())
         return sorted(out)
 
+    def has_data(self, root: str) -> bool:
+        """Whether a data file is there; looks no further than the first."""
+        it = self.fs.listFiles(self.p(root), True)
+        while it.hasNext():
+            name = it.next().getPath().getName()
+            if name.endswith(".parquet") and not name.startswith(("_", ".")):
+                return True
+        return False
+
     def glob(self, pattern: str) -> list[str]:
         sts = self.fs.globStatus(self.p(pattern))
         return [] if sts is None else [s.getPath().toString() for s in sts]
@@ -230,10 +240,11 @@ def publish(
         # REBALANCE lets AQE split a hot hour over several writers; a commit's file is bounded and has one
         dealt = df.repartition(*cols, commit_col) if commit_col else df.hint("rebalance", *cols)
         write_parquet(dealt, stage, opts, partition_by=[*cols, *([commit_col] if commit_col else [])], mode="overwrite")
-        written = _written_counts(spark, fs, stage)
+        staged = _read_staged(spark, fs, stage)
+        written = _written_counts(staged)
         for old in fs.glob(f"{base}/{'/'.join(c + '=*' for c in cols)}/{tag}-*"):  # files without a manifest are no one's
             fs.delete(old)
-        for i, src in enumerate(fs.data_files(stage)):
+        for i, src in enumerate(_files_of(staged)):
             rel_dir = "/".join(_rel(src, stage).split("/")[: len(cols)])
             moves.append((src, f"{base}/{rel_dir}/{tag}-{i:05d}.parquet"))
     elif layout == "topic_partition":
@@ -243,8 +254,7 @@ def publish(
         write_parquet(keyed.repartition("_tw_file"), stage, opts, partition_by=["_tw_file"], mode="overwrite")
         # names come from each staged file's offset range: a scan of _kafka only,
         # one small row per file (the batch plan is not evaluated twice)
-        staged_files = fs.data_files(stage)
-        staged = spark.read.option("basePath", stage).parquet(stage) if staged_files else None
+        staged = _read_staged(spark, fs, stage)
         ranges = None if staged is None else (
             staged.groupBy("_tw_file")
             .agg(F.first("_kafka.topic").alias("t"), F.first("_kafka.partition").alias("p"),
@@ -253,8 +263,8 @@ def publish(
                     (offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")) if file_name is None else file_name).alias("name"))
         )
         names = {} if ranges is None else {r["_tw_file"]: r["name"] for r in ranges.collect()}
-        written = _written_counts(spark, fs, stage)
-        for src in staged_files:
+        written = _written_counts(staged)
+        for src in _files_of(staged):
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
             moves.append((src, f"{base}/{names[key]}"))
         _check_names(fs, list(names.values()), moves, taken=file_name is not None)
@@ -286,11 +296,21 @@ def _check_names(fs: _FS, names: list[str | None], moves: list[tuple[str, str]],
         seen.add(dst)
 
 
-def _written_counts(spark: SparkSession, fs: _FS, stage: str) -> list[dict]:
+def _read_staged(spark: SparkSession, fs: _FS, stage: str) -> DataFrame | None:
+    """A staged batch, its folders listed once, by Spark tasks where there are many; None: it has no file."""
+    return spark.read.option("basePath", stage).parquet(stage) if fs.has_data(stage) else None
+
+
+def _files_of(staged: DataFrame | None) -> list[str]:
+    """Paths of a staged batch's files, in order, from the listing that it was read with."""
+    # as Hadoop writes paths: decoded, and file:/x for file:///x
+    return [] if staged is None else sorted(re.sub(r"^([^/]+):///", r"\1:/", unquote(f)) for f in staged.inputFiles())
+
+
+def _written_counts(staged: DataFrame | None) -> list[dict]:
     """Rows written per topic-partition in a staged batch (a scan of ``_kafka`` only; one row each)."""
-    if not fs.data_files(stage):
+    if staged is None:
         return []
-    staged = spark.read.option("basePath", stage).parquet(stage)
     counts = staged.groupBy(F.col("_kafka.topic").alias("topic"), F.col("_kafka.partition").alias("partition")).count()
     return [r.asDict() for r in counts.collect()]
 

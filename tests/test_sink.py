@@ -2,6 +2,7 @@
 
 import json
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -259,3 +260,12 @@ def test_staged_files_are_listed_once_by_spark(spark, scratch, monkeypatch):
     assert all(os.path.exists(f.split(":", 1)[-1]) for f in manifest["files"])
     lake = sink.read_loaded(spark, f"{scratch}/odd", "custom", committed_only=True)
     assert {r.kind: r["count"] for r in lake.groupBy("kind").count().collect()} == {"a b%20:c": 100, "50 %+x": 100, "é=1": 100}
+
+
+def test_resumed_increments_are_not_dealt_out_by_topic_partition(spark):
+    positions = spark.createDataFrame([("events", p, 100, 0) for p in range(3)], "topic string, partition int, next_offset long, watermark long")
+    log = events_log(spark, SF_SMALL).withColumn("value", F.lit(None).cast("binary"))
+    marked = loads.mark(log, loads.LoadSpec(dedup="offsets", dedup_offsets=50, rewind=50, positions=positions, chunk_size=200))
+    plan = marked._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and not re.findall(r"SortMergeJoin \[topic#\d+, partition#\d+\]", plan)
+    assert marked.count() == log.where(F.col("offset") >= 100).count()

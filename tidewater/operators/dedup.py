@@ -142,7 +142,7 @@ def with_rewind(current: DataFrame, history: DataFrame, rewind_offsets: int) ->
     starts = current.groupBy("topic", "partition").agg(F.min("offset").alias("_tw_start"))
     cols = current.columns
     tail = (
-        history.join(starts, on=["topic", "partition"], how="inner")
+        history.join(F.broadcast(starts), on=["topic", "partition"], how="inner")  # one row per topic-partition
         .where((F.col("offset") < F.col("_tw_start")) & (F.col("offset") >= F.col("_tw_start") - F.lit(rewind_offsets)))
         .select(*cols)
         .withColumn("is_rewound", F.lit(True))

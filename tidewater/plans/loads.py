@@ -100,10 +100,10 @@ def mark_duplicates(log: DataFrame, spec: LoadSpec) -> DataFrame:
 def mark(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
     """Watermark and dedup: the new records with ``watermark`` and, if a rule is set, ``is_dup``."""
     history = spec.history
-    if spec.positions is not None:  # one row per topic-partition
+    if spec.positions is not None:  # one row per topic-partition: sent to the records, or these would be dealt out by topic-partition
         done = spec.positions.select("topic", "partition", F.col("next_offset").alias("_tw_next"), F.col("watermark").alias("_tw_wm"))
         history = log if history is None else history
-        log = log.join(done.drop("_tw_wm"), ["topic", "partition"], "left").where(F.coalesce(F.col("offset") >= F.col("_tw_next"), F.lit(True))).drop("_tw_next")
+        log = log.join(F.broadcast(done.drop("_tw_wm")), ["topic", "partition"], "left").where(F.coalesce(F.col("offset") >= F.col("_tw_next"), F.lit(True))).drop("_tw_next")
     if history is not None and spec.dedup is not None:
         log = dedup.with_rewind(log, history, spec.rewind)
     # the fused form needs a chunk that holds the window; both forms give the same rows
@@ -114,7 +114,7 @@ def mark(log: DataFrame, spec: LoadSpec = LoadSpec()) -> DataFrame:
     if "is_rewound" in x.columns:
         x = dedup.drop_rewound(x)
     if spec.positions is not None:
-        x = x.join(done.drop("_tw_next"), ["topic", "partition"], "left").withColumn("watermark", F.greatest("watermark", "_tw_wm")).drop("_tw_wm")
+        x = x.join(F.broadcast(done.drop("_tw_next")), ["topic", "partition"], "left").withColumn("watermark", F.greatest("watermark", "_tw_wm")).drop("_tw_wm")
     return x
 
 
@@ -271,7 +271,7 @@ def load(log: DataFrame, base: str, batch_id: int, spec: LoadSpec = LoadSpec())
         _FS(spark, base).delete(staged_path)
         return manifest
     # K8: the position after this batch covers every record read (duplicates and bad ones too)
-    new = log if spec.positions is None else log.join(spec.positions.select("topic", "partition", F.col("next_offset").alias("_tw_next")), ["topic", "partition"], "left").where(F.coalesce(F.col("offset") >= F.col("_tw_next"), F.lit(True)))
+    new = log if spec.positions is None else log.join(F.broadcast(spec.positions.select("topic", "partition", F.col("next_offset").alias("_tw_next"))), ["topic", "partition"], "left").where(F.coalesce(F.col("offset") >= F.col("_tw_next"), F.lit(True)))
     read = new.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next_offset"), F.max(ts_millis("timestamp")).alias("watermark"), F.count(F.lit(1)).alias("records"))
     if spec.positions is not None:  # the running watermark goes on from the committed one
         read = read.join(spec.positions.select("topic", "partition", F.col("watermark").alias("_tw_wm")), ["topic", "partition"], "left").withColumn("watermark", F.greatest("watermark", "_tw_wm")).drop("_tw_wm")

@@ -5,7 +5,7 @@ import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 
-from tidewater.operators import partitioning
+from tidewater.operators import partitioning, rolling
 from tidewater.operators.rolling import Limits, exits_of, roll_limits
 from tidewater.sources.logs import two_topic_log
 
@@ -88,3 +88,11 @@ def test_exits_follow_next_starts():
                 at = int(following[at - first])
             want.append(at)
         assert exits_of(place, following).tolist() == want
+
+
+def test_cut_chunks_are_wider_than_scan_chunks_and_bounded(spark, monkeypatch):
+    assert [rolling.cut_width(n) for n in (1, 500, 1 << 14, 1 << 20)] == [64, 32_000, 1 << 16, 1 << 20]
+    for scans in (1, 4):  # many cut chunks on few rows
+        monkeypatch.setattr(rolling, "CUT_SCANS", scans)
+        test_limits_against_the_rule(spark, Limits(9, 60, 400), 11)
+        test_one_root_group_over_interleaved_partitions(spark)

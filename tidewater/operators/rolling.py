@@ -13,8 +13,9 @@ The rule is sequential, but not the work:
   file, the first whose byte sum is large enough, the first late enough.
 * A batch that starts at place i ends at the least of these over all records
   from i on: a running minimum from the end.  That gives the next start after i.
-* Chunks of places follow their next starts by doubling, until they leave the
-  chunk: a cut table, from each possible entry of the chunk to its exit.
+* Chunks of places (some scan chunks each: fewer places are exits of a longer
+  one) follow their next starts by doubling, until they leave the chunk: a cut
+  table, from each possible entry of the chunk to its exit.
 * Only exits can be entries of later chunks.  The places reached from the first
   one are found among these by doubling, in log-many joins of a small table.
 * Each chunk then marks the starts behind its one entry.
@@ -42,6 +43,13 @@ from .scans import DEFAULT_CHUNK, offset_chunk, running_max, running_position
 
 POS, RANK, SUM, CLOCK, END, NEXT, CUT_CHUNK = "_tw_pos", "_tw_rank", "_tw_sum", "_tw_clock", "_tw_end", "_tw_next", "_tw_cut"
 
+# Scan chunks in a chunk of the cut tables, as long as it holds no more than so many places.
+CUT_SCANS, CUT_PLACES = 64, 1 << 16
+
+
+def cut_width(chunk_size: int) -> int:
+    return max(chunk_size, min(CUT_SCANS * chunk_size, CUT_PLACES))
+
 
 @dataclass(frozen=True)
 class Limits:
@@ -103,7 +111,7 @@ def next_starts(x: DataFrame, group: list[str], file_cols: list[str], limits: Li
         ends = ends.unionByName(_first_at_least(x.where(F.col(CLOCK).isNotNull()), group, CLOCK, target, max(limits.open_ms, 3_600_000)).select(*group, POS, END))
     least = ends.groupBy(*group, POS).agg(F.min(END).alias(END)).withColumn("_tw_down", -F.col(POS))
     scanned = running_max(least, group, "_tw_down", END, NEXT, chunk=F.floor(F.col("_tw_down") / chunk_size).cast("long"), agg="min")
-    return scanned.select(*group, POS, (F.col(NEXT) + 1).alias(NEXT), F.floor(F.col(POS) / chunk_size).cast("long").alias(CUT_CHUNK))
+    return scanned.select(*group, POS, (F.col(NEXT) + 1).alias(NEXT), F.floor(F.col(POS) / cut_width(chunk_size)).cast("long").alias(CUT_CHUNK))
 
 
 def exits_of(start: np.ndarray, following: np.ndarray) -> np.ndarray:
@@ -127,7 +135,7 @@ def reached_entries(exits: DataFrame, group: list[str], chunk_size: int) -> Data
         reached = materialize(reached.unionByName(onward).distinct(), "entries")
         then = jump.select(*group, F.col("_tw_node").alias("_tw_to"), F.col("_tw_to").alias("_tw_then"))
         jump = materialize(jump.join(then, [*group, "_tw_to"]).select(*group, "_tw_node", F.col("_tw_then").alias("_tw_to")), "jumps")
-    return reached.withColumn(CUT_CHUNK, F.floor(F.col("_tw_node") / chunk_size).cast("long"))
+    return reached.withColumn(CUT_CHUNK, F.floor(F.col("_tw_node") / cut_width(chunk_size)).cast("long"))
 
 
 def roll_limits(

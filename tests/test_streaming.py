@@ -228,3 +228,39 @@ def test_any_file_streams_refuse_other_layouts(spark, scratch):
     st = read_stream_log(spark, scratch, streaming=True)
     with pytest.raises(ValueError, match="any_file"):
         load_stream(st, f"{scratch}/lake", LoadSpec(dedup=None, layout="topic_partition", any_file=True, roll_records=5))
+
+
+def test_key_rules_ask_python_once_for_many_keys(spark, scratch):
+    """Groups of a micro-batch do not grow with its keys; keys, keyless records and null times keep their rules over batches."""
+    rows = [("t", 0, o, None if o % 5 == 0 else f"k{o * 7919 % 700}", None if o % 11 == 0 else o * 10) for o in range(6000)]
+    log = spark.createDataFrame(rows, "topic string, partition int, offset long, key string, ms long").select(
+        F.col("key").cast("binary").alias("key"), F.lit(None).cast("binary").alias("value"), "topic", "partition", "offset",
+        F.timestamp_millis("ms").alias("timestamp"), F.lit(0).alias("timestampType"))
+    for lo in (0, 1500, 4000):
+        log.where((F.col("offset") >= lo) & (F.col("offset") < {0: 1500, 1500: 4000, 4000: 6000}[lo])).coalesce(1).write.mode("append").parquet(f"{scratch}/log")
+        time.sleep(1.05)
+    for dedup, n, value in (("offsets", 690, lambda o, ms: o), ("time", 6900, lambda o, ms: ms)):
+        spec = LoadSpec(dedup=dedup, dedup_offsets=n, dedup_ms=n)
+        got = {r.offset: (r.watermark, r.is_dup) for r in _run(spark, f"{scratch}/log", f"{scratch}/ck-{dedup}", f"{scratch}/out-{dedup}", spec).collect()}
+        last, wm, want = {}, None, {}
+        for _, _, o, k, ms in rows:
+            wm = ms if wm is None or ms is not None and ms > wm else wm
+            v, before = value(o, ms), last.get(k)
+            want[o] = (wm, k is not None and before is not None and v is not None and v - before <= n)
+            last[k] = v
+        assert got == want
+    from tidewater.streaming import processors
+
+    assert processors.KEY_GROUPS <= 1024
+
+
+def test_topic_files_are_bounded_ranges_in_offset_order(spark, monkeypatch):
+    from tidewater.plans import catalog
+
+    monkeypatch.setattr(catalog, "STREAM_FILE_RECORDS", 20)
+    log = events_log(spark, SF_SMALL).withColumn("value", F.lit(None).cast("binary")).repartition(7)
+    topic = catalog._topic_files(spark, log.select(*COLS))
+    files = (spark.read.parquet(topic).groupBy("_metadata.file_path", "_metadata.file_modification_time")
+             .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n")).orderBy("file_modification_time").collect())
+    assert sum(f.n for f in files) == 1000 and max(f.n for f in files) <= 20
+    assert all(a.hi < b.lo and a.file_modification_time < b.file_modification_time for a, b in zip(files, files[1:]))

@@ -739,24 +739,22 @@ def topic_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 STREAM_SLICES = 4
+STREAM_FILES = 8  # of a micro-batch
+STREAM_FILE_RECORDS = 200_000  # of a topic file: micro-batches are so many files, whatever the size of the topic
 
 
 def _topic_files(spark: SparkSession, log: DataFrame) -> str:
-    """The topic as files arriving in offset order: one slice of offsets per file set.
+    """The topic as files arriving in offset order, each a range of offsets of bounded size.
 
-    A file stream takes files by modification time, so each slice's files are
-    stamped one second after the previous slice's.
+    A file stream takes files by modification time, so each file is stamped one
+    second after the one before it; as many as a micro-batch takes make a slice.
     """
     topic = sink.scratch_path(spark, "stream-topic")
-    bounds = log.agg(F.min("offset").alias("lo"), F.max("offset").alias("hi")).first()
-    step = (bounds.hi - bounds.lo) // STREAM_SLICES + 1
+    ranges = log.repartitionByRange(STREAM_SLICES * STREAM_FILES, "offset").sortWithinPartitions("offset")
+    ranges.write.mode("overwrite").option("maxRecordsPerFile", STREAM_FILE_RECORDS).parquet(topic)
     fs = sink._FS(spark, topic)
-    for i in range(STREAM_SLICES):
-        lo = bounds.lo + i * step
-        part = f"{topic}/slice={i}"
-        log.where((F.col("offset") >= lo) & (F.col("offset") < lo + step)).write.mode("overwrite").parquet(part)
-        for f in fs.data_files(part):
-            fs.set_mtime(f, 1_000_000_000_000 + i * 1000)
+    for i, f in enumerate(fs.data_files(topic)):  # names are in the order of ranges
+        fs.set_mtime(f, 1_000_000_000_000 + i * 1000)
     return topic
 
 
@@ -772,10 +770,9 @@ def stream_load_hourly(spark: SparkSession, sf: str) -> DataFrame:
     every micro-batch is published under its batch id; the lake is read back through manifests."""
     from ..streaming.load import load_stream
 
-    log = codec.encode_events(events_log(spark, sf, payload=True), partitions=_tasks(spark)).select(*KAFKA_SCHEMA.fieldNames())
-    topic = _topic_files(spark, log)
+    topic = _topic_files(spark, _encoded(spark, sf))
     base = sink.scratch_path(spark, "stream-lake")
-    stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice")
+    stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=STREAM_FILES)
     spec = loads.LoadSpec(dedup="recent", key_cache=CACHE_DEFAULT, roll_records=None)
     q = load_stream(stream, base, spec, checkpoint=sink.scratch_path(spark, "stream-ckpt"))
     q.awaitTermination()
@@ -798,7 +795,7 @@ def stream_dedup_offset_range(spark: SparkSession, sf: str) -> DataFrame:
     log = events_log(spark, sf).withColumn("value", F.lit(None).cast("binary")).select(*KAFKA_SCHEMA.fieldNames())
     topic = _topic_files(spark, log)
     out = sink.scratch_path(spark, "stream-x3")
-    stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice")
+    stream = read_stream_log(spark, topic, streaming=True, max_files_per_trigger=STREAM_FILES)
     marked = dedup_stream(stream, loads.LoadSpec(dedup="offsets", dedup_offsets=DEDUP_OFFSETS))
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -1057,7 +1054,7 @@ def _marked_stream(spark: SparkSession, log: DataFrame, spec: loads.LoadSpec, na
 
     topic = _topic_files(spark, log.withColumn("value", F.lit(None).cast("binary")).select(*KAFKA_SCHEMA.fieldNames()))
     out = sink.scratch_path(spark, name)
-    marked = dedup_stream(read_stream_log(spark, topic, streaming=True, max_files_per_trigger=8).drop("slice"), spec)
+    marked = dedup_stream(read_stream_log(spark, topic, streaming=True, max_files_per_trigger=STREAM_FILES), spec)
 
     def each(batch: DataFrame, batch_id: int) -> None:
         batch.select("topic", "partition", "offset", "is_dup").write.mode("overwrite").parquet(f"{out}/batch={batch_id}")

@@ -13,6 +13,7 @@ from __future__ import annotations
 from collections import OrderedDict
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..schema import key_string
 from ..session import ship_package
 
-NULL_KEY_GROUPS = 1024  # groups that the keyless records of a topic-partition are dealt to
+KEY_GROUPS = 256  # groups that the keys of a topic-partition are dealt to; its keyless records go by offset
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -49,12 +50,13 @@ class WatermarkRecentKeys(StatefulProcessor):
             return
         if self.with_watermark:
             pdf = pdf.sort_values("offset", kind="mergesort")
-            wm = self.wm.get()[0] if self.wm.exists() else None
-            wms = []
-            for t in pdf["tw_ts_ms"].tolist():
-                wm = t if wm is None or t > wm else wm
-                wms.append(wm)
-            self.wm.update((int(wm),))
+            times = pdf["tw_ts_ms"].astype("Int64").cummax().ffill()  # a record without a time keeps the watermark
+            if self.wm.exists():
+                wm = self.wm.get()[0]
+                times = times.fillna(wm).clip(lower=wm)
+            wms = times
+            if not pd.isna(times.iloc[-1]):
+                self.wm.update((int(times.iloc[-1]),))
         else:
             pdf = pdf.sort_values(["tw_ts_ms", "topic", "partition", "offset"], kind="mergesort")
         dups = [False] * len(pdf)
@@ -81,12 +83,13 @@ class WatermarkRecentKeys(StatefulProcessor):
 
 
 class LastOffsetDedup(StatefulProcessor):
-    """X3/X4 keyed by (scope, key): duplicate iff the key's previous record is recent.
+    """X3/X4 for groups of keys of a scope: duplicate iff the key's previous record is recent.
 
     ``by="offset"``: within ``n`` offsets (X3); ``by="time"``: at most ``n`` ms
     older (X4).  Every record refreshes the key's state, kept or not.  Records
-    without a key are no duplicates of one another and keep no state; they are
-    grouped by offset too, so that they do not meet in one task.
+    without a key are no duplicates of one another and keep no state.  A group's
+    records of a micro-batch are compared as arrays; the state is asked for a key's
+    first record there and set by its last one.
     """
 
     def __init__(self, n: int, ttl_ms: int | None = None, by: str = "offset"):
@@ -95,27 +98,31 @@ class LastOffsetDedup(StatefulProcessor):
         self.by = by
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "off long", self.ttl_ms)
+        self.last = handle.getMapState("last", "k string", "off long", self.ttl_ms)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         pdf = pd.concat(list(rows), ignore_index=True)
         if pdf.empty:
             return
         pdf = pdf.sort_values("offset", kind="mergesort")
-        if pdf["tw_dedup_key"].isna().iloc[0]:
-            out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms", "tw_spread") if c in pdf.columns])
-            out["is_dup"] = False
-            yield out
-            return
-        col = "offset" if self.by == "offset" else "tw_ts_ms"
-        last = self.last.get()[0] if self.last.exists() else None
-        dups = []
-        for v in pdf[col].tolist():
-            dups.append(last is not None and v - last <= self.n)
-            last = v
-        self.last.update((int(last),))
+        values = pdf["offset" if self.by == "offset" else "tw_ts_ms"].to_numpy()
+        codes, keys = pd.factorize(pdf["tw_dedup_key"])  # -1: no key
+        order = np.argsort(codes, kind="stable")
+        codes, values = codes[order], values[order]
+        again = np.concatenate([[False], codes[1:] == codes[:-1]])
+        dups = again & (np.concatenate([[0], values[1:] - values[:-1]]) <= self.n) & (codes >= 0)
+        for i in np.flatnonzero(~again & (codes >= 0)).tolist():
+            last = self.last.getValue((keys[codes[i]],))
+            dups[i] = last is not None and values[i] - last[0] <= self.n
+        for i in np.flatnonzero(np.concatenate([codes[1:] != codes[:-1], [True]]) & (codes >= 0)).tolist():
+            if not pd.isna(values[i]):
+                self.last.updateValue((keys[codes[i]],), (int(values[i]),))
+            elif self.last.containsKey((keys[codes[i]],)):  # nothing compares with a record without a time
+                self.last.removeKey((keys[codes[i]],))
+        is_dup = np.empty(len(dups), dtype=bool)
+        is_dup[order] = dups
         out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms", "tw_spread") if c in pdf.columns])
-        out["is_dup"] = dups
+        out["is_dup"] = is_dup
         yield out
 
     def close(self) -> None:
@@ -160,13 +167,15 @@ def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None, by:
     """
     _prep(stream)
     x = stream.withColumn("tw_dedup_key", key_string("key"))
-    x = x.withColumn("tw_spread", F.when(F.col("tw_dedup_key").isNull(), F.pmod("offset", F.lit(NULL_KEY_GROUPS))).otherwise(0).cast("int"))
+    # one group per key would call Python and the state for every key of a micro-batch by itself
+    dealt_by = F.when(F.col("tw_dedup_key").isNull(), F.col("offset")).otherwise(F.xxhash64("tw_dedup_key"))
+    x = x.withColumn("tw_spread", F.pmod(dealt_by, F.lit(KEY_GROUPS)).cast("int"))
     if by == "time":
         x = x.withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp")))
     fields = [f for f in x.schema.fields if f.name not in ("tw_dedup_key", "tw_ts_ms", "tw_spread")]
     out = T.StructType(fields + [T.StructField("is_dup", T.BooleanType())])
     # state TTL (bounding the per-key state) runs on processing time
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return x.groupBy("topic", "partition", "tw_dedup_key", "tw_spread").transformWithStateInPandas(
+    return x.groupBy("topic", "partition", "tw_spread").transformWithStateInPandas(
         LastOffsetDedup(n, ttl_ms, by), out, "Append", time_mode
     )

@@ -264,3 +264,16 @@ def test_topic_files_are_bounded_ranges_in_offset_order(spark, monkeypatch):
              .agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"), F.count(F.lit(1)).alias("n")).orderBy("file_modification_time").collect())
     assert sum(f.n for f in files) == 1000 and max(f.n for f in files) <= 20
     assert all(a.hi < b.lo and a.file_modification_time < b.file_modification_time for a, b in zip(files, files[1:]))
+
+
+def test_records_of_a_null_partition_are_one_group(spark, scratch):
+    log = events_log(spark, SF_SMALL).withColumn("value", F.lit(None).cast("binary")).withColumn("partition", F.when(F.col("partition") > 0, F.col("partition")))
+    for lo in (0, 500):  # rows in no order
+        part = log.where((F.col("offset") >= lo) & (F.col("offset") < lo + 500)).orderBy(F.xxhash64("offset")).select(*COLS)
+        part.coalesce(1).write.mode("append").parquet(f"{scratch}/log")
+        time.sleep(1.05)
+    got = _run(spark, f"{scratch}/log", f"{scratch}/ck", f"{scratch}/out", LoadSpec(dedup="recent", key_cache=15))
+    batch = dedup_recent_keys(with_stream_watermark(read_stream_log(spark, f"{scratch}/log")), 15)
+    null_wm = lambda df: {r.offset: r.watermark for r in df.where("partition is null").collect()}
+    assert len(null_wm(got)) > 100 and null_wm(got) == {o: w for o, w in null_wm(with_stream_watermark(read_stream_log(spark, f"{scratch}/log"))).items()}
+    assert _same(got.where("partition is not null"), batch.where("partition is not null").select(*got.columns))

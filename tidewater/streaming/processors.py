@@ -72,7 +72,7 @@ class WatermarkRecentKeys(StatefulProcessor):
                 cache[k] = None
                 cache.move_to_end(k)
             self.cache.update((list(cache),))
-        out = pdf.drop(columns=["tw_ts_ms", "tw_dedup_key"])
+        out = pdf.drop(columns=[c for c in ("tw_ts_ms", "tw_dedup_key", "tw_partition") if c in pdf.columns])
         if self.with_watermark:
             out["watermark"] = wms
         out["is_dup"] = dups
@@ -121,7 +121,7 @@ class LastOffsetDedup(StatefulProcessor):
                 self.last.removeKey((keys[codes[i]],))
         is_dup = np.empty(len(dups), dtype=bool)
         is_dup[order] = dups
-        out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms", "tw_spread") if c in pdf.columns])
+        out = pdf.drop(columns=[c for c in ("tw_dedup_key", "tw_ts_ms", "tw_spread", "tw_partition") if c in pdf.columns])
         out["is_dup"] = is_dup
         yield out
 
@@ -129,6 +129,12 @@ class LastOffsetDedup(StatefulProcessor):
         pass
 
 
+def _by_partition(df: DataFrame) -> DataFrame:
+    """With ``tw_partition`` to group by: pandas reads a null number as NaN, which equals no other, so each
+    record of a null partition would be a group, in no order."""
+    return df.withColumn("tw_partition", F.coalesce("partition", F.lit(-1).cast("int")))
+
+
 def _prep(df: DataFrame) -> None:
     ship_package(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
@@ -149,10 +155,10 @@ def watermark_and_dedup(stream: DataFrame, capacity: int | None, scope: list[str
     fields = [f for f in x.schema.fields if f.name not in ("tw_ts_ms", "tw_dedup_key")]
     out = T.StructType(fields + [T.StructField("watermark", T.LongType()), T.StructField("is_dup", T.BooleanType())])
     if tp or capacity is None:
-        return x.groupBy(*(scope if tp else ["topic", "partition"])).transformWithStateInPandas(
+        return _by_partition(x).groupBy("topic", "tw_partition").transformWithStateInPandas(
             WatermarkRecentKeys(capacity), out, "Append", "None"
         )
-    wm = x.groupBy("topic", "partition").transformWithStateInPandas(WatermarkRecentKeys(None), out, "Append", "None")
+    wm = _by_partition(x).groupBy("topic", "tw_partition").transformWithStateInPandas(WatermarkRecentKeys(None), out, "Append", "None")
     y = wm.drop("is_dup").withColumn("tw_ts_ms", F.unix_millis(F.col("timestamp"))).withColumn("tw_dedup_key", key_string("key"))
     return y.groupBy(*scope).transformWithStateInPandas(WatermarkRecentKeys(capacity, watermark=False), out, "Append", "None")
 
@@ -176,6 +182,6 @@ def offset_range_dedup(stream: DataFrame, n: int, ttl_ms: int | None = None, by:
     out = T.StructType(fields + [T.StructField("is_dup", T.BooleanType())])
     # state TTL (bounding the per-key state) runs on processing time
     time_mode = "ProcessingTime" if ttl_ms else "None"
-    return x.groupBy("topic", "partition", "tw_spread").transformWithStateInPandas(
+    return _by_partition(x).groupBy("topic", "tw_partition", "tw_spread").transformWithStateInPandas(
         LastOffsetDedup(n, ttl_ms, by), out, "Append", time_mode
     )

@@ -269,3 +269,33 @@ def test_resumed_increments_are_not_dealt_out_by_topic_partition(spark):
     plan = marked._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and not re.findall(r"SortMergeJoin \[topic#\d+, partition#\d+\]", plan)
     assert marked.count() == log.where(F.col("offset") >= 100).count()
+
+
+def test_topic_partition_files_are_listed_by_folder(spark, scratch):
+    """Many files cost few tasks beside their writing: one scan for names and counts, one listing each."""
+    base = f"{scratch}/many"
+    rows = spark.range(400).select((F.col("id") % 2).cast("int").alias("p"), F.col("id").alias("o"))
+    kafka = F.struct(F.when(F.col("p") == 0, "t").otherwise("u").alias("topic"), F.col("p").alias("partition"), F.col("o").alias("offset"))
+    frame = rows.select(kafka.alias("_kafka"), F.floor(F.col("o") / 8).alias("file_seq"))
+    tracker = spark.sparkContext.statusTracker()
+
+    def tasks_of(group, run):
+        spark.sparkContext.setJobGroup(group, group)
+        try:
+            out = run()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        stages = {s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds}
+        infos = [tracker.getStageInfo(s) for s in stages]
+        return out, max((i.numTasks for i in infos if i is not None), default=0)
+
+    before = spark.conf.get(sink.LISTING_TASKS)
+    manifest, most = tasks_of("publish-many", lambda: sink.publish(frame, base, 0, layout="topic_partition"))
+    assert len(manifest["files"]) == 100 and most <= 4 * spark.sparkContext.defaultParallelism  # 100 when each folder is a task
+    assert spark.conf.get(sink.LISTING_TASKS) == before
+    assert sorted((w["topic"], w["partition"], w["count"]) for w in manifest["written"]) == [("t", 0, 200), ("u", 1, 200)]
+    lake, most = tasks_of("read-many", lambda: sink.read_loaded(spark, base, "topic_partition"))
+    assert most <= 1 and lake.count() == 400  # 100 when each file is a path of its own
+    # folders of another layout beside the files are still left out
+    spark.range(3).write.parquet(f"{base}/dt=2024_01_01")
+    assert sink.read_loaded(spark, base, "topic_partition").select("_kafka.offset").distinct().count() == 400

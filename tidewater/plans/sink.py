@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import re
 import time
+from collections import Counter
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from urllib.parse import unquote
@@ -40,6 +41,7 @@ UNUSABLE_COMPRESSIONS = ("BROTLI", "BZIP", "BZIP2", "DEFLATE", "LZO", "XZ")
 DEFAULT_BLOCK_SIZE = 134_217_728
 DEFAULT_PAGE_SIZE = 1_048_576
 MOVES_AT_A_TIME = 16
+LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def parse_compression(name: str | None) -> str:
@@ -123,6 +125,10 @@ class _FS:
                 return True
         return False
 
+    def any(self, pattern: str) -> bool:
+        sts = self.fs.globStatus(self.p(pattern))
+        return sts is not None and len(sts) > 0
+
     def glob(self, pattern: str) -> list[str]:
         sts = self.fs.globStatus(self.p(pattern))
         return [] if sts is None else [s.getPath().toString() for s in sts]
@@ -250,20 +256,28 @@ def publish(
     elif layout == "topic_partition":
         file_key = F.concat_ws("__", F.col("_kafka.topic"), F.col("_kafka.partition").cast("string"), F.col("file_seq").cast("string"))
         keyed = df.withColumn("_tw_file", file_key).drop("file_seq")
-        # one writer per file; a file is bounded by the roll limit, so no task is hot
-        write_parquet(keyed.repartition("_tw_file"), stage, opts, partition_by=["_tw_file"], mode="overwrite")
-        # names come from each staged file's offset range: a scan of _kafka only,
+        # one writer per file; a file is bounded by the roll limit, so no task is hot.  The cost
+        # is in the files, not their bytes: the tasks are not to be merged by size
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        write_parquet(keyed.repartition(tasks, "_tw_file"), stage, opts, partition_by=["_tw_file"], mode="overwrite")
+        # names and counts come from each staged file's offset range: one scan of _kafka only,
         # one small row per file (the batch plan is not evaluated twice)
         staged = _read_staged(spark, fs, stage)
         ranges = None if staged is None else (
-            staged.groupBy("_tw_file")
-            .agg(F.first("_kafka.topic").alias("t"), F.first("_kafka.partition").alias("p"),
-                 F.min("_kafka.offset").alias("lo"), F.max("_kafka.offset").alias("hi"))
-            .select(F.col("_tw_file").cast("string").alias("_tw_file"),
+            staged.groupBy("_tw_file", F.col("_kafka.topic").alias("t"), F.col("_kafka.partition").alias("p"))
+            .agg(F.min("_kafka.offset").alias("lo"), F.max("_kafka.offset").alias("hi"), F.count(F.lit(1)).alias("n"))
+            .groupBy("_tw_file")
+            .agg(F.first("t").alias("t"), F.first("p").alias("p"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+                 F.collect_list(F.struct("t", "p", "n")).alias("counts"))
+            .select(F.col("_tw_file").cast("string").alias("_tw_file"), "counts",
                     (offset_range_name(F.col("t"), F.col("p"), F.col("lo"), F.col("hi")) if file_name is None else file_name).alias("name"))
         )
-        names = {} if ranges is None else {r["_tw_file"]: r["name"] for r in ranges.collect()}
-        written = _written_counts(staged)
+        found = [] if ranges is None else ranges.collect()
+        names = {r["_tw_file"]: r["name"] for r in found}
+        totals: Counter = Counter()
+        for r in found:
+            totals.update({(c["t"], c["p"]): c["n"] for c in r["counts"]})
+        written = [{"topic": t, "partition": p, "count": n} for (t, p), n in totals.items()]
         for src in _files_of(staged):
             key = unquote(_rel(src, stage).split("/")[0].split("=", 1)[1])
             moves.append((src, f"{base}/{names[key]}"))
@@ -297,8 +311,16 @@ def _check_names(fs: _FS, names: list[str | None], moves: list[tuple[str, str]],
 
 
 def _read_staged(spark: SparkSession, fs: _FS, stage: str) -> DataFrame | None:
-    """A staged batch, its folders listed once, by Spark tasks where there are many; None: it has no file."""
-    return spark.read.option("basePath", stage).parquet(stage) if fs.has_data(stage) else None
+    """A staged batch, its folders listed once, by Spark tasks where there are many (several
+    folders to a task, or each folder would be one); None: it has no file."""
+    if not fs.has_data(stage):
+        return None
+    before = spark.conf.get(LISTING_TASKS, None)
+    spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
+    try:
+        return spark.read.option("basePath", stage).parquet(stage)
+    finally:
+        spark.conf.unset(LISTING_TASKS) if before is None else spark.conf.set(LISTING_TASKS, before)
 
 
 def _files_of(staged: DataFrame | None) -> list[str]:
@@ -349,5 +371,10 @@ def read_loaded(
             columns = [*output_schema().fields, *(T.StructType.fromDDL(extra).fields if extra else [])]
             return spark.createDataFrame([], T.StructType(columns))
         return reader.parquet(*paths)
+    if layout == "topic_partition":
+        fs = _FS(spark, base)
+        # files beside one another are one listing of their folder, not a path each; other layouts' folders are left out
+        if fs.any(f"{base}/*.parquet") and not fs.any(f"{base}/[!_.]*/*"):
+            return reader.option("pathGlobFilter", "*.parquet").parquet(base)
     pattern = {"topic_partition": "*.parquet", "hourly": "dt=*/hr=*/*.parquet", "daily": "dt=*/*.parquet"}[layout]
     return reader.parquet(f"{base}/{pattern}")

@@ -1,6 +1,8 @@
 """Decode, malformed rows, proto3 defaults, annotation and filters."""
 
 import pandas as pd
+import pyarrow as pa
+from google.protobuf import descriptor_pb2
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -87,3 +89,50 @@ def test_required_kafka_group_is_checked(spark):
     assert codec.required_violations(ann).count() == 0
     broken = ann.withColumn("_kafka", F.col("_kafka").withField("watermark", F.lit(None).cast("long")))
     assert codec.required_violations(broken).count() == 1000
+
+
+def test_columns_of_messages_are_those_of_single_messages():
+    cls = proto.message_class()
+    desc = cls.DESCRIPTOR
+    schema = proto.spark_schema(desc)
+    none = dict.fromkeys(f.name for f in schema)
+    rows = [
+        {"header": {"uuid": "a", "original_producer": "é\x00", "recent_producer": None, "creation_time": -(2**63)}, "id": 2**62 + 1, "name": "", "price": float("inf"), "isOn": False, "somethings": [0, -1, 2**31 - 1]},
+        None,
+        none,
+        {**none, "header": dict.fromkeys(["uuid", "original_producer", "recent_producer", "creation_time"])},  # given, though empty
+        {**none, "id": 7, "somethings": []},
+        {**none, "name": "x", "somethings": [5]},
+    ]
+    whole = pa.array(rows, type=proto.arrow_type(schema))
+    for part in (whole, whole.slice(2, 3), whole.slice(0, 1), whole.slice(0, 0)):
+        single = [None if v is None else proto.from_python(cls, v, desc).SerializeToString() for v in part.to_pylist()]
+        assert [None if m is None else m.SerializeToString() for m in proto.write_messages(cls, part)] == single
+        messages = [None if v is None else cls.FromString(v) for v in single]
+        read = proto.compile_reader(desc)
+        for at, (f, column) in enumerate(zip(schema, proto.read_columns(desc, messages), strict=True)):
+            want = [None if m is None else read(m)[at] for m in messages]
+            assert column.type == proto.arrow_type(f.dataType) and column.to_pylist() == want
+    # fields that the struct does not have stay unset, others of it are not written
+    few = pa.array([{"id": 3, "other": "y"}, {"id": None, "other": None}])
+    assert [m.SerializeToString() for m in proto.write_messages(cls, few)] == [cls(id=3).SerializeToString(), b""]
+
+
+def test_repeated_messages_in_columns():
+    fds = descriptor_pb2.FileDescriptorSet.FromString(proto.builtin_descriptor_set())
+    many = fds.file[1].message_type.add(name="Many")
+    for name, number, repeated in (("all", 1, True), ("one", 2, False)):
+        f = many.field.add(name=name, number=number, type=11, type_name=".messages.ComplexType")
+        f.label = 3 if repeated else 1
+    cls = proto.message_class("messages.Many", fds.SerializeToString())
+    desc = cls.DESCRIPTOR
+    schema = proto.spark_schema(desc)
+    rows = [{"all": [{"id": 1, "header": {"uuid": "u"}, "somethings": [1]}, {}], "one": {"somethings": []}}, {"all": [], "one": None}, {"all": None, "one": {"header": {}}}]
+    column = pa.array(rows, type=proto.arrow_type(schema))
+    single = [proto.from_python(cls, v, desc).SerializeToString() for v in column.to_pylist()]
+    assert [m.SerializeToString() for m in proto.write_messages(cls, column)] == single
+    read = proto.compile_reader(desc)
+    columns = proto.read_columns(desc, [cls.FromString(v) for v in single])
+    assert [list(x) for x in zip(*(c.to_pylist() for c in columns))] == [
+        list(read(cls.FromString(v))) for v in single
+    ]

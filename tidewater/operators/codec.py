@@ -52,6 +52,16 @@ def _decode_jvm(df: DataFrame, message: str, descriptor_set: bytes | None, value
     return x.select(*keep, *[F.col(f"_tw_msg.{n}").alias(n) for n in names], F.col("_tw_msg").isNull().alias(CORRUPT))
 
 
+def _parsed(parse, value: bytes | None):
+    """The parsed value, None for a null or unreadable one."""
+    if value is None:
+        return None
+    try:
+        return parse(value)
+    except (DecodeError, ValueError, RuntimeError):
+        return None
+
+
 def decode_proto(
     df: DataFrame,
     message: str = "messages.ComplexType",
@@ -88,20 +98,17 @@ def decode_proto(
         parse = cls.FromString
         empty = (None,) * len(names)
         for batch in batches:
-            rows = []
-            bad = []
-            for v in batch.column(value_col).to_pylist():
-                rec = None
-                if v is not None:
-                    try:
-                        rec = read(parse(v))
-                    except (DecodeError, ValueError, RuntimeError):
-                        rec = None
-                bad.append(rec is None)
-                rows.append(empty if rec is None else rec)
-            cols = list(zip(*rows)) if rows else [()] * len(names)
             arrays = [batch.column(n) for n in keep_names]
-            arrays += [pa.array(list(c), type=t) for c, (_, t) in zip(cols, arrow_fields)]
+            values = proto.python_values(batch.column(value_col))
+            try:
+                messages = [_parsed(parse, v) for v in values]
+                arrays += proto.read_columns(cls.DESCRIPTOR, messages)
+                bad = [m is None for m in messages]
+            except (DecodeError, ValueError, RuntimeError):  # a field that cannot be read: row by row
+                records = [_parsed(lambda b: read(parse(b)), v) for v in values]
+                bad = [r is None for r in records]
+                cols = list(zip(*(empty if r is None else r for r in records)))
+                arrays += [pa.array(list(c), type=t) for c, (_, t) in zip(cols, arrow_fields)]
             arrays.append(pa.array(bad, type=pa.bool_()))
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, *names, CORRUPT])
 
@@ -203,10 +210,8 @@ def encode_proto(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cls = proto.message_class(message, descriptor_set)
-        desc = cls.DESCRIPTOR
         for batch in batches:
-            rows = batch.column(struct_col).to_pylist()
-            enc = [None if r is None else proto.from_python(cls, r, desc).SerializeToString() for r in rows]
+            enc = [None if m is None else m.SerializeToString() for m in proto.write_messages(cls, batch.column(struct_col))]
             arrays = [batch.column(n) for n in keep_names] + [pa.array(enc, type=pa.binary())]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep_names, out_col])
 

@@ -134,3 +134,36 @@ def test_strangers_of_one_key_are_dealt_in_chunks(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "grouped_pairs", measured)
     assert found() == whole and len(whole) > 500
     assert max(largest) <= 40  # two chunks, which hashes fill unevenly
+
+
+def test_what_a_few_documents_share_is_no_join_key(spark):
+    from pyspark.sql import functions as F
+
+    limit = ngram_join.Threshold()
+    passage = " ".join(f"p{i}" for i in range(30))
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(120)) + (f" {passage}" if i < 7 else "")) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    classes = ngram_join.rarity(df, "text", 5)
+    bits = len(classes).bit_length() - 1
+    of = lambda text: classes[(ngram_join.shingle_hashes([text])[0] >> np.uint64(64 - bits)).astype(np.int64)]
+    assert bits == ngram_join.COUNTER_BITS and of(passage).min() > 0 and np.median(of(rows[-1][1])) == 0
+    keyed = ngram_join.sketch_sets(df, "doc_id", "text", 5, limit).select(F.explode("keys").alias("key"), "n", "node")
+    assert ngram_join.candidates(keyed, limit, 4).count() == 0
+
+
+def test_counters_follow_the_table(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "COUNTER_BITS", 17)
+    df = spark.range(300).selectExpr("concat_ws(' ', transform(sequence(0, 1000), x -> concat('w', id, 'x', x))) text")
+    assert len(ngram_join.rarity(df, "text", 5)) > 1 << 17
+    monkeypatch.setattr(ngram_join, "MAX_COUNTER_BITS", 17)
+    assert len(ngram_join.rarity(df, "text", 5)) == 1 << 17
+    assert not ngram_join.rarity(df.limit(0), "text", 5).packed.any()
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.integers(0, (1 << 26) - 1), min_size=1, max_size=200), st.integers(0, 20))
+def test_packed_gaps(slots, spread):
+    held = np.sort(np.array(slots, dtype=np.int32) >> spread)
+    parts, gaps = ngram_join.packed_gaps(held)
+    back = [(p << ngram_join.PART_BITS) + ngram_join.unpacked_gaps(g) for p, g in zip(parts.tolist(), gaps, strict=True)]
+    assert np.concatenate(back).tolist() == held.tolist() and len(set(parts.tolist())) == len(parts)

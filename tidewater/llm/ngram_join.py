@@ -8,9 +8,10 @@ within the threshold differ in at most D blocks, D following from their sizes;
 so of any D + 1 blocks taken in one common order from each, at least one pair
 agrees.  Blocks are made per size band; a set near the upper end of its band
 joins the next band too.  Each set gives its D + 1 blocks in the order of how
-rare their rarest element is (by a counting sketch over all documents, of fixed
-size), so that passages many documents share seldom become join keys.  The
-counting sketch only orders blocks: whatever it holds, no pair is lost.
+rare their rarest element is (by a counting sketch over all documents, which
+grows with them up to a bound), so that passages that several documents share
+seldom become join keys.  The counting sketch only orders blocks: whatever it
+holds, no pair is lost.
 
 Sets that share a block key are sorted by size.  Each meets the key's first set
 and its next ``window`` ones.  Keys with more sets than that are looked at again
@@ -41,7 +42,9 @@ from ..plans.sink import materialize
 from . import textvec as tv
 
 WORDS = 5
-COUNTER_BITS = 20
+COUNTER_BITS = 20  # 2 ** COUNTER_BITS counters at least
+MAX_COUNTER_BITS = 26  # two bits each reach the tasks: at most 16 MB
+PART_BITS = 16  # counters of a part are added up together
 BAND_BITS = 3  # sizes of a band lie within a factor of 2 ** BAND_BITS
 WINDOW = 4
 CHUNK_SETS = 1 << 14  # sets of a component that are compared in one task
@@ -101,41 +104,102 @@ def signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x, dtype=np.uint64).view(np.int64)
 
 
-def rarity(df: DataFrame, text: str, words: int) -> np.ndarray:
-    """Rarity class of every counter: 0 for common load, then one class for each doubling."""
-    size, part = 1 << COUNTER_BITS, 1 << 14
+class Rarity:
+    """Rarity classes (0 to 3) of a power of two of counters, four in a byte."""
+
+    def __init__(self, packed: np.ndarray):
+        self.packed = packed
+
+    def __len__(self) -> int:
+        return 4 * len(self.packed)
+
+    def __getitem__(self, slots: np.ndarray) -> np.ndarray:
+        return self.packed[slots >> 2] >> (2 * (slots & 3)).astype(np.uint8) & np.uint8(3)
+
+
+def packed_gaps(slots: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """Sorted counter numbers, cut into parts of 2 ** PART_BITS: the parts, and each one's gaps in
+    bytes (a gap of 255 k + r is k bytes of 255 and r)."""
+    part, low = slots >> PART_BITS, (slots & ((1 << PART_BITS) - 1)).astype(np.int64)
+    first = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    gaps = np.diff(low, prepend=0)
+    gaps[first] = low[first]
+    ends = np.cumsum(gaps // 255 + 1)
+    out = np.full(int(ends[-1]), 255, dtype=np.uint8)
+    out[ends - 1] = gaps % 255
+    cuts = [0, *ends[np.append(first[1:], len(slots)) - 1].tolist()]
+    return part[first], [out[x:y].tobytes() for x, y in zip(cuts, cuts[1:], strict=False)]
+
+
+def unpacked_gaps(raw: bytes) -> np.ndarray:
+    """The counter numbers within their part that ``packed_gaps`` packed."""
+    gaps = np.frombuffer(raw, dtype=np.uint8)
+    return np.cumsum(gaps, dtype=np.int64)[gaps < 255]
+
+
+def rarity(df: DataFrame, text: str, words: int) -> Rarity:
+    """Rarity class of every counter: 0 for the load that chance makes common, up to 3 for much more.
+
+    There are about as many counters as n-grams, so that what few documents share stands out
+    however large the table is, but at most 2 ** MAX_COUNTER_BITS."""
+    chars = df.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    bits = min(max((chars // 8).bit_length(), COUNTER_BITS), MAX_COUNTER_BITS)
+    size = 1 << PART_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tv.release()
-        total = np.zeros(size, dtype=np.int64)
+        kept, count = [], 0
+
+        def out() -> pa.RecordBatch:
+            part, gaps = packed_gaps(np.sort(np.concatenate(kept)))
+            kept.clear()
+            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(gaps, pa.binary())], names=["part", "gaps"])
+
         for batch in batches:
             for _, texts in tv.text_slices(batch, 0, CHUNK_CHARS):
                 h, _ = shingle_hashes(texts, words)
-                total += np.bincount((h >> np.uint64(64 - COUNTER_BITS)).astype(np.int64), minlength=size)
-        cut = total.astype("<u4").reshape(-1, part)
-        some = np.flatnonzero(cut.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([cut[k].tobytes() for k in some], pa.binary())], names=["part", "counts"])
+                kept.append((h >> np.uint64(64 - bits)).astype(np.int32))
+                count += len(h)
+                if count >= 1 << 22:
+                    yield out()
+                    count = 0
+        if count:
+            yield out()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, total = None, np.zeros(size, dtype=np.int64)
+
+        def out() -> pa.RecordBatch:
+            mean = total.mean()
+            usual = max(2.0, mean + 3 * mean**0.5)
+            kinds = np.searchsorted([max(1.0, mean + mean**0.5), usual, 4 * usual], total).astype(np.uint8).reshape(-1, 4)
+            packed = (kinds << np.array([0, 2, 4, 6], dtype=np.uint8)).sum(axis=1, dtype=np.uint8)
+            return pa.RecordBatch.from_arrays([pa.array([current], pa.int32()), pa.array([packed.tobytes()], pa.binary())], names=["part", "classes"])
 
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(part, dtype=np.int64)
         for batch in batches:
-            for v in batch.column("counts"):
-                total += np.frombuffer(v.as_py(), dtype="<u4")
-        yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()], pa.int32()), pa.array([total.tobytes()], pa.binary())], names=["part", "counts"])
+            for part, gaps in zip(batch.column("part").to_pylist(), batch.column("gaps").to_pylist(), strict=True):
+                if part != current:
+                    if current is not None:
+                        yield out()
+                    current = part
+                    total[:] = 0
+                total += np.bincount(unpacked_gaps(gaps), minlength=size)
+        if current is not None:
+            yield out()
 
-    rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(run, "part int, counts binary")
-    counts = np.zeros((size // part, part), dtype=np.int64)
-    for r in rows.groupBy("part").applyInArrow(add, "part int, counts binary").toLocalIterator():  # a fixed number of counters
-        counts[r["part"]] = np.frombuffer(r["counts"], dtype=np.int64)
-    base = max(8.0, 2.0 * counts.sum() / size)
-    return np.clip(np.floor(np.log2(np.maximum(counts.reshape(-1), 1) / base)) + 1, 0, 31).astype(np.uint8)
+    rows = df.select(F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(run, "part int, gaps binary")
+    added = rows.repartition(F.col("part")).sortWithinPartitions("part").mapInArrow(add, "part int, classes binary")
+    packed = np.zeros((1 << (bits - PART_BITS), size // 4), dtype=np.uint8)
+    for r in added.collect():  # two bits a counter: at most 16 MB
+        packed[r["part"]] = np.frombuffer(r["classes"], dtype=np.uint8)
+    return Rarity(packed.reshape(-1))
 
 
-def block_keys(held: np.ndarray, classes: np.ndarray, limit: Threshold) -> np.ndarray:
+def block_keys(held: np.ndarray, classes: np.ndarray | Rarity, limit: Threshold) -> np.ndarray:
     """Join keys of a set: its first D + 1 blocks in each size band that it takes part in."""
     n = len(held)
     band = (n.bit_length() - 1) // BAND_BITS
-    rank = classes[(held >> np.uint64(64 - COUNTER_BITS)).astype(np.int64)]
+    rank = classes[(held >> np.uint64(65 - len(classes).bit_length())).astype(np.int64)]
     out = []
     for level in (band, band + 1):
         top = (1 << BAND_BITS * (band + 1)) - 1

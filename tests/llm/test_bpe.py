@@ -80,3 +80,30 @@ def test_offsets_cover_the_text(spark):
     one, two = bpe.offsets(df, MULTI, ["doc_id"]).orderBy("doc_id").collect()
     assert one.starts[0] == 0 and one.ends[-1] == len("aé日😀 words here") and all(a < b for a, b in zip(one.starts, one.ends, strict=True))
     assert two.ids == []
+
+
+def test_pieces_are_learned_a_bounded_number_at_once():
+    from types import SimpleNamespace
+
+    coder, sizes = bpe._make_coder(queries.BYTE_TOKENIZER), []
+    plain = coder.tokenizer
+
+    def encode(pieces, **how):
+        sizes.append(len(pieces))
+        return plain.encode_batch_fast(pieces, **how)
+
+    plain.encode_special_tokens = True
+    texts = [" ".join(f"w{i}x" for i in range(9000)), "tail"]
+    whole, bounds = bpe._make_coder(queries.BYTE_TOKENIZER).encode(texts)
+    coder.tokenizer = SimpleNamespace(encode_batch_fast=encode)
+    ids, at = coder.encode(texts)
+    assert ids.tolist() == whole.tolist() and at.tolist() == bounds.tolist()
+    assert sum(sizes) > 9000 and max(sizes) <= 4096
+
+
+def test_a_new_helper_gives_back_what_the_last_one_held(monkeypatch):
+    released = []
+    monkeypatch.setattr(tv, "release", lambda: (released.append(1), tv._held.clear()))
+    assert [tv.held((x,), lambda x=x: x) for x in "aab"] == ["a", "a", "b"]
+    assert len(released) == 2 and list(tv._held) == [("b",)]
+    tv._held.clear()

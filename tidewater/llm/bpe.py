@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import os
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import types as T
 from . import textvec as tv
 
 CACHE_PIECES = 1 << 20
+LEARNED_AT_ONCE = 1 << 12  # an encoding is far larger than its ids
 
 
 def byte_chars() -> list[str]:
@@ -106,13 +108,15 @@ class PieceCoder:
         rows = self.rows.add(hashes)
         while self.rows.count > len(self.at):
             self.at, self.len = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.len))
-        for r, e in zip(rows.tolist(), self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False), strict=True):
-            ids = e.ids
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.at[r], self.len[r] = self.used, len(ids)
-            self.used += len(ids)
+        for k in range(0, len(pieces), LEARNED_AT_ONCE):
+            encoded = self.tokenizer.encode_batch_fast(pieces[k : k + LEARNED_AT_ONCE], add_special_tokens=False)
+            for r, e in zip(rows[k : k + LEARNED_AT_ONCE].tolist(), encoded, strict=True):
+                ids = e.ids
+                while self.used + len(ids) > len(self.flat):
+                    self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+                self.flat[self.used : self.used + len(ids)] = ids
+                self.at[r], self.len[r] = self.used, len(ids)
+                self.used += len(ids)
         return rows
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -161,9 +165,10 @@ def _make_coder(path: str) -> PieceCoder:
         return PieceCoder(*rank_tokenizer(path))
     from tokenizers import Tokenizer
 
-    full = Tokenizer.from_file(path)
-    marks = tuple(t.content for t in full.get_added_tokens_decoder().values())
-    return PieceCoder(*file_tokenizer(path), whole=lambda t: full.encode(t, add_special_tokens=False).ids, marks=marks)
+    tokenizer, tokens = file_tokenizer(path)
+    marks = tuple(t.content for t in tokenizer.get_added_tokens_decoder().values())
+    full = cache(lambda: Tokenizer.from_file(path))  # few texts hold a special token's string
+    return PieceCoder(tokenizer, tokens, whole=lambda t: full().encode(t, add_special_tokens=False).ids, marks=marks)
 
 
 def _kept(df: DataFrame, keep: list[str], text: str) -> DataFrame:

@@ -30,6 +30,7 @@ from . import bpe
 from . import textvec as tv
 
 CAPACITY = 1024
+CHUNK_CHARS = 1 << 18  # characters that are encoded at once, unless one text is longer
 GROUPS = 800
 SMALL_SHARE = 4  # pieces up to capacity / SMALL_SHARE are small
 
@@ -44,18 +45,17 @@ def cut_pieces(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, part, seen = bpe.coder(path), TaskContext.get().partitionId(), np.zeros(capacity + 1, dtype=np.int64)
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for a, b in tv.chunks(texts):
-                ids, bounds = coder.encode(texts[a:b])
+            for rows, texts in tv.text_slices(batch, 1, CHUNK_CHARS):
+                ids, bounds = coder.encode(texts)
                 ids = np.insert(ids, bounds[1:], end_id).astype("<u4")
                 total = np.diff(bounds) + 1
                 n_pieces = -(-total // capacity)
-                doc = np.repeat(np.arange(b - a), n_pieces)
-                piece = tv.spans(np.zeros(b - a, dtype=np.int64), n_pieces)
+                doc = np.repeat(np.arange(len(texts)), n_pieces)
+                piece = tv.spans(np.zeros(len(texts), dtype=np.int64), n_pieces)
                 head = total - (n_pieces - 1) * capacity
                 start = np.where(piece == 0, 0, head[doc] + (piece - 1) * capacity)
                 length = np.where(piece == 0, head[doc], capacity)
-                begin = (bounds[:-1] + np.arange(b - a))[doc] + start
+                begin = (bounds[:-1] + np.arange(len(texts)))[doc] + start
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * x : 4 * (x + n)]) for x, n in zip(begin.tolist(), length.tolist(), strict=True)]
                 order = np.argsort(length, kind="stable")
@@ -63,7 +63,7 @@ def cut_pieces(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
                 nth = np.empty(len(length), dtype=np.int64)
                 nth[order] = np.arange(len(length)) - np.repeat(at, counts) + np.repeat(seen[sizes], counts)
                 seen[sizes] += counts
-                columns = [batch.column(0).slice(a, b - a).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), part, dtype=np.int32)), pa.array(nth)]
+                columns = [rows.column(0).take(pa.array(doc)), pa.array(piece.astype(np.int32)), pa.array(start), pa.array(length.astype(np.int32)), pa.array(crc, pa.int64()), pa.array(np.full(len(doc), part, dtype=np.int32)), pa.array(nth)]
                 names = ["doc_id", "piece", "start", "length", "ids_crc32", "__part", "__nth"]
                 if with_ids:
                     columns.append(tv.binary_slices(ids, np.concatenate([begin, [len(ids)]])))

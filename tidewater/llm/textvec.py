@@ -26,15 +26,16 @@ _held: dict = {}
 
 
 def held(name: tuple, make):
-    """The worker's one long-lived helper: made anew, and the last one dropped, when another is asked for."""
+    """The worker's one long-lived helper: made anew, and the last one dropped with what earlier work
+    left in memory, when another is asked for."""
     if name not in _held:
-        _held.clear()
+        release()
         _held[name] = make()
     return _held[name]
 
 
 def release() -> None:
-    """Drop the worker's long-lived helper, and give its memory back: the work at hand needs none."""
+    """Drop the worker's long-lived helper, and give its memory back."""
     import ctypes
     import gc
 

@@ -1,9 +1,11 @@
 import math
+import shutil
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -91,3 +93,30 @@ def test_edges(spark):
     assert all(len(r.ids) == 4 * r.length for r in out)
     assert len({(r.sequence_id, r.offset) for r in out}) == len(out)
     assert packing.pack(df.limit(0), FILE).count() == 0
+
+
+def test_idle_workers_hold_no_tokenizer(spark, tmp_path):
+    path = str(shutil.copy(FILE, tmp_path / "own.json"))
+    df = spark.createDataFrame([(i, f"some words {i}") for i in range(64)], "doc_id long, text string").repartition(16)
+    assert packing.cut_pieces(df, path).count() == 64
+
+    def held(batches):
+        from tidewater.llm import textvec
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([sum(path in k for k in textvec._held)])], names=["n"])
+
+    assert {r.n for r in spark.range(0, 64, 1, 64).mapInArrow(held, "n long").collect()} == {0}
+
+
+def test_a_bounded_number_of_texts_reach_a_worker_at_once(spark, monkeypatch):
+    name, used, write = "spark.sql.execution.arrow.maxRecordsPerBatch", [], packing.materialize
+    monkeypatch.setattr(packing, "materialize", lambda df, at: used.append(spark.conf.get(name)) or write(df, at))
+    df, first = spark.createDataFrame([(1, "some words")], "doc_id long, text string"), spark.conf.get(name)
+    try:
+        for before in ("10000", "7", "-1"):
+            spark.conf.set(name, before)
+            assert packing.pack(df, FILE).count() == 1 and spark.conf.get(name) == before
+    finally:
+        spark.conf.set(name, first)
+    assert used == ["1024", "7", "1024"]

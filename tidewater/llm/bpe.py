@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 from . import textvec as tv
 
-CACHE_PIECES = 1 << 20
+CACHE_PIECES = 1 << 19
 LEARNED_AT_ONCE = 1 << 12  # an encoding is far larger than its ids
 
 
@@ -97,7 +97,7 @@ class PieceCoder:
         self.forget()
 
     def forget(self) -> None:
-        self.rows = tv.RowTable()
+        self.rows = tv.RowTable(21)
         self.flat, self.used = np.zeros(1 << 16, dtype=np.uint32), 0
         self.at = np.zeros(1 << 14, dtype=np.int64)
         self.len = np.zeros(1 << 14, dtype=np.int64)

@@ -50,6 +50,18 @@ def release() -> None:
         pass
 
 
+def giving_back(work):
+    """A task's function that ends by giving back the worker's helper and memory.  Spark hands a task to
+    the worker that has been idle longest, and there may be more workers than cores: each would keep
+    a helper of its own, while no more of them work than there are cores."""
+
+    def run(batches: Iterator) -> Iterator:
+        yield from work(batches)
+        release()
+
+    return run
+
+
 def char_classes() -> np.ndarray:
     """Class of every code point: letter, number, white space or other."""
     global _classes

@@ -48,3 +48,14 @@ def test_repeated_ids_lose_no_text(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = corpus_pipeline.keep_one_of_near_duplicates(spark, docs, SF)
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, a), (3, b), (7, rows[-1][1])]
+
+
+def test_texts_reach_python_in_small_batches_and_before_a_stage_returns(spark, monkeypatch):
+    name, used, write = "spark.sql.execution.arrow.maxBytesPerBatch", [], corpus_pipeline.materialize
+    monkeypatch.setattr(corpus_pipeline, "materialize", lambda df, at: used.append(spark.conf.get(name)) or write(df, at))
+    before = spark.conf.get(name)
+    docs = spark.createDataFrame([(1, "the cat sat on the mat today", "en"), (2, None, None)], "doc_id long, text string, lang string")
+    for _, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, SF)
+        assert "MapInArrow" not in out._jdf.queryExecution().toString() and spark.conf.get(name) == before
+    assert len(used) >= 3 and set(used) == {"4m"}

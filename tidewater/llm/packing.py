@@ -18,21 +18,20 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.sink import materialize
+from ..session import small_batches
 from . import bpe
 from . import textvec as tv
 
 CAPACITY = 1024
 CHUNK_CHARS = 1 << 18  # characters that are encoded at once, unless one text is longer
-ROWS_AT_ONCE = 1 << 10  # rows that a worker gets at once
 GROUPS = 800
 SMALL_SHARE = 4  # pieces up to capacity / SMALL_SHARE are small
 
@@ -75,19 +74,6 @@ def cut_pieces(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "te
     return df.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("__text")).mapInArrow(tv.giving_back(run), schema)
 
 
-@contextmanager
-def small_batches(spark: SparkSession, rows: int = ROWS_AT_ONCE) -> Iterator[None]:
-    """What runs meanwhile hands whole texts to the workers at most ``rows`` rows at a time, unless the session says fewer."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    if not 0 < int(before) <= rows:  # 0 or less: no limit
-        spark.conf.set(name, str(rows))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def group_lengths(counts: dict[int, int], groups: int) -> list[list[tuple[int, int]]]:
     """Runs (length, count), longest first, cut into groups of equal cardinality."""
     total = sum(counts.values())

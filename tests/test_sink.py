@@ -299,3 +299,88 @@ def test_topic_partition_files_are_listed_by_folder(spark, scratch):
     # folders of another layout beside the files are still left out
     spark.range(3).write.parquet(f"{base}/dt=2024_01_01")
     assert sink.read_loaded(spark, base, "topic_partition").select("_kafka.offset").distinct().count() == 400
+
+
+def _commit_frame(spark):
+    rows = spark.range(60).select((F.col("id") % 2).cast("int").alias("p"), F.col("id").alias("o"))
+    kafka = F.struct(F.when(F.col("p") == 0, "t").alias("topic"), F.col("p").alias("partition"), F.col("o").alias("offset"))
+    dt = F.when(F.col("o") < 20, "2024_01_01").when(F.col("o") < 30, "a b/c%{d}=1").when(F.col("o") < 40, "")  # else null
+    things = F.when(F.col("o") % 3 > 0, F.array(F.col("p"), F.lit(None).cast("int")))
+    commit = F.concat(F.lit("c-"), F.floor(F.col("o") / 7).cast("string"))
+    return rows.select(things.alias("things"), F.struct(F.col("o").cast("string").alias("uuid")).alias("header"), kafka.alias("_kafka"), dt.alias("dt"), commit.alias("commit"))
+
+
+def test_files_of_commits_are_written_without_a_process_each(spark, scratch, monkeypatch):
+    """On the local file system Hadoop starts a process for every file that it creates: Python workers write the same files."""
+    import pyarrow.parquet as pq
+
+    frame = _commit_frame(spark)
+    with monkeypatch.context() as m:
+        m.setattr(sink, "_same_in_arrow", lambda *a: False, raising=False)
+        theirs = sink.publish(frame, f"{scratch}/spark", 0, layout="daily", opts=sink.ParquetOptions("GZIP"), commit_col="commit")
+
+    def refuse(*a, **kw):
+        raise AssertionError("a commit's files were created through Hadoop")
+
+    monkeypatch.setattr(sink, "write_parquet", refuse)
+    ours = sink.publish(frame, f"file:{scratch}/arrow", 0, layout="daily", opts=sink.ParquetOptions("GZIP"), commit_col="commit")
+    paths = [[os.path.relpath(f.removeprefix("file:"), f"{scratch}/{kind}") for f in m["files"]] for kind, m in (("spark", theirs), ("arrow", ours))]
+    assert paths[0] == paths[1] and len(paths[0]) == 11
+    key = lambda w: (w["topic"] or "", w["partition"], w["count"])
+    assert sorted(map(key, theirs["written"])) == sorted(map(key, ours["written"])) == [("", 1, 30), ("t", 0, 30)]
+    for f in paths[0]:
+        a, b = (pq.ParquetFile(f"{scratch}/{kind}/{f}") for kind in ("spark", "arrow"))
+        assert sorted(map(str, a.read().to_pylist())) == sorted(map(str, b.read().to_pylist())) and a.schema_arrow.equals(b.schema_arrow)
+        assert a.metadata.metadata == b.metadata.metadata and a.metadata.row_group(0).column(0).compression == b.metadata.row_group(0).column(0).compression == "GZIP"
+    assert os.listdir(f"{scratch}/arrow/_staging") == []
+    # a commit of more rows than a batch or a row group is still one file
+    monkeypatch.setattr(sink, "ROW_GROUP_BYTES", 1000)
+    long = spark.range(25_000).select(F.struct(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset")).alias("_kafka"), F.lit("d").alias("dt"), F.lit("c").alias("commit"))
+    one = sink.publish(long, f"{scratch}/long", 0, layout="daily", commit_col="commit")
+    file = pq.ParquetFile(one["files"][0])
+    assert len(one["files"]) == 1 and file.metadata.num_rows == 25_000 and file.num_row_groups > 2
+
+
+def test_types_that_arrow_writes_otherwise_are_left_to_spark(spark, scratch):
+    frame = _commit_frame(spark).withColumn("at", F.timestamp_millis(F.lit(1_700_000_000_000)))
+    opts = sink.ParquetOptions()
+    assert not sink._same_in_arrow(frame, ["dt"], "commit", opts) and sink._same_in_arrow(frame.drop("at"), ["dt"], "commit", opts)
+    assert not sink._same_in_arrow(frame.drop("at"), ["dt"], "commit", sink.ParquetOptions(max_records_per_file=3))
+    manifest = sink.publish(frame, f"{scratch}/lake", 0, layout="daily", commit_col="commit")
+    assert len(manifest["files"]) == 11 and sum(w["count"] for w in manifest["written"]) == 60
+
+
+def test_many_committed_files_are_read_by_folder(spark, scratch, monkeypatch):
+    monkeypatch.setattr(sink, "FOLDERS_FROM", 1)
+    base = f"{scratch}/lake"
+    frame = _commit_frame(spark).where(F.col("_kafka.offset") < 20)
+    for i in range(2):
+        sink.publish(frame, base, i, layout="daily", commit_col="commit")
+    other = spark.range(5).select(F.struct(F.lit("t").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset")).alias("_kafka"), F.lit("2024_01_02").alias("dt"), F.lit("c").alias("commit"))
+    sink.publish(other, base, 2, layout="daily", commit_col="commit")
+    read = []
+    monkeypatch.setattr(sink, "_committed_folders", lambda *a, real=sink._committed_folders: read.append(real(*a)) or read[-1])
+    lake = sink.read_loaded(spark, base, "daily", committed_only=True)
+    assert read == [lake] and sorted((r.dt, r["count"]) for r in lake.groupBy("dt").count().collect()) == [("2024_01_01", 40), ("2024_01_02", 5)]
+    # a folder that holds a file of no committed batch is read file by file
+    frame.drop("dt", "commit").coalesce(1).write.parquet(f"{scratch}/stray")
+    stray = next(f for f in os.listdir(f"{scratch}/stray") if f.endswith(".parquet"))
+    os.link(f"{scratch}/stray/{stray}", f"{base}/dt=2024_01_01/batch-{9:020d}-00000.parquet")
+    assert sink.read_loaded(spark, base, "daily", committed_only=True).count() == 45
+    # a committed file that is gone is still missed
+    os.remove(next(iter(json.loads(open(sink.manifest_path(base, 2)).read())["files"])))
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        sink.read_loaded(spark, base, "daily", committed_only=True).count()
+
+
+def test_moves_on_the_local_file_system_keep_what_is_there(spark, scratch):
+    fs = sink._FS(spark, scratch)
+    for name in ("a", "b"):
+        with open(f"{scratch}/{name}", "w") as f:
+            f.write(name)
+        with open(f"{scratch}/.{name}.crc", "w") as f:
+            f.write(f"sum of {name}")
+    with pytest.raises(OSError, match="not this batch's"):
+        fs.move_all([(f"{scratch}/a", f"file:{scratch}/b")])
+    fs.move_all([(f"file:{scratch}/a", f"{scratch}/new/c")])
+    assert sorted(os.listdir(f"{scratch}/new")) == [".c.crc", "c"] and open(f"{scratch}/b").read() == "b"

@@ -11,25 +11,39 @@ loses nor repeats a batch.  Readers that must see only complete batches read thr
 manifests (``read_loaded(committed_only=True)``).
 
 The moves are metadata operations issued by the driver, one per file; the
-data itself is written by the executors.
+data itself is written by the executors.  Where a batch has very many files (one
+for each commit), the cost is in the files.  Hadoop's local file system starts a
+process for each file, each checksum file and each folder that it creates, to set
+its mode; there a commit's files are written by the executors' Python workers
+(``_write_commits``) and moved without a call into the JVM for each.
 """
 
 from __future__ import annotations
 
 import json
+import os
 import re
+import shutil
 import time
-from collections import Counter
+import uuid
+from collections import Counter, defaultdict
+from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass
 from urllib.parse import unquote
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.parquet as pq
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.partitioning import offset_range_name
 from ..schema import output_schema
+from ..session import ship_package
 from ..storage import materialize, scratch_path  # noqa: F401  (also used through this module)
 
 # Accepted compression names (case-insensitive) -> Spark codec.
@@ -43,6 +57,15 @@ DEFAULT_PAGE_SIZE = 1_048_576
 MOVES_AT_A_TIME = 16
 LISTING_TASKS = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
+# Types whose Parquet form is the same from Arrow as from Spark's writer.
+ARROW_TYPES = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.StringType, T.BinaryType)
+ARROW_LEVELS = {"gzip": 6, "zstd": 3}  # as Spark's writer has them
+ROW_GROUP_BYTES = 1 << 25  # of rows that a worker holds before it writes them out, in smaller files than a block
+REPORT = "folder string, commit string, name string, topic string, partition int, n long"  # a file, or rows of a topic-partition
+DEFAULT_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+TEXT_BYTES = 1 << 20  # of a text, handed to the JVM at a time
+FOLDERS_FROM, FOLDERS_BATCHES = 1000, 64  # committed files from which, and batches up to which, folders are read whole
+
 
 def parse_compression(name: str | None) -> str:
     """K2: compression setting -> Spark codec; absent -> none; known but unusable in Parquet
@@ -95,6 +118,13 @@ class _FS:
         self.jvm = jvm
         self.Path = jvm.org.apache.hadoop.fs.Path
         self.fs = self.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        self.is_local = self.fs.getUri().getScheme() == "file"
+
+    def local(self, s: str) -> str:
+        """The path of a local file (``is_local``) without scheme."""
+        if s.startswith("file:"):
+            return "/" + s[len("file:"):].lstrip("/")
+        return s if s.startswith("/") else self.fs.makeQualified(self.p(s)).toUri().getPath()
 
     def p(self, s: str):
         return self.Path(s)
@@ -106,6 +136,13 @@ class _FS:
         if self.fs.exists(self.p(s)):
             self.fs.delete(self.p(s), True)
 
+    def delete_tree(self, s: str) -> None:
+        """Delete a folder that may hold very many others."""
+        if self.is_local and os.path.isdir(self.local(s)):
+            shutil.rmtree(self.local(s))
+        else:
+            self.delete(s)
+
     def data_files(self, root: str) -> list[str]:
         out = []
         it = self.fs.listFiles(self.p(root), True)
@@ -140,10 +177,26 @@ class _FS:
         if not self.fs.rename(self.p(src), d):
             raise OSError(f"rename failed: {src} -> {dst}")
 
+    def move_local(self, src: str, dst: str) -> None:
+        """``move`` on the local file system: the file and, as Hadoop does, its checksum file."""
+        s, d = self.local(src), self.local(dst)
+        if os.path.lexists(d):
+            raise OSError(f"{dst} exists and is not this batch's")
+        os.rename(s, d)
+        s_sum, d_sum = (os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc") for f in (s, d))
+        if os.path.exists(s_sum):
+            os.replace(s_sum, d_sum)
+        elif os.path.exists(d_sum):
+            os.remove(d_sum)
+
     def move_all(self, moves: list[tuple[str, str]]) -> None:
         """Each folder is made once; moves wait for the file system, so several go at a time."""
         for folder in sorted({dst.rsplit("/", 1)[0] for _, dst in moves}):
             self.fs.mkdirs(self.p(folder))
+        if self.is_local:
+            for src, dst in moves:
+                self.move_local(src, dst)
+            return
         with ThreadPoolExecutor(MOVES_AT_A_TIME) as pool:
             list(pool.map(lambda m: self.move(*m), moves))
 
@@ -156,7 +209,9 @@ class _FS:
         part = self.Path(target.getParent(), f"_{target.getName()}.part")
         out = self.fs.create(part, True)
         try:
-            out.write(bytearray(text.encode("utf-8")))
+            data = text.encode("utf-8")
+            for i in range(0, len(data), TEXT_BYTES):
+                out.write(bytearray(data[i : i + TEXT_BYTES]))
         finally:
             out.close()
         if self.fs.exists(target):
@@ -165,6 +220,9 @@ class _FS:
             raise OSError(f"rename failed: {part} -> {s}")
 
     def read_text(self, s: str) -> str:
+        if self.is_local:  # the list of very many files is a long line
+            with open(self.local(s), encoding="utf-8") as f:
+                return f.read()
         stream = self.fs.open(self.p(s))
         try:
             reader = self.jvm.java.io.BufferedReader(self.jvm.java.io.InputStreamReader(stream, "UTF-8"))
@@ -243,14 +301,17 @@ def publish(
     written: list[dict] = []
     if layout in ("hourly", "daily", "custom"):
         cols = partition_cols if layout == "custom" else ["dt", "hr"] if layout == "hourly" else ["dt"]
-        # REBALANCE lets AQE split a hot hour over several writers; a commit's file is bounded and has one
-        dealt = df.repartition(*cols, commit_col) if commit_col else df.hint("rebalance", *cols)
-        write_parquet(dealt, stage, opts, partition_by=[*cols, *([commit_col] if commit_col else [])], mode="overwrite")
-        staged = _read_staged(spark, fs, stage)
-        written = _written_counts(staged)
+        if commit_col and layout != "custom" and fs.is_local and _same_in_arrow(df, cols, commit_col, opts):
+            files, written = _write_commits(df, fs, stage, opts, cols, commit_col)
+        else:
+            # REBALANCE lets AQE split a hot hour over several writers; a commit's file is bounded and has one
+            dealt = df.repartition(*cols, commit_col) if commit_col else df.hint("rebalance", *cols)
+            write_parquet(dealt, stage, opts, partition_by=[*cols, *([commit_col] if commit_col else [])], mode="overwrite")
+            staged = _read_staged(spark, fs, stage)
+            files, written = _files_of(staged), _written_counts(staged)
         for old in fs.glob(f"{base}/{'/'.join(c + '=*' for c in cols)}/{tag}-*"):  # files without a manifest are no one's
             fs.delete(old)
-        for i, src in enumerate(_files_of(staged)):
+        for i, src in enumerate(files):
             rel_dir = "/".join(_rel(src, stage).split("/")[: len(cols)])
             moves.append((src, f"{base}/{rel_dir}/{tag}-{i:05d}.parquet"))
     elif layout == "topic_partition":
@@ -295,7 +356,7 @@ def publish(
     fs.write_text(positions_path(base, batch_id), json.dumps(positions or []))
     fs.write_text(mpath, json.dumps(manifest))
     fs.delete(moves_path)
-    fs.delete(stage)
+    fs.delete_tree(stage)
     return manifest
 
 
@@ -310,15 +371,128 @@ def _check_names(fs: _FS, names: list[str | None], moves: list[tuple[str, str]],
         seen.add(dst)
 
 
+def _same_in_arrow(df: DataFrame, cols: list[str], commit_col: str, opts: ParquetOptions) -> bool:
+    """Whether ``_write_commits`` writes the files that Spark would write."""
+
+    def plain(t: T.DataType) -> bool:
+        if isinstance(t, T.StructType):
+            return len(t) > 0 and all(plain(f.dataType) for f in t)
+        return plain(t.elementType) if isinstance(t, T.ArrayType) else isinstance(t, ARROW_TYPES) and not isinstance(t, (T.CharType, T.VarcharType))
+
+    rows = T.StructType([f for f in df.schema if f.name not in (*cols, commit_col)])
+    return plain(rows) and "_kafka" in rows.names and opts.max_records_per_file is None and parse_compression(opts.compression) != "lz4"
+
+
+def _write_commits(df: DataFrame, fs: _FS, stage: str, opts: ParquetOptions, cols: list[str], commit_col: str) -> tuple[list[str], list[dict]]:
+    """K1, K9: one file for each directory and commit, staged in a folder of the local file system by Python
+    workers; paths in the order of directories and commits, and rows written per topic-partition.
+
+    A worker holds the rows of one file, a row group at most.  Only what tasks report that ended well
+    is published: files of other attempts, which have names of their own, go with the folder."""
+    spark = df.sparkSession
+    ship_package(spark)
+    keys = [f"_tw_key{i}" for i in range(len(cols) + 1)]
+    rows = [c for c in df.columns if c not in (*cols, commit_col)]
+    # the cost is in the files, not their bytes: the tasks are not to be merged by size
+    named = (F.nullif(F.col(c).cast("string"), F.lit("")).alias(k) for c, k in zip([*cols, commit_col], keys))  # an empty name is none
+    dealt = df.select(*named, *(F.col(f"`{c}`") for c in rows))
+    dealt = dealt.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
+    codec = parse_compression(opts.compression)
+    settings = {
+        "compression": codec, "compression_level": ARROW_LEVELS.get(codec), "use_dictionary": opts.dictionary, "data_page_size": opts.page_size,
+        "dictionary_pagesize_limit": opts.page_size, "write_page_checksum": True, "store_schema": False,
+    }
+    metadata = {"org.apache.spark.version": spark.version, "org.apache.spark.sql.parquet.row.metadata": df.select(*(f"`{c}`" for c in rows))._jdf.schema().json()}
+    group_bytes = min(opts.block_size, ROW_GROUP_BYTES)
+    root = fs.local(stage)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, made, at = uuid.uuid4().hex, set(), None
+        writer, held, held_bytes, number = None, [], 0, 0
+        files, counts = [], Counter()
+
+        def write_held():
+            nonlocal held, held_bytes
+            if held:
+                table = pa.Table.from_batches(held)
+                writer.write_table(table, row_group_size=len(table))
+                held, held_bytes = [], 0
+
+        def end_file():
+            write_held()
+            if writer is not None:
+                writer.add_key_value_metadata(metadata)
+                writer.close()
+                sink.close()
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            data = batch.select(rows)
+            # a struct's fields are null where it is null
+            kafka = [pc.struct_field(batch.column("_kafka"), n) for n in ("topic", "partition")]
+            for r in pa.table(kafka, names=["t", "p"]).group_by(["t", "p"]).aggregate([([], "count_all")]).to_pylist():
+                counts[r["t"], r["p"]] += r["count_all"]
+            ends = np.unique(np.concatenate([pc.run_end_encode(batch.column(k)).run_ends.to_numpy() for k in keys])).tolist()
+            start = 0
+            for end in ends:
+                value = tuple(batch.column(k)[start].as_py() for k in keys)
+                if value != at:
+                    end_file()
+                    *names, commit = value
+                    folder = "/".join(f"{c}={_directory(v)}" for c, v in zip(cols, names))
+                    if folder not in made:
+                        os.makedirs(f"{root}/{folder}", exist_ok=True)
+                        made.add(folder)
+                    name = f"part-{task}-{number}.parquet"
+                    sink = pa.OSFile(f"{root}/{folder}/{name}", "wb")
+                    writer = pq.ParquetWriter(sink, data.schema, **settings)
+                    files.append((folder, commit, name))
+                    at, number = value, number + 1
+                part = data.slice(start, end - start)
+                held.append(part)
+                held_bytes += part.nbytes
+                if held_bytes >= group_bytes:
+                    write_held()
+                start = end
+        end_file()
+        yield _reported([(*f, None, None, None) for f in files] + [(None, None, None, t, p, n) for (t, p), n in counts.items()])
+
+    found = dealt.mapInArrow(write, REPORT).collect()
+    totals: Counter = Counter()
+    for r in found:
+        if r["n"] is not None:
+            totals[r["topic"], r["partition"]] += r["n"]
+    files = sorted((f"{r['folder']}/{_directory(r['commit'])}/", f"{stage}/{r['folder']}/{r['name']}") for r in found if r["n"] is None)
+    return [path for _, path in files], [{"topic": t, "partition": p, "count": n} for (t, p), n in totals.items()]
+
+
+def _reported(rows: list[tuple]) -> pa.RecordBatch:
+    types = [pa.string()] * 4 + [pa.int32(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["folder", "commit", "name", "topic", "partition", "n"])
+
+
+def _directory(value: str | None) -> str:
+    """A partition value as Spark writes it into a directory's name."""
+    return re.sub(r"[\x01-\x1f\x7f\"#%'*/:=?\\{\[\]^]", lambda m: f"%{ord(m[0]):02X}", value) if value else DEFAULT_DIRECTORY
+
+
 def _read_staged(spark: SparkSession, fs: _FS, stage: str) -> DataFrame | None:
     """A staged batch, its folders listed once, by Spark tasks where there are many (several
     folders to a task, or each folder would be one); None: it has no file."""
     if not fs.has_data(stage):
         return None
+    with _few_listing_tasks(spark):
+        return spark.read.option("basePath", stage).parquet(stage)
+
+
+@contextmanager
+def _few_listing_tasks(spark: SparkSession) -> Iterator[None]:
+    """Many paths that are read meanwhile are listed by some tasks, not one for each."""
     before = spark.conf.get(LISTING_TASKS, None)
     spark.conf.set(LISTING_TASKS, str(4 * spark.sparkContext.defaultParallelism))
     try:
-        return spark.read.option("basePath", stage).parquet(stage)
+        yield
     finally:
         spark.conf.unset(LISTING_TASKS) if before is None else spark.conf.set(LISTING_TASKS, before)
 
@@ -352,6 +526,33 @@ def committed_positions(spark: SparkSession, base: str) -> DataFrame:
     return spark.createDataFrame(rows, "topic string, partition int, commit_seq long, next_offset long, watermark long")
 
 
+def _committed_folders(fs: _FS, reader, base: str, paths: list[str]) -> DataFrame | None:
+    """The committed files ``paths``, read by folder where they are very many: a folder is listed once
+    instead of every file.  Only folders that hold these files and no others are read so; files that a
+    later batch adds meanwhile are left out by name.  None: to be read file by file."""
+    if not fs.is_local or len(paths) < FOLDERS_FROM:
+        return None
+    names: dict[str, set[str]] = defaultdict(set)
+    tags = set()
+    for path in paths:
+        folder, name = path.rsplit("/", 1)
+        tag = re.match(r"(batch-\d{20})-\d+\.parquet$", name)
+        if tag is None:
+            return None  # named by offsets
+        tags.add(tag[1])
+        names[folder].add(name)
+    if len(tags) > FOLDERS_BATCHES:
+        return None
+    found = []
+    for folder, committed in sorted(names.items()):
+        try:
+            there = {n for n in os.listdir(fs.local(folder)) if not n.startswith(("_", "."))}
+        except FileNotFoundError:
+            there = set()
+        found += [folder] if there == committed else [f"{folder}/{n}" for n in sorted(committed)]
+    return reader.option("pathGlobFilter", "{" + ",".join(sorted(tags)) + "}-*.parquet").parquet(*found)
+
+
 def read_loaded(
     spark: SparkSession, base: str, layout: str = "hourly", committed_only: bool = False, schema=None
 ) -> DataFrame:
@@ -370,7 +571,8 @@ def read_loaded(
             extra = {"hourly": "dt string, hr string", "daily": "dt string"}.get(layout)
             columns = [*output_schema().fields, *(T.StructType.fromDDL(extra).fields if extra else [])]
             return spark.createDataFrame([], T.StructType(columns))
-        return reader.parquet(*paths)
+        with _few_listing_tasks(spark):
+            return _committed_folders(fs, reader, base, paths) or reader.parquet(*paths)
     if layout == "topic_partition":
         fs = _FS(spark, base)
         # files beside one another are one listing of their folder, not a path each; other layouts' folders are left out
